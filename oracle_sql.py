@@ -178,3 +178,68 @@ GROUP BY vowel_count, unique_letter_count, difficulty_bucket"""),
     "word_scores": _with(SCORES, "SELECT * FROM word_scores"),
     "top_predictions": _with(SCORES, "SELECT * FROM top_predictions"),
 }
+
+ORACLE.update({
+    "kpi_row": _with(STAGED, """
+SELECT count(*) AS total_puzzles, max(puzzle_number) AS latest_puzzle,
+       avg(difficulty) AS avg_difficulty, avg(vowel_count) AS avg_vowels
+FROM staged"""),
+    "prediction_bars": _with(SCORES, """
+SELECT rank, word, total_score,
+       CASE WHEN max(total_score) OVER () > 0
+            THEN total_score / max(total_score) OVER () * 100.0 ELSE 0.0 END AS score_pct
+FROM top_predictions"""),
+    "winner_breakdown": _with(SCORES, """
+SELECT p.position, p.letter, p.score, 'Pos ' || p.position || ' (' || p.letter || ')' AS label
+FROM top_predictions t,
+     LATERAL (VALUES (1, t.letter_1, t.pos1_score), (2, t.letter_2, t.pos2_score),
+                     (3, t.letter_3, t.pos3_score), (4, t.letter_4, t.pos4_score),
+                     (5, t.letter_5, t.pos5_score)) AS p(position, letter, score)
+WHERE t.rank = 1"""),
+    "top_letters": _with(LETTER_FREQ, """
+SELECT letter, total_count, frequency_pct, frequency_rank,
+       CAST(trunc(frequency_pct * 2) AS INTEGER) AS bar_len,
+       repeat('█', CAST(trunc(frequency_pct * 2) AS INTEGER)) AS bar,
+       least(CAST(trunc(frequency_pct * 2) AS INTEGER) * 5, 100) AS bar_width
+FROM letter_freq ORDER BY total_count DESC, letter LIMIT 10"""),
+    "position_heatmap": _with(LETTER_FREQ, """
+SELECT letter,
+       coalesce(avg(position_pct) FILTER (WHERE position = 1), 0) AS position_1,
+       coalesce(avg(position_pct) FILTER (WHERE position = 2), 0) AS position_2,
+       coalesce(avg(position_pct) FILTER (WHERE position = 3), 0) AS position_3,
+       coalesce(avg(position_pct) FILTER (WHERE position = 4), 0) AS position_4,
+       coalesce(avg(position_pct) FILTER (WHERE position = 5), 0) AS position_5
+FROM position_freq GROUP BY letter"""),
+    "strongest_letter": _with(LETTER_FREQ, """
+SELECT position, letter, position_pct FROM (
+    SELECT *, row_number() OVER (PARTITION BY position ORDER BY position_pct DESC, letter) AS rn
+    FROM position_freq) WHERE rn = 1"""),
+    "difficulty_trend": _with(STAGED, """
+SELECT puzzle_number, difficulty,
+       avg(difficulty) OVER (ORDER BY puzzle_number ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)
+           AS rolling_avg
+FROM staged WHERE difficulty IS NOT NULL"""),
+    "difficulty_distribution": _with(STAGED, """
+SELECT difficulty_bucket, count(*) AS puzzles,
+       round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS share_pct
+FROM staged GROUP BY difficulty_bucket"""),
+    "vowel_distribution": _with(STAGED, """
+SELECT vowel_count, count(*) AS puzzles,
+       vowel_count || ' vowel' || CASE WHEN vowel_count = 1 THEN '' ELSE 's' END AS label
+FROM staged GROUP BY vowel_count"""),
+    "recent_answers": _with(STAGED, """
+SELECT puzzle_number, answer, answer_date, day_name, difficulty, difficulty_bucket,
+       vowel_count, unique_letter_count
+FROM staged ORDER BY puzzle_number DESC LIMIT 20"""),
+    "latest_raw_rows": _with(RAW, """
+SELECT puzzle_number, answer, date, day_name, difficulty
+FROM raw_answers ORDER BY puzzle_number DESC LIMIT 5"""),
+    "raw_duplicates": _with(RAW, """
+SELECT puzzle_number, answer, count(*) AS times_used
+FROM raw_answers GROUP BY puzzle_number, answer HAVING count(*) > 1"""),
+    "staged_duplicates": _with(STAGED, """
+SELECT puzzle_number, answer, count(*) AS times_used
+FROM staged GROUP BY puzzle_number, answer HAVING count(*) > 1"""),
+    "word_repeat_check": _with(STAGED, """
+SELECT answer, count(*) AS times_used FROM staged GROUP BY answer HAVING count(*) > 1"""),
+})

@@ -38,23 +38,32 @@ def letter_frequency_from_counts(counts: DataFrame) -> DataFrame:
     totals = counts.groupBy("letter").agg(F.sum("position_count").cast("long").alias("total_count"))
     everything = Window.partitionBy()
     by_count = Window.orderBy(F.desc("total_count"))
-    return totals.select(
+    # The window total is its own column so it is computed once per row.
+    ranked = totals.select(
         "letter",
         "total_count",
-        pct_of(F.col("total_count"), F.sum("total_count").over(everything)).alias("frequency_pct"),
+        F.sum("total_count").over(everything).alias("_all"),
         F.rank().over(by_count).cast("long").alias("frequency_rank"),
     )
+    return ranked.select(
+        "letter",
+        "total_count",
+        pct_of(F.col("total_count"), F.col("_all")).alias("frequency_pct"),
+        "frequency_rank",
+    )
 
 
 def position_frequency_from_counts(counts: DataFrame) -> DataFrame:
     """position, letter, position_count, position_pct (share of words, %)."""
     per_position = Window.partitionBy("position")
-    return counts.select(
+    with_total = counts.select(
+        "position", "letter", "position_count",
+        F.sum("position_count").over(per_position).alias("_words"))
+    return with_total.select(
         "position",
         "letter",
         "position_count",
-        pct_of(F.col("position_count"), F.sum("position_count").over(per_position))
-        .alias("position_pct"),
+        pct_of(F.col("position_count"), F.col("_words")).alias("position_pct"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordstats.functions.numeric import round_at
+from wordstats.operators.scoring import lookup_letters
 from wordstats.functions.words import DEFAULT_LENGTH, letter_names
 
 
@@ -22,17 +23,10 @@ def answer_history(staged: DataFrame, letter_freq: DataFrame, n: int = DEFAULT_L
                    broadcast: bool = True) -> DataFrame:
     """Staged answers plus each letter's overall frequency (0 when unseen)
     and their rounded sum (a repeated letter counts each time)."""
-    table = letter_freq.select("letter", "frequency_pct")
-    out = staged
-    pcts = []
-    for name in letter_names(n):
-        k = f"_k_{name}"
-        v = f"{name}_freq_pct"
-        t = table.select(F.col("letter").alias(k), F.col("frequency_pct").alias(f"_{v}"))
-        if broadcast:
-            t = F.broadcast(t)
-        out = out.join(t, F.col(name) == F.col(k), "left").drop(k)
-        pcts.append(F.coalesce(F.col(f"_{v}"), F.lit(0.0)).alias(v))
+    names = letter_names(n)
+    outs = [f"_{c}_freq_pct" for c in names]
+    out = lookup_letters(staged, letter_freq, names, ["frequency_pct"] * n, outs, broadcast)
+    pcts = [F.coalesce(F.col(o), F.lit(0.0)).alias(f"{c}_freq_pct") for o, c in zip(outs, names)]
     out = out.select(*staged.columns, *pcts)
     total = reduce(lambda a, b: a + b, [F.col(f"{c}_freq_pct") for c in letter_names(n)])
     return out.select(*history_columns(n)[:-1],

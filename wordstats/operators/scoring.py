@@ -26,7 +26,8 @@ def score_names(n: int = DEFAULT_LENGTH) -> list[str]:
 
 def score_table(letter_freq: DataFrame, position_freq: DataFrame,
                 n: int = DEFAULT_LENGTH) -> DataFrame:
-    """letter, pos1_score..posN_score: per-letter score at each position."""
+    """letter, frequency_pct, pos1_score..posN_score: one row per letter with
+    its overall share and its score at each position."""
     pf_wide = position_freq.groupBy("letter").agg(*[
         F.max(F.when(F.col("position") == F.lit(p), F.col("position_pct"))).alias(f"_pf{p}")
         for p in range(1, n + 1)
@@ -36,19 +37,30 @@ def score_table(letter_freq: DataFrame, position_freq: DataFrame,
     zero = F.lit(0.0)
     return both.select(
         "letter",
+        F.coalesce(F.col("frequency_pct"), zero).alias("frequency_pct"),
         *[round_at(F.coalesce(F.col("frequency_pct"), zero) + F.coalesce(F.col(f"_pf{p}"), zero), 4)
           .alias(name) for p, name in zip(range(1, n + 1), score_names(n))],
     )
 
 
-def _lookup(df: DataFrame, table: DataFrame, key: str, value: str, out: str,
-            broadcast: bool) -> DataFrame:
-    """Left-join one value column of ``table`` (keyed by ``letter``) on ``key``."""
-    k = f"_k_{out}"
-    t = table.select(F.col("letter").alias(k), F.col(value).alias(out))
+def lookup_letters(df: DataFrame, table: DataFrame, keys: list[str], values: list[str],
+                   outs: list[str], broadcast: bool) -> DataFrame:
+    """For each i, left-join ``table`` (keyed by ``letter``) on column
+    ``keys[i]`` and keep its ``values[i]`` as ``outs[i]``.
+
+    Every join reads the same table through the same projection, so with a
+    broadcast the table is shipped once and the other joins reuse it.
+    """
+    t = table.select("letter", *sorted(set(values)))
     if broadcast:
         t = F.broadcast(t)
-    return df.join(t, F.col(key) == F.col(k), "left").drop(k)
+    keep = list(df.columns)
+    for i, (key, value, out) in enumerate(zip(keys, values, outs)):
+        a = f"_t{i}"
+        df = (df.join(t.alias(a), F.col(key) == F.col(f"{a}.letter"), "left")
+              .select(*[F.col(c) for c in keep], F.col(f"{a}.{value}").alias(out)))
+        keep.append(out)
+    return df
 
 
 def word_scores(candidates: DataFrame, used_answers: DataFrame, table: DataFrame,
@@ -61,8 +73,8 @@ def word_scores(candidates: DataFrame, used_answers: DataFrame, table: DataFrame
     word = F.upper(F.col("word"))
     cands = candidates.select(word.alias("word")).select("word", *letter_cols(F.col("word"), n))
     names = score_names(n)
-    for letter, name in zip(letter_names(n), names):
-        cands = _lookup(cands, table, letter, name, f"_{name}", broadcast)
+    cands = lookup_letters(cands, table, letter_names(n), names,
+                           [f"_{name}" for name in names], broadcast)
 
     # Membership: left join to the distinct used answers.  No hint: the
     # used set grows with the answer table, so AQE picks broadcast or

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.frequency import letter_frequency, position_frequency
 from wordstats.operators.staging import stage_answers
@@ -47,6 +48,66 @@ def q_top_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_model(raw_answers(spark, sf_dir)).top_predictions(candidate_words(spark, sf_dir))
 
 
+def _staged(spark, sf_dir):
+    return stage_answers(raw_answers(spark, sf_dir))
+
+
+def q_kpi_row(spark, sf_dir):
+    return R.kpi_row(_staged(spark, sf_dir))
+
+
+def q_prediction_bars(spark, sf_dir):
+    return R.prediction_bars(q_top_predictions(spark, sf_dir))
+
+
+def q_winner_breakdown(spark, sf_dir):
+    return R.winner_breakdown(q_top_predictions(spark, sf_dir))
+
+
+def q_top_letters(spark, sf_dir):
+    return R.top_letters(q_letter_frequency(spark, sf_dir))
+
+
+def q_position_heatmap(spark, sf_dir):
+    return R.position_heatmap(q_position_frequency(spark, sf_dir))
+
+
+def q_strongest_letter(spark, sf_dir):
+    return R.strongest_letter(q_position_frequency(spark, sf_dir))
+
+
+def q_difficulty_trend(spark, sf_dir):
+    return R.difficulty_trend(_staged(spark, sf_dir))
+
+
+def q_difficulty_distribution(spark, sf_dir):
+    return R.difficulty_distribution(_staged(spark, sf_dir))
+
+
+def q_vowel_distribution(spark, sf_dir):
+    return R.vowel_distribution(_staged(spark, sf_dir))
+
+
+def q_recent_answers(spark, sf_dir):
+    return R.recent_answers(_staged(spark, sf_dir))
+
+
+def q_latest_raw_rows(spark, sf_dir):
+    return R.latest_raw_rows(raw_answers(spark, sf_dir))
+
+
+def q_raw_duplicates(spark, sf_dir):
+    return R.answer_duplicates(raw_answers(spark, sf_dir))
+
+
+def q_staged_duplicates(spark, sf_dir):
+    return R.answer_duplicates(_staged(spark, sf_dir))
+
+
+def q_word_repeat_check(spark, sf_dir):
+    return R.word_repeats(_staged(spark, sf_dir), 1)
+
+
 QUERIES: dict[str, Query] = {
     "stage_answers": q_stage_answers,
     "letter_frequency": q_letter_frequency,
@@ -55,4 +116,18 @@ QUERIES: dict[str, Query] = {
     "answer_history": q_answer_history,
     "word_scores": q_word_scores,
     "top_predictions": q_top_predictions,
+    "kpi_row": q_kpi_row,
+    "prediction_bars": q_prediction_bars,
+    "winner_breakdown": q_winner_breakdown,
+    "top_letters": q_top_letters,
+    "position_heatmap": q_position_heatmap,
+    "strongest_letter": q_strongest_letter,
+    "difficulty_trend": q_difficulty_trend,
+    "difficulty_distribution": q_difficulty_distribution,
+    "vowel_distribution": q_vowel_distribution,
+    "recent_answers": q_recent_answers,
+    "latest_raw_rows": q_latest_raw_rows,
+    "raw_duplicates": q_raw_duplicates,
+    "staged_duplicates": q_staged_duplicates,
+    "word_repeat_check": q_word_repeat_check,
 }

@@ -10,8 +10,6 @@ exact row count then decides whether the lookups broadcast
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
-
 from pyspark.sql import DataFrame
 
 from wordstats.functions.words import DEFAULT_LENGTH
@@ -28,41 +26,38 @@ from wordstats.operators.staging import stage_answers
 
 @dataclass
 class WordModel:
+    """``letters`` is the materialised per-letter table: letter,
+    frequency_pct, pos1_score..posN_score."""
+
     staged: DataFrame
-    counts: Materialised
+    letters: Materialised
     n: int = DEFAULT_LENGTH
 
     @property
     def broadcast(self) -> bool:
-        return self.counts.broadcastable
-
-    @cached_property
-    def letter_frequency(self) -> DataFrame:
-        return letter_frequency_from_counts(self.counts.df)
-
-    @cached_property
-    def position_frequency(self) -> DataFrame:
-        return position_frequency_from_counts(self.counts.df)
-
-    @cached_property
-    def score_table(self) -> DataFrame:
-        return score_table(self.letter_frequency, self.position_frequency, self.n)
+        return self.letters.broadcastable
 
     def answer_history(self) -> DataFrame:
-        return answer_history(self.staged, self.letter_frequency, self.n, self.broadcast)
+        return answer_history(self.staged, self.letters.df, self.n, self.broadcast)
 
     def word_scores(self, candidates: DataFrame) -> DataFrame:
-        return word_scores(candidates, self.staged, self.score_table, self.n, self.broadcast)
+        return word_scores(candidates, self.staged, self.letters.df, self.n, self.broadcast)
 
     def top_predictions(self, candidates: DataFrame, k: int = 10) -> DataFrame:
         return top_predictions(self.word_scores(candidates), k, self.n)
 
 
-def build_model(raw: DataFrame, n: int = DEFAULT_LENGTH) -> WordModel:
-    """Stage ``raw`` and materialise its position counts (one eager job)."""
-    staged = stage_answers(raw, n)
-    return WordModel(staged, materialise(position_counts(staged, n)), n)
+def letter_table(staged: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
+    counts = position_counts(staged, n)
+    return score_table(letter_frequency_from_counts(counts),
+                       position_frequency_from_counts(counts), n)
 
 
 def model_from_staged(staged: DataFrame, n: int = DEFAULT_LENGTH) -> WordModel:
-    return WordModel(staged, materialise(position_counts(staged, n)), n)
+    """Materialise the letter table of ``staged`` (one eager job: the only
+    pass over the answers that the lookups need)."""
+    return WordModel(staged, materialise(letter_table(staged, n)), n)
+
+
+def build_model(raw: DataFrame, n: int = DEFAULT_LENGTH) -> WordModel:
+    return model_from_staged(stage_answers(raw, n), n)
