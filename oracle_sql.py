@@ -136,7 +136,7 @@ top_predictions AS (
     ) WHERE rank <= 10
 )"""
 
-HISTORY = LETTER_FREQ + r""",
+HISTORY_PART = r""",
 answer_history AS (
     SELECT s.puzzle_number, s.answer, s.answer_date, s.day_name, s.answer_year, s.answer_month,
            s.letter_1, s.letter_2, s.letter_3, s.letter_4, s.letter_5,
@@ -156,6 +156,20 @@ answer_history AS (
     LEFT JOIN letter_freq f4 ON f4.letter = s.letter_4
     LEFT JOIN letter_freq f5 ON f5.letter = s.letter_5
 )"""
+HISTORY = LETTER_FREQ + HISTORY_PART
+
+PATTERN_PART = r""",
+difficulty_by_pattern AS (
+    SELECT vowel_count, unique_letter_count, difficulty_bucket,
+           count(*) AS word_count,
+           round(avg(difficulty), 2) AS avg_difficulty,
+           round(min(difficulty), 2) AS min_difficulty,
+           round(max(difficulty), 2) AS max_difficulty
+    FROM staged WHERE difficulty IS NOT NULL
+    GROUP BY vowel_count, unique_letter_count, difficulty_bucket
+)"""
+
+EVERYTHING = SCORES + HISTORY_PART + PATTERN_PART
 
 
 def _with(ctes: str, body: str) -> str:
@@ -166,14 +180,7 @@ ORACLE: dict[str, str] = {
     "stage_answers": _with(STAGED, "SELECT * FROM staged"),
     "letter_frequency": _with(LETTER_FREQ, "SELECT * FROM letter_freq"),
     "position_frequency": _with(LETTER_FREQ, "SELECT * FROM position_freq"),
-    "difficulty_by_pattern": _with(STAGED, """
-SELECT vowel_count, unique_letter_count, difficulty_bucket,
-       count(*) AS word_count,
-       round(avg(difficulty), 2) AS avg_difficulty,
-       round(min(difficulty), 2) AS min_difficulty,
-       round(max(difficulty), 2) AS max_difficulty
-FROM staged WHERE difficulty IS NOT NULL
-GROUP BY vowel_count, unique_letter_count, difficulty_bucket"""),
+    "difficulty_by_pattern": _with(STAGED + PATTERN_PART, "SELECT * FROM difficulty_by_pattern"),
     "answer_history": _with(HISTORY, "SELECT * FROM answer_history"),
     "word_scores": _with(SCORES, "SELECT * FROM word_scores"),
     "top_predictions": _with(SCORES, "SELECT * FROM top_predictions"),
@@ -243,3 +250,41 @@ FROM staged GROUP BY puzzle_number, answer HAVING count(*) > 1"""),
     "word_repeat_check": _with(STAGED, """
 SELECT answer, count(*) AS times_used FROM staged GROUP BY answer HAVING count(*) > 1"""),
 })
+
+
+# Relation name in the report -> CTE holding it.
+_RELATION_CTE = {
+    "raw_answers": "raw_answers", "staged_answers": "staged",
+    "letter_frequency": "letter_freq", "position_frequency": "position_freq",
+    "difficulty_by_pattern": "difficulty_by_pattern",
+    "letter_frequency_mart": "letter_freq", "position_heatmap_mart": "position_freq",
+    "answer_history": "answer_history", "word_scores": "word_scores",
+    "top_predictions": "top_predictions",
+}
+
+
+def _quality_sql() -> str:
+    """One SELECT per declared check (the check list is data, shared with
+    the Spark side the way a schema file would be)."""
+    from wordstats.operators.quality import CHECKS
+
+    parts = []
+    for spec in CHECKS:
+        rel = _RELATION_CTE[spec.relation]
+        for c in spec.not_null:
+            parts.append(f"SELECT '{spec.relation}' AS relation, 'not_null' AS check_name, "
+                         f"'{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS failures "
+                         f"FROM {rel}")
+        for c in spec.unique:
+            parts.append(f"SELECT '{spec.relation}', 'unique', '{c}', (SELECT count(*) FROM "
+                         f"(SELECT {c} FROM {rel} WHERE {c} IS NOT NULL GROUP BY {c} "
+                         f"HAVING count(*) > 1))")
+        if spec.no_duplicate_answers:
+            parts.append(f"SELECT '{spec.relation}', 'no_duplicate_answers', "
+                         f"'puzzle_number,answer', (SELECT count(*) FROM (SELECT puzzle_number, "
+                         f"answer FROM {rel} GROUP BY puzzle_number, answer "
+                         f"HAVING count(*) > 1))")
+    return _with(EVERYTHING, "\nUNION ALL\n".join(parts))
+
+
+ORACLE["quality_report"] = _quality_sql()

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.frequency import letter_frequency, position_frequency
+from wordstats.operators.quality import quality_report
+from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
 from wordstats.plans.model import build_model
 from wordstats.sources.corpus import candidate_words, raw_answers
@@ -108,6 +110,27 @@ def q_word_repeat_check(spark, sf_dir):
     return R.word_repeats(_staged(spark, sf_dir), 1)
 
 
+def quality_relations(spark, sf_dir) -> dict[str, DataFrame]:
+    raw = raw_answers(spark, sf_dir)
+    model = build_model(raw)
+    staged = model.staged
+    lf = letter_frequency(staged)
+    pf = position_frequency(staged)
+    scores = model.word_scores(candidate_words(spark, sf_dir))
+    return {
+        "raw_answers": raw, "staged_answers": staged,
+        "letter_frequency": lf, "position_frequency": pf,
+        "difficulty_by_pattern": difficulty_by_pattern(staged),
+        "letter_frequency_mart": lf, "position_heatmap_mart": pf,
+        "answer_history": model.answer_history(), "word_scores": scores,
+        "top_predictions": top_predictions(scores),
+    }
+
+
+def q_quality_report(spark, sf_dir):
+    return quality_report(quality_relations(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "stage_answers": q_stage_answers,
     "letter_frequency": q_letter_frequency,
@@ -130,4 +153,5 @@ QUERIES: dict[str, Query] = {
     "raw_duplicates": q_raw_duplicates,
     "staged_duplicates": q_staged_duplicates,
     "word_repeat_check": q_word_repeat_check,
+    "quality_report": q_quality_report,
 }

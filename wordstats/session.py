@@ -38,6 +38,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", os.environ.get("WORDSTATS_DRIVER_MEMORY", "16g"))
     )
