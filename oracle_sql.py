@@ -288,3 +288,91 @@ def _quality_sql() -> str:
 
 
 ORACLE["quality_report"] = _quality_sql()
+
+
+def _load_ctes(full: bool = False, accept_late: bool = False) -> str:
+    """The load fixture and its labels: a row is skipped when its id is
+    stored or an earlier valid row of the batch has it, failed when invalid,
+    else inserted."""
+    cut = "-1" if full else "CAST(floor(max(doc_id) * 7 / 10) AS BIGINT)"
+    window = []
+    if not (full or accept_late):
+        window.append("(h.hwm IS NULL OR TRY_CAST(bt.date AS DATE) > h.hwm)")
+    if not full:
+        window.append("TRY_CAST(bt.date AS DATE) <= b.today")
+    fetch = " AND ".join(window) if window else "TRUE"
+    return RAW + rf""",
+bounds AS (
+    SELECT {cut} AS cut_id,
+           DATE '2021-06-19' + CAST(max(doc_id) - 10 AS INTEGER) AS today
+    FROM documents
+),
+stored AS (
+    SELECT r.puzzle_number, upper(trim(r.answer)) AS answer, r.date, r.day_name, r.difficulty
+    FROM raw_answers r, bounds b WHERE r.puzzle_number <= b.cut_id AND r.answer IS NOT NULL
+),
+src AS (
+    SELECT r.*, r.puzzle_number // 200 AS pg, (r.puzzle_number % 200) * 4 AS slot,
+           r.puzzle_number > b.cut_id AS later
+    FROM raw_answers r, bounds b
+),
+batch AS (
+    SELECT pg AS page, slot + 1 AS pos, puzzle_number AS game, answer, date, day_name, difficulty
+    FROM src WHERE later
+    UNION ALL
+    SELECT pg, slot, puzzle_number, NULL, date, day_name, difficulty
+    FROM src WHERE later AND puzzle_number % 5 = 0 AND answer IS NOT NULL
+    UNION ALL
+    SELECT pg + 1, slot + 2, puzzle_number, answer, date, day_name, difficulty
+    FROM src WHERE later AND puzzle_number % 7 = 0
+    UNION ALL
+    SELECT pg, slot + 3, puzzle_number, answer, date, day_name, difficulty
+    FROM src WHERE NOT later AND puzzle_number % 11 = 0
+    UNION ALL
+    SELECT pg, slot + 3, NULL, answer, date, day_name, difficulty
+    FROM src WHERE later AND puzzle_number % 13 = 0
+),
+hwm AS (SELECT max(date) AS hwm FROM stored),
+fetched AS (
+    SELECT bt.*, TRY_CAST(strftime(bt.date, '%Y-%m-%d') AS DATE) AS d
+    FROM batch bt, hwm h, bounds b
+    WHERE TRY_CAST(bt.date AS DATE) IS NULL OR ({fetch})
+),
+marked AS (
+    SELECT *, (game IS NOT NULL AND answer IS NOT NULL AND d IS NOT NULL) AS valid,
+           coalesce(game IN (SELECT puzzle_number FROM stored), false) AS known
+    FROM fetched
+),
+labelled AS (
+    SELECT page, pos, game AS puzzle_number, answer, d, day_name, difficulty,
+           CASE WHEN known THEN 'skipped'
+                WHEN coalesce(sum(CASE WHEN valid THEN 1 ELSE 0 END) OVER (
+                         PARTITION BY game ORDER BY page, pos
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > 0 THEN 'skipped'
+                WHEN NOT valid THEN 'failed'
+                ELSE 'inserted' END AS label
+    FROM marked
+),
+load_counts AS (
+    SELECT count(*) FILTER (WHERE label = 'inserted') AS inserted,
+           count(*) FILTER (WHERE label = 'skipped') AS skipped,
+           count(*) FILTER (WHERE label = 'failed') AS failed
+    FROM labelled
+),
+after_load AS (
+    SELECT puzzle_number, answer, date, day_name, difficulty FROM stored
+    UNION ALL
+    SELECT puzzle_number, upper(trim(answer)), d, day_name, difficulty
+    FROM labelled WHERE label = 'inserted'
+)"""
+
+
+ORACLE.update({
+    "ingest_labels": _with(_load_ctes(), "SELECT page, pos, puzzle_number, label FROM labelled"),
+    "ingest_counts": _with(_load_ctes(), "SELECT * FROM load_counts"),
+    "ingest_counts_accept_late": _with(_load_ctes(accept_late=True),
+                                       "SELECT * FROM load_counts"),
+    "ingest_incremental": _with(_load_ctes(), "SELECT * FROM after_load"),
+    "ingest_full": _with(_load_ctes(full=True), "SELECT * FROM after_load"),
+    "stream_ingest": _with(_load_ctes(), "SELECT * FROM after_load"),
+})

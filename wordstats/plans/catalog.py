@@ -9,15 +9,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.frequency import letter_frequency, position_frequency
+from wordstats.operators.ingest import TABLE_COLUMNS, label_batch, label_counts, load_result
 from wordstats.operators.quality import quality_report
 from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
 from wordstats.plans.model import build_model
-from wordstats.sources.corpus import candidate_words, raw_answers
+from wordstats.plans.load import read_table, write_rows
+from wordstats.session import scratch_dir
+from wordstats.sources.corpus import (
+    FUTURE_DAYS,
+    candidate_words,
+    load_fixture,
+    puzzle_date,
+    raw_answers,
+    table,
+)
+from wordstats.sources.pages import land_pages, read_pages
+from wordstats.streaming.ingest import start_stream_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,6 +144,66 @@ def q_quality_report(spark, sf_dir):
     return quality_report(quality_relations(spark, sf_dir))
 
 
+def _labelled(spark, sf_dir, accept_late=False):
+    table, batch = load_fixture(spark, sf_dir)
+    return label_batch(batch, table, today=F.col("_today"), accept_late=accept_late)
+
+
+def q_ingest_labels(spark, sf_dir):
+    return _labelled(spark, sf_dir).select(
+        "page", "pos", F.col("_id").alias("puzzle_number"), "label")
+
+
+def q_ingest_counts(spark, sf_dir):
+    return label_counts(_labelled(spark, sf_dir))
+
+
+def q_ingest_counts_accept_late(spark, sf_dir):
+    return label_counts(_labelled(spark, sf_dir, accept_late=True))
+
+
+def fixture_today(spark, sf_dir) -> str:
+    """The load fixture's "today" as text (one scalar from the id column)."""
+    return (table(spark, sf_dir, "documents")
+            .agg(puzzle_date(F.max("doc_id") - F.lit(FUTURE_DAYS)).cast("string").alias("t"))
+            .first()["t"])
+
+
+def q_ingest_incremental(spark, sf_dir):
+    """Batch rows landed as JSON page files, read back and loaded."""
+    table, batch = load_fixture(spark, sf_dir)
+    landing = scratch_dir(spark, "landing")
+    land_pages(batch.drop("_today"), landing)
+    labelled = label_batch(read_pages(spark, landing), table, today=fixture_today(spark, sf_dir))
+    return load_result(table, labelled)
+
+
+def q_ingest_full(spark, sf_dir):
+    table, batch = load_fixture(spark, sf_dir, full=True)
+    return load_result(table, label_batch(batch, table))
+
+
+def q_stream_ingest(spark, sf_dir):
+    """The incremental load as a stream: the stored rows are written as load
+    0, then the pages land in two drops and an available-now stream loads
+    each drop as it finds it."""
+    table, batch = load_fixture(spark, sf_dir)
+    base = scratch_dir(spark, "stream")
+    path = f"{base}/table"
+    write_rows(table, path, load_id=0)
+    pages = batch.drop("_today")
+    span = pages.agg(F.min("page").alias("lo"), F.max("page").alias("hi")).first()
+    middle = (span["lo"] + span["hi"]) // 2
+    today = fixture_today(spark, sf_dir)
+    for i, part in enumerate([pages.filter(F.col("page") <= middle),
+                              pages.filter(F.col("page") > middle)]):
+        land_pages(part, f"{base}/landing/drop={i}")
+        q = start_stream_load(spark, f"{base}/landing/*", path, f"{base}/checkpoint",
+                              counts_path=f"{base}/counts", today=today)
+        q.awaitTermination()
+    return read_table(spark, path).select(*TABLE_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "stage_answers": q_stage_answers,
     "letter_frequency": q_letter_frequency,
@@ -154,4 +227,10 @@ QUERIES: dict[str, Query] = {
     "staged_duplicates": q_staged_duplicates,
     "word_repeat_check": q_word_repeat_check,
     "quality_report": q_quality_report,
+    "ingest_labels": q_ingest_labels,
+    "ingest_counts": q_ingest_counts,
+    "ingest_counts_accept_late": q_ingest_counts_accept_late,
+    "ingest_incremental": q_ingest_incremental,
+    "ingest_full": q_ingest_full,
+    "stream_ingest": q_stream_ingest,
 }

@@ -96,3 +96,68 @@ def corpus_words(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> D
     return (table(spark, sf_dir, "documents")
             .select(F.explode(word_tokens(F.col("text"), n)).alias("token"))
             .select(F.upper("token").alias("answer")))
+
+
+# Fixed values for the load fixture: the stored table holds the first 70%
+# of ids; the last 10 days are after "today"; arrival pages hold 200 ids.
+LOAD_CUT_NUM, LOAD_CUT_DEN = 7, 10
+FUTURE_DAYS = 10
+PAGE_IDS = 200
+# Which ids get extra copies in the batch (all rows are kept either way):
+INVALID_FIRST_EVERY = 5   # a null-answer copy arrives just before the row
+REPEAT_EVERY = 7          # the row arrives again on the next page
+LATE_EVERY = 11           # a stored row is sent again (late row)
+NULL_ID_EVERY = 13        # a copy without an id
+
+
+def load_fixture(spark: SparkSession, sf_dir: str, full: bool = False,
+                 n: int = DEFAULT_LENGTH) -> tuple[DataFrame, DataFrame]:
+    """(table, batch) for the incremental load, derived from ``raw_answers``.
+
+    ``table``: rows with id <= cut and an answer, as stored (upper, stripped).
+    ``batch``: page, pos, game, answer, date (text), day_name, difficulty,
+    _today -- every row after the cut plus the copies described above.
+    With ``full`` the table is empty and every row is in the batch.
+
+    Each raw row yields all of its batch copies in one ``explode``, so the
+    batch is one scan of the corpus, not one per kind of copy.
+    """
+    raw = raw_answers(spark, sf_dir, n)
+    # The id range comes from the id column alone (no text is read for it).
+    ids = table(spark, sf_dir, "documents").agg(F.max("doc_id").cast("long").alias("_max"))
+    cut = (F.lit(-1).cast("long") if full else
+           F.floor(F.col("_max") * F.lit(LOAD_CUT_NUM) / F.lit(LOAD_CUT_DEN)).cast("long"))
+    bounded = raw.crossJoin(F.broadcast(ids.select(
+        cut.alias("_cut"), puzzle_date(F.col("_max") - F.lit(FUTURE_DAYS)).alias("_today"))))
+    pid = F.col("puzzle_number")
+    stored = pid <= F.col("_cut")
+    later = ~stored
+    table_rows = (bounded.filter(stored & F.col("answer").isNotNull())
+                  .select("puzzle_number", F.upper(F.trim("answer")).alias("answer"), "date",
+                          "day_name", "difficulty"))
+
+    slot = pid % F.lit(PAGE_IDS)
+    page = F.floor(pid / F.lit(PAGE_IDS)).cast("long")
+    answer = F.col("answer")
+    no_answer = F.lit(None).cast("string")
+
+    def copy(cond, page_col, k, game, ans):
+        return F.when(cond, F.struct(page_col.alias("page"),
+                                     (slot * F.lit(4) + F.lit(k)).cast("long").alias("pos"),
+                                     game.alias("game"), ans.alias("answer")))
+
+    every = lambda k: pid % F.lit(k) == F.lit(0)
+    variants = F.array(
+        copy(later, page, 1, pid, answer),
+        copy(later & every(INVALID_FIRST_EVERY) & answer.isNotNull(), page, 0, pid, no_answer),
+        copy(later & every(REPEAT_EVERY), page + F.lit(1), 2, pid, answer),
+        copy(stored & every(LATE_EVERY), page, 3, pid, answer),
+        copy(later & every(NULL_ID_EVERY), page, 3, F.lit(None).cast("long"), answer),
+    )
+    batch = (bounded.select(F.explode(variants).alias("_v"), "date", "day_name",
+                            "difficulty", "_today")
+             .filter(F.col("_v").isNotNull())
+             .select("_v.page", "_v.pos", "_v.game", "_v.answer",
+                     F.date_format("date", "yyyy-MM-dd").alias("date"), "day_name",
+                     "difficulty", "_today"))
+    return table_rows, batch
