@@ -376,3 +376,34 @@ ORACLE.update({
     "ingest_full": _with(_load_ctes(full=True), "SELECT * FROM after_load"),
     "stream_ingest": _with(_load_ctes(), "SELECT * FROM after_load"),
 })
+
+CORPUS = r"""
+doc_tokens AS (
+    SELECT doc_id, lang, t.tok, t.pos
+    FROM documents,
+         LATERAL (SELECT unnest(string_split_regex(text, '[ \n\t]+')) AS tok,
+                         generate_subscripts(string_split_regex(text, '[ \n\t]+'), 1) AS pos) t
+),
+corpus_tokens AS (
+    SELECT doc_id, CAST(pos AS BIGINT) AS pos, lang, tok AS token
+    FROM doc_tokens WHERE regexp_full_match(tok, '[A-Za-z]{5}')
+),
+corpus_letters AS (
+    SELECT p.pos AS position, p.letter
+    FROM (SELECT upper(token) AS w FROM corpus_tokens) c,
+         LATERAL (VALUES (1, substr(w, 1, 1)), (2, substr(w, 2, 1)), (3, substr(w, 3, 1)),
+                         (4, substr(w, 4, 1)), (5, substr(w, 5, 1))) AS p(pos, letter)
+)"""
+
+ORACLE.update({
+    "corpus_tokens": _with(CORPUS, "SELECT * FROM corpus_tokens"),
+    "corpus_letter_frequency": _with(CORPUS, """
+SELECT letter, total_count,
+       round(total_count * 100.0 / sum(total_count) OVER (), 4) AS frequency_pct,
+       rank() OVER (ORDER BY total_count DESC) AS frequency_rank
+FROM (SELECT letter, count(*) AS total_count FROM corpus_letters GROUP BY letter)"""),
+    "corpus_position_frequency": _with(CORPUS, """
+SELECT position, letter, count(*) AS position_count,
+       round(count(*) * 100.0 / (SELECT count(*) FROM corpus_tokens), 4) AS position_pct
+FROM corpus_letters GROUP BY position, letter"""),
+})

@@ -1,0 +1,24 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from wordstats.operators.trailing import trailing_mean
+
+
+def test_blocked_equals_single_task(spark):
+    rows = [(i * 3 + (i % 4), float((i * 7) % 50) / 10.0 + 1.0 if i % 9 else None)
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    simple = trailing_mean(df, "k", "v", 30).orderBy("k").collect()
+    blocked = trailing_mean(df, "k", "v", 30, block_rows=45).orderBy("k").collect()
+    assert len(blocked) == len(simple) == 700
+    assert blocked == simple
+
+
+def test_trailing_rows_not_values(spark):
+    rows = [(i * 10, float(i)) for i in range(31)]
+    out = trailing_mean(spark.createDataFrame(rows, "k long, v double"), "k", "v", 30)
+    last = out.orderBy(F.desc("k")).first()
+    assert last["rolling_avg"] == sum(range(1, 31)) / 30
+    first = out.orderBy("k").first()
+    assert first["rolling_avg"] == 0.0

@@ -15,7 +15,7 @@ from wordstats.functions.words import DEFAULT_LENGTH
 
 # The token separators.
 TOKEN_SPLIT = "[ \\n\\t]+"
-_SEP_CLASS = "[ \\n\\t]"
+_NOT_SEP = "[^ \\n\\t]"
 
 
 def word_token_pattern(n: int = DEFAULT_LENGTH) -> str:
@@ -27,20 +27,22 @@ def tokens(text: Column) -> Column:
     return F.split(text, TOKEN_SPLIT)
 
 
-def word_tokens(text: Column, n: int = DEFAULT_LENGTH) -> Column:
-    """The word tokens of ``text`` in order, as an array; the rest is dropped in place."""
-    pattern = word_token_pattern(n)
-    return F.filter(tokens(text), lambda t: t.rlike(pattern))
+def word_token_in_text(n: int = DEFAULT_LENGTH) -> str:
+    """A run of ``n`` letters with no token character right before or after
+    it -- i.e. a whole token of exactly ``n`` letters -- found in place."""
+    return f"(?<!{_NOT_SEP})[A-Za-z]{{{n}}}(?!{_NOT_SEP})"
 
 
-def first_word_token(text: Column, n: int = DEFAULT_LENGTH) -> Column:
-    """The first word token of ``text`` or null.
+def word_tokens(text: Column, n: int = DEFAULT_LENGTH) -> Column:
+    """The word tokens of ``text`` in order, as an array.
 
-    One regular-expression search over the text: a run of ``n`` letters that
-    starts the text or follows a separator and is followed by a separator or
-    the end.  The leftmost such run is the first word token, and the search
-    stops there instead of splitting the whole text into an array.
+    One regular-expression pass over the text; unlike splitting first, no
+    string is created for the tokens that are not words.
     """
-    pattern = f"(?:^|{_SEP_CLASS})([A-Za-z]{{{n}}})(?={_SEP_CLASS}|\\z)"
-    found = F.regexp_extract(text, pattern, 1)
+    return F.regexp_extract_all(text, F.lit(word_token_in_text(n)), 0)
+
+
+def first_word_token(text: Column, n: int = DEFAULT_LENGTH) -> Column:
+    """The first word token of ``text`` or null (the search stops at it)."""
+    found = F.regexp_extract(text, word_token_in_text(n), 0)
     return F.when(found != F.lit(""), found)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordstats.functions.words import letter_cols
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.frequency import letter_frequency, position_frequency
@@ -24,6 +25,8 @@ from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
     FUTURE_DAYS,
     candidate_words,
+    corpus_tokens,
+    corpus_words,
     load_fixture,
     puzzle_date,
     raw_answers,
@@ -204,6 +207,23 @@ def q_stream_ingest(spark, sf_dir):
     return read_table(spark, path).select(*TABLE_COLUMNS)
 
 
+def _corpus_letters(spark, sf_dir):
+    words = corpus_words(spark, sf_dir)
+    return words.select("answer", *letter_cols(F.col("answer")))
+
+
+def q_corpus_letter_frequency(spark, sf_dir):
+    return letter_frequency(_corpus_letters(spark, sf_dir))
+
+
+def q_corpus_position_frequency(spark, sf_dir):
+    return position_frequency(_corpus_letters(spark, sf_dir))
+
+
+def q_corpus_tokens(spark, sf_dir):
+    return corpus_tokens(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "stage_answers": q_stage_answers,
     "letter_frequency": q_letter_frequency,
@@ -233,4 +253,7 @@ QUERIES: dict[str, Query] = {
     "ingest_incremental": q_ingest_incremental,
     "ingest_full": q_ingest_full,
     "stream_ingest": q_stream_ingest,
+    "corpus_tokens": q_corpus_tokens,
+    "corpus_letter_frequency": q_corpus_letter_frequency,
+    "corpus_position_frequency": q_corpus_position_frequency,
 }
