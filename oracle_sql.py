@@ -407,3 +407,8 @@ SELECT position, letter, count(*) AS position_count,
        round(count(*) * 100.0 / (SELECT count(*) FROM corpus_tokens), 4) AS position_pct
 FROM corpus_letters GROUP BY position, letter"""),
 })
+
+ORACLE.update({
+    "letter_frequency_mart": _with(LETTER_FREQ, "SELECT * FROM letter_freq"),
+    "position_heatmap_mart": _with(LETTER_FREQ, "SELECT * FROM position_freq"),
+})

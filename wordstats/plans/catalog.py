@@ -21,6 +21,7 @@ from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
 from wordstats.plans.model import build_model
 from wordstats.plans.load import read_table, write_rows
+from wordstats.plans.pipeline import read_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
     FUTURE_DAYS,
@@ -224,6 +225,21 @@ def q_corpus_tokens(spark, sf_dir):
     return corpus_tokens(spark, sf_dir)
 
 
+def _mart_roundtrip(spark, name, df):
+    """Store a mart the way the run publishes it and read it back."""
+    path = scratch_dir(spark, "marts")
+    df.write.mode("overwrite").parquet(f"{path}/{name}")
+    return read_mart(spark, path, name)
+
+
+def q_letter_frequency_mart(spark, sf_dir):
+    return _mart_roundtrip(spark, "letter_frequency", q_letter_frequency(spark, sf_dir))
+
+
+def q_position_heatmap_mart(spark, sf_dir):
+    return _mart_roundtrip(spark, "position_heatmap", q_position_frequency(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "stage_answers": q_stage_answers,
     "letter_frequency": q_letter_frequency,
@@ -256,4 +272,6 @@ QUERIES: dict[str, Query] = {
     "corpus_tokens": q_corpus_tokens,
     "corpus_letter_frequency": q_corpus_letter_frequency,
     "corpus_position_frequency": q_corpus_position_frequency,
+    "letter_frequency_mart": q_letter_frequency_mart,
+    "position_heatmap_mart": q_position_heatmap_mart,
 }

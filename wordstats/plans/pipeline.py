@@ -1,0 +1,124 @@
+"""The end-to-end run: load -> stage -> marts -> checks -> publish.
+
+Marts are first written under a run-specific location, the declared checks
+run on what was written, and only when every check passes are they copied
+to their published location (``<marts>/<name>``, replaced whole).  A failed
+run leaves the published marts untouched.  Everything runs on the cluster;
+the driver only sees the check report (one row per check) and the load
+counters (one row).
+"""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wordstats.functions.words import DEFAULT_LENGTH
+from wordstats.operators.difficulty import difficulty_by_pattern
+from wordstats.operators.frequency import letter_frequency, position_frequency
+from wordstats.operators.quality import passes, quality_report
+from wordstats.operators.scoring import top_predictions
+from wordstats.plans.load import insert_if_absent, read_table
+from wordstats.plans.model import model_from_staged
+from wordstats.operators.staging import stage_answers
+from wordstats.sources.pages import read_pages
+
+MARTS = ("letter_frequency", "position_heatmap", "answer_history", "word_scores",
+         "top_predictions")
+
+# Read-side orderings of the published marts ("-" = descending).
+MART_ORDER = {
+    "top_predictions": ["rank"],
+    "letter_frequency": ["-total_count", "letter"],
+    "position_heatmap": ["position", "-position_count", "letter"],
+    "answer_history": ["-puzzle_number"],
+    "word_scores": ["-total_score", "word"],
+}
+
+HISTORY_VIEW = ["puzzle_number", "answer", "answer_date", "day_name", "answer_year",
+                "answer_month", "difficulty", "difficulty_bucket", "vowel_count",
+                "unique_letter_count", "word_commonality_score"]
+
+
+@dataclass
+class RunConfig:
+    table_path: str
+    marts_path: str
+    landing: str | None = None        # new pages to load first, if any
+    load_id: int | None = None        # defaults to 1 + the latest load
+    today: str | None = None
+    accept_late: bool = False
+    n: int = DEFAULT_LENGTH
+    top_k: int = 10
+
+
+def read_candidates(spark: SparkSession, path: str) -> DataFrame:
+    """The candidate seed: CSV with a header and one column ``word``."""
+    return spark.read.schema("word STRING").option("header", True).csv(path)
+
+
+def read_mart(spark: SparkSession, marts_path: str, name: str, ordered: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{marts_path.rstrip('/')}/{name}")
+    if name == "answer_history":
+        df = df.select(*HISTORY_VIEW)
+    if not ordered:
+        return df
+    return df.orderBy(*[F.desc(k[1:]) if k.startswith("-") else F.asc(k)
+                        for k in MART_ORDER[name]])
+
+
+def build_marts(raw: DataFrame, candidates: DataFrame, n: int = DEFAULT_LENGTH,
+                top_k: int = 10) -> dict[str, DataFrame]:
+    staged = stage_answers(raw, n)
+    model = model_from_staged(staged, n)
+    scores = model.word_scores(candidates)
+    return {
+        "staged_answers": staged,
+        "difficulty_by_pattern": difficulty_by_pattern(staged),
+        "letter_frequency": letter_frequency(staged, n),
+        "position_heatmap": position_frequency(staged, n),
+        "answer_history": model.answer_history(),
+        "word_scores": scores,
+        "top_predictions": top_predictions(scores, top_k, n),
+    }
+
+
+def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
+    """One run; returns {'load': counters or None, 'published': bool,
+    'report': the check report DataFrame (on storage)}."""
+    counts = None
+    if cfg.landing:
+        latest = read_table(spark, cfg.table_path).agg(F.max("load_id")).first()[0]
+        load_id = cfg.load_id if cfg.load_id is not None else (latest + 1 if latest is not None else 0)
+        counts = insert_if_absent(spark, cfg.table_path, read_pages(spark, cfg.landing), load_id,
+                                  cfg.today, cfg.accept_late).first().asDict()
+
+    raw = read_table(spark, cfg.table_path).drop("loaded_at", "load_id")
+    marts = build_marts(raw, candidates, cfg.n, cfg.top_k)
+    stage = f"{cfg.marts_path.rstrip('/')}/_runs/{uuid.uuid4().hex}"
+    for name in MARTS:
+        marts[name].write.mode("overwrite").parquet(f"{stage}/{name}")
+    written = {name: spark.read.parquet(f"{stage}/{name}") for name in MARTS}
+    relations = {
+        "raw_answers": raw,
+        "staged_answers": marts["staged_answers"],
+        "letter_frequency": written["letter_frequency"],
+        "position_frequency": written["position_heatmap"],
+        "difficulty_by_pattern": marts["difficulty_by_pattern"],
+        "letter_frequency_mart": written["letter_frequency"],
+        "position_heatmap_mart": written["position_heatmap"],
+        "answer_history": written["answer_history"],
+        "word_scores": written["word_scores"],
+        "top_predictions": written["top_predictions"],
+    }
+    report_path = f"{stage}/_quality_report"
+    quality_report(relations).write.mode("overwrite").parquet(report_path)
+    report = spark.read.parquet(report_path)
+    ok = passes(report)
+    if ok:
+        for name in MARTS:
+            written[name].write.mode("overwrite").parquet(f"{cfg.marts_path.rstrip('/')}/{name}")
+    return {"load": counts, "published": ok, "report": report}
