@@ -5,9 +5,10 @@ per position and letter).  For words over an alphabet that is a few
 hundred rows, but nothing in the data model forbids arbitrary characters,
 so the size is checked before anything is broadcast:
 
-* ``materialise`` writes the small table once to the shared checkpoint
-  directory (reliable: it survives executor loss, and the heavy pass that
-  produced it is not repeated by every consumer) and counts it there;
+* ``materialise`` writes the small table once as Parquet under the shared
+  checkpoint directory (reliable: it survives executor loss, and the heavy
+  pass that produced it is not repeated by every consumer) and counts it
+  there;
 * ``attach`` uses a broadcast hash join when the count is within the
   limit, and a plain join -- shuffle on the key, re-planned by AQE --
   otherwise.
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordstats.session import ensure_checkpoint_dir
+from wordstats.session import scratch_dir
 
 # Largest table we broadcast, in rows.  A frequency row is a short string
 # plus a few numbers (< 100 bytes), so this stays below ~50 MB per copy.
@@ -37,10 +38,20 @@ class Materialised:
         return self.rows <= BROADCAST_ROW_LIMIT
 
 
+def store(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint directory and
+    return the stored copy: lineage is cut, one job computes it (a plain
+    ``checkpoint`` of an uncached plan computes it twice), and readers get
+    column pruning and pushed filters."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def materialise(df: DataFrame) -> Materialised:
-    """Checkpoint ``df`` (eagerly) and count its rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    done = df.checkpoint(eager=True)
+    """Store ``df`` and count its rows (the count reads the stored copy)."""
+    done = store(df, "lookup")
     return Materialised(done, done.count())
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordstats.operators.ingest import inserted_rows, label_batch, label_counts
+from wordstats.operators.lookup import store
 
 FACT_SCHEMA = T.StructType([
     T.StructField("puzzle_number", T.LongType()),
@@ -63,11 +64,11 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, load_id:
     load ``load_id`` and return the counters (one row; inserted, skipped,
     failed), also stored under ``counts_path`` when given.
 
-    The labelled batch is checkpointed first, so the write and the counters
-    read the same labels and the batch is not recomputed.
+    The labelled batch is stored first, so the write and the counters read
+    the same labels and the batch is not recomputed.
     """
     table = read_table(spark, path, before_load=load_id)
-    labelled = label_batch(batch, table, today, accept_late).checkpoint(eager=True)
+    labelled = store(label_batch(batch, table, today, accept_late), "labelled")
     _write(inserted_rows(labelled), path, load_id)
     counts = label_counts(labelled).withColumn("load_id", F.lit(load_id).cast("long"))
     if counts_path:
