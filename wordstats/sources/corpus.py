@@ -38,14 +38,17 @@ def raw_answers(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> Da
 
     ``answer`` is the document's first word token padded with one space on
     each side (null when it has none); ``difficulty`` exists only for
-    labelled documents.  The text is reduced to its token in the scan stage,
-    so the label join shuffles only narrow rows keyed by ``doc_id``.
+    labelled documents.
+
+    The label test is an IN-subquery in the projection: Spark plans it as an
+    existence join (a row cannot fan out, whatever the label table holds),
+    broadcast or shuffled by size, and drops it entirely from plans that
+    never read ``difficulty``.
     """
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", first_word_token(F.col("text"), n).alias("_tok"), "n_chars")
-    labelled = (table(spark, sf_dir, "labels").select("doc_id").distinct()
-                .withColumn("_labelled", F.lit(True)))
-    joined = docs.join(labelled, "doc_id", "left")
+    labels = table(spark, sf_dir, "labels").select("doc_id")
+    joined = table(spark, sf_dir, "documents").select(
+        "doc_id", first_word_token(F.col("text"), n).alias("_tok"), "n_chars",
+        F.col("doc_id").isin(labels).alias("_labelled"))
     date = puzzle_date(F.col("doc_id"))
     diff = (F.lit(DIFFICULTY_BASE)
             + (F.col("n_chars") % F.lit(DIFFICULTY_MOD)).cast("double") / F.lit(DIFFICULTY_STEP))
