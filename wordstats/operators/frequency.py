@@ -1,13 +1,16 @@
 """Letter and letter-by-position frequencies.
 
-Both come from one aggregation: the words are unpivoted to
-``(position, letter)`` with ``posexplode`` (one scan, no union of N scans)
-and counted.  Map-side partial aggregation leaves at most
-``positions x alphabet`` rows per task, so the shuffle carries a few
-hundred rows per task whatever the input size, and a hot letter cannot
-skew it.  The per-position word total is the sum of that position's
-counts (every word yields exactly one row per position), which avoids a
-second pass over the words.
+Everything comes from one aggregation keyed by letter: the words are
+unpivoted with ``posexplode`` (one scan, not a union of N scans) and each
+letter gets its total count plus one conditional count per position.
+Map-side partial aggregation leaves at most one row per distinct letter per
+task, so the shuffle carries a few hundred rows per task whatever the input
+size, and a hot letter cannot skew it.
+
+Every word yields exactly one row per position, so the number of words is
+``sum(total_count) / n`` -- no second pass over the words.  The shares then
+need one window over the grouped rows (one per letter), which is the only
+single-task step and is bounded by the alphabet.
 """
 
 from __future__ import annotations
@@ -15,61 +18,95 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordstats.functions.numeric import pct_of
+from wordstats.functions.numeric import pct_of, round_at
 from wordstats.functions.words import DEFAULT_LENGTH, letter_names
 
 
-def position_counts(words: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
-    """(position int, letter, position_count long) over words with letter_1..n."""
-    return (
-        words.select(F.posexplode(F.array(*[F.col(c) for c in letter_names(n)]))
-                     .alias("_p", "letter"))
-        .groupBy((F.col("_p") + 1).cast("int").alias("position"), "letter")
-        .agg(F.count(F.lit(1)).alias("position_count"))
+def count_names(n: int = DEFAULT_LENGTH) -> list[str]:
+    return [f"count_{p}" for p in range(1, n + 1)]
+
+
+def letter_counts(words: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
+    """letter, total_count, count_1..count_N (occurrences at each position)."""
+    unpivoted = words.select(
+        F.posexplode(F.array(*[F.col(c) for c in letter_names(n)])).alias("_p", "letter"))
+    return unpivoted.groupBy("letter").agg(
+        F.count(F.lit(1)).alias("total_count"),
+        *[F.count(F.when(F.col("_p") == F.lit(p - 1), F.lit(1))).alias(name)
+          for p, name in zip(range(1, n + 1), count_names(n))],
     )
 
 
-def letter_frequency_from_counts(counts: DataFrame) -> DataFrame:
-    """letter, total_count, frequency_pct (share of all letters, %), frequency_rank.
-
-    The two windows have no partition key, so they run in one task -- on the
-    already grouped rows, one per distinct letter.
-    """
-    totals = counts.groupBy("letter").agg(F.sum("position_count").cast("long").alias("total_count"))
-    everything = Window.partitionBy()
-    by_count = Window.orderBy(F.desc("total_count"))
-    # The window total is its own column so it is computed once per row.
-    ranked = totals.select(
-        "letter",
-        "total_count",
-        F.sum("total_count").over(everything).alias("_all"),
-        F.rank().over(by_count).cast("long").alias("frequency_rank"),
+def with_totals(counts: DataFrame) -> DataFrame:
+    """Adds ``_all`` (all letters) and ``frequency_rank`` to the per-letter
+    counts; both windows have no partition key and see one row per letter."""
+    return counts.select(
+        "*",
+        F.sum("total_count").over(Window.partitionBy()).alias("_all"),
+        F.rank().over(Window.orderBy(F.desc("total_count"))).cast("long")
+        .alias("frequency_rank"),
     )
-    return ranked.select(
+
+
+def letter_frequency_from_counts(counts: DataFrame) -> DataFrame:
+    """letter, total_count, frequency_pct (share of all letters, %), frequency_rank."""
+    t = with_totals(counts)
+    return t.select(
         "letter",
-        "total_count",
+        F.col("total_count").cast("long").alias("total_count"),
         pct_of(F.col("total_count"), F.col("_all")).alias("frequency_pct"),
         "frequency_rank",
     )
 
 
-def position_frequency_from_counts(counts: DataFrame) -> DataFrame:
-    """position, letter, position_count, position_pct (share of words, %)."""
-    per_position = Window.partitionBy("position")
-    with_total = counts.select(
-        "position", "letter", "position_count",
-        F.sum("position_count").over(per_position).alias("_words"))
-    return with_total.select(
-        "position",
+def position_frequency_from_counts(counts: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
+    """position, letter, position_count, position_pct (share of words, %):
+    one row per letter seen at a position."""
+    words = F.sum("total_count").over(Window.partitionBy()) / F.lit(n)
+    t = counts.select("letter", *count_names(n), words.alias("_words"))
+    cells = F.array(*[F.struct(F.lit(p).alias("position"), F.col(c).alias("position_count"))
+                      for p, c in zip(range(1, n + 1), count_names(n))])
+    long = (t.select("letter", "_words", F.inline(cells))
+            .filter(F.col("position_count") > F.lit(0)))
+    return long.select(
+        F.col("position").cast("int").alias("position"),
         "letter",
-        "position_count",
+        F.col("position_count").cast("long").alias("position_count"),
         pct_of(F.col("position_count"), F.col("_words")).alias("position_pct"),
     )
 
 
 def letter_frequency(words: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
-    return letter_frequency_from_counts(position_counts(words, n))
+    return letter_frequency_from_counts(letter_counts(words, n))
 
 
 def position_frequency(words: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
-    return position_frequency_from_counts(position_counts(words, n))
+    return position_frequency_from_counts(letter_counts(words, n), n)
+
+
+def letter_table_from_counts(counts: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
+    """letter, frequency_pct, pos1_score..posN_score in one projection:
+    score at p = round(letter share + share of words with the letter at p, 4)."""
+    t = with_totals(counts)
+    words = F.col("_all") / F.lit(n)
+    share = pct_of(F.col("total_count"), F.col("_all"))
+    at = [pct_of(F.col(c), words) for c in count_names(n)]
+    base = t.select("letter", share.alias("frequency_pct"),
+                    *[a.alias(f"_pp{p}") for p, a in zip(range(1, n + 1), at)])
+    # A letter never seen at p has count 0 there, so its share is exactly 0.0.
+    return base.select(
+        "letter", "frequency_pct",
+        *[round_at(F.col("frequency_pct") + F.col(f"_pp{p}"), 4).alias(f"pos{p}_score")
+          for p in range(1, n + 1)],
+    )
+
+
+__all__ = [
+    "count_names",
+    "letter_counts",
+    "letter_frequency",
+    "letter_frequency_from_counts",
+    "letter_table_from_counts",
+    "position_frequency",
+    "position_frequency_from_counts",
+]

@@ -1,10 +1,9 @@
 """The word model: staged answers and the frequency tables every mart shares.
 
-The per-(position, letter) counts are the one aggregate that all marts
-read (letter table, position table, score table, history).  They are
-computed in one pass over the staged answers and materialised once; their
-exact row count then decides whether the lookups broadcast
-(``wordstats.operators.lookup``).
+The per-letter table (overall share plus the score at every position) is
+what the lookups of the history and the scores read.  It is computed in one
+pass over the staged answers and materialised once; its exact row count
+then decides whether the lookups broadcast (``wordstats.operators.lookup``).
 """
 
 from __future__ import annotations
@@ -13,14 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from wordstats.functions.words import DEFAULT_LENGTH
-from wordstats.operators.frequency import (
-    letter_frequency_from_counts,
-    position_counts,
-    position_frequency_from_counts,
-)
+from wordstats.operators.frequency import letter_counts, letter_table_from_counts
 from wordstats.operators.history import answer_history
 from wordstats.operators.lookup import Materialised, materialise
-from wordstats.operators.scoring import score_table, top_predictions, word_scores
+from wordstats.operators.scoring import top_predictions, word_scores
 from wordstats.operators.staging import stage_answers
 
 
@@ -48,9 +43,8 @@ class WordModel:
 
 
 def letter_table(staged: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
-    counts = position_counts(staged, n)
-    return score_table(letter_frequency_from_counts(counts),
-                       position_frequency_from_counts(counts), n)
+    """One aggregation over the answers, one window over its letter rows."""
+    return letter_table_from_counts(letter_counts(staged, n), n)
 
 
 def model_from_staged(staged: DataFrame, n: int = DEFAULT_LENGTH) -> WordModel:
