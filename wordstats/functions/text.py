@@ -44,5 +44,4 @@ def word_tokens(text: Column, n: int = DEFAULT_LENGTH) -> Column:
 
 def first_word_token(text: Column, n: int = DEFAULT_LENGTH) -> Column:
     """The first word token of ``text`` or null (the search stops at it)."""
-    found = F.regexp_extract(text, word_token_in_text(n), 0)
-    return F.when(found != F.lit(""), found)
+    return F.nullif(F.regexp_extract(text, word_token_in_text(n), 0), F.lit(""))

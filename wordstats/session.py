@@ -29,10 +29,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
+    local = (master or "local").startswith("local")
+    if shuffle_partitions or local:
+        # Local runs: one partition per core.  On a cluster the deployment's
+        # setting stays (size it so a partition is ~100-200 MB at the target
+        # scale); AQE coalesces what turns out small.
+        cores = os.cpu_count() or 8
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

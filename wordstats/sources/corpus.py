@@ -44,11 +44,16 @@ def raw_answers(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> Da
     existence join (a row cannot fan out, whatever the label table holds),
     broadcast or shuffled by size, and drops it entirely from plans that
     never read ``difficulty``.
+
+    The token comes out of a one-element ``explode``: as a generated column
+    it is computed once, and filters on the answer (staging drops rows
+    without one) stay above it instead of being pushed into the scan, where
+    they would run the regular expression a second time.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id")
     joined = table(spark, sf_dir, "documents").select(
-        "doc_id", first_word_token(F.col("text"), n).alias("_tok"), "n_chars",
-        F.col("doc_id").isin(labels).alias("_labelled"))
+        "doc_id", F.explode(F.array(first_word_token(F.col("text"), n))).alias("_tok"),
+        "n_chars", F.col("doc_id").isin(labels).alias("_labelled"))
     date = puzzle_date(F.col("doc_id"))
     diff = (F.lit(DIFFICULTY_BASE)
             + (F.col("n_chars") % F.lit(DIFFICULTY_MOD)).cast("double") / F.lit(DIFFICULTY_STEP))
