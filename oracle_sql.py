@@ -412,3 +412,18 @@ ORACLE.update({
     "letter_frequency_mart": _with(LETTER_FREQ, "SELECT * FROM letter_freq"),
     "position_heatmap_mart": _with(LETTER_FREQ, "SELECT * FROM position_freq"),
 })
+
+ORACLE["corpus_letter_frequency_by_lang"] = _with(CORPUS + r""",
+lang_letters AS (
+    SELECT c.lang, p.letter
+    FROM (SELECT lang, upper(token) AS w FROM corpus_tokens) c,
+         LATERAL (VALUES (substr(w, 1, 1)), (substr(w, 2, 1)), (substr(w, 3, 1)),
+                         (substr(w, 4, 1)), (substr(w, 5, 1))) AS p(letter)
+),
+lang_counts AS (
+    SELECT lang, letter, count(*) AS total_count FROM lang_letters GROUP BY lang, letter
+)""", """
+SELECT lang, letter, total_count,
+       round(total_count * 100.0 / sum(total_count) OVER (PARTITION BY lang), 4) AS frequency_pct,
+       rank() OVER (PARTITION BY lang ORDER BY total_count DESC) AS frequency_rank
+FROM lang_counts""")

@@ -84,6 +84,25 @@ def position_frequency(words: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
     return position_frequency_from_counts(letter_counts(words, n), n)
 
 
+def letter_frequency_by(words: DataFrame, group: str, n: int = DEFAULT_LENGTH) -> DataFrame:
+    """letter_frequency within each value of ``group`` (e.g. a language):
+    group, letter, total_count, frequency_pct, frequency_rank.  The windows
+    are partitioned by the group and see one row per (group, letter)."""
+    unpivoted = words.select(
+        group, F.explode(F.array(*[F.col(c) for c in letter_names(n)])).alias("letter"))
+    counts = unpivoted.groupBy(group, "letter").agg(F.count(F.lit(1)).alias("total_count"))
+    per_group = Window.partitionBy(group)
+    t = counts.select(
+        "*",
+        F.sum("total_count").over(per_group).alias("_all"),
+        F.rank().over(per_group.orderBy(F.desc("total_count"))).cast("long")
+        .alias("frequency_rank"),
+    )
+    return t.select(group, "letter", "total_count",
+                    pct_of(F.col("total_count"), F.col("_all")).alias("frequency_pct"),
+                    "frequency_rank")
+
+
 def letter_table_from_counts(counts: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
     """letter, frequency_pct, pos1_score..posN_score in one projection:
     score at p = round(letter share + share of words with the letter at p, 4)."""
@@ -105,6 +124,7 @@ __all__ = [
     "count_names",
     "letter_counts",
     "letter_frequency",
+    "letter_frequency_by",
     "letter_frequency_from_counts",
     "letter_table_from_counts",
     "position_frequency",

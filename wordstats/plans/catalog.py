@@ -11,10 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordstats.functions.text import word_tokens
 from wordstats.functions.words import letter_cols
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
-from wordstats.operators.frequency import letter_frequency, position_frequency
+from wordstats.operators.frequency import (
+    letter_frequency,
+    letter_frequency_by,
+    position_frequency,
+)
 from wordstats.operators.ingest import TABLE_COLUMNS, label_batch, label_counts, load_result
 from wordstats.operators.quality import quality_report
 from wordstats.operators.scoring import top_predictions
@@ -237,6 +242,14 @@ def q_corpus_position_frequency(spark, sf_dir):
     return position_frequency(_corpus_letters(spark, sf_dir))
 
 
+def q_corpus_letter_frequency_by_lang(spark, sf_dir):
+    """Letter shares and ranks within each language of the corpus."""
+    words = (table(spark, sf_dir, "documents")
+             .select("lang", F.explode(word_tokens(F.col("text"))).alias("token"))
+             .select("lang", F.upper("token").alias("answer")))
+    return letter_frequency_by(words.select("lang", *letter_cols(F.col("answer"))), "lang")
+
+
 def q_corpus_tokens(spark, sf_dir):
     return corpus_tokens(spark, sf_dir)
 
@@ -288,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "corpus_tokens": q_corpus_tokens,
     "corpus_letter_frequency": q_corpus_letter_frequency,
     "corpus_position_frequency": q_corpus_position_frequency,
+    "corpus_letter_frequency_by_lang": q_corpus_letter_frequency_by_lang,
     "letter_frequency_mart": q_letter_frequency_mart,
     "position_heatmap_mart": q_position_heatmap_mart,
 }
