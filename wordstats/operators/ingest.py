@@ -51,16 +51,16 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
         strip_upper(F.col("answer")).alias("_answer"),
         F.col("date").try_cast("date").alias("_date"),
     )
-    # Exactly one row: safe to broadcast.
-    rows = rows.crossJoin(F.broadcast(high_water_mark(table)))
     d = F.col("_date")
     keep = F.lit(True)
     if not accept_late:
-        keep = F.col("_hwm").isNull() | (d > F.col("_hwm"))
+        # A scalar subquery: the mark is computed once, nothing is joined.
+        hwm = high_water_mark(table).scalar()
+        keep = hwm.isNull() | (d > hwm)
     if today is not None:
         limit = F.lit(today).cast("date") if isinstance(today, str) else today
         keep = keep & (d <= limit)
-    fetched = rows.filter(d.isNull() | keep).drop("_hwm")
+    fetched = rows.filter(d.isNull() | keep)
 
     valid = F.col("_id").isNotNull() & F.col("_answer").isNotNull() & d.isNotNull()
     arrival = F.struct(F.col("page"), F.col("pos"))

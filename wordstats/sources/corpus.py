@@ -131,12 +131,13 @@ def load_fixture(spark: SparkSession, sf_dir: str, full: bool = False,
     batch is one scan of the corpus, not one per kind of copy.
     """
     raw = raw_answers(spark, sf_dir, n)
-    # The id range comes from the id column alone (no text is read for it).
+    # The id range comes from the id column alone (no text is read for it),
+    # as scalar subqueries computed once.
     ids = table(spark, sf_dir, "documents").agg(F.max("doc_id").cast("long").alias("_max"))
-    cut = (F.lit(-1).cast("long") if full else
-           F.floor(F.col("_max") * F.lit(LOAD_CUT_NUM) / F.lit(LOAD_CUT_DEN)).cast("long"))
-    bounded = raw.crossJoin(F.broadcast(ids.select(
-        cut.alias("_cut"), puzzle_date(F.col("_max") - F.lit(FUTURE_DAYS)).alias("_today"))))
+    cut = (F.lit(-1).cast("long") if full else ids.select(
+        F.floor(F.col("_max") * F.lit(LOAD_CUT_NUM) / F.lit(LOAD_CUT_DEN)).cast("long")).scalar())
+    today = ids.select(puzzle_date(F.col("_max") - F.lit(FUTURE_DAYS))).scalar()
+    bounded = raw.select("*", cut.alias("_cut"), today.alias("_today"))
     pid = F.col("puzzle_number")
     stored = pid <= F.col("_cut")
     later = ~stored

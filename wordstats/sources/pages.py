@@ -52,14 +52,14 @@ def land_pages(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write batch rows (page, pos, game, answer, date, day_name, difficulty)
     as page documents.  A page is one group of at most a page's worth of
     rows, so collecting a page's results into one array is bounded."""
-    stats = rows.agg(F.max("page").alias("_last"), F.count(F.lit(1)).alias("_total"))
+    last = rows.agg(F.max("page")).scalar()
+    total = rows.agg(F.count(F.lit(1))).scalar()
     result = F.struct(*[F.col(c) for c in RESULT.fieldNames()])
     pages = (rows.groupBy("page")
              .agg(F.sort_array(F.collect_list(F.struct(F.col("pos"), result.alias("r"))))
                   .alias("_items"))
-             .crossJoin(F.broadcast(stats))
              .select("page",
                      F.transform("_items", lambda x: x["r"]).alias("results"),
-                     (F.col("page") < F.col("_last")).alias("has_more"),
-                     F.col("_total").alias("total")))
+                     (F.col("page") < last).alias("has_more"),
+                     total.alias("total")))
     pages.write.mode(mode).json(path)
