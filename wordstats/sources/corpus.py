@@ -119,7 +119,8 @@ NULL_ID_EVERY = 13        # a copy without an id
 
 
 def load_fixture(spark: SparkSession, sf_dir: str, full: bool = False,
-                 n: int = DEFAULT_LENGTH) -> tuple[DataFrame, DataFrame]:
+                 n: int = DEFAULT_LENGTH,
+                 raw: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(table, batch) for the incremental load, derived from ``raw_answers``.
 
     ``table``: rows with id <= cut and an answer, as stored (upper, stripped).
@@ -128,9 +129,11 @@ def load_fixture(spark: SparkSession, sf_dir: str, full: bool = False,
     With ``full`` the table is empty and every row is in the batch.
 
     Each raw row yields all of its batch copies in one ``explode``, so the
-    batch is one scan of the corpus, not one per kind of copy.
+    batch is one scan of the corpus, not one per kind of copy.  ``raw`` may
+    be a stored copy of ``raw_answers`` when the caller reads it repeatedly.
     """
-    raw = raw_answers(spark, sf_dir, n)
+    if raw is None:
+        raw = raw_answers(spark, sf_dir, n)
     # The id range comes from the id column alone (no text is read for it),
     # as scalar subqueries computed once.
     ids = table(spark, sf_dir, "documents").agg(F.max("doc_id").cast("long").alias("_max"))
