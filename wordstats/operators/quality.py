@@ -7,12 +7,11 @@ A check passes when it finds nothing:
 * ``no_duplicate_answers`` -- failures = (puzzle_number, answer) pairs
   stored more than once.
 
-Per relation, all not-null checks are one aggregation (no shuffle beyond a
-row per task), and all unique checks share one shuffle: each row emits one
-``(column, value)`` pair per checked column, pairs are counted with
-map-side partial aggregation (a hot value is pre-aggregated before it moves),
-and the duplicates are counted per column.  The report has one row per
-check: relation, check_name, column_name, failures.
+Every relation emits one ``(column, value)`` pair per checked column and
+row; all pairs of all relations are counted in one aggregation, and a small
+second aggregation per column yields null counts and duplicated values.
+The report has one row per declared check: relation, check_name,
+column_name, failures (0 for a relation with no rows).
 """
 
 from __future__ import annotations
@@ -59,59 +58,63 @@ CHECKS: tuple[RelationChecks, ...] = (
 )
 
 
-def _rows(relation: str, check: str, counts: dict[str, object]) -> list:
-    return [F.struct(F.lit(relation).alias("relation"), F.lit(check).alias("check_name"),
-                     F.lit(c).alias("column_name"), v.cast("long").alias("failures"))
-            for c, v in counts.items()]
+DUPLICATE_PAIR = "puzzle_number,answer"
 
 
-def _one_row_to_report(df: DataFrame, rows: list) -> DataFrame:
-    return df.select(F.inline(F.array(*rows)))
+def _pairs(df: DataFrame, spec: RelationChecks) -> DataFrame:
+    """(_rel, _c, _v): one pair per checked column per row.  Unique-checked
+    columns carry their value; columns that are only null-checked carry a
+    two-valued marker (null or ''), so they collapse to two groups map-side
+    instead of shipping their values."""
+    items = []
+    for c in dict.fromkeys([*spec.not_null, *spec.unique]):
+        v = (F.col(c).cast("string") if c in spec.unique
+             else F.when(F.col(c).isNotNull(), F.lit("")))
+        items.append(F.struct(F.lit(c).alias("_c"), v.alias("_v")))
+    if spec.no_duplicate_answers:
+        pair = F.to_json(F.struct(F.col("puzzle_number"), F.col("answer")))
+        items.append(F.struct(F.lit(DUPLICATE_PAIR).alias("_c"), pair.alias("_v")))
+    return df.select(F.lit(spec.relation).alias("_rel"), F.inline(F.array(*items)))
 
 
-def not_null_report(df: DataFrame, relation: str, cols: tuple[str, ...]) -> DataFrame:
-    agg = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(f"_nn{i}")
-                   for i, c in enumerate(cols)])
-    counts = {c: F.coalesce(F.col(f"_nn{i}"), F.lit(0)) for i, c in enumerate(cols)}
-    return _one_row_to_report(agg, _rows(relation, "not_null", counts))
-
-
-def unique_report(df: DataFrame, relation: str, cols: tuple[str, ...]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("_v"))
-                      for i, c in enumerate(cols)])
-    keyed = (df.select(F.explode(pairs).alias("_kv")).select("_kv._c", "_kv._v")
-             .filter(F.col("_v").isNotNull()))
-    seen = keyed.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    dup = seen.filter(F.col("_n") > F.lit(1))
-    per_col = dup.agg(*[F.count(F.when(F.col("_c") == F.lit(i), F.lit(1))).alias(f"_u{i}")
-                        for i in range(len(cols))])
-    counts = {c: F.col(f"_u{i}") for i, c in enumerate(cols)}
-    return _one_row_to_report(per_col, _rows(relation, "unique", counts))
-
-
-def duplicate_answers_report(df: DataFrame, relation: str) -> DataFrame:
-    dup = (df.groupBy("puzzle_number", "answer").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > F.lit(1)))
-    agg = dup.agg(F.count(F.lit(1)).alias("_d"))
-    return _one_row_to_report(
-        agg, _rows(relation, "no_duplicate_answers", {"puzzle_number,answer": F.col("_d")}))
+def _spec_rows(spark, checks) -> DataFrame:
+    rows = []
+    for spec in checks:
+        rows += [(spec.relation, "not_null", c) for c in spec.not_null]
+        rows += [(spec.relation, "unique", c) for c in spec.unique]
+        if spec.no_duplicate_answers:
+            rows.append((spec.relation, "no_duplicate_answers", DUPLICATE_PAIR))
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(r).alias("relation"), F.lit(k).alias("check_name"),
+                 F.lit(c).alias("column_name")) for r, k, c in rows])))
 
 
 def quality_report(relations: dict[str, DataFrame],
                    checks: tuple[RelationChecks, ...] = CHECKS) -> DataFrame:
-    """Run every check whose relation is given; one row per check."""
-    parts = []
-    for spec in checks:
-        df = relations.get(spec.relation)
-        if df is None:
-            continue
-        if spec.not_null:
-            parts.append(not_null_report(df, spec.relation, spec.not_null))
-        if spec.unique:
-            parts.append(unique_report(df, spec.relation, spec.unique))
-        if spec.no_duplicate_answers:
-            parts.append(duplicate_answers_report(df, spec.relation))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Run every check whose relation is given; one row per check.
+
+    All relations feed one aggregation keyed by (relation, column, value)
+    -- a single shuffle for every check, with map-side partial aggregation
+    so a hot value or a hot column collapses before it moves -- and one
+    small aggregation per checked column turns the counts into failures.
+    """
+    present = tuple(c for c in checks if c.relation in relations)
+    pairs = reduce(lambda a, b: a.unionByName(b),
+                   [_pairs(relations[c.relation], c) for c in present])
+    counted = pairs.groupBy("_rel", "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    per_col = counted.groupBy("_rel", "_c").agg(
+        F.sum(F.when(F.col("_v").isNull(), F.col("_n"))).alias("_nulls"),
+        F.count(F.when(F.col("_v").isNotNull() & (F.col("_n") > F.lit(1)), F.lit(1)))
+        .alias("_dups"))
+    spark = next(iter(relations.values())).sparkSession
+    spec = _spec_rows(spark, present)
+    joined = spec.join(F.broadcast(per_col),
+                       (F.col("relation") == F.col("_rel")) & (F.col("column_name") == F.col("_c")),
+                       "left")
+    failures = F.when(F.col("check_name") == F.lit("not_null"), F.col("_nulls")) \
+        .otherwise(F.col("_dups"))
+    return joined.select("relation", "check_name", "column_name",
+                         F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))
 
 
 def passes(report: DataFrame) -> bool:

@@ -26,8 +26,9 @@ def score_names(n: int = DEFAULT_LENGTH) -> list[str]:
 
 def score_table(letter_freq: DataFrame, position_freq: DataFrame,
                 n: int = DEFAULT_LENGTH) -> DataFrame:
-    """letter, frequency_pct, pos1_score..posN_score: one row per letter with
-    its overall share and its score at each position."""
+    """letter, frequency_pct, pos1_score..posN_score, scores (the same as an
+    array): one row per letter with its overall share and its score at each
+    position."""
     pf_wide = position_freq.groupBy("letter").agg(*[
         F.max(F.when(F.col("position") == F.lit(p), F.col("position_pct"))).alias(f"_pf{p}")
         for p in range(1, n + 1)
@@ -35,11 +36,13 @@ def score_table(letter_freq: DataFrame, position_freq: DataFrame,
     lf = letter_freq.select("letter", "frequency_pct")
     both = lf.join(pf_wide, "letter", "full")
     zero = F.lit(0.0)
+    scores = [round_at(F.coalesce(F.col("frequency_pct"), zero)
+                       + F.coalesce(F.col(f"_pf{p}"), zero), 4) for p in range(1, n + 1)]
     return both.select(
         "letter",
         F.coalesce(F.col("frequency_pct"), zero).alias("frequency_pct"),
-        *[round_at(F.coalesce(F.col("frequency_pct"), zero) + F.coalesce(F.col(f"_pf{p}"), zero), 4)
-          .alias(name) for p, name in zip(range(1, n + 1), score_names(n))],
+        *[sc.alias(name) for sc, name in zip(scores, score_names(n))],
+        F.array(*scores).alias("scores"),
     )
 
 
@@ -73,8 +76,13 @@ def word_scores(candidates: DataFrame, used_answers: DataFrame, table: DataFrame
     word = F.upper(F.col("word"))
     cands = candidates.select(word.alias("word")).select("word", *letter_cols(F.col("word"), n))
     names = score_names(n)
-    cands = lookup_letters(cands, table, letter_names(n), names,
-                           [f"_{name}" for name in names], broadcast)
+    # Every lookup reads the same (letter, scores) projection of the table,
+    # so one broadcast serves all N joins.
+    cands = lookup_letters(cands, table, letter_names(n), ["scores"] * n,
+                           [f"_s{p}" for p in range(1, n + 1)], broadcast)
+    cands = cands.select(*[c for c in cands.columns if not c.startswith("_s")],
+                         *[F.element_at(F.col(f"_s{p}"), p).alias(f"_{name}")
+                           for p, name in zip(range(1, n + 1), names)])
 
     # Membership: left join to the distinct used answers.  No hint: the
     # used set grows with the answer table, so AQE picks broadcast or
