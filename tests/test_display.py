@@ -47,3 +47,12 @@ def test_bar_text(spark):
                                "letter string, total_count long, frequency_pct double, frequency_rank long")
     row = V.letter_bar_text(R.top_letters(lf)).first()
     assert row["bar_text"] == "█" * 24 + " 12.3%"
+
+
+def test_heatmap_display_names(spark, staged):
+    from wordstats.operators.frequency import position_frequency
+
+    hm = V.heatmap_display(R.position_heatmap(position_frequency(staged)))
+    assert hm.columns == ["letter", *[f"Position {p}" for p in range(1, 6)]]
+    row = {r["letter"]: r for r in hm.collect()}["C"]
+    assert (row["Position 1"], row["Position 2"]) == (33.3333, 0.0)   # CIGAR: 500 of 1,500

@@ -9,17 +9,16 @@ so the size is checked before anything is broadcast:
   checkpoint directory (reliable: it survives executor loss, and the heavy
   pass that produced it is not repeated by every consumer) and counts it
   there;
-* ``attach`` uses a broadcast hash join when the count is within the
-  limit, and a plain join -- shuffle on the key, re-planned by AQE --
-  otherwise.
+* ``Materialised.broadcastable`` tells the lookups (``scoring.lookup_letters``)
+  to hint a broadcast hash join when the count is within the limit; beyond
+  it they join without a hint -- shuffle on the key, re-planned by AQE.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from wordstats.session import scratch_dir
 
@@ -53,13 +52,3 @@ def materialise(df: DataFrame) -> Materialised:
     """Store ``df`` and count its rows (the count reads the stored copy)."""
     done = store(df, "lookup")
     return Materialised(done, done.count())
-
-
-def side(table: Materialised) -> DataFrame:
-    return F.broadcast(table.df) if table.broadcastable else table.df
-
-
-def attach(df: DataFrame, table: Materialised, on: Column, how: str = "left") -> DataFrame:
-    """Join ``table`` to ``df`` on the condition ``on`` (``table`` must be
-    referenced through ``table.df`` in it)."""
-    return df.join(side(table), on, how)
