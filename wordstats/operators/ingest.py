@@ -18,7 +18,8 @@ Instead of a window over each id (one group = one task, however hot the
 id), the first valid arrival per id is an aggregate with map-side partial
 aggregation, joined back on the id together with the table's ids.  Both
 joins are keyed by the id, so they share one shuffle of the batch, and
-AQE splits a skewed id partition.
+AQE splits a skewed id partition.  Rows without an id are labelled
+without any join, so they cannot pile up on the null key.
 """
 
 from __future__ import annotations
@@ -64,18 +65,23 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
 
     valid = F.col("_id").isNotNull() & F.col("_answer").isNotNull() & d.isNotNull()
     arrival = F.struct(F.col("page"), F.col("pos"))
-    first_valid = (fetched.filter(valid)
+    out = [*batch.columns, "_id", "_answer", "_date"]
+    # Rows without an id can match nothing: they fail without joining, so
+    # however many there are they never gather on one join key.
+    no_id = fetched.filter(F.col("_id").isNull()).select(*out, F.lit("failed").alias("label"))
+    with_id = fetched.filter(F.col("_id").isNotNull())
+    first_valid = (with_id.filter(valid)
                    .groupBy(F.col("_id").alias("_fid"))
                    .agg(F.min(arrival).alias("_first")))
     known = (table.select(F.col("puzzle_number").cast("long").alias("_kid")).distinct()
              .withColumn("_known", F.lit(True)))
-    joined = (fetched.join(first_valid, F.col("_id") == F.col("_fid"), "left")
+    joined = (with_id.join(first_valid, F.col("_id") == F.col("_fid"), "left")
               .join(known, F.col("_id") == F.col("_kid"), "left"))
     label = (F.when(F.coalesce(F.col("_known"), F.lit(False)), F.lit("skipped"))
              .when(F.col("_first").isNotNull() & (arrival > F.col("_first")), F.lit("skipped"))
              .when(~valid, F.lit("failed"))
              .otherwise(F.lit("inserted")))
-    return joined.select(*batch.columns, "_id", "_answer", "_date", label.alias("label"))
+    return joined.select(*out, label.alias("label")).unionByName(no_id)
 
 
 def label_counts(labelled: DataFrame) -> DataFrame:
