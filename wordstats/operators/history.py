@@ -24,10 +24,9 @@ def answer_history(staged: DataFrame, letter_freq: DataFrame, n: int = DEFAULT_L
     """Staged answers plus each letter's overall frequency (0 when unseen)
     and their rounded sum (a repeated letter counts each time)."""
     names = letter_names(n)
-    outs = [f"_{c}_freq_pct" for c in names]
-    out = lookup_letters(staged, letter_freq, names, ["frequency_pct"] * n, outs, broadcast)
-    pcts = [F.coalesce(F.col(o), F.lit(0.0)).alias(f"{c}_freq_pct") for o, c in zip(outs, names)]
-    out = out.select(*staged.columns, *pcts)
-    total = reduce(lambda a, b: a + b, [F.col(f"{c}_freq_pct") for c in letter_names(n)])
-    return out.select(*history_columns(n)[:-1],
-                      round_at(total, 4).alias("word_commonality_score"))
+    out, found = lookup_letters(staged, letter_freq, names, ["frequency_pct"] * n, broadcast)
+    pcts = [F.coalesce(f, F.lit(0.0)) for f in found]
+    total = round_at(reduce(lambda a, b: a + b, pcts), 4)
+    base = [F.col(c) for c in history_columns(n)[:-(n + 1)]]
+    return out.select(*base, *[p.alias(f"{c}_freq_pct") for p, c in zip(pcts, names)],
+                      total.alias("word_commonality_score"))

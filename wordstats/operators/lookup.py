@@ -45,7 +45,8 @@ def store(df: DataFrame, name: str = "stored") -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    # Read back with the schema just written: no footer-inference job.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialise(df: DataFrame) -> Materialised:

@@ -47,23 +47,25 @@ def score_table(letter_freq: DataFrame, position_freq: DataFrame,
 
 
 def lookup_letters(df: DataFrame, table: DataFrame, keys: list[str], values: list[str],
-                   outs: list[str], broadcast: bool) -> DataFrame:
-    """For each i, left-join ``table`` (keyed by ``letter``) on column
-    ``keys[i]`` and keep its ``values[i]`` as ``outs[i]``.
+                   broadcast: bool) -> tuple[DataFrame, list]:
+    """Left-join ``table`` (keyed by ``letter``) once per key column of
+    ``df``; returns the joined frame and, per key, the column holding
+    ``values[i]`` of the matching row (null on a miss).
 
     Every join reads the same table through the same projection, so with a
-    broadcast the table is shipped once and the other joins reuse it.
+    broadcast the table is shipped once and the other joins reuse it.  The
+    caller projects once at the end (each intermediate projection would be
+    one more plan analysis on the driver).
     """
     t = table.select("letter", *sorted(set(values)))
     if broadcast:
         t = F.broadcast(t)
-    keep = list(df.columns)
-    for i, (key, value, out) in enumerate(zip(keys, values, outs)):
+    found = []
+    for i, (key, value) in enumerate(zip(keys, values)):
         a = f"_t{i}"
-        df = (df.join(t.alias(a), F.col(key) == F.col(f"{a}.letter"), "left")
-              .select(*[F.col(c) for c in keep], F.col(f"{a}.{value}").alias(out)))
-        keep.append(out)
-    return df
+        df = df.join(t.alias(a), F.col(key) == F.col(f"{a}.letter"), "left")
+        found.append(F.col(f"{a}.{value}"))
+    return df, found
 
 
 def word_scores(candidates: DataFrame, used_answers: DataFrame, table: DataFrame,
@@ -78,11 +80,7 @@ def word_scores(candidates: DataFrame, used_answers: DataFrame, table: DataFrame
     names = score_names(n)
     # Every lookup reads the same (letter, scores) projection of the table,
     # so one broadcast serves all N joins.
-    cands = lookup_letters(cands, table, letter_names(n), ["scores"] * n,
-                           [f"_s{p}" for p in range(1, n + 1)], broadcast)
-    cands = cands.select(*[c for c in cands.columns if not c.startswith("_s")],
-                         *[F.element_at(F.col(f"_s{p}"), p).alias(f"_{name}")
-                           for p, name in zip(range(1, n + 1), names)])
+    cands, found = lookup_letters(cands, table, letter_names(n), ["scores"] * n, broadcast)
 
     # Membership: left join to the distinct used answers.  No hint: the
     # used set grows with the answer table, so AQE picks broadcast or
@@ -92,13 +90,13 @@ def word_scores(candidates: DataFrame, used_answers: DataFrame, table: DataFrame
     cands = cands.join(used, F.col("word") == F.col("_used"), "left")
 
     zero = F.lit(0.0)
-    scores = [F.coalesce(F.col(f"_{name}"), zero) for name in names]
+    scores = [F.coalesce(F.element_at(f, p), zero) for p, f in zip(range(1, n + 1), found)]
     total = round_at(reduce(lambda a, b: a + b, scores), 4)
     return cands.select(
         "word",
         *letter_names(n),
         total.alias("total_score"),
-        *[s.alias(name) for s, name in zip(scores, names)],
+        *[sc.alias(name) for sc, name in zip(scores, names)],
         F.coalesce(F.col("_is_used"), F.lit(False)).alias("already_used"),
     )
 

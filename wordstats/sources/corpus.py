@@ -24,8 +24,20 @@ DIFFICULTY_STEP = 10.0
 TEXT_TABLES = ("documents", "conversations", "benchmark")
 
 
+# Declared schemas of the corpus tables read here (no inference job per read).
+SCHEMAS = {
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def puzzle_date(day_offset):
