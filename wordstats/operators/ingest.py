@@ -59,7 +59,11 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
         hwm = high_water_mark(table).scalar()
         keep = hwm.isNull() | (d > hwm)
     if today is not None:
-        limit = F.lit(today).cast("date") if isinstance(today, str) else today
+        if isinstance(today, str):
+            # "current": the date at which each batch runs (long-running streams)
+            limit = F.current_date() if today == "current" else F.lit(today).cast("date")
+        else:
+            limit = today
         keep = keep & (d <= limit)
     fetched = rows.filter(d.isNull() | keep)
 
