@@ -28,3 +28,24 @@ def test_end_to_end_run(spark):
     assert read_table(spark, cfg.table_path).count() == 161
     # an empty load writes no partition, so the next load may reuse its id
     assert read_table(spark, cfg.table_path).select(F.max("load_id")).first()[0] == 0
+
+
+def test_failed_checks_do_not_publish(spark):
+    from wordstats.plans.pipeline import published_run
+
+    base = scratch_dir(spark, "run-gate")
+    _, batch = load_fixture(spark, SF_SMALL, full=True)
+    land_pages(batch.drop("_today"), f"{base}/landing")
+    cands = candidate_words(spark, SF_SMALL)
+    cfg = RunConfig(table_path=f"{base}/table", marts_path=f"{base}/marts",
+                    landing=f"{base}/landing")
+    good = run(spark, cfg, cands)
+    assert good["published"] and published_run(spark, cfg.marts_path) == good["run"]
+    # a candidate list with a repeated word breaks the unique check on word_scores
+    bad = run(spark, RunConfig(table_path=cfg.table_path, marts_path=cfg.marts_path),
+              cands.unionByName(cands.limit(1)))
+    assert not bad["published"]
+    failing = {(r["relation"], r["check_name"], r["column_name"])
+               for r in bad["report"].filter("failures > 0").collect()}
+    assert ("word_scores", "unique", "word") in failing
+    assert published_run(spark, cfg.marts_path) == good["run"]

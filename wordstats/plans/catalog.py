@@ -27,6 +27,7 @@ from wordstats.operators.staging import stage_answers
 from wordstats.operators.lookup import store
 from wordstats.plans.model import model_from_staged
 from wordstats.plans.load import read_table, write_rows
+from wordstats.plans.pipeline import publish
 from wordstats.plans.pipeline import read_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
@@ -263,7 +264,9 @@ def q_corpus_tokens(spark, sf_dir):
 def _mart_roundtrip(spark, name, df):
     """Store a mart the way the run publishes it and read it back."""
     path = scratch_dir(spark, "marts")
-    df.write.mode("overwrite").parquet(f"{path}/{name}")
+    run_folder = f"{path}/_runs/query"
+    df.write.mode("overwrite").parquet(f"{run_folder}/{name}")
+    publish(spark, path, run_folder)
     return read_mart(spark, path, name)
 
 

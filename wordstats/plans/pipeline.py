@@ -1,11 +1,12 @@
 """The end-to-end run: load -> stage -> marts -> checks -> publish.
 
-Marts are first written under a run-specific location, the declared checks
-run on what was written, and only when every check passes are they copied
-to their published location (``<marts>/<name>``, replaced whole).  A failed
-run leaves the published marts untouched.  Everything runs on the cluster;
-the driver only sees the check report (one row per check) and the load
-counters (one row).
+Marts are written under a run-specific folder, the declared checks run on
+what was written, and only when every check passes does the run become the
+published one: a one-row pointer (``<marts>/_current``) is replaced with
+the run's folder name.  Publishing copies nothing, however large the marts;
+a failed run leaves the pointer, and so the published marts, untouched.
+Everything runs on the cluster; the driver only sees the check report (one
+row per check), the load counters (one row) and the pointer.
 """
 
 from __future__ import annotations
@@ -60,8 +61,23 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("word STRING").option("header", True).csv(path)
 
 
+POINTER = "_current"
+
+
+def published_run(spark: SparkSession, marts_path: str) -> str:
+    """The folder of the published run (raises when nothing is published)."""
+    return spark.read.schema("run STRING").json(
+        f"{marts_path.rstrip('/')}/{POINTER}").first()["run"]
+
+
+def publish(spark: SparkSession, marts_path: str, run_folder: str) -> None:
+    (spark.range(1).select(F.lit(run_folder).alias("run"))
+     .coalesce(1).write.mode("overwrite").json(f"{marts_path.rstrip('/')}/{POINTER}"))
+
+
 def read_mart(spark: SparkSession, marts_path: str, name: str, ordered: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{marts_path.rstrip('/')}/{name}")
+    run_folder = published_run(spark, marts_path)
+    df = spark.read.parquet(f"{run_folder}/{name}")
     if name == "answer_history":
         df = df.select(*HISTORY_VIEW)
     if not ordered:
@@ -119,6 +135,5 @@ def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
     report = spark.read.parquet(report_path)
     ok = passes(report)
     if ok:
-        for name in MARTS:
-            written[name].write.mode("overwrite").parquet(f"{cfg.marts_path.rstrip('/')}/{name}")
-    return {"load": counts, "published": ok, "report": report}
+        publish(spark, cfg.marts_path, stage)
+    return {"load": counts, "published": ok, "report": report, "run": stage}
