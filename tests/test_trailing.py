@@ -22,3 +22,14 @@ def test_trailing_rows_not_values(spark):
     assert last["rolling_avg"] == sum(range(1, 31)) / 30
     first = out.orderBy("k").first()
     assert first["rolling_avg"] == 0.0
+
+
+def test_blocked_trend_on_corpus(spark):
+    from conftest import SF_MID
+    from wordstats.operators import reporting as R
+    from wordstats.plans.catalog import stored_staged
+
+    staged = stored_staged(spark, SF_MID)
+    simple = R.difficulty_trend(staged).orderBy("puzzle_number").collect()
+    blocked = R.difficulty_trend(staged, block_rows=40).orderBy("puzzle_number").collect()
+    assert len(simple) == 333 and blocked == simple
