@@ -34,54 +34,50 @@ clean AS (
     WHERE answer IS NOT NULL AND length(trim(answer)) = 5
 ),
 split AS (
-    SELECT *, substr(w, 1, 1) AS l1, substr(w, 2, 1) AS l2, substr(w, 3, 1) AS l3,
-              substr(w, 4, 1) AS l4, substr(w, 5, 1) AS l5
+    SELECT *, [substr(w, 1, 1), substr(w, 2, 1), substr(w, 3, 1),
+               substr(w, 4, 1), substr(w, 5, 1)] AS ls
     FROM clean
 ),
 staged AS (
     SELECT puzzle_number, w AS answer,
-           l1 AS letter_1, l2 AS letter_2, l3 AS letter_3, l4 AS letter_4, l5 AS letter_5,
+           ls[1] AS letter_1, ls[2] AS letter_2, ls[3] AS letter_3, ls[4] AS letter_4,
+           ls[5] AS letter_5,
            answer_date, day_name,
            extract('year' FROM answer_date) AS answer_year,
            extract('month' FROM answer_date) AS answer_month,
            difficulty,
            CASE WHEN difficulty >= 4.0 THEN 'hard'
                 WHEN difficulty >= 3.0 THEN 'medium' ELSE 'easy' END AS difficulty_bucket,
-           (CASE WHEN l1 IN ('A','E','I','O','U') THEN 1 ELSE 0 END)
-         + (CASE WHEN l2 IN ('A','E','I','O','U') THEN 1 ELSE 0 END)
-         + (CASE WHEN l3 IN ('A','E','I','O','U') THEN 1 ELSE 0 END)
-         + (CASE WHEN l4 IN ('A','E','I','O','U') THEN 1 ELSE 0 END)
-         + (CASE WHEN l5 IN ('A','E','I','O','U') THEN 1 ELSE 0 END) AS vowel_count,
-           (CASE WHEN l1 NOT IN (l2, l3, l4, l5) THEN 1 ELSE 0 END)
-         + (CASE WHEN l2 NOT IN (l1, l3, l4, l5) THEN 1 ELSE 0 END)
-         + (CASE WHEN l3 NOT IN (l1, l2, l4, l5) THEN 1 ELSE 0 END)
-         + (CASE WHEN l4 NOT IN (l1, l2, l3, l5) THEN 1 ELSE 0 END)
-         + (CASE WHEN l5 NOT IN (l1, l2, l3, l4) THEN 1 ELSE 0 END) AS unique_letter_count
+           CAST(len(list_filter(ls, lambda x: x IN ('A', 'E', 'I', 'O', 'U'))) AS INTEGER)
+               AS vowel_count,
+           -- letters whose value occurs exactly once in the word
+           CAST(len(list_filter(ls, lambda x: len(list_filter(ls, lambda y: y = x)) = 1))
+                AS INTEGER) AS unique_letter_count
     FROM split
 )"""
 
 LETTER_FREQ = STAGED + r""",
 unpivoted AS (
-    SELECT p.pos AS position, p.letter
-    FROM staged,
-         LATERAL (VALUES (1, letter_1), (2, letter_2), (3, letter_3),
-                         (4, letter_4), (5, letter_5)) AS p(pos, letter)
+    SELECT CAST(unnest(generate_series(1, 5)) AS INTEGER) AS position,
+           unnest([letter_1, letter_2, letter_3, letter_4, letter_5]) AS letter
+    FROM staged
 ),
 letter_counts AS (
     SELECT letter, count(*) AS total_count FROM unpivoted GROUP BY letter
 ),
 letter_freq AS (
     SELECT letter, total_count,
-           round(total_count * 100.0 / sum(total_count) OVER (), 4) AS frequency_pct,
-           rank() OVER (ORDER BY total_count DESC) AS frequency_rank
-    FROM letter_counts
+           round(total_count * 100.0 / (SELECT sum(total_count) FROM letter_counts), 4)
+               AS frequency_pct,
+           1 + (SELECT count(*) FROM letter_counts o WHERE o.total_count > c.total_count)
+               AS frequency_rank
+    FROM letter_counts c
 ),
-word_total AS (SELECT count(*) AS total FROM staged),
 position_freq AS (
-    SELECT u.position, u.letter, count(*) AS position_count,
-           round(count(*) * 100.0 / any_value(t.total), 4) AS position_pct
-    FROM unpivoted u CROSS JOIN word_total t
-    GROUP BY u.position, u.letter
+    SELECT position, letter, count(*) AS position_count,
+           round(count(*) * 100.0 / (SELECT count(*) FROM staged), 4) AS position_pct
+    FROM unpivoted
+    GROUP BY position, letter
 )"""
 
 CANDIDATES = r""",
@@ -137,24 +133,25 @@ top_predictions AS (
 )"""
 
 HISTORY_PART = r""",
-answer_history AS (
-    SELECT s.puzzle_number, s.answer, s.answer_date, s.day_name, s.answer_year, s.answer_month,
-           s.letter_1, s.letter_2, s.letter_3, s.letter_4, s.letter_5,
-           s.difficulty, s.difficulty_bucket, s.vowel_count, s.unique_letter_count,
-           coalesce(f1.frequency_pct, 0) AS letter_1_freq_pct,
-           coalesce(f2.frequency_pct, 0) AS letter_2_freq_pct,
-           coalesce(f3.frequency_pct, 0) AS letter_3_freq_pct,
-           coalesce(f4.frequency_pct, 0) AS letter_4_freq_pct,
-           coalesce(f5.frequency_pct, 0) AS letter_5_freq_pct,
-           round(coalesce(f1.frequency_pct, 0) + coalesce(f2.frequency_pct, 0)
-               + coalesce(f3.frequency_pct, 0) + coalesce(f4.frequency_pct, 0)
-               + coalesce(f5.frequency_pct, 0), 4) AS word_commonality_score
+history_lookup AS (
+    SELECT s.*,
+           coalesce((SELECT frequency_pct FROM letter_freq f WHERE f.letter = s.letter_1), 0)
+               AS letter_1_freq_pct,
+           coalesce((SELECT frequency_pct FROM letter_freq f WHERE f.letter = s.letter_2), 0)
+               AS letter_2_freq_pct,
+           coalesce((SELECT frequency_pct FROM letter_freq f WHERE f.letter = s.letter_3), 0)
+               AS letter_3_freq_pct,
+           coalesce((SELECT frequency_pct FROM letter_freq f WHERE f.letter = s.letter_4), 0)
+               AS letter_4_freq_pct,
+           coalesce((SELECT frequency_pct FROM letter_freq f WHERE f.letter = s.letter_5), 0)
+               AS letter_5_freq_pct
     FROM staged s
-    LEFT JOIN letter_freq f1 ON f1.letter = s.letter_1
-    LEFT JOIN letter_freq f2 ON f2.letter = s.letter_2
-    LEFT JOIN letter_freq f3 ON f3.letter = s.letter_3
-    LEFT JOIN letter_freq f4 ON f4.letter = s.letter_4
-    LEFT JOIN letter_freq f5 ON f5.letter = s.letter_5
+),
+answer_history AS (
+    SELECT *,
+           round(letter_1_freq_pct + letter_2_freq_pct + letter_3_freq_pct
+                 + letter_4_freq_pct + letter_5_freq_pct, 4) AS word_commonality_score
+    FROM history_lookup
 )"""
 HISTORY = LETTER_FREQ + HISTORY_PART
 
@@ -397,11 +394,15 @@ corpus_letters AS (
 
 ORACLE.update({
     "corpus_tokens": _with(CORPUS, "SELECT * FROM corpus_tokens"),
-    "corpus_letter_frequency": _with(CORPUS, """
+    "corpus_letter_frequency": _with(CORPUS + r""",
+corpus_counts AS (SELECT letter, count(*) AS total_count FROM corpus_letters GROUP BY letter)""",
+                                     """
 SELECT letter, total_count,
-       round(total_count * 100.0 / sum(total_count) OVER (), 4) AS frequency_pct,
-       rank() OVER (ORDER BY total_count DESC) AS frequency_rank
-FROM (SELECT letter, count(*) AS total_count FROM corpus_letters GROUP BY letter)"""),
+       round(total_count * 100.0 / (SELECT sum(total_count) FROM corpus_counts), 4)
+           AS frequency_pct,
+       1 + (SELECT count(*) FROM corpus_counts o WHERE o.total_count > c.total_count)
+           AS frequency_rank
+FROM corpus_counts c"""),
     "corpus_position_frequency": _with(CORPUS, """
 SELECT position, letter, count(*) AS position_count,
        round(count(*) * 100.0 / (SELECT count(*) FROM corpus_tokens), 4) AS position_pct
