@@ -1,7 +1,10 @@
 """Named queries over a directory of corpus tables: ``(spark, sf_dir) -> DataFrame``.
 
 Each query derives its word data from the corpus tables through
-``wordstats.sources.corpus`` and runs over all of it.
+``wordstats.sources.corpus`` and runs over all of it.  Queries that read
+the answers once stage them lazily; queries that read them several times
+store the narrow answer rows once (``stored_raw``) so the text is scanned
+once per query.
 """
 
 from __future__ import annotations
@@ -15,20 +18,15 @@ from wordstats.functions.text import word_tokens
 from wordstats.functions.words import letter_cols
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
-from wordstats.operators.frequency import (
-    letter_frequency,
-    letter_frequency_by,
-    position_frequency,
-)
+from wordstats.operators.frequency import letter_frequency, letter_frequency_by, position_frequency
 from wordstats.operators.ingest import TABLE_COLUMNS, label_batch, label_counts, load_result
+from wordstats.operators.lookup import store
 from wordstats.operators.quality import quality_report
 from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
-from wordstats.operators.lookup import store
-from wordstats.plans.model import model_from_staged
 from wordstats.plans.load import read_table, write_rows
-from wordstats.plans.pipeline import publish
-from wordstats.plans.pipeline import read_mart
+from wordstats.plans.model import model_from_staged
+from wordstats.plans.pipeline import publish, read_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
     FUTURE_DAYS,
@@ -46,20 +44,11 @@ from wordstats.streaming.ingest import start_stream_load
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def q_stage_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_answers(raw_answers(spark, sf_dir))
-
-
-def q_letter_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return letter_frequency(stage_answers(raw_answers(spark, sf_dir)))
-
+# --- answers ----------------------------------------------------------------
 
-def q_position_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return position_frequency(stage_answers(raw_answers(spark, sf_dir)))
-
-
-def q_difficulty_by_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return difficulty_by_pattern(stage_answers(raw_answers(spark, sf_dir)))
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged answers of the corpus, lazily (for single-pass queries)."""
+    return stage_answers(raw_answers(spark, sf_dir))
 
 
 def stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,24 +71,58 @@ def _model(spark, sf_dir):
     return model_from_staged(stored_staged(spark, sf_dir))
 
 
-def q_answer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+# --- core models ------------------------------------------------------------
+
+def q_stage_answers(spark, sf_dir):
+    return staged(spark, sf_dir)
+
+
+def q_letter_frequency(spark, sf_dir):
+    return letter_frequency(staged(spark, sf_dir))
+
+
+def q_position_frequency(spark, sf_dir):
+    return position_frequency(staged(spark, sf_dir))
+
+
+def q_difficulty_by_pattern(spark, sf_dir):
+    return difficulty_by_pattern(staged(spark, sf_dir))
+
+
+def q_answer_history(spark, sf_dir):
     return _model(spark, sf_dir).answer_history()
 
 
-def q_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_word_scores(spark, sf_dir):
     return _model(spark, sf_dir).word_scores(candidate_words(spark, sf_dir))
 
 
-def q_top_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_top_predictions(spark, sf_dir):
     return _model(spark, sf_dir).top_predictions(candidate_words(spark, sf_dir))
 
 
-def _staged(spark, sf_dir):
-    return stage_answers(raw_answers(spark, sf_dir))
+# --- marts, stored and read back through the published pointer ---------------
+
+def _mart_roundtrip(spark, name, df):
+    path = scratch_dir(spark, "marts")
+    run_folder = f"{path}/_runs/query"
+    df.write.mode("overwrite").parquet(f"{run_folder}/{name}")
+    publish(spark, path, run_folder)
+    return read_mart(spark, path, name)
+
 
+def q_letter_frequency_mart(spark, sf_dir):
+    return _mart_roundtrip(spark, "letter_frequency", q_letter_frequency(spark, sf_dir))
+
+
+def q_position_heatmap_mart(spark, sf_dir):
+    return _mart_roundtrip(spark, "position_heatmap", q_position_frequency(spark, sf_dir))
+
+
+# --- reports ----------------------------------------------------------------
 
 def q_kpi_row(spark, sf_dir):
-    return R.kpi_row(_staged(spark, sf_dir))
+    return R.kpi_row(staged(spark, sf_dir))
 
 
 def q_prediction_bars(spark, sf_dir):
@@ -128,44 +151,46 @@ def q_difficulty_trend(spark, sf_dir):
 
 
 def q_difficulty_distribution(spark, sf_dir):
-    return R.difficulty_distribution(_staged(spark, sf_dir))
+    return R.difficulty_distribution(staged(spark, sf_dir))
 
 
 def q_vowel_distribution(spark, sf_dir):
-    return R.vowel_distribution(_staged(spark, sf_dir))
+    return R.vowel_distribution(staged(spark, sf_dir))
 
 
 def q_recent_answers(spark, sf_dir):
-    return R.recent_answers(_staged(spark, sf_dir))
+    return R.recent_answers(staged(spark, sf_dir))
 
 
 def q_latest_raw_rows(spark, sf_dir):
     return R.latest_raw_rows(raw_answers(spark, sf_dir))
 
 
+# --- checks -----------------------------------------------------------------
+
 def q_raw_duplicates(spark, sf_dir):
     return R.answer_duplicates(raw_answers(spark, sf_dir))
 
 
 def q_staged_duplicates(spark, sf_dir):
-    return R.answer_duplicates(_staged(spark, sf_dir))
+    return R.answer_duplicates(staged(spark, sf_dir))
 
 
 def q_word_repeat_check(spark, sf_dir):
-    return R.word_repeats(_staged(spark, sf_dir), 1)
+    return R.word_repeats(staged(spark, sf_dir), 1)
 
 
 def quality_relations(spark, sf_dir) -> dict[str, DataFrame]:
     raw = stored_raw(spark, sf_dir)
-    staged = stage_answers(raw)
-    model = model_from_staged(staged)
-    lf = letter_frequency(staged)
-    pf = position_frequency(staged)
+    answers = stage_answers(raw)
+    model = model_from_staged(answers)
+    lf = letter_frequency(answers)
+    pf = position_frequency(answers)
     scores = model.word_scores(candidate_words(spark, sf_dir))
     return {
-        "raw_answers": raw, "staged_answers": staged,
+        "raw_answers": raw, "staged_answers": answers,
         "letter_frequency": lf, "position_frequency": pf,
-        "difficulty_by_pattern": difficulty_by_pattern(staged),
+        "difficulty_by_pattern": difficulty_by_pattern(answers),
         "letter_frequency_mart": lf, "position_heatmap_mart": pf,
         "answer_history": model.answer_history(), "word_scores": scores,
         "top_predictions": top_predictions(scores),
@@ -176,9 +201,17 @@ def q_quality_report(spark, sf_dir):
     return quality_report(quality_relations(spark, sf_dir))
 
 
+# --- loads ------------------------------------------------------------------
+
+def fixture_today(spark, sf_dir):
+    """The load fixture's "today" as a scalar subquery over the id column."""
+    return (table(spark, sf_dir, "documents")
+            .select(puzzle_date(F.max("doc_id") - F.lit(FUTURE_DAYS))).scalar())
+
+
 def _labelled(spark, sf_dir, accept_late=False):
-    table, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
-    return label_batch(batch, table, today=F.col("_today"), accept_late=accept_late)
+    stored, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
+    return label_batch(batch, stored, today=F.col("_today"), accept_late=accept_late)
 
 
 def q_ingest_labels(spark, sf_dir):
@@ -194,38 +227,30 @@ def q_ingest_counts_accept_late(spark, sf_dir):
     return label_counts(_labelled(spark, sf_dir, accept_late=True))
 
 
-def fixture_today(spark, sf_dir) -> str:
-    """The load fixture's "today" as text (one scalar from the id column)."""
-    return (table(spark, sf_dir, "documents")
-            .agg(puzzle_date(F.max("doc_id") - F.lit(FUTURE_DAYS)).cast("string").alias("t"))
-            .first()["t"])
-
-
 def q_ingest_incremental(spark, sf_dir):
     """Batch rows landed as JSON page files, read back and loaded."""
-    table, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
+    stored, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
     landing = scratch_dir(spark, "landing")
     land_pages(batch.drop("_today"), landing)
-    labelled = label_batch(read_pages(spark, landing), table, today=fixture_today(spark, sf_dir))
-    return load_result(table, labelled)
+    labelled = label_batch(read_pages(spark, landing), stored, today=fixture_today(spark, sf_dir))
+    return load_result(stored, labelled)
 
 
 def q_ingest_full(spark, sf_dir):
-    table, batch = load_fixture(spark, sf_dir, full=True, raw=stored_raw(spark, sf_dir))
-    return load_result(table, label_batch(batch, table))
+    stored, batch = load_fixture(spark, sf_dir, full=True, raw=stored_raw(spark, sf_dir))
+    return load_result(stored, label_batch(batch, stored))
 
 
 def q_stream_ingest(spark, sf_dir):
     """The incremental load as a stream: the stored rows are written as load
     0, then the pages land in two drops and an available-now stream loads
     each drop as it finds it."""
-    table, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
+    stored, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
     base = scratch_dir(spark, "stream")
     path = f"{base}/table"
-    write_rows(table, path, load_id=0)
+    write_rows(stored, path, load_id=0)
     pages = batch.drop("_today")
-    span = pages.agg(F.min("page").alias("lo"), F.max("page").alias("hi")).first()
-    middle = (span["lo"] + span["hi"]) // 2
+    middle = pages.select(F.floor((F.min("page") + F.max("page")) / F.lit(2))).scalar()
     today = fixture_today(spark, sf_dir)
     for i, part in enumerate([pages.filter(F.col("page") <= middle),
                               pages.filter(F.col("page") > middle)]):
@@ -236,11 +261,17 @@ def q_stream_ingest(spark, sf_dir):
     return read_table(spark, path).select(*TABLE_COLUMNS)
 
 
+# --- corpus scale -------------------------------------------------------------
+
 def _corpus_letters(spark, sf_dir):
     words = corpus_words(spark, sf_dir)
     return words.select("answer", *letter_cols(F.col("answer")))
 
 
+def q_corpus_tokens(spark, sf_dir):
+    return corpus_tokens(spark, sf_dir)
+
+
 def q_corpus_letter_frequency(spark, sf_dir):
     return letter_frequency(_corpus_letters(spark, sf_dir))
 
@@ -257,27 +288,6 @@ def q_corpus_letter_frequency_by_lang(spark, sf_dir):
     return letter_frequency_by(words.select("lang", *letter_cols(F.col("answer"))), "lang")
 
 
-def q_corpus_tokens(spark, sf_dir):
-    return corpus_tokens(spark, sf_dir)
-
-
-def _mart_roundtrip(spark, name, df):
-    """Store a mart the way the run publishes it and read it back."""
-    path = scratch_dir(spark, "marts")
-    run_folder = f"{path}/_runs/query"
-    df.write.mode("overwrite").parquet(f"{run_folder}/{name}")
-    publish(spark, path, run_folder)
-    return read_mart(spark, path, name)
-
-
-def q_letter_frequency_mart(spark, sf_dir):
-    return _mart_roundtrip(spark, "letter_frequency", q_letter_frequency(spark, sf_dir))
-
-
-def q_position_heatmap_mart(spark, sf_dir):
-    return _mart_roundtrip(spark, "position_heatmap", q_position_frequency(spark, sf_dir))
-
-
 QUERIES: dict[str, Query] = {
     "stage_answers": q_stage_answers,
     "letter_frequency": q_letter_frequency,
