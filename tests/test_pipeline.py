@@ -49,3 +49,16 @@ def test_failed_checks_do_not_publish(spark):
                for r in bad["report"].filter("failures > 0").collect()}
     assert ("word_scores", "unique", "word") in failing
     assert published_run(spark, cfg.marts_path) == good["run"]
+
+
+def test_command_line_run(spark):
+    from wordstats.__main__ import main
+
+    base = scratch_dir(spark, "cli")
+    _, batch = load_fixture(spark, SF_SMALL, full=True)
+    land_pages(batch.drop("_today"), f"{base}/landing")
+    candidate_words(spark, SF_SMALL).write.option("header", True).csv(f"{base}/seed")
+    code = main(["--table", f"{base}/table", "--marts", f"{base}/marts",
+                 "--candidates", f"{base}/seed", "--landing", f"{base}/landing"])
+    assert code == 0
+    assert read_mart(spark, f"{base}/marts", "top_predictions").count() == 10
