@@ -18,7 +18,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from wordstats.session import scratch_dir
 
@@ -37,11 +38,7 @@ class Materialised:
         return self.rows <= BROADCAST_ROW_LIMIT
 
 
-def store(df: DataFrame, name: str = "stored") -> DataFrame:
-    """Write ``df`` once as Parquet in the shared checkpoint directory and
-    return the stored copy: lineage is cut, one job computes it (a plain
-    ``checkpoint`` of an uncached plan computes it twice), and readers get
-    column pruning and pushed filters."""
+def _write(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
@@ -49,7 +46,16 @@ def store(df: DataFrame, name: str = "stored") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint directory and
+    return the stored copy: lineage is cut, one job computes it (a plain
+    ``checkpoint`` of an uncached plan computes it twice), and readers get
+    column pruning and pushed filters."""
+    return _write(df, name)
+
+
 def materialise(df: DataFrame) -> Materialised:
-    """Store ``df`` and count its rows (the count reads the stored copy)."""
-    done = store(df, "lookup")
-    return Materialised(done, done.count())
+    """Store ``df``; its row count is observed by the writing job itself."""
+    seen = Observation("rows")
+    done = _write(df.observe(seen, F.count(F.lit(1)).alias("rows")), "lookup")
+    return Materialised(done, int(seen.get["rows"]))
