@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from wordstats.plans.load import read_table
-from wordstats.plans.pipeline import RunConfig, read_candidates, read_mart, run
+from wordstats.plans.refresh import RunConfig, read_candidates, read_mart, run
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import candidate_words, load_fixture
 from wordstats.sources.pages import land_pages
@@ -31,7 +31,7 @@ def test_end_to_end_run(spark):
 
 
 def test_failed_checks_do_not_publish(spark):
-    from wordstats.plans.pipeline import published_run
+    from wordstats.plans.refresh import published_run
 
     base = scratch_dir(spark, "run-gate")
     _, batch = load_fixture(spark, SF_SMALL, full=True)

@@ -24,7 +24,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--master", help="Spark master (default: from the environment)")
     args = p.parse_args(argv)
 
-    from wordstats.plans.pipeline import RunConfig, read_candidates, run
+    from wordstats.plans.refresh import RunConfig, read_candidates, run
     from wordstats.session import build_session
 
     spark = build_session(args.master)

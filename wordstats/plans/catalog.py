@@ -26,7 +26,7 @@ from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
 from wordstats.plans.load import read_table, write_rows
 from wordstats.plans.model import model_from_staged
-from wordstats.plans.pipeline import publish, read_mart
+from wordstats.plans.refresh import publish, read_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
     FUTURE_DAYS,
