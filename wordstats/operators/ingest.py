@@ -56,8 +56,8 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
     keep = F.lit(True)
     if not accept_late:
         # A scalar subquery: the mark is computed once, nothing is joined.
-        hwm = high_water_mark(table).scalar()
-        keep = hwm.isNull() | (d > hwm)
+        # (no mark yet -> the comparison is null -> keep)
+        keep = F.coalesce(d > high_water_mark(table).scalar(), F.lit(True))
     if today is not None:
         if isinstance(today, str):
             # "current": the date at which each batch runs (long-running streams)

@@ -152,9 +152,10 @@ def load_fixture(spark: SparkSession, sf_dir: str, full: bool = False,
     cut = (F.lit(-1).cast("long") if full else ids.select(
         F.floor(F.col("_max") * F.lit(LOAD_CUT_NUM) / F.lit(LOAD_CUT_DEN)).cast("long")).scalar())
     today = ids.select(puzzle_date(F.col("_max") - F.lit(FUTURE_DAYS))).scalar()
-    bounded = raw.select("*", cut.alias("_cut"), today.alias("_today"))
     pid = F.col("puzzle_number")
-    stored = pid <= F.col("_cut")
+    # Each scalar is referenced once; later expressions read the columns.
+    bounded = raw.select("*", (pid <= cut).alias("_stored"), today.alias("_today"))
+    stored = F.col("_stored")
     later = ~stored
     table_rows = (bounded.filter(stored & F.col("answer").isNotNull())
                   .select("puzzle_number", F.upper(F.trim("answer")).alias("answer"), "date",
