@@ -186,7 +186,9 @@ def quality_relations(spark, sf_dir) -> dict[str, DataFrame]:
     model = model_from_staged(answers)
     lf = letter_frequency(answers)
     pf = position_frequency(answers)
-    scores = model.word_scores(candidate_words(spark, sf_dir))
+    # Stored like the run stores its marts: two relations read the scores,
+    # and the candidate scans and lookups then run once.
+    scores = store(model.word_scores(candidate_words(spark, sf_dir)), "word_scores")
     return {
         "raw_answers": raw, "staged_answers": answers,
         "letter_frequency": lf, "position_frequency": pf,
