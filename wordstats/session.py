@@ -46,7 +46,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.ansi.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("WORDSTATS_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("WORDSTATS_DRIVER_MEMORY",
+                                                      _default_driver_memory()))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -54,6 +55,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _default_driver_memory() -> str:
+    """Half of physical memory, at most 16 GB (local runs: the driver is
+    the whole engine)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, total // 2 // 2**30))}g"
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
