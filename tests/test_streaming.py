@@ -31,3 +31,24 @@ def test_stream_restart_consumes_each_drop_once(spark):
     assert read_table(spark, path).count() == n1
     counts = spark.read.parquet(f"{base}/counts")
     assert counts.agg(F.sum("inserted")).first()[0] == n1 - stored
+
+
+def test_stream_numbers_loads_after_existing_ones(spark):
+    from wordstats.plans.load import insert_if_absent
+
+    table, batch = load_fixture(spark, SF_SMALL)
+    base = scratch_dir(spark, "stream-ids")
+    path = f"{base}/table"
+    write_rows(table, path, load_id=0)
+    pages = batch.drop("_today")
+    # an earlier batch load (id 1) took the lower ids of the batch
+    first_half = pages.filter(F.col("game") < F.lit(170))
+    insert_if_absent(spark, path, first_half, load_id=1, today="2030-01-01")
+    before = read_table(spark, path).filter("load_id = 1").count()
+    land_pages(pages, f"{base}/landing/drop=0")
+    q = start_stream_load(spark, f"{base}/landing/*", path, f"{base}/ckpt", today="2030-01-01")
+    q.awaitTermination()
+    ids = sorted(r[0] for r in read_table(spark, path).select("load_id").distinct().collect())
+    assert ids[0] == 0 and 1 in ids and max(ids) >= 2
+    assert read_table(spark, path).filter("load_id = 1").count() == before
+    assert read_table(spark, path).groupBy("puzzle_number").count().filter("count > 1").count() == 0

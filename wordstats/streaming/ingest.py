@@ -1,7 +1,8 @@
 """Structured Streaming form of the load: landed pages -> fact table.
 
 ``readStream`` picks up new page files; each micro-batch is loaded with
-``insert_if_absent`` as load ``batch_id + first_load``.  Inside a
+``insert_if_absent`` as load ``first_load + batch_id`` (by default one past
+the table's latest load when the stream first starts, kept for restarts).  Inside a
 micro-batch rows are ordered by ``(page, pos)``; micro-batches follow
 arrival order.  The checkpoint records which files were consumed; a
 replayed micro-batch relabels against earlier loads only and overwrites
@@ -11,16 +12,36 @@ its own partition, so replays are idempotent.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wordstats.plans.load import insert_if_absent
+from wordstats.plans.load import insert_if_absent, read_table
 from wordstats.sources.pages import stream_pages
 
 
+def _first_load(spark: SparkSession, table_path: str, checkpoint: str) -> int:
+    """The load id of micro-batch 0: one past the table's latest load when
+    the stream first starts, then read back from next to the checkpoint so
+    a restarted stream numbers its batches as before."""
+    marker = f"{checkpoint.rstrip('/')}_first_load"
+    try:
+        return int(spark.read.schema("first_load LONG").json(marker).first()["first_load"])
+    except Exception as e:  # first start: no marker yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+    latest = read_table(spark, table_path).agg(F.max("load_id")).first()[0]
+    first = 0 if latest is None else latest + 1
+    spark.range(1).select(F.lit(first).cast("long").alias("first_load")) \
+        .coalesce(1).write.json(marker)
+    return first
+
+
 def start_stream_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                       counts_path: str | None = None, today: Column | str | None = None,
-                      accept_late: bool = False, first_load: int = 1,
+                      accept_late: bool = False, first_load: int | None = None,
                       available_now: bool = True, **source_options) -> StreamingQuery:
+    if first_load is None:
+        first_load = _first_load(spark, table_path, checkpoint)
     rows = stream_pages(spark, landing, **source_options)
 
     def load(batch: DataFrame, batch_id: int) -> None:
