@@ -15,7 +15,10 @@ from wordstats.functions.buckets import difficulty_bucket
 from wordstats.functions.text import (
     TOKEN_SPLIT,
     first_word_token,
+    tokens,
+    word_token_in_text,
     word_token_pattern,
+    word_tokens,
 )
 
 __all__ = [
@@ -31,6 +34,9 @@ __all__ = [
     "round_at",
     "single_letter_count",
     "split_letters",
+    "tokens",
     "vowel_count",
+    "word_token_in_text",
     "word_token_pattern",
+    "word_tokens",
 ]

@@ -3,10 +3,10 @@
 A candidate's score at position p is ``round(letter% + position%, 4)`` of
 its letter there (0 for letters never seen), and its total is the rounded
 sum of those.  Instead of 2 x N joins of the candidates (one per letter
-table and position), the two frequency tables are first folded into one
-small *score table* with a row per letter and a column per position, so
-the candidates are joined N times against one tiny table, all map-side
-when it is broadcast.
+table and position), the two frequency tables are folded into one small
+per-letter table holding every position's score (also as one array), so
+the candidates are joined N times against the same projection of one tiny
+table: one broadcast, reused by all N map-side joins.
 """
 
 from __future__ import annotations

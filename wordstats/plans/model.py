@@ -1,4 +1,4 @@
-"""The word model: staged answers and the frequency tables every mart shares.
+"""The word model: staged answers and the per-letter table the marts share.
 
 The per-letter table (overall share plus the score at every position) is
 what the lookups of the history and the scores read.  It is computed in one
@@ -9,6 +9,7 @@ then decides whether the lookups broadcast (``wordstats.operators.lookup``).
 from __future__ import annotations
 
 from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from wordstats.functions.words import DEFAULT_LENGTH
@@ -22,7 +23,7 @@ from wordstats.operators.staging import stage_answers
 @dataclass
 class WordModel:
     """``letters`` is the materialised per-letter table: letter,
-    frequency_pct, pos1_score..posN_score."""
+    frequency_pct, pos1_score..posN_score, scores."""
 
     staged: DataFrame
     letters: Materialised
