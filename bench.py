@@ -2,8 +2,8 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs once as a warm-up, then ``BENCH_RUNS`` timed times; the
-median is reported.  A run executes the whole plan into the ``noop`` sink
+All queries run once as a warm-up pass, then each runs ``BENCH_RUNS``
+timed times; the median is reported.  A run executes the whole plan into the ``noop`` sink
 (every row and column produced, nothing collected).  ``value`` is the sum
 of the medians.
 """
@@ -42,15 +42,16 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", cpus)
     names = [n for n in HEADLINE if n in QUERIES]
-    times: dict[str, float] = {}
-    for name in names:
-        samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+
+    def once(name: str) -> float:
+        t0 = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    for name in names:      # warm-up pass: JIT and caches settle before timing
+        once(name)
+    times = {name: round(statistics.median(once(name) for _ in range(runs)), 3)
+             for name in names}
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "sum_of_median_query_sec",
