@@ -43,11 +43,11 @@ staged AS (
            ls[1] AS letter_1, ls[2] AS letter_2, ls[3] AS letter_3, ls[4] AS letter_4,
            ls[5] AS letter_5,
            answer_date, day_name,
-           extract('year' FROM answer_date) AS answer_year,
-           extract('month' FROM answer_date) AS answer_month,
+           year(answer_date) AS answer_year,
+           month(answer_date) AS answer_month,
            difficulty,
-           CASE WHEN difficulty >= 4.0 THEN 'hard'
-                WHEN difficulty >= 3.0 THEN 'medium' ELSE 'easy' END AS difficulty_bucket,
+           CASE WHEN difficulty IS NULL OR difficulty < 3.0 THEN 'easy'
+                WHEN difficulty < 4.0 THEN 'medium' ELSE 'hard' END AS difficulty_bucket,
            CAST(len(list_filter(ls, lambda x: x IN ('A', 'E', 'I', 'O', 'U'))) AS INTEGER)
                AS vowel_count,
            -- letters whose value occurs exactly once in the word
@@ -156,14 +156,17 @@ answer_history AS (
 HISTORY = LETTER_FREQ + HISTORY_PART
 
 PATTERN_PART = r""",
-difficulty_by_pattern AS (
+pattern_stats AS (
     SELECT vowel_count, unique_letter_count, difficulty_bucket,
-           count(*) AS word_count,
-           round(avg(difficulty), 2) AS avg_difficulty,
-           round(min(difficulty), 2) AS min_difficulty,
-           round(max(difficulty), 2) AS max_difficulty
+           count(*) AS n, avg(difficulty) AS mean_d, min(difficulty) AS lo, max(difficulty) AS hi
     FROM staged WHERE difficulty IS NOT NULL
-    GROUP BY vowel_count, unique_letter_count, difficulty_bucket
+    GROUP BY ALL
+),
+difficulty_by_pattern AS (
+    SELECT vowel_count, unique_letter_count, difficulty_bucket, n AS word_count,
+           round(mean_d, 2) AS avg_difficulty, round(lo, 2) AS min_difficulty,
+           round(hi, 2) AS max_difficulty
+    FROM pattern_stats
 )"""
 
 EVERYTHING = SCORES + HISTORY_PART + PATTERN_PART
