@@ -77,7 +77,14 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
     first_valid = (with_id.filter(valid)
                    .groupBy(F.col("_id").alias("_fid"))
                    .agg(F.min(arrival).alias("_first")))
-    known = (table.select(F.col("puzzle_number").cast("long").alias("_kid")).distinct()
+    # Stored ids outside the batch's id range cannot match: the range (two
+    # scalar subqueries) reaches the table scan, where Parquet statistics
+    # skip the row groups of earlier loads.
+    lo = with_id.agg(F.min("_id")).scalar()
+    hi = with_id.agg(F.max("_id")).scalar()
+    stored_id = F.col("puzzle_number").cast("long")
+    known = (table.filter(stored_id.between(lo, hi))
+             .select(stored_id.alias("_kid")).distinct()
              .withColumn("_known", F.lit(True)))
     joined = (with_id.join(first_valid, F.col("_id") == F.col("_fid"), "left")
               .join(known, F.col("_id") == F.col("_kid"), "left"))
