@@ -38,3 +38,31 @@ def test_frequencies_unpivot_in_one_scan(spark):
     p = plan(QUERIES["position_frequency"](spark, SF_SMALL))
     assert p.count("FileScan parquet") <= 2   # documents + labels, once each
     assert "Union" not in p
+
+
+def final_plan(df) -> str:
+    """The adaptive plan after the frame's own execution (reuse shows then)."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidate_lookups_share_one_broadcast(spark):
+    p = final_plan(QUERIES["word_scores"](spark, SF_SMALL))
+    assert p.count("ReusedExchange") >= 4      # five lookups, one broadcast
+
+
+def test_load_joins_only_rows_with_an_id(spark):
+    from pyspark.sql import functions as F
+
+    from wordstats.operators.ingest import label_batch
+    from wordstats.sources.corpus import load_fixture
+
+    table, batch = load_fixture(spark, SF_SMALL)
+    plan = label_batch(batch, table, today=F.col("_today"))._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    lines = plan.splitlines()
+    assert lines[0].startswith("Union")
+    second = "\n".join(lines[next(i for i, l in enumerate(lines) if l.startswith("+- ")):])
+    # the id-less branch is labelled without the id joins
+    assert "isnull(" in second and "LeftOuter" not in second
+    assert "LeftOuter" in "\n".join(lines[:lines.index(second.splitlines()[0])])

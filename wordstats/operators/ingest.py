@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 
 LABELS = ("inserted", "skipped", "failed")
 
+# Positions within a page must stay below this (a page is a few hundred rows).
+POS_LIMIT = 1 << 24
+
 TABLE_COLUMNS = ["puzzle_number", "answer", "date", "day_name", "difficulty"]
 
 
@@ -68,7 +71,11 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
     fetched = rows.filter(d.isNull() | keep)
 
     valid = F.col("_id").isNotNull() & F.col("_answer").isNotNull() & d.isNotNull()
-    arrival = F.struct(F.col("page"), F.col("pos"))
+    # Arrival order as one long, so the first-arrival minimum is a hash
+    # aggregate (a minimum over a struct would sort the batch instead).
+    pos = F.col("pos")
+    arrival = F.when(pos < F.lit(POS_LIMIT), F.col("page") * F.lit(POS_LIMIT) + pos) \
+        .otherwise(F.raise_error(F.lit(f"pos must be below {POS_LIMIT}")))
     out = [*batch.columns, "_id", "_answer", "_date"]
     # Rows without an id can match nothing: they fail without joining, so
     # however many there are they never gather on one join key.
