@@ -77,3 +77,22 @@ def test_repeated_load_inserts_nothing_and_replay_is_idempotent(spark):
     assert (late["inserted"], late["skipped"]) == (0, 2)
     assert read_table(spark, path).count() == 3
     assert read_table(spark, path).agg(F.countDistinct("puzzle_number")).first()[0] == 3
+
+
+def test_hot_id_holding_a_third_of_the_batch(spark):
+    rows = []
+    for i in range(3000):
+        if i % 3 == 0:
+            rows.append((1, 7, None if i < 600 else "cigar", "2024-01-11"))   # the hot id
+        else:
+            rows.append((1, 1000 + i, "rebut", "2024-01-12"))
+    b = spark.createDataFrame([(p, i, g, a, d, "x", None) for i, (p, g, a, d) in enumerate(rows)],
+                              BATCH)
+    out = label_batch(b, table(spark))
+    hot = out.filter("game = 7")
+    assert hot.count() == 1000
+    ins = hot.filter("label = 'inserted'").collect()
+    assert len(ins) == 1 and ins[0]["pos"] == 600            # first valid arrival
+    assert hot.filter("label = 'failed'").count() == 200       # invalid before it
+    assert hot.filter("label = 'skipped'").count() == 799
+    assert out.filter("game <> 7 AND label = 'inserted'").count() == 2000
