@@ -33,3 +33,13 @@ def test_blocked_trend_on_corpus(spark):
     simple = R.difficulty_trend(staged).orderBy("puzzle_number").collect()
     blocked = R.difficulty_trend(staged, block_rows=40).orderBy("puzzle_number").collect()
     assert len(simple) == 333 and blocked == simple
+
+
+def test_blocked_handles_null_keys_like_single_task(spark):
+    rows = [(None if i < 3 else i, float(i % 7)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    simple = trailing_mean(df, "k", "v", 30).filter("k IS NOT NULL").orderBy("k").collect()
+    blocked = trailing_mean(df, "k", "v", 30, block_rows=40).filter("k IS NOT NULL") \
+        .orderBy("k").collect()
+    assert blocked == simple
+    assert trailing_mean(df, "k", "v", 30, block_rows=40).count() == 300

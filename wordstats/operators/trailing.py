@@ -48,7 +48,8 @@ def _global_index(df: DataFrame, key: str, buckets: int) -> DataFrame:
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(key, probs, 1.0 / (10 * buckets))))
     splits = [-math.inf, *[float(c) for c in cuts], math.inf]
-    keyed = df.withColumn("_kd", F.col(key).cast("double"))
+    # Null keys sort first, as in the single-task window's ascending order.
+    keyed = df.withColumn("_kd", F.coalesce(F.col(key).cast("double"), F.lit(-math.inf)))
     b = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b").transform(keyed).drop("_kd")
     sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_size"))
     # One row per bucket: the window runs on at most `buckets` rows.
