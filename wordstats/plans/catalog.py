@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordstats.functions.text import word_tokens
@@ -25,7 +25,7 @@ from wordstats.operators.quality import quality_report
 from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
 from wordstats.plans.load import read_table, write_rows
-from wordstats.plans.model import model_from_staged
+from wordstats.plans.model import WordModel, model_from_staged
 from wordstats.plans.refresh import publish, read_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
@@ -67,43 +67,43 @@ def stored_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_answers(stored_raw(spark, sf_dir))
 
 
-def _model(spark, sf_dir):
+def _model(spark: SparkSession, sf_dir: str) -> WordModel:
     return model_from_staged(stored_staged(spark, sf_dir))
 
 
 # --- core models ------------------------------------------------------------
 
-def q_stage_answers(spark, sf_dir):
+def q_stage_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir)
 
 
-def q_letter_frequency(spark, sf_dir):
+def q_letter_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return letter_frequency(staged(spark, sf_dir))
 
 
-def q_position_frequency(spark, sf_dir):
+def q_position_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return position_frequency(staged(spark, sf_dir))
 
 
-def q_difficulty_by_pattern(spark, sf_dir):
+def q_difficulty_by_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return difficulty_by_pattern(staged(spark, sf_dir))
 
 
-def q_answer_history(spark, sf_dir):
+def q_answer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model(spark, sf_dir).answer_history()
 
 
-def q_word_scores(spark, sf_dir):
+def q_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model(spark, sf_dir).word_scores(candidate_words(spark, sf_dir))
 
 
-def q_top_predictions(spark, sf_dir):
+def q_top_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model(spark, sf_dir).top_predictions(candidate_words(spark, sf_dir))
 
 
 # --- marts, stored and read back through the published pointer ---------------
 
-def _mart_roundtrip(spark, name, df):
+def _mart_roundtrip(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     path = scratch_dir(spark, "marts")
     run_folder = f"{path}/_runs/query"
     df.write.mode("overwrite").parquet(f"{run_folder}/{name}")
@@ -111,76 +111,76 @@ def _mart_roundtrip(spark, name, df):
     return read_mart(spark, path, name)
 
 
-def q_letter_frequency_mart(spark, sf_dir):
+def q_letter_frequency_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart_roundtrip(spark, "letter_frequency", q_letter_frequency(spark, sf_dir))
 
 
-def q_position_heatmap_mart(spark, sf_dir):
+def q_position_heatmap_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart_roundtrip(spark, "position_heatmap", q_position_frequency(spark, sf_dir))
 
 
 # --- reports ----------------------------------------------------------------
 
-def q_kpi_row(spark, sf_dir):
+def q_kpi_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.kpi_row(staged(spark, sf_dir))
 
 
-def q_prediction_bars(spark, sf_dir):
+def q_prediction_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.prediction_bars(q_top_predictions(spark, sf_dir))
 
 
-def q_winner_breakdown(spark, sf_dir):
+def q_winner_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.winner_breakdown(q_top_predictions(spark, sf_dir))
 
 
-def q_top_letters(spark, sf_dir):
+def q_top_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.top_letters(q_letter_frequency(spark, sf_dir))
 
 
-def q_position_heatmap(spark, sf_dir):
+def q_position_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.position_heatmap(q_position_frequency(spark, sf_dir))
 
 
-def q_strongest_letter(spark, sf_dir):
+def q_strongest_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.strongest_letter(q_position_frequency(spark, sf_dir))
 
 
-def q_difficulty_trend(spark, sf_dir):
+def q_difficulty_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the trend counts its rows before choosing a plan: two reads
     return R.difficulty_trend(stored_staged(spark, sf_dir))
 
 
-def q_difficulty_distribution(spark, sf_dir):
+def q_difficulty_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.difficulty_distribution(staged(spark, sf_dir))
 
 
-def q_vowel_distribution(spark, sf_dir):
+def q_vowel_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.vowel_distribution(staged(spark, sf_dir))
 
 
-def q_recent_answers(spark, sf_dir):
+def q_recent_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.recent_answers(staged(spark, sf_dir))
 
 
-def q_latest_raw_rows(spark, sf_dir):
+def q_latest_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.latest_raw_rows(raw_answers(spark, sf_dir))
 
 
 # --- checks -----------------------------------------------------------------
 
-def q_raw_duplicates(spark, sf_dir):
+def q_raw_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.answer_duplicates(raw_answers(spark, sf_dir))
 
 
-def q_staged_duplicates(spark, sf_dir):
+def q_staged_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.answer_duplicates(staged(spark, sf_dir))
 
 
-def q_word_repeat_check(spark, sf_dir):
+def q_word_repeat_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.word_repeats(staged(spark, sf_dir), 1)
 
 
-def quality_relations(spark, sf_dir) -> dict[str, DataFrame]:
+def quality_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = stored_raw(spark, sf_dir)
     answers = stage_answers(raw)
     model = model_from_staged(answers)
@@ -199,37 +199,37 @@ def quality_relations(spark, sf_dir) -> dict[str, DataFrame]:
     }
 
 
-def q_quality_report(spark, sf_dir):
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(quality_relations(spark, sf_dir))
 
 
 # --- loads ------------------------------------------------------------------
 
-def fixture_today(spark, sf_dir):
+def fixture_today(spark: SparkSession, sf_dir: str) -> Column:
     """The load fixture's "today" as a scalar subquery over the id column."""
     return (table(spark, sf_dir, "documents")
             .select(puzzle_date(F.max("doc_id") - F.lit(FUTURE_DAYS))).scalar())
 
 
-def _labelled(spark, sf_dir, accept_late=False):
+def _labelled(spark: SparkSession, sf_dir: str, accept_late: bool = False) -> DataFrame:
     stored, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
     return label_batch(batch, stored, today=F.col("_today"), accept_late=accept_late)
 
 
-def q_ingest_labels(spark, sf_dir):
+def q_ingest_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(spark, sf_dir).select(
         "page", "pos", F.col("_id").alias("puzzle_number"), "label")
 
 
-def q_ingest_counts(spark, sf_dir):
+def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_counts(_labelled(spark, sf_dir))
 
 
-def q_ingest_counts_accept_late(spark, sf_dir):
+def q_ingest_counts_accept_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_counts(_labelled(spark, sf_dir, accept_late=True))
 
 
-def q_ingest_incremental(spark, sf_dir):
+def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch rows landed as JSON page files, read back and loaded."""
     stored, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
     landing = scratch_dir(spark, "landing")
@@ -238,12 +238,12 @@ def q_ingest_incremental(spark, sf_dir):
     return load_result(stored, labelled)
 
 
-def q_ingest_full(spark, sf_dir):
+def q_ingest_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, batch = load_fixture(spark, sf_dir, full=True, raw=stored_raw(spark, sf_dir))
     return load_result(stored, label_batch(batch, stored))
 
 
-def q_stream_ingest(spark, sf_dir):
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental load as a stream: the stored rows are written as load
     0, then the pages land in two drops and an available-now stream loads
     each drop as it finds it."""
@@ -265,24 +265,24 @@ def q_stream_ingest(spark, sf_dir):
 
 # --- corpus scale -------------------------------------------------------------
 
-def _corpus_letters(spark, sf_dir):
+def _corpus_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = corpus_words(spark, sf_dir)
     return words.select("answer", *letter_cols(F.col("answer")))
 
 
-def q_corpus_tokens(spark, sf_dir):
+def q_corpus_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_tokens(spark, sf_dir)
 
 
-def q_corpus_letter_frequency(spark, sf_dir):
+def q_corpus_letter_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return letter_frequency(_corpus_letters(spark, sf_dir))
 
 
-def q_corpus_position_frequency(spark, sf_dir):
+def q_corpus_position_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return position_frequency(_corpus_letters(spark, sf_dir))
 
 
-def q_corpus_letter_frequency_by_lang(spark, sf_dir):
+def q_corpus_letter_frequency_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Letter shares and ranks within each language of the corpus."""
     words = (table(spark, sf_dir, "documents")
              .select("lang", F.explode(word_tokens(F.col("text"))).alias("token"))
