@@ -8,8 +8,9 @@ A check passes when it finds nothing:
   stored more than once.
 
 Every relation emits one ``(column, value)`` pair per checked column and
-row; all pairs of all relations are counted in one aggregation, and a small
-second aggregation per column yields null counts and duplicated values.
+row (integral and date values as longs, other values as text); all pairs of
+all relations are counted in one aggregation, and a small second
+aggregation per column yields null counts and duplicated values.
 The report has one row per declared check: relation, check_name,
 column_name, failures (0 for a relation with no rows).
 """
@@ -61,19 +62,37 @@ CHECKS: tuple[RelationChecks, ...] = (
 DUPLICATE_PAIR = "puzzle_number,answer"
 
 
+_AS_NUMBER = ("tinyint", "smallint", "int", "bigint", "date")
+
+
 def _pairs(df: DataFrame, spec: RelationChecks) -> DataFrame:
-    """(_rel, _c, _v): one pair per checked column per row.  Unique-checked
-    columns carry their value; columns that are only null-checked carry a
-    two-valued marker (null or ''), so they collapse to two groups map-side
-    instead of shipping their values."""
+    """(_rel, _c, _k, _s): one pair per checked column per row, the value in
+    ``_k`` (integral and date columns, as a long) or ``_s`` (anything else,
+    as text); both null means the value is null.  Numbers travel in 8 bytes
+    instead of their decimal text.  Columns that are only null-checked carry
+    a two-valued marker instead of their value, so they collapse to two
+    groups map-side."""
+    types = dict(df.dtypes)
     items = []
+
+    def item(name, k, s):
+        return F.struct(F.lit(name).alias("_c"), k.cast("long").alias("_k"),
+                        s.cast("string").alias("_s"))
+
+    none = F.lit(None)
     for c in dict.fromkeys([*spec.not_null, *spec.unique]):
-        v = (F.col(c).cast("string") if c in spec.unique
-             else F.when(F.col(c).isNotNull(), F.lit("")))
-        items.append(F.struct(F.lit(c).alias("_c"), v.alias("_v")))
+        col = F.col(c)
+        if c not in spec.unique:
+            items.append(item(c, F.when(col.isNotNull(), F.lit(0)), none))
+        elif types[c] == "date":
+            items.append(item(c, F.unix_date(col), none))
+        elif types[c] in _AS_NUMBER:
+            items.append(item(c, col, none))
+        else:
+            items.append(item(c, none, col))
     if spec.no_duplicate_answers:
         pair = F.to_json(F.struct(F.col("puzzle_number"), F.col("answer")))
-        items.append(F.struct(F.lit(DUPLICATE_PAIR).alias("_c"), pair.alias("_v")))
+        items.append(item(DUPLICATE_PAIR, none, pair))
     return df.select(F.lit(spec.relation).alias("_rel"), F.inline(F.array(*items)))
 
 
@@ -101,11 +120,11 @@ def quality_report(relations: dict[str, DataFrame],
     present = tuple(c for c in checks if c.relation in relations)
     pairs = reduce(lambda a, b: a.unionByName(b),
                    [_pairs(relations[c.relation], c) for c in present])
-    counted = pairs.groupBy("_rel", "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counted = pairs.groupBy("_rel", "_c", "_k", "_s").agg(F.count(F.lit(1)).alias("_n"))
+    is_null = F.col("_k").isNull() & F.col("_s").isNull()
     per_col = counted.groupBy("_rel", "_c").agg(
-        F.sum(F.when(F.col("_v").isNull(), F.col("_n"))).alias("_nulls"),
-        F.count(F.when(F.col("_v").isNotNull() & (F.col("_n") > F.lit(1)), F.lit(1)))
-        .alias("_dups"))
+        F.sum(F.when(is_null, F.col("_n"))).alias("_nulls"),
+        F.count(F.when(~is_null & (F.col("_n") > F.lit(1)), F.lit(1))).alias("_dups"))
     spark = next(iter(relations.values())).sparkSession
     spec = _spec_rows(spark, present)
     joined = spec.join(F.broadcast(per_col),
