@@ -96,3 +96,9 @@ def test_hot_id_holding_a_third_of_the_batch(spark):
     assert hot.filter("label = 'failed'").count() == 200       # invalid before it
     assert hot.filter("label = 'skipped'").count() == 799
     assert out.filter("game <> 7 AND label = 'inserted'").count() == 2000
+
+
+def test_load_strips_all_whitespace(spark):
+    out = label_batch(batch(spark, [(1, "\tcigar\n", "2024-01-11"), (2, " \r rebut  ", "2024-01-12")]),
+                      table(spark)).orderBy("pos").collect()
+    assert [r["_answer"] for r in out] == ["CIGAR", "REBUT"]

@@ -63,3 +63,14 @@ def test_heatmap_fills_missing_cells_and_strongest_ties(spark):
     assert (hm["A"]["position_1"], hm["A"]["position_3"], hm["C"]["position_3"]) == (50.0, 0.0, 100.0)
     best = {r["position"]: r["letter"] for r in R.strongest_letter(pf).collect()}
     assert best == {1: "A", 3: "C"}          # tie at position 1 -> alphabetical
+
+
+def test_word_repeats_threshold(spark):
+    d = dt.date(2024, 1, 1)
+    rows = [(i, w, d + dt.timedelta(days=i), "x", None)
+            for i, w in enumerate(["CIGAR"] * 3 + ["REBUT"] * 2 + ["SISSY"])]
+    staged = stage_answers(spark.createDataFrame(rows, RAW_SCHEMA))
+    assert {r["answer"]: r["times_used"] for r in R.word_repeats(staged, 1).collect()} == \
+        {"CIGAR": 3, "REBUT": 2}
+    assert [r["answer"] for r in R.word_repeats(staged, 2).collect()] == ["CIGAR"]
+    assert R.answer_duplicates(staged).count() == 0
