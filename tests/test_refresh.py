@@ -62,3 +62,21 @@ def test_command_line_run(spark):
                  "--candidates", f"{base}/seed", "--landing", f"{base}/landing"])
     assert code == 0
     assert read_mart(spark, f"{base}/marts", "top_predictions").count() == 10
+
+
+def test_published_marts_equal_direct_queries(spark):
+    from wordstats.plans.catalog import QUERIES
+
+    base = scratch_dir(spark, "run-eq")
+    _, batch = load_fixture(spark, SF_SMALL, full=True)
+    land_pages(batch.drop("_today"), f"{base}/landing")
+    cfg = RunConfig(table_path=f"{base}/table", marts_path=f"{base}/marts",
+                    landing=f"{base}/landing")
+    assert run(spark, cfg, candidate_words(spark, SF_SMALL))["published"]
+    for mart, query in [("letter_frequency", "letter_frequency"),
+                        ("position_heatmap", "position_frequency"),
+                        ("word_scores", "word_scores"),
+                        ("top_predictions", "top_predictions")]:
+        published = read_mart(spark, cfg.marts_path, mart, ordered=False)
+        direct = QUERIES[query](spark, SF_SMALL).select(*published.columns)
+        assert sorted(published.collect()) == sorted(direct.collect()), mart
