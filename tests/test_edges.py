@@ -45,3 +45,19 @@ def test_page_rows_missing_fields(spark, tmp_path):
     assert out == {0: "failed", 1: "failed", 2: "inserted"}
     ins = label_batch(rows, table).filter(F.col("label") == "inserted").first()
     assert (ins["_answer"], ins["difficulty"]) == ("SISSY", 4.5)
+
+
+def test_large_page_lands_in_bounded_parts(spark, tmp_path):
+    from wordstats.sources.pages import PART_ROWS, land_pages
+
+    n = 2 * PART_ROWS + 500
+    rows = spark.createDataFrame(
+        [(3, i, 10_000 - i, "cigar", "2024-01-02", "x", None) for i in range(n)],
+        "page long, pos long, game long, answer string, date string, day_name string, "
+        "difficulty float")
+    land_pages(rows, str(tmp_path / "landing"))
+    docs = spark.read.json(str(tmp_path / "landing"))
+    assert docs.count() == 3
+    assert max(len(r["results"]) for r in docs.collect()) <= PART_ROWS
+    back = read_pages(spark, str(tmp_path / "landing")).orderBy("pos").collect()
+    assert [r["game"] for r in back] == [10_000 - i for i in range(n)]

@@ -1,7 +1,8 @@
 """Landed answer pages: one JSON document per page, one page per line.
 
 A page is ``{page, results: [{game, answer, date, day_name, difficulty}],
-has_more, total}``.  Reading flattens the results into rows that keep the
+has_more, total}``, optionally with ``part`` when a page was landed in
+several documents.  Reading flattens the results into rows that keep the
 arrival order as ``(page, pos)``; missing fields read as null.
 """
 
@@ -21,19 +22,24 @@ RESULT = T.StructType([
 
 PAGE = T.StructType([
     T.StructField("page", T.LongType()),
+    T.StructField("part", T.LongType()),
     T.StructField("results", T.ArrayType(RESULT)),
     T.StructField("has_more", T.BooleanType()),
     T.StructField("total", T.LongType()),
 ])
 
+# Largest number of results landed in one document (an API page has 200).
+PART_ROWS = 1000
+
 BATCH_COLUMNS = ["page", "pos", "game", "answer", "date", "day_name", "difficulty"]
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """Page documents -> one row per result with its arrival key (page, pos).
     Works on a batch or a streaming DataFrame."""
-    return (pages.select("page", F.posexplode("results").alias("pos", "_r"))
-            .select("page", F.col("pos").cast("long").alias("pos"),
+    part = F.coalesce(F.col("part"), F.lit(0)) * F.lit(PART_ROWS)
+    return (pages.select("page", part.alias("_base"), F.posexplode("results").alias("pos", "_r"))
+            .select("page", (F.col("_base") + F.col("pos")).cast("long").alias("pos"),
                     "_r.game", "_r.answer", "_r.date", "_r.day_name", "_r.difficulty"))
 
 
@@ -50,15 +56,20 @@ def stream_pages(spark, path: str, **options) -> DataFrame:
 
 def land_pages(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write batch rows (page, pos, game, answer, date, day_name, difficulty)
-    as page documents.  A page is one group of at most a page's worth of
-    rows, so collecting a page's results into one array is bounded."""
+    as page documents, ``pos`` unique within a page.
+
+    Each document holds the rows of one page whose positions fall in one
+    block of ``PART_ROWS`` consecutive positions, so no array holds more
+    than ``PART_ROWS`` results however large a page is; reading restores
+    the order from (page, part, index)."""
     last = rows.agg(F.max("page")).scalar()
     total = rows.agg(F.count(F.lit(1))).scalar()
     result = F.struct(*[F.col(c) for c in RESULT.fieldNames()])
-    pages = (rows.groupBy("page")
+    part = F.floor(F.col("pos") / F.lit(PART_ROWS)).cast("long")
+    pages = (rows.groupBy("page", part.alias("part"))
              .agg(F.sort_array(F.collect_list(F.struct(F.col("pos"), result.alias("r"))))
                   .alias("_items"))
-             .select("page",
+             .select("page", "part",
                      F.transform("_items", lambda x: x["r"]).alias("results"),
                      (F.col("page") < last).alias("has_more"),
                      total.alias("total")))
