@@ -104,19 +104,22 @@ def letter_frequency_by(words: DataFrame, group: str, n: int = DEFAULT_LENGTH) -
 
 
 def letter_table_from_counts(counts: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
-    """letter, frequency_pct, pos1_score..posN_score and ``scores`` (the same
-    N scores as one array) in one projection: score at p =
-    round(letter share + share of words with the letter at p, 4)."""
+    """letter, total_count, count_1..count_N, frequency_pct,
+    pos1_score..posN_score and ``scores`` (the same N scores as one array)
+    in one projection: score at p = round(letter share + share of words
+    with the letter at p, 4)."""
     t = with_totals(counts)
     words = F.col("_all") / F.lit(n)
     share = pct_of(F.col("total_count"), F.col("_all"))
     at = [pct_of(F.col(c), words) for c in count_names(n)]
-    base = t.select("letter", share.alias("frequency_pct"),
+    base = t.select("letter", "total_count", *count_names(n), share.alias("frequency_pct"),
                     *[a.alias(f"_pp{p}") for p, a in zip(range(1, n + 1), at)])
     # A letter never seen at p has count 0 there, so its share is exactly 0.0.
     scores = [round_at(F.col("frequency_pct") + F.col(f"_pp{p}"), 4) for p in range(1, n + 1)]
+    # The counts stay in the table, so the letter and position tables can be
+    # derived from it without another pass over the answers.
     return base.select(
-        "letter", "frequency_pct",
+        "letter", "total_count", *count_names(n), "frequency_pct",
         *[sc.alias(f"pos{p}_score") for p, sc in zip(range(1, n + 1), scores)],
         F.array(*scores).alias("scores"),
     )

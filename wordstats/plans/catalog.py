@@ -184,8 +184,8 @@ def quality_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = stored_raw(spark, sf_dir)
     answers = stage_answers(raw)
     model = model_from_staged(answers)
-    lf = letter_frequency(answers)
-    pf = position_frequency(answers)
+    lf = model.letter_frequency()
+    pf = model.position_frequency()
     # Stored like the run stores its marts: two relations read the scores,
     # and the candidate scans and lookups then run once.
     scores = store(model.word_scores(candidate_words(spark, sf_dir)), "word_scores")

@@ -13,7 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from wordstats.functions.words import DEFAULT_LENGTH
-from wordstats.operators.frequency import letter_counts, letter_table_from_counts
+from wordstats.operators.frequency import (
+    letter_counts,
+    letter_frequency_from_counts,
+    letter_table_from_counts,
+    position_frequency_from_counts,
+)
 from wordstats.operators.history import answer_history
 from wordstats.operators.lookup import Materialised, materialise
 from wordstats.operators.scoring import top_predictions, word_scores
@@ -22,8 +27,8 @@ from wordstats.operators.staging import stage_answers
 
 @dataclass
 class WordModel:
-    """``letters`` is the materialised per-letter table: letter,
-    frequency_pct, pos1_score..posN_score, scores."""
+    """``letters`` is the materialised per-letter table: letter, total_count,
+    count_1..count_N, frequency_pct, pos1_score..posN_score, scores."""
 
     staged: DataFrame
     letters: Materialised
@@ -33,6 +38,13 @@ class WordModel:
     def broadcast(self) -> bool:
         return self.letters.broadcastable
 
+    def letter_frequency(self) -> DataFrame:
+        """The letter table, from the stored counts (no pass over the answers)."""
+        return letter_frequency_from_counts(self.letters.df)
+
+    def position_frequency(self) -> DataFrame:
+        return position_frequency_from_counts(self.letters.df, self.n)
+
     def answer_history(self) -> DataFrame:
         return answer_history(self.staged, self.letters.df, self.n, self.broadcast)
 

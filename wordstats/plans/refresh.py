@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from wordstats.functions.words import DEFAULT_LENGTH
 from wordstats.operators.difficulty import difficulty_by_pattern
-from wordstats.operators.frequency import letter_frequency, position_frequency
 from wordstats.operators.quality import passes, quality_report
 from wordstats.operators.scoring import top_predictions
 from wordstats.plans.load import insert_if_absent, read_table
@@ -94,8 +93,8 @@ def build_marts(raw: DataFrame, candidates: DataFrame, n: int = DEFAULT_LENGTH,
     return {
         "staged_answers": staged,
         "difficulty_by_pattern": difficulty_by_pattern(staged),
-        "letter_frequency": letter_frequency(staged, n),
-        "position_heatmap": position_frequency(staged, n),
+        "letter_frequency": model.letter_frequency(),
+        "position_heatmap": model.position_frequency(),
         "answer_history": model.answer_history(),
         "word_scores": scores,
         "top_predictions": top_predictions(scores, top_k, n),
