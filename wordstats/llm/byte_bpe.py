@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordstats.llm.common import table, with_replaced
+from wordstats.llm.common import bound_batches, table, with_replaced
 
 #: Longest text that is encoded in one call, in characters.
 PIECE_CHARS = 1 << 16
@@ -45,6 +45,7 @@ def load_ranks(spark: SparkSession, path: str, pattern: str) -> Broadcast:
     """The rank file and the splitting pattern, as a broadcast."""
     if os.path.getsize(path) > MAX_RANK_BYTES:
         raise ValueError(f"{path} is larger than {MAX_RANK_BYTES} bytes")
+    bound_batches(spark)
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast((pattern, f.read()))
 

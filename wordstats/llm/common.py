@@ -13,6 +13,22 @@ from wordstats.operators.lookup import store
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Most bytes and rows of a batch of texts that goes to a Python worker at once.
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the batches that Python workers get small, whatever the texts'
+    lengths: a worker's and an executor's memory then follow ``BATCH_BYTES``
+    and the longest text, not the number of rows in a batch.  Sets two
+    options of the session, which hold for what it runs from then on."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

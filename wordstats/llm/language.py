@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordstats.llm.common import id_remainder, table, with_replaced
+from wordstats.llm.common import bound_batches, id_remainder, table, with_replaced
 
 #: Labelled texts sampled per language for its dictionary.
 SAMPLES = 128
@@ -116,6 +116,8 @@ def classify(compressors, text: str | None) -> tuple[str, float, bool]:
 
 def identify(docs: DataFrame, model: Broadcast, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``accepted``."""
+    bound_batches(docs.sparkSession)
+
     @F.pandas_udf("lang_pred string, score double, accepted boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         compressors = _compressors(model.value)

@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordstats.llm.common import table, with_replaced
+from wordstats.llm.common import bound_batches, table, with_replaced
 
 # The base patterns, in the order in which kinds are listed.
 KINDS = ("assign", "access", "hex", "markov")
@@ -111,6 +111,7 @@ def training_counts(text: str | None) -> dict[tuple[int, int, int], int]:
 def train(docs: DataFrame, sample: int = TRAIN_DOCS) -> np.ndarray:
     """The log ratio of the two models' transition probabilities, a
     ``SYMBOLS`` x ``SYMBOLS`` array."""
+    bound_batches(docs.sparkSession)
     drawn = (docs.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
 

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordstats.llm.common import table, with_replaced
+from wordstats.llm.common import bound_batches, table, with_replaced
 from wordstats.llm.components import components
 from wordstats.operators.lookup import store
 
@@ -80,6 +80,8 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the fingerprint of each text, as a signed long."""
+    bound_batches(docs.sparkSession)
+
     @F.pandas_udf("long")
     def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:

@@ -41,7 +41,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordstats.llm.common import id_remainder, table, with_replaced
+from wordstats.llm.common import bound_batches, id_remainder, table, with_replaced
 from wordstats.operators.lookup import store
 
 MAX_POSITIVES = 3000
@@ -55,7 +55,7 @@ RATE = 0.1
 L2 = 3e-4
 THRESHOLD = 0.7
 #: Words whose features a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _WORD = re.compile(r"\w+")
 
@@ -200,6 +200,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: int, pr
 
 
 def train(docs: DataFrame, labels: DataFrame, use: Column) -> Model:
+    """The model learnt from the rows that ``use`` (over the id) allows."""
+    bound_batches(docs.sparkSession)
     sample, prior = _sample(docs, labels, use)
     index = Index({f: i for i, f in enumerate(vocabulary(sample))})
     width = len(index.numbers)
