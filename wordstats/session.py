@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_SHUFFLE_KEY = "spark.sql.shuffle.partitions"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -29,13 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    local = (master or "local").startswith("local")
-    if shuffle_partitions or local:
-        # Local runs: one partition per core.  On a cluster the deployment's
-        # setting stays (size it so a partition is ~100-200 MB at the target
-        # scale); AQE coalesces what turns out small.
-        cores = os.cpu_count() or 8
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
@@ -51,6 +47,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if (not shuffle_partitions and _is_local(spark)
+            and not spark.sparkContext.getConf().contains(_SHUFFLE_KEY)):
+        # Only a local session for which nothing was set: one partition per
+        # core.  On a cluster the deployment's setting stays (size it so a
+        # partition is ~100-200 MB at the target scale); AQE coalesces what
+        # turns out small.
+        spark.conf.set(_SHUFFLE_KEY, str(os.cpu_count() or 8))
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -66,7 +69,9 @@ def _default_driver_memory() -> str:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """Whether driver and executors are one process (``local-cluster`` isn't)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
