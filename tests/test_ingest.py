@@ -102,3 +102,46 @@ def test_load_strips_all_whitespace(spark):
     out = label_batch(batch(spark, [(1, "\tcigar\n", "2024-01-11"), (2, " \r rebut  ", "2024-01-12")]),
                       table(spark)).orderBy("pos").collect()
     assert [r["_answer"] for r in out] == ["CIGAR", "REBUT"]
+
+
+def test_rows_without_a_page_and_of_repeated_pages_are_stored_once(spark):
+    rows = [(None, 0, 1), (None, 1, 1), (None, 2, 2), (1, 0, 7), (1, 0, 7), (1, 1 << 30, 8)]
+    df = spark.createDataFrame([(p, i, g, f"w{g}", "2024-01-11", "x", None) for p, i, g in rows], BATCH)
+    out = label_batch(df, table(spark))
+    taken = sorted(r["_id"] for r in out.filter("label = 'inserted'").collect())
+    assert taken == [1, 2, 7, 8]
+    assert label_counts(out).first()["skipped"] == 2
+
+
+def test_only_whole_dates_count(spark):
+    rows = [(1, "cigar", "2024"), (2, "rebut", "2024-05"), (3, "sissy", "2024-05-01"), (4, "humph", "2024-5-1")]
+    assert labels(label_batch(batch(spark, rows), table(spark))) == ["failed", "failed", "inserted", "failed"]
+
+
+def test_full_load_has_no_today_limit(spark):
+    rows = [(1, "cigar", "2020-01-01"), (2, "rebut", "2030-01-01")]
+    out = label_batch(batch(spark, rows), table(spark), today="2024-06-01")
+    assert labels(out) == ["inserted", "inserted"]
+
+
+def test_broken_documents_are_counted(spark, tmp_path):
+    from wordstats.sources.pages import read_pages
+
+    good = '{"page": 1, "results": [{"game": 1, "answer": "cigar", "date": "2024-01-11"}]}'
+    (tmp_path / "a.json").write_text(good + '\n{"page": 2, "results": [{"game": 2, "ans\n')
+    counts = label_counts(label_batch(read_pages(spark, str(tmp_path)), table(spark))).first()
+    assert (counts["inserted"], counts["failed"]) == (1, 1)
+    (tmp_path / "pretty").mkdir()
+    import json
+    (tmp_path / "pretty/b.json").write_text(json.dumps(json.loads(good), indent=2))
+    rows = read_pages(spark, str(tmp_path / "pretty"), multi_line=True).collect()
+    assert [(r["game"], r["answer"]) for r in rows] == [(1, "cigar")]
+    lost = label_counts(label_batch(read_pages(spark, str(tmp_path / "pretty")), table(spark))).first()
+    assert lost["inserted"] == 0 and lost["failed"] > 0
+
+
+def test_dates_of_large_ids(spark):
+    from wordstats.sources.corpus import puzzle_date
+
+    row = spark.range(1).select(puzzle_date(F.lit(3_000_000_000)).alias("d")).first()
+    assert row["d"].year < 9999

@@ -1,25 +1,29 @@
 """Insert-if-absent loading of answer batches into the fact table.
 
-Rules, per batch row in arrival order ``(page, pos)`` (unique per row):
+Rules, per batch row in arrival order: ``(page, pos)``, then the row's
+number in the stored batch, so that rows without a page field, or of two
+files that carry the same page, have a total order too (null pages first):
 
 1. Fetch window: in an incremental load only rows dated after the table's
    latest date (the high-water mark) and up to ``today`` are fetched; a
    late row -- dated on or before the mark -- is never seen again unless
-   ``accept_late`` is set.  An empty table means a full load: no window.
+   ``accept_late`` is set.  An empty table means a full load: no window,
+   and no ``today`` limit either.
    Rows whose date does not parse are fetched (and then fail).
 2. ``skipped`` -- the id is already in the table, or an earlier *valid*
    row of the batch carries it (the first valid row wins; the id test
    comes before validation, so later invalid rows are skipped too);
-3. ``failed`` -- invalid: null id, null answer, or a date that does not
-   parse;
+3. ``failed`` -- invalid: null id, null answer, or a date that is not a
+   whole ``yyyy-MM-dd`` date;
 4. ``inserted`` -- otherwise.
 
 Instead of a window over each id (one group = one task, however hot the
 id), the first valid arrival per id is an aggregate with map-side partial
-aggregation, joined back on the id together with the table's ids.  Both
-joins are keyed by the id, so they share one shuffle of the batch, and
-AQE splits a skewed id partition.  Rows without an id are labelled
-without any join, so they cannot pile up on the null key.
+aggregation, merged with the table's ids into one stored row per id and
+joined back once; both sides of that join are plain shuffles, so AQE can
+split a hot id's partition.  The batch itself is stored first, so the pages
+are parsed once per load.  Rows without an id are labelled without any join,
+so they cannot pile up on the null key.
 """
 
 from __future__ import annotations
@@ -27,10 +31,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordstats.operators.lookup import store
+
 LABELS = ("inserted", "skipped", "failed")
 
-# Positions within a page must stay below this (a page is a few hundred rows).
-POS_LIMIT = 1 << 24
+WHOLE_DATE = r"^\s*\d{4}-\d{2}-\d{2}\s*$"
 
 TABLE_COLUMNS = ["puzzle_number", "answer", "date", "day_name", "difficulty"]
 
@@ -49,33 +54,33 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
                 accept_late: bool = False) -> DataFrame:
     """Label every fetched batch row; keeps the batch columns plus the
     parsed ``_id``, ``_answer``, ``_date`` and ``label``."""
-    rows = batch.select(
+    text_date = F.col("date").cast("string")
+    rows = store(batch.select(
         *batch.columns,
         F.col("game").cast("long").alias("_id"),
         strip_upper(F.col("answer")).alias("_answer"),
-        F.col("date").try_cast("date").alias("_date"),
-    )
+        F.when(text_date.rlike(WHOLE_DATE), text_date.try_cast("date")).alias("_date"),
+        F.monotonically_increasing_id().alias("_row"),
+    ), "batch")
     d = F.col("_date")
+    mark = high_water_mark(table).scalar()
     keep = F.lit(True)
     if not accept_late:
         # A scalar subquery: the mark is computed once, nothing is joined.
         # (no mark yet -> the comparison is null -> keep)
-        keep = F.coalesce(d > high_water_mark(table).scalar(), F.lit(True))
+        keep = F.coalesce(d > mark, F.lit(True))
     if today is not None:
         if isinstance(today, str):
             # "current": the date at which each batch runs (long-running streams)
             limit = F.current_date() if today == "current" else F.lit(today).cast("date")
         else:
             limit = today
-        keep = keep & (d <= limit)
+        # no mark: a full load, which has no window
+        keep = keep & (mark.isNull() | (d <= limit))
     fetched = rows.filter(d.isNull() | keep)
 
     valid = F.col("_id").isNotNull() & F.col("_answer").isNotNull() & d.isNotNull()
-    # Arrival order as one long, so the first-arrival minimum is a hash
-    # aggregate (a minimum over a struct would sort the batch instead).
-    pos = F.col("pos")
-    arrival = F.when(pos < F.lit(POS_LIMIT), F.col("page") * F.lit(POS_LIMIT) + pos) \
-        .otherwise(F.raise_error(F.lit(f"pos must be below {POS_LIMIT}")))
+    arrival = F.struct("page", "pos", "_row")
     out = [*batch.columns, "_id", "_answer", "_date"]
     # Rows without an id can match nothing: they fail without joining, so
     # however many there are they never gather on one join key.
@@ -91,10 +96,12 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
     hi = with_id.agg(F.max("_id")).scalar()
     stored_id = F.col("puzzle_number").cast("long")
     known = (table.filter(stored_id.between(lo, hi))
-             .select(stored_id.alias("_kid")).distinct()
-             .withColumn("_known", F.lit(True)))
-    joined = (with_id.join(first_valid, F.col("_id") == F.col("_fid"), "left")
-              .join(known, F.col("_id") == F.col("_kid"), "left"))
+             .select(stored_id.alias("_fid"), F.lit(True).alias("_known")))
+    # One stored row per id, so that the join back has no aggregate below it.
+    per_id = store(first_valid.unionByName(known, allowMissingColumns=True)
+                   .groupBy("_fid").agg(F.min("_first").alias("_first"),
+                                        F.max("_known").alias("_known")), "ids")
+    joined = with_id.join(per_id, F.col("_id") == F.col("_fid"), "left")
     label = (F.when(F.coalesce(F.col("_known"), F.lit(False)), F.lit("skipped"))
              .when(F.col("_first").isNotNull() & (arrival > F.col("_first")), F.lit("skipped"))
              .when(~valid, F.lit("failed"))

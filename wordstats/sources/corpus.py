@@ -17,6 +17,8 @@ from wordstats.functions.words import DEFAULT_LENGTH
 # The first puzzle date, and the label-derived difficulty rule
 # difficulty = 1.0 + (n_chars mod 41) / 10.0 for labelled documents.
 FIRST_DATE = "2021-06-19"
+# Days from the first puzzle that dates can count: up to about the year 9900.
+CALENDAR_DAYS = 2_870_000
 DIFFICULTY_MOD = 41
 DIFFICULTY_BASE = 1.0
 DIFFICULTY_STEP = 10.0
@@ -41,8 +43,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def puzzle_date(day_offset):
-    """The puzzle date ``day_offset`` days after the first puzzle."""
-    return F.date_add(F.lit(FIRST_DATE).cast("date"), day_offset.cast("int"))
+    """The puzzle date ``day_offset`` days after the first puzzle; beyond
+    ``CALENDAR_DAYS`` (the calendar's end) dates start again."""
+    return F.date_add(F.lit(FIRST_DATE).cast("date"),
+                      (day_offset % F.lit(CALENDAR_DAYS)).cast("int"))
 
 
 def raw_answers(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> DataFrame:

@@ -3,7 +3,10 @@
 A page is ``{page, results: [{game, answer, date, day_name, difficulty}],
 has_more, total}``, optionally with ``part`` when a page was landed in
 several documents.  Reading flattens the results into rows that keep the
-arrival order as ``(page, pos)``; missing fields read as null.
+arrival order as ``(page, pos)``; missing fields read as null.  A document
+that doesn't parse (and each line of a page spread over several lines, unless
+``multi_line`` is set) gives one row without an id, so a load counts it as
+failed instead of losing it.
 """
 
 from __future__ import annotations
@@ -26,8 +29,11 @@ PAGE = T.StructType([
     T.StructField("results", T.ArrayType(RESULT)),
     T.StructField("has_more", T.BooleanType()),
     T.StructField("total", T.LongType()),
+    T.StructField("_corrupt", T.StringType()),
 ])
 
+_READ = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+
 # Largest number of results landed in one document (an API page has 200).
 PART_ROWS = 1000
 
@@ -38,17 +44,25 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
     """Page documents -> one row per result with its arrival key (page, pos).
     Works on a batch or a streaming DataFrame."""
     part = F.coalesce(F.col("part"), F.lit(0)) * F.lit(PART_ROWS)
-    return (pages.select("page", part.alias("_base"), F.posexplode("results").alias("pos", "_r"))
+    # A broken document has one empty result in place of those it lost.
+    results = F.when(F.col("_corrupt").isNotNull(),
+                     F.concat(F.coalesce("results", F.array().cast(PAGE["results"].dataType)),
+                              F.array(F.lit(None).cast(RESULT)))) \
+        .otherwise(F.col("results"))
+    return (pages.select("page", part.alias("_base"), F.posexplode(results).alias("pos", "_r"))
             .select("page", (F.col("_base") + F.col("pos")).cast("long").alias("pos"),
                     "_r.game", "_r.answer", "_r.date", "_r.day_name", "_r.difficulty"))
 
 
-def read_pages(spark, path: str) -> DataFrame:
-    return flatten_pages(spark.read.schema(PAGE).json(path))
+def read_pages(spark, path: str, multi_line: bool = False) -> DataFrame:
+    """The rows of landed pages; with ``multi_line`` every file is one page,
+    however it is laid out (as the API returns it)."""
+    return flatten_pages(spark.read.schema(PAGE).options(**_READ)
+                         .option("multiLine", multi_line).json(path))
 
 
 def stream_pages(spark, path: str, **options) -> DataFrame:
-    reader = spark.readStream.schema(PAGE)
+    reader = spark.readStream.schema(PAGE).options(**_READ)
     for k, v in options.items():
         reader = reader.option(k, v)
     return flatten_pages(reader.json(path))
