@@ -3,15 +3,15 @@
 The frequency tables are aggregates with one row per distinct letter (or
 per position and letter).  For words over an alphabet that is a few
 hundred rows, but nothing in the data model forbids arbitrary characters,
-so the size is checked before anything is broadcast:
+so nothing is broadcast by a hint:
 
 * ``materialise`` writes the small table once as Parquet under the shared
   checkpoint directory (reliable: it survives executor loss, and the heavy
   pass that produced it is not repeated by every consumer) and counts it
   there;
-* ``Materialised.broadcastable`` tells the lookups (``scoring.lookup_letters``)
-  to hint a broadcast hash join when the count is within the limit; beyond
-  it they join without a hint -- shuffle on the key, re-planned by AQE.
+* the lookups (``scoring.lookup_letters``) join the stored table without a
+  hint: Spark knows its size in bytes, broadcasts it below its threshold and
+  otherwise shuffles on the key, re-planned by AQE.
 """
 
 from __future__ import annotations
@@ -23,20 +23,11 @@ from pyspark.sql import functions as F
 
 from wordstats.session import scratch_dir
 
-# Largest table we broadcast, in rows.  A frequency row is a short string
-# plus a few numbers (< 100 bytes), so this stays below ~50 MB per copy.
-BROADCAST_ROW_LIMIT = 500_000
-
-
 @dataclass(frozen=True)
 class Materialised:
     df: DataFrame
     rows: int
 
-    @property
-    def broadcastable(self) -> bool:
-        return self.rows <= BROADCAST_ROW_LIMIT
-
 
 def _write(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession

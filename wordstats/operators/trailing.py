@@ -1,73 +1,29 @@
-"""Trailing mean over the last ``rows`` rows of a global order, at any size.
+"""Mean over the trailing rows of a total order, without a single-task sort.
 
-A window with an ORDER BY and no PARTITION BY runs in a single task.  That
-is fine up to some row count and a bottleneck beyond it, so above
-``block_rows`` rows the same frame is computed in blocks:
-
-1. an exact global row index ``g`` in key order: rows are bucketed by
-   approximate key quantiles (balanced even when keys cluster), each
-   bucket's size is counted (one row per bucket), the running total of
-   those sizes gives each bucket's offset, and ``g`` is the offset plus the
-   row number inside the bucket;
-2. blocks of ``K >= rows - 1`` consecutive indexes; the last ``rows - 1``
-   rows of each block are copied into the next block as carried rows;
-3. the ordinary sliding window runs per block, and carried rows are
-   dropped.  Every frame sees exactly the rows it would see globally.
-
-The key must be unique (ties would make "the last rows" ambiguous).
+One plan at every size: the rows are range-partitioned by the key and stored
+with their partition's number; one row per partition gives the offsets of an
+exact global row index; the index is cut into blocks of ``BLOCK_ROWS`` rows,
+each of which also gets the last rows of the block before it; the window runs
+per block.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows one task may order by itself.
-BLOCK_ROWS = 4_000_000
+from wordstats.operators.lookup import store
+
+# Rows of a block: what one task orders at a time.
+BLOCK_ROWS = 100_000
 
 
 def trailing_mean(df: DataFrame, key: str, value: str, rows: int = 30,
                   out: str = "rolling_avg", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``df`` plus ``out`` = avg(value) over the ``rows`` rows ending at each
     row in ``key`` order (fewer at the start; nulls in ``value`` skipped)."""
-    frame = (-(rows - 1), 0)
-    n = df.count()
-    if n <= block_rows:
-        w = Window.orderBy(key).rowsBetween(*frame)
-        return df.withColumn(out, F.avg(value).over(w))
-    return _blocked(df, key, value, rows, out, block_rows, n)
-
-
-def _global_index(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """``df`` plus ``_g``: 0-based position in ``key`` order, without a
-    single-task sort."""
-    from pyspark.ml.feature import Bucketizer
-
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(key, probs, 1.0 / (10 * buckets))))
-    splits = [-math.inf, *[float(c) for c in cuts], math.inf]
-    # Null keys sort first, as in the single-task window's ascending order.
-    keyed = df.withColumn("_kd", F.coalesce(F.col(key).cast("double"), F.lit(-math.inf)))
-    b = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b").transform(keyed).drop("_kd")
-    sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per bucket: the window runs on at most `buckets` rows.
-    offsets = sizes.select(
-        "_b",
-        F.coalesce(F.sum("_size").over(Window.orderBy("_b").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy("_b").orderBy(key))
-    return (b.withColumn("_r", local)
-            .join(F.broadcast(offsets), "_b")
-            .withColumn("_g", F.col("_off") + F.col("_r") - F.lit(1))
-            .drop("_b", "_r", "_off"))
-
-
-def _blocked(df: DataFrame, key: str, value: str, rows: int, out: str,
-             block_rows: int, n: int) -> DataFrame:
     k = max(block_rows, rows)
-    indexed = _global_index(df, key, max(2, math.ceil(n / block_rows)))
+    indexed = _global_index(df, key)
     g = F.col("_g")
     block = F.floor(g / F.lit(k)).cast("long")
     carry = (g % F.lit(k)) >= F.lit(k - (rows - 1))
@@ -83,3 +39,21 @@ def _blocked(df: DataFrame, key: str, value: str, rows: int, out: str,
     return (spread.withColumn(out, F.avg(value).over(w))
             .filter(~F.col("_carried"))
             .drop("_blk", "_carried", "_g"))
+
+
+def _global_index(df: DataFrame, key: str) -> DataFrame:
+    """``df`` plus ``_g``: 0-based position in ``key`` order (null keys first)."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = store(df.repartitionByRange(parts, key)
+                   .withColumn("_b", F.spark_partition_id()), "ordered")
+    sizes = stored.groupBy("_b").agg(F.count(F.lit(1)).alias("_size"))
+    # One row per partition: bounded by the partition count.
+    offsets = sizes.select(
+        "_b",
+        F.coalesce(F.sum("_size").over(Window.orderBy("_b").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_b").orderBy(key))
+    return (stored.withColumn("_r", local)
+            .join(F.broadcast(offsets), "_b")
+            .withColumn("_g", F.col("_off") + F.col("_r") - F.lit(1))
+            .drop("_b", "_r", "_off"))

@@ -34,10 +34,6 @@ class WordModel:
     letters: Materialised
     n: int = DEFAULT_LENGTH
 
-    @property
-    def broadcast(self) -> bool:
-        return self.letters.broadcastable
-
     def letter_frequency(self) -> DataFrame:
         """The letter table, from the stored counts (no pass over the answers)."""
         return letter_frequency_from_counts(self.letters.df)
@@ -46,10 +42,10 @@ class WordModel:
         return position_frequency_from_counts(self.letters.df, self.n)
 
     def answer_history(self) -> DataFrame:
-        return answer_history(self.staged, self.letters.df, self.n, self.broadcast)
+        return answer_history(self.staged, self.letters.df, self.n, False)
 
     def word_scores(self, candidates: DataFrame) -> DataFrame:
-        return word_scores(candidates, self.staged, self.letters.df, self.n, self.broadcast)
+        return word_scores(candidates, self.staged, self.letters.df, self.n, False)
 
     def top_predictions(self, candidates: DataFrame, k: int = 10) -> DataFrame:
         return top_predictions(self.word_scores(candidates), k, self.n)
