@@ -36,7 +36,11 @@ def test_display_names_and_bounded_pandas(spark, staged):
 def test_marts_as_tables(spark, staged, tmp_path):
     from wordstats.operators.frequency import letter_frequency
 
-    letter_frequency(staged).write.parquet(str(tmp_path / "letter_frequency"))
+    from wordstats.plans.refresh import publish
+
+    for i, rows in enumerate((staged.limit(0), staged)):      # the second run is published last
+        letter_frequency(rows).write.parquet(str(tmp_path / f"run{i}/letter_frequency"))
+        publish(spark, str(tmp_path), str(tmp_path / f"run{i}"))
     V.register_marts(spark, str(tmp_path), ["letter_frequency"])
     assert "letter_frequency" in V.list_tables(spark)
     assert spark.sql("SELECT count(*) FROM letter_frequency").first()[0] == 11

@@ -21,7 +21,11 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from wordstats.plans.catalog import QUERIES
+
+    # the training-text queries are tested in tests/llm where SQL can't express them
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordstats.functions.words import DEFAULT_LENGTH
+from wordstats.plans.refresh import published_run
 
 # Display names of the recent-answers table.
 RECENT_DISPLAY_NAMES = {
@@ -39,9 +40,10 @@ def to_pandas_bounded(df: DataFrame, max_rows: int = 10_000):
 
 
 def register_marts(spark: SparkSession, marts_path: str, names) -> list[str]:
-    """Expose published marts as temporary views (one per name)."""
+    """Expose the marts of the published run as temporary views (one per name)."""
+    folder = published_run(spark, marts_path)
     for name in names:
-        spark.read.parquet(f"{marts_path.rstrip('/')}/{name}").createOrReplaceTempView(name)
+        spark.read.parquet(f"{folder}/{name}").createOrReplaceTempView(name)
     return list(names)
 
 

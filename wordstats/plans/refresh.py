@@ -2,8 +2,8 @@
 
 Marts are written under a run-specific folder, the declared checks run on
 what was written, and only when every check passes does the run become the
-published one: a one-row pointer (``<marts>/_current``) is replaced with
-the run's folder name.  Publishing copies nothing, however large the marts;
+published one: a pointer with the run's folder is added to
+``<marts>/_current``, whose latest entry counts.  Publishing copies nothing, however large the marts;
 a failed run leaves the pointer, and so the published marts, untouched.
 Everything runs on the cluster; the driver only sees the check report (one
 row per check), the load counters (one row) and the pointer.
@@ -11,15 +11,16 @@ row per check), the load counters (one row) and the pointer.
 
 from __future__ import annotations
 
+import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordstats.functions.words import DEFAULT_LENGTH
+from wordstats.functions.words import DEFAULT_LENGTH, letter_names
 from wordstats.operators.difficulty import difficulty_by_pattern
-from wordstats.operators.quality import passes, quality_report
+from wordstats.operators.quality import CHECKS, RelationChecks, passes, quality_report
 from wordstats.operators.scoring import top_predictions
 from wordstats.plans.load import insert_if_absent, read_table
 from wordstats.plans.model import model_from_staged
@@ -64,14 +65,20 @@ POINTER = "_current"
 
 
 def published_run(spark: SparkSession, marts_path: str) -> str:
-    """The folder of the published run (raises when nothing is published)."""
-    return spark.read.schema("run STRING").json(
-        f"{marts_path.rstrip('/')}/{POINTER}").first()["run"]
+    """The folder of the published run, the latest pointer (raises when
+    nothing is published)."""
+    latest = (spark.read.schema("run STRING, at LONG").json(f"{marts_path.rstrip('/')}/{POINTER}")
+              .orderBy(F.desc("at"), F.desc("run")).first())
+    if latest is None:
+        raise ValueError(f"nothing is published under {marts_path}")
+    return latest["run"]
 
 
 def publish(spark: SparkSession, marts_path: str, run_folder: str) -> None:
-    (spark.range(1).select(F.lit(run_folder).alias("run"))
-     .coalesce(1).write.mode("overwrite").json(f"{marts_path.rstrip('/')}/{POINTER}"))
+    """Add a pointer to the run.  Nothing is replaced, so readers find the
+    former run until the new pointer is complete."""
+    (spark.range(1).select(F.lit(run_folder).alias("run"), F.lit(time.time_ns()).alias("at"))
+     .coalesce(1).write.mode("append").json(f"{marts_path.rstrip('/')}/{POINTER}"))
 
 
 def read_mart(spark: SparkSession, marts_path: str, name: str, ordered: bool = True) -> DataFrame:
@@ -101,6 +108,13 @@ def build_marts(raw: DataFrame, candidates: DataFrame, n: int = DEFAULT_LENGTH,
     }
 
 
+def checks_for(n: int) -> tuple[RelationChecks, ...]:
+    """The declared checks, with the letter columns of words of length n."""
+    letters = set(letter_names(5))
+    return tuple(replace(c, not_null=(*[x for x in c.not_null if x not in letters], *letter_names(n)))
+                 if letters & set(c.not_null) else c for c in CHECKS)
+
+
 def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
     """One run; returns {'load': counters or None, 'published': bool,
     'report': the check report DataFrame (on storage)}."""
@@ -130,7 +144,11 @@ def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
         "top_predictions": written["top_predictions"],
     }
     report_path = f"{stage}/_quality_report"
-    quality_report(relations).write.mode("overwrite").parquet(report_path)
+    checks = checks_for(cfg.n)
+    missing = {c.relation for c in checks} - set(relations)
+    if missing:
+        raise ValueError(f"relations without a check: {sorted(missing)}")
+    quality_report(relations, checks).write.mode("overwrite").parquet(report_path)
     report = spark.read.parquet(report_path)
     ok = passes(report)
     if ok:
