@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -52,3 +54,21 @@ def test_stream_numbers_loads_after_existing_ones(spark):
     assert ids[0] == 0 and 1 in ids and max(ids) >= 2
     assert read_table(spark, path).filter("load_id = 1").count() == before
     assert read_table(spark, path).groupBy("puzzle_number").count().filter("count > 1").count() == 0
+
+
+def test_result_does_not_depend_on_the_micro_batches(spark, tmp_path):
+    import json
+
+    pages = {"a": [(3, "2024-01-03"), (4, "2024-01-04")], "b": [(1, "2024-01-01"), (2, "2024-01-02"), (5, "2024-01-04")]}
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for i, (name, rows) in enumerate(pages.items()):
+        f = landing / f"{name}.json"
+        f.write_text(json.dumps({"page": i, "results": [
+            {"game": g, "answer": f"w{g}", "date": d} for g, d in rows]}))
+        os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    for per_batch in ("1", "10"):
+        table = str(tmp_path / f"table{per_batch}")
+        start_stream_load(spark, str(landing), table, str(tmp_path / f"check{per_batch}"),
+                          today="2020-01-01", maxFilesPerTrigger=per_batch).awaitTermination()
+        assert sorted(r[0] for r in read_table(spark, table).select("puzzle_number").collect()) == [1, 2, 3, 4, 5]

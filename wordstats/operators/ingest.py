@@ -51,9 +51,10 @@ def high_water_mark(table: DataFrame) -> DataFrame:
 
 
 def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None = None,
-                accept_late: bool = False) -> DataFrame:
+                accept_late: bool = False, mark: Column | None = None) -> DataFrame:
     """Label every fetched batch row; keeps the batch columns plus the
-    parsed ``_id``, ``_answer``, ``_date`` and ``label``."""
+    parsed ``_id``, ``_answer``, ``_date`` and ``label``.  ``mark`` stands in
+    for the table's latest date where one fetch is loaded in several batches."""
     text_date = F.col("date").cast("string")
     rows = store(batch.select(
         *batch.columns,
@@ -63,7 +64,8 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
         F.monotonically_increasing_id().alias("_row"),
     ), "batch")
     d = F.col("_date")
-    mark = high_water_mark(table).scalar()
+    if mark is None:
+        mark = high_water_mark(table).scalar()
     keep = F.lit(True)
     if not accept_late:
         # A scalar subquery: the mark is computed once, nothing is joined.

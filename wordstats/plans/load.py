@@ -59,7 +59,7 @@ def write_rows(rows: DataFrame, path: str, load_id: int = 0) -> None:
 
 def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, load_id: int,
                      today: Column | str | None = None, accept_late: bool = False,
-                     counts_path: str | None = None) -> DataFrame:
+                     counts_path: str | None = None, mark: Column | None = None) -> DataFrame:
     """Label ``batch`` against the earlier loads, store its inserted rows as
     load ``load_id`` and return the counters (one row; inserted, skipped,
     failed), also stored under ``counts_path`` when given.
@@ -68,7 +68,7 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, load_id:
     the same labels and the batch is not recomputed.
     """
     table = read_table(spark, path, before_load=load_id)
-    labelled = store(label_batch(batch, table, today, accept_late), "labelled")
+    labelled = store(label_batch(batch, table, today, accept_late, mark), "labelled")
     _write(inserted_rows(labelled), path, load_id)
     counts = label_counts(labelled).withColumn("load_id", F.lit(load_id).cast("long"))
     if counts_path:

@@ -27,14 +27,17 @@ from wordstats.plans.model import model_from_staged
 from wordstats.operators.staging import stage_answers
 from wordstats.sources.pages import read_pages
 
-MARTS = ("letter_frequency", "position_heatmap", "answer_history", "word_scores",
-         "top_predictions")
+# In the order in which they are written: predictions come from the written scores.
+MARTS = ("letter_frequency", "position_heatmap", "difficulty_by_pattern", "answer_history",
+         "word_scores", "top_predictions")
 
 # Read-side orderings of the published marts ("-" = descending).
 MART_ORDER = {
     "top_predictions": ["rank"],
     "letter_frequency": ["-total_count", "letter"],
     "position_heatmap": ["position", "-position_count", "letter"],
+    "difficulty_by_pattern": ["-avg_difficulty", "vowel_count", "unique_letter_count",
+                              "difficulty_bucket"],
     "answer_history": ["-puzzle_number"],
     "word_scores": ["-total_score", "word"],
 }
@@ -128,15 +131,18 @@ def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
     raw = read_table(spark, cfg.table_path).drop("loaded_at", "load_id")
     marts = build_marts(raw, candidates, cfg.n, cfg.top_k)
     stage = f"{cfg.marts_path.rstrip('/')}/_runs/{uuid.uuid4().hex}"
+    written: dict[str, DataFrame] = {}
     for name in MARTS:
-        marts[name].write.mode("overwrite").parquet(f"{stage}/{name}")
-    written = {name: spark.read.parquet(f"{stage}/{name}") for name in MARTS}
+        mart = (top_predictions(written["word_scores"], cfg.top_k, cfg.n)
+                if name == "top_predictions" else marts[name])
+        mart.write.mode("overwrite").parquet(f"{stage}/{name}")
+        written[name] = spark.read.parquet(f"{stage}/{name}")
     relations = {
         "raw_answers": raw,
         "staged_answers": marts["staged_answers"],
         "letter_frequency": written["letter_frequency"],
         "position_frequency": written["position_heatmap"],
-        "difficulty_by_pattern": marts["difficulty_by_pattern"],
+        "difficulty_by_pattern": written["difficulty_by_pattern"],
         "letter_frequency_mart": written["letter_frequency"],
         "position_heatmap_mart": written["position_heatmap"],
         "answer_history": written["answer_history"],

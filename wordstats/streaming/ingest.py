@@ -43,10 +43,14 @@ def start_stream_load(spark: SparkSession, landing: str, table_path: str, checkp
     if first_load is None:
         first_load = _first_load(spark, table_path, checkpoint)
     rows = stream_pages(spark, landing, **source_options)
+    # The fetch window belongs to the fetch: one mark for all micro-batches
+    # of this start, however the files fall into them.
+    latest = read_table(spark, table_path).agg(F.max("date")).first()[0]
+    mark = F.lit(latest).cast("date")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         insert_if_absent(spark, table_path, batch, first_load + batch_id, today,
-                         accept_late, counts_path)
+                         accept_late, counts_path, mark)
 
     writer = (rows.writeStream.foreachBatch(load)
               .option("checkpointLocation", checkpoint))
