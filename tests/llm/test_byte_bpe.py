@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordstats.llm import byte_bpe
 
-from conftest_llm import AWKWARD, SF_MID
+from llm_tables import AWKWARD, SF_MID, docs_of, mid_docs  # noqa: F401
 
 
 def reference_encoder():

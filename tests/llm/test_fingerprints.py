@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wordstats.llm import fingerprints as fp
 
-from conftest_llm import AWKWARD, SF_MID
+from llm_tables import AWKWARD, SF_MID, docs_of, mid_docs  # noqa: F401
 
 
 def numbered(words, k):

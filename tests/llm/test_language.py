@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wordstats.llm import language
 
-from conftest_llm import AWKWARD, SF_MID
+from llm_tables import AWKWARD, SF_MID, docs_of  # noqa: F401
 
 
 def test_held_out_accuracy(spark):

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from wordstats.llm import mixing
 
-from conftest_llm import AWKWARD, SF_MID
+from llm_tables import AWKWARD, SF_MID, docs_of  # noqa: F401
 
 
 def water_fill(sizes, weights, share, cap):

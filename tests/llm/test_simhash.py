@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wordstats.llm import simhash
 from wordstats.llm.components import components
 
-from conftest_llm import AWKWARD, SF_MID
+from llm_tables import AWKWARD, SF_MID, docs_of, mid_docs  # noqa: F401
 
 
 def brute_fingerprint(text):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wordstats.llm import topk
 
-from conftest_llm import SF_MID
+from llm_tables import SF_MID  # noqa: F401
 
 
 def brute(rows, queries, k):

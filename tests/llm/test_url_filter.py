@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from wordstats.llm import url_filter
 
-from conftest_llm import SF_MID
+from llm_tables import SF_MID  # noqa: F401
 
 
 def test_query_equals_sql(spark):
