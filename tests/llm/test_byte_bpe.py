@@ -37,6 +37,20 @@ def test_pieces_do_not_change_ids():
             assert byte_bpe.encode_text(enc, t, size) == enc.encode_ordinary(t)
 
 
+def test_long_white_space():
+    enc = reference_encoder()
+    texts = ["a" + " " * 40 + "b!\x1c!\x1c  c" + "\n " * 30, " " * 50, "\t" * 33 + "x", "\x1c" * 60 + " \x1f" * 40,
+             "word " * 30 + "\u3000" * 45 + "\u2028" * 3 + "!", "x" + "\x85\xa0" * 20 + " 's"]
+    for t in texts:
+        for size in (5, 1000):
+            for run in (4, 16, 32):
+                assert byte_bpe.encode_text(enc, t, size, run) == enc.encode_ordinary(t)
+    # too long for the pattern itself
+    for t in (" " * 1_200_000 + "a", "b" + "\n" * 1_200_000, ("x " + " " * 9000) * 100, "y" * 1_000_000):
+        assert enc.decode_bytes(byte_bpe.encode_text(enc, t)) == t.encode()
+    assert byte_bpe.encode_text(enc, " " * 20_000 + "a") == enc.encode_ordinary(" " * 20_000 + "a")
+
+
 def test_awkward_rows_round_trip(spark, docs_of):
     model = byte_bpe.default_ranks(spark)
     docs = docs_of(AWKWARD).withColumn("ids", F.lit("clash")).withColumn("n_tokens", F.lit("clash"))

@@ -11,6 +11,11 @@ something else.  No match of the pattern runs over such a place and the
 pattern's look-ahead is not affected by it, so the pieces' ids put together
 are the whole text's ids; a text without such a place stays in one piece.
 
+Runs of ``RUN_CHARS`` white space characters or more are too much for the
+pattern's backtracking.  Such a run is one match up to its last character,
+which belongs to what follows (all of it at the end of a text); that match
+is encoded as a whole, without the pattern.
+
 Null and empty texts have no ids and decode to no bytes.  Repeated rows,
 ties and extra columns pass through; an input column named like an output
 column is replaced.
@@ -23,9 +28,11 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +44,12 @@ PIECE_CHARS = 1 << 16
 #: Largest rank file that is broadcast.
 MAX_RANK_BYTES = 64 << 20
 
-_BOUNDARY = re.compile(r"(?<=\S)(?=\s)")
+#: White space runs from this length on are matched without the pattern.
+RUN_CHARS = 1 << 13
+
+# What \s means to the pattern (Python's own \s has more).
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BOUNDARY = re.compile(f"(?<=[^{_SPACE}])(?=[{_SPACE}])")
 _ENCODERS: dict = {}
 
 
@@ -50,16 +62,26 @@ def load_ranks(spark: SparkSession, path: str, pattern: str) -> Broadcast:
         return spark.sparkContext.broadcast((pattern, f.read()))
 
 
-def encoder(pattern: str, ranks: bytes):
-    """The tiktoken encoder of a rank file, built once per process."""
+class Encoder(tiktoken.Encoding):
+    """The tiktoken encoder of a pattern, which can also take a text as one match."""
+
+    def __init__(self, pattern: str, ranks: dict[bytes, int]):
+        super().__init__("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.ranks = ranks
+
+    @cached_property
+    def one_match(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("one match", pat_str=r"(?s:.+)", mergeable_ranks=self.ranks,
+                                 special_tokens={})
+
+
+def encoder(pattern: str, ranks: bytes) -> Encoder:
+    """The encoder of a rank file, built once per process."""
     key = (pattern, hash(ranks))
     if key not in _ENCODERS:
-        import tiktoken
-
         parsed = {base64.b64decode(token): int(rank)
                   for token, rank in (line.split() for line in ranks.splitlines() if line)}
-        _ENCODERS[key] = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=parsed,
-                                           special_tokens={})
+        _ENCODERS[key] = Encoder(pattern, parsed)
     return _ENCODERS[key]
 
 
@@ -76,9 +98,26 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def encode_text(enc, text: str | None, size: int = PIECE_CHARS) -> list[int]:
-    if not text:
-        return []
+def long_runs(text: str, run: int = RUN_CHARS) -> Iterator[tuple[int, int]]:
+    """(start, end) of the matches made by white space runs of ``run``
+    characters or more."""
+    half = run // 2
+    # Such a run holds a whole block of half its length: most texts have none.
+    if len(text) >= run and any(text[i:i + half].isspace() for i in range(0, len(text) - half + 1, half)):
+        for m in re.finditer(f"[{_SPACE}]{{{run},}}", text):
+            yield m.start(), m.end() - (m.end() < len(text))
+
+
+def encode_text(enc: Encoder, text: str | None, size: int = PIECE_CHARS, run: int = RUN_CHARS) -> list[int]:
+    ids: list[int] = []
+    at = 0
+    for start, end in long_runs(text or "", run):
+        ids += _encode_pieces(enc, text[at:start], size) + enc.one_match.encode_ordinary(text[start:end])
+        at = end
+    return ids + _encode_pieces(enc, text[at:] if text else "", size)
+
+
+def _encode_pieces(enc: Encoder, text: str, size: int) -> list[int]:
     if len(text) <= size:
         return enc.encode_ordinary(text)
     return [i for piece in pieces(text, size) for i in enc.encode_ordinary(piece)]
