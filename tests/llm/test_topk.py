@@ -45,3 +45,14 @@ def test_awkward_vectors(spark, monkeypatch):
         assert got == brute(wide, [r for r in wide if r[0] % 10 == 0], k)
     assert topk.search(df.limit(0), F.col("id") % 10 == 0).count() == 0
     assert topk.search(df, F.col("id") < 0).count() == 0
+
+
+def test_crowded_ring_is_cut(spark, monkeypatch):
+    monkeypatch.setattr(topk, "RING_ROWS", 8)
+    # 300 vectors close to each other, a few far away: nearly all fall into one band
+    rows = [(i, [0.5 + (i % 17) / 1024, 0.5 + i // 17 / 1024, 0.25]) for i in range(300)]
+    rows += [(300 + i, [float(i), -float(i), 3.0]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in topk.search(df, F.col("id") % 25 == 0, 10).collect()}
+    kept = vectors(rows)
+    assert got == brute(kept, [r for r in kept if r[0] % 25 == 0], 10)

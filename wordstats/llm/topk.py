@@ -7,8 +7,9 @@ points and the triangle inequality holds.
 
 Index: ``PIVOTS`` pivots are picked far apart from a bounded sample; every
 vector is keyed by its nearest pivot and its distance to it, and each
-pivot's vectors, sorted by distance, are cut into rings (annuli) of about
-``RING_ROWS`` vectors.  Search: a query first scans the ring that it falls
+pivot's vectors are cut by distance into rings (annuli) of about
+``RING_ROWS`` vectors; a ring that holds more, as distances crowd, is cut
+further into parts of that size by a hash.  Search: a query first scans the ring that it falls
 into, which gives its k-th best score so far and so a radius; it then
 expands to the rings of every pivot that its ball can touch by the triangle
 inequality, and stops there: a ring [low, high] around a pivot at distance d is left out when
@@ -141,12 +142,18 @@ def search(vectors: DataFrame, queries: Column, k: int = K, vec_id: str = "vec_i
     # Rings: as many quantile cuts of a pivot's distances as it has RING_ROWS.
     sizes = keyed.groupBy("pivot").agg(F.count("*").alias("n"), F.min("d").alias("d0"), F.max("d").alias("d1"))
     # One row per pivot: bounded by PIVOTS.
-    index = store(keyed.join(F.broadcast(sizes), "pivot")
-                  .withColumn("rings", F.ceil(F.col("n") / RING_ROWS))
-                  .withColumn("ring", F.when(F.col("d1") > F.col("d0"), F.least(
-                      F.floor((F.col("d") - F.col("d0")) / (F.col("d1") - F.col("d0")) * F.col("rings")),
-                      F.col("rings") - 1)).otherwise(F.lit(0)).cast("int"))
-                  .select("pivot", "ring", "d", "v", "ids"), "index")
+    bands = store(keyed.join(F.broadcast(sizes), "pivot")
+                  .withColumn("bands", F.ceil(F.col("n") / RING_ROWS))
+                  .withColumn("band", F.when(F.col("d1") > F.col("d0"), F.least(
+                      F.floor((F.col("d") - F.col("d0")) / (F.col("d1") - F.col("d0")) * F.col("bands")),
+                      F.col("bands") - 1)).otherwise(F.lit(0)).cast("long"))
+                  .select("pivot", "band", "d", "v", "ids"), "bands")
+    # Near copies crowd at nearly one distance: no band stays larger than the others.
+    crowded = (bands.groupBy("pivot", "band").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * RING_ROWS)
+               .select("pivot", "band", F.ceil(F.col("n") / RING_ROWS).alias("parts")))
+    part = F.coalesce(F.pmod(F.xxhash64("v"), F.col("parts")), F.lit(0))
+    index = store(bands.join(crowded, ["pivot", "band"], "left")
+                  .select("pivot", F.shiftleft("band", 31).bitwiseOR(part).alias("ring"), "d", "v", "ids"), "index")
     rings = store(index.groupBy("pivot", "ring").agg(F.min("d").alias("low"), F.max("d").alias("high"),
                                                      F.count("*").alias("n")), "rings")
 
