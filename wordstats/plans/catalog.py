@@ -15,17 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordstats.functions.text import word_tokens
-from wordstats.functions.words import letter_cols
+from wordstats.functions.words import letter_cols, letter_names, vowel_count
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.frequency import letter_frequency, letter_frequency_by, position_frequency
-from wordstats.operators.ingest import TABLE_COLUMNS, label_batch, label_counts, load_result
-from wordstats.operators.lookup import store
+from wordstats.operators.ingest import LABELS, TABLE_COLUMNS, label_batch, label_counts, load_result
+from wordstats.operators.lookup import materialise, store
 from wordstats.operators.quality import quality_report
 from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
 from wordstats.plans.load import read_table, write_rows
-from wordstats.plans.model import WordModel, model_from_staged
+from wordstats.plans.model import WordModel, letter_table, model_from_staged
 from wordstats.plans.refresh import publish, read_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
@@ -33,12 +33,14 @@ from wordstats.sources.corpus import (
     candidate_words,
     corpus_tokens,
     corpus_words,
+    latest_documents,
     load_fixture,
     puzzle_date,
     raw_answers,
     table,
+    word_docs,
 )
-from wordstats.sources.pages import land_pages, read_pages
+from wordstats.sources.pages import PAGE, land_pages, read_pages
 from wordstats.streaming.ingest import start_stream_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,12 +95,20 @@ def q_answer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model(spark, sf_dir).answer_history()
 
 
+def answers_and_candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw answers and candidate words, both from one stored pass over the
+    documents' texts."""
+    docs = store(word_docs(spark, sf_dir), "words")
+    return raw_answers(spark, sf_dir, docs=docs), candidate_words(spark, sf_dir, docs=docs)
+
+
 def q_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir).word_scores(candidate_words(spark, sf_dir))
+    raw, candidates = answers_and_candidates(spark, sf_dir)
+    return model_from_staged(stage_answers(raw)).word_scores(candidates)
 
 
 def q_top_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir).top_predictions(candidate_words(spark, sf_dir))
+    return top_predictions(q_word_scores(spark, sf_dir))
 
 
 # --- marts, stored and read back through the published pointer ---------------
@@ -119,6 +129,18 @@ def q_position_heatmap_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart_roundtrip(spark, "position_heatmap", q_position_frequency(spark, sf_dir))
 
 
+def q_predictions_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mart_roundtrip(spark, "top_predictions", q_top_predictions(spark, sf_dir))
+
+
+def q_answer_history_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mart_roundtrip(spark, "answer_history", q_answer_history(spark, sf_dir))
+
+
+def q_difficulty_by_pattern_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mart_roundtrip(spark, "difficulty_by_pattern", q_difficulty_by_pattern(spark, sf_dir))
+
+
 # --- reports ----------------------------------------------------------------
 
 def q_kpi_row(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +185,8 @@ def q_recent_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.latest_raw_rows(raw_answers(spark, sf_dir))
+    docs = latest_documents(spark, sf_dir, R.LATEST_RAW_ROWS)
+    return R.latest_raw_rows(raw_answers(spark, sf_dir, docs=docs))
 
 
 # --- checks -----------------------------------------------------------------
@@ -181,14 +204,15 @@ def q_word_repeat_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = stored_raw(spark, sf_dir)
+    answers_raw, candidates = answers_and_candidates(spark, sf_dir)
+    raw = store(answers_raw, "raw")
     answers = stage_answers(raw)
     model = model_from_staged(answers)
     lf = model.letter_frequency()
     pf = model.position_frequency()
     # Stored like the run stores its marts: two relations read the scores,
     # and the candidate scans and lookups then run once.
-    scores = store(model.word_scores(candidate_words(spark, sf_dir)), "word_scores")
+    scores = store(model.word_scores(candidates), "word_scores")
     return {
         "raw_answers": raw, "staged_answers": answers,
         "letter_frequency": lf, "position_frequency": pf,
@@ -243,10 +267,57 @@ def q_ingest_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_result(stored, label_batch(batch, stored))
 
 
-def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_ingest_full_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full load with a ``today``, which bounds increments only."""
+    stored, batch = load_fixture(spark, sf_dir, full=True, raw=stored_raw(spark, sf_dir))
+    return load_result(stored, label_batch(batch, stored, today=F.col("_today")))
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, str]:
+    """(stored rows, batch, a new landing folder)."""
+    stored, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
+    return stored, batch.drop("_today"), scratch_dir(spark, "landing")
+
+
+def q_ingest_plain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental load from pages without a page number."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    land_pages(batch, f"{landing}/numbered")
+    (spark.read.schema(PAGE).json(f"{landing}/numbered").select("results", "has_more", "total")
+     .write.json(f"{landing}/plain"))
+    labelled = label_batch(read_pages(spark, f"{landing}/plain"), stored,
+                           today=fixture_today(spark, sf_dir))
+    return load_result(stored, labelled)
+
+
+def q_ingest_repeated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental load from two fetches of the same pages: every result
+    arrives twice under the same page and position."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    for i in range(2):
+        land_pages(batch, f"{landing}/fetch={i}")
+    labelled = label_batch(read_pages(spark, f"{landing}/*"), stored,
+                           today=fixture_today(spark, sf_dir))
+    return load_result(stored, labelled)
+
+
+def q_ingest_bad_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of a load where a broken copy of every page, cut off
+    before its results, lies beside the whole one."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    land_pages(batch, f"{landing}/whole")
+    broken = batch.select("page").distinct().select(
+        F.format_string('{"page": %d, "results": [', F.col("page")).alias("value"))
+    broken.write.text(f"{landing}/broken")
+    labelled = label_batch(read_pages(spark, f"{landing}/*"), stored,
+                           today=fixture_today(spark, sf_dir))
+    return label_counts(labelled)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, **source_options) -> str:
     """The incremental load as a stream: the stored rows are written as load
     0, then the pages land in two drops and an available-now stream loads
-    each drop as it finds it."""
+    each drop as it finds it.  Returns the base folder."""
     stored, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
     base = scratch_dir(spark, "stream")
     path = f"{base}/table"
@@ -258,9 +329,25 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                               pages.filter(F.col("page") > middle)]):
         land_pages(part, f"{base}/landing/drop={i}")
         q = start_stream_load(spark, f"{base}/landing/*", path, f"{base}/checkpoint",
-                              counts_path=f"{base}/counts", today=today)
+                              counts_path=f"{base}/counts", today=today, **source_options)
         q.awaitTermination()
-    return read_table(spark, path).select(*TABLE_COLUMNS)
+    return base
+
+
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, f"{_streamed(spark, sf_dir)}/table").select(*TABLE_COLUMNS)
+
+
+def q_stream_ingest_single_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream with one file per micro-batch."""
+    base = _streamed(spark, sf_dir, maxFilesPerTrigger=1)
+    return read_table(spark, f"{base}/table").select(*TABLE_COLUMNS)
+
+
+def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's stored counters, over all micro-batches."""
+    counts = spark.read.parquet(f"{_streamed(spark, sf_dir)}/counts")
+    return counts.agg(*[F.sum(c).alias(c) for c in LABELS])
 
 
 # --- corpus scale -------------------------------------------------------------
@@ -282,6 +369,36 @@ def q_corpus_position_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return position_frequency(_corpus_letters(spark, sf_dir))
 
 
+def q_corpus_top_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.top_letters(q_corpus_letter_frequency(spark, sf_dir))
+
+
+def q_corpus_position_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.position_heatmap(q_corpus_position_frequency(spark, sf_dir))
+
+
+def q_corpus_strongest_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.strongest_letter(q_corpus_position_frequency(spark, sf_dir))
+
+
+def q_corpus_vowel_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    letters = [F.col(c) for c in letter_names()]
+    return R.vowel_distribution(_corpus_letters(spark, sf_dir)
+                                .select(vowel_count(letters).alias("vowel_count")))
+
+
+def q_corpus_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates scored by the letters of all word tokens, whole texts; the
+    used words are still the puzzle answers."""
+    raw, candidates = answers_and_candidates(spark, sf_dir)
+    letters = materialise(letter_table(_corpus_letters(spark, sf_dir)))
+    return WordModel(stage_answers(raw), letters).word_scores(candidates)
+
+
+def q_corpus_top_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_predictions(q_corpus_word_scores(spark, sf_dir))
+
+
 def q_corpus_letter_frequency_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Letter shares and ranks within each language of the corpus."""
     words = (table(spark, sf_dir, "documents")
@@ -325,4 +442,19 @@ QUERIES: dict[str, Query] = {
     "corpus_letter_frequency_by_lang": q_corpus_letter_frequency_by_lang,
     "letter_frequency_mart": q_letter_frequency_mart,
     "position_heatmap_mart": q_position_heatmap_mart,
+    "predictions_mart": q_predictions_mart,
+    "answer_history_mart": q_answer_history_mart,
+    "difficulty_by_pattern_mart": q_difficulty_by_pattern_mart,
+    "ingest_full_today": q_ingest_full_today,
+    "ingest_plain_pages": q_ingest_plain_pages,
+    "ingest_repeated_pages": q_ingest_repeated_pages,
+    "ingest_bad_documents": q_ingest_bad_documents,
+    "stream_ingest_single_files": q_stream_ingest_single_files,
+    "stream_counts": q_stream_counts,
+    "corpus_top_letters": q_corpus_top_letters,
+    "corpus_position_heatmap": q_corpus_position_heatmap,
+    "corpus_strongest_letter": q_corpus_strongest_letter,
+    "corpus_vowel_distribution": q_corpus_vowel_distribution,
+    "corpus_word_scores": q_corpus_word_scores,
+    "corpus_top_predictions": q_corpus_top_predictions,
 }

@@ -49,8 +49,20 @@ def puzzle_date(day_offset):
                       (day_offset % F.lit(CALENDAR_DAYS)).cast("int"))
 
 
-def raw_answers(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> DataFrame:
-    """One raw answer row per document.
+def word_docs(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> DataFrame:
+    """doc_id, n_chars, ``first`` (the first word token or null) and ``words``
+    (the distinct upper-cased word tokens) of every document: what answers
+    and candidates need of the texts, from one pass over them."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "n_chars", F.explode(F.array(word_tokens(F.col("text"), n))).alias("_toks"))
+    return docs.select("doc_id", "n_chars", F.get("_toks", F.lit(0)).alias("first"),
+                       F.array_distinct(F.transform("_toks", F.upper)).alias("words"))
+
+
+def raw_answers(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH,
+                docs: DataFrame | None = None) -> DataFrame:
+    """One raw answer row per document (of ``docs``, a stored ``word_docs``
+    or some of the documents, where given).
 
     ``answer`` is the document's first word token padded with one space on
     each side (null when it has none); ``difficulty`` exists only for
@@ -67,9 +79,11 @@ def raw_answers(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> Da
     they would run the regular expression a second time.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id")
-    joined = table(spark, sf_dir, "documents").select(
-        "doc_id", F.explode(F.array(first_word_token(F.col("text"), n))).alias("_tok"),
-        "n_chars", F.col("doc_id").isin(labels).alias("_labelled"))
+    if docs is None:
+        docs = table(spark, sf_dir, "documents")
+    first = F.col("first") if "first" in docs.columns else first_word_token(F.col("text"), n)
+    joined = docs.select("doc_id", F.explode(F.array(first)).alias("_tok"),
+                         "n_chars", F.col("doc_id").isin(labels).alias("_labelled"))
     date = puzzle_date(F.col("doc_id"))
     diff = (F.lit(DIFFICULTY_BASE)
             + (F.col("n_chars") % F.lit(DIFFICULTY_MOD)).cast("double") / F.lit(DIFFICULTY_STEP))
@@ -90,13 +104,25 @@ def text_word_tokens(spark: SparkSession, sf_dir: str, name: str,
             .select(F.explode(word_tokens(F.col("text"), n)).alias("token")))
 
 
-def candidate_words(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> DataFrame:
-    """Distinct upper-cased word tokens of all text tables (column ``word``).
+def latest_documents(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    """The documents from the k-th largest id on (and those without an id),
+    found in the id column alone; the bound reaches the scan as a filter."""
+    docs = table(spark, sf_dir, "documents")
+    bound = (docs.select("doc_id").orderBy(F.desc_nulls_last("doc_id")).limit(k)
+             .agg(F.min("doc_id")).scalar())
+    return docs.filter((F.col("doc_id") >= bound) | F.col("doc_id").isNull())
+
+
+def candidate_words(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH,
+                    docs: DataFrame | None = None) -> DataFrame:
+    """Distinct upper-cased word tokens of all text tables (column ``word``);
+    those of the documents from a stored ``word_docs`` where given.
 
     The dedup aggregates map-side first, so each task ships at most its own
     distinct words; the shuffle is bounded by the vocabulary, not the text.
     """
-    parts = [text_word_tokens(spark, sf_dir, t, n) for t in TEXT_TABLES]
+    parts = [docs.select(F.explode("words").alias("token")) if docs is not None and t == "documents"
+             else text_word_tokens(spark, sf_dir, t, n) for t in TEXT_TABLES]
     allt = parts[0]
     for p in parts[1:]:
         allt = allt.unionByName(p)

@@ -56,7 +56,7 @@ staged AS (
     FROM split
 )"""
 
-LETTER_FREQ = STAGED + r""",
+FREQ_PART = r""",
 unpivoted AS (
     SELECT CAST(unnest(generate_series(1, 5)) AS INTEGER) AS position,
            unnest([letter_1, letter_2, letter_3, letter_4, letter_5]) AS letter
@@ -80,6 +80,8 @@ position_freq AS (
     GROUP BY position, letter
 )"""
 
+LETTER_FREQ = STAGED + FREQ_PART
+
 CANDIDATES = r""",
 all_text AS (
     SELECT text FROM documents
@@ -94,7 +96,7 @@ candidates AS (
     WHERE regexp_full_match(tok, '[A-Za-z]{5}')
 )"""
 
-SCORES = LETTER_FREQ + CANDIDATES + r""",
+SCORE_PART = CANDIDATES + r""",
 cand_letters AS (
     SELECT upper(word) AS word,
            substr(upper(word), 1, 1) AS letter_1, substr(upper(word), 2, 1) AS letter_2,
@@ -132,6 +134,8 @@ top_predictions AS (
     ) WHERE rank <= 10
 )"""
 
+SCORES = LETTER_FREQ + SCORE_PART
+
 HISTORY_PART = r""",
 history_lookup AS (
     SELECT s.*,
@@ -263,27 +267,32 @@ _RELATION_CTE = {
 }
 
 
+# The 50 checks, written out here on their own: (relation, not-null columns, unique columns).
+_CHECKED = [
+    ("raw_answers", "puzzle_number answer date", "puzzle_number date"),
+    ("staged_answers", "puzzle_number answer answer_date letter_1 letter_2 letter_3 letter_4 letter_5",
+     "puzzle_number answer_date"),
+    ("letter_frequency", "letter total_count frequency_pct frequency_rank", "letter"),
+    ("position_frequency", "position letter position_count position_pct", ""),
+    ("difficulty_by_pattern", "vowel_count unique_letter_count difficulty_bucket", ""),
+    ("letter_frequency_mart", "letter total_count frequency_pct frequency_rank", "letter"),
+    ("position_heatmap_mart", "position letter position_count position_pct", ""),
+    ("answer_history", "puzzle_number answer answer_date", "puzzle_number"),
+    ("word_scores", "word total_score already_used", "word"),
+    ("top_predictions", "rank word total_score", "rank word"),
+]
+
+
 def _quality_sql() -> str:
-    """One SELECT per declared check (the check list is data, shared with
-    the Spark side the way a schema file would be)."""
-    from wordstats.operators.quality import CHECKS
-
-    parts = []
-    for spec in CHECKS:
-        rel = _RELATION_CTE[spec.relation]
-        for c in spec.not_null:
-            parts.append(f"SELECT '{spec.relation}' AS relation, 'not_null' AS check_name, "
-                         f"'{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS failures "
-                         f"FROM {rel}")
-        for c in spec.unique:
-            parts.append(f"SELECT '{spec.relation}', 'unique', '{c}', (SELECT count(*) FROM "
-                         f"(SELECT {c} FROM {rel} WHERE {c} IS NOT NULL GROUP BY {c} "
-                         f"HAVING count(*) > 1))")
-        if spec.no_duplicate_answers:
-            parts.append(f"SELECT '{spec.relation}', 'no_duplicate_answers', "
-                         f"'puzzle_number,answer', (SELECT count(*) FROM (SELECT puzzle_number, "
-                         f"answer FROM {rel} GROUP BY puzzle_number, answer "
-                         f"HAVING count(*) > 1))")
+    parts = ["SELECT 'staged_answers' AS relation, 'no_duplicate_answers' AS check_name, "
+             "'puzzle_number,answer' AS column_name, (SELECT count(*) FROM (SELECT 1 FROM staged "
+             "GROUP BY puzzle_number, answer HAVING count(*) > 1)) AS failures"]
+    for relation, not_null, unique in _CHECKED:
+        cte = _RELATION_CTE[relation]
+        parts += [f"SELECT '{relation}', 'not_null', '{c}', count(*) FILTER (WHERE {c} IS NULL) FROM {cte}"
+                  for c in not_null.split()]
+        parts += [f"SELECT '{relation}', 'unique', '{c}', (SELECT count(*) FROM (SELECT {c} FROM {cte} "
+                  f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))" for c in unique.split()]
     return _with(EVERYTHING, "\nUNION ALL\n".join(parts))
 
 
@@ -431,3 +440,54 @@ SELECT lang, letter, total_count,
        round(total_count * 100.0 / sum(total_count) OVER (PARTITION BY lang), 4) AS frequency_pct,
        rank() OVER (PARTITION BY lang ORDER BY total_count DESC) AS frequency_rank
 FROM lang_counts""")
+
+
+# --- stored and read back, further loads, whole-text reports ------------------
+
+ORACLE.update({
+    "predictions_mart": ORACLE["top_predictions"],
+    "answer_history_mart": _with(HISTORY, """
+SELECT puzzle_number, answer, answer_date, day_name, answer_year, answer_month, difficulty,
+       difficulty_bucket, vowel_count, unique_letter_count, word_commonality_score
+FROM answer_history"""),
+    "difficulty_by_pattern_mart": ORACLE["difficulty_by_pattern"],
+    # The copies of an id agree, so what is stored doesn't depend on their order.
+    "ingest_full_today": ORACLE["ingest_full"],
+    "ingest_plain_pages": ORACLE["ingest_incremental"],
+    "ingest_repeated_pages": ORACLE["ingest_incremental"],
+    "stream_ingest_single_files": ORACLE["ingest_incremental"],
+    "stream_counts": _with(_load_ctes(), "SELECT * FROM load_counts"),
+    "ingest_bad_documents": _with(_load_ctes(), """
+SELECT inserted, skipped, failed + (SELECT count(DISTINCT page) FROM batch) AS failed
+FROM load_counts"""),
+})
+
+CORPUS_STAGED = CORPUS + r""",
+corpus_staged AS (
+    SELECT upper(token) AS answer, substr(upper(token), 1, 1) AS letter_1,
+           substr(upper(token), 2, 1) AS letter_2, substr(upper(token), 3, 1) AS letter_3,
+           substr(upper(token), 4, 1) AS letter_4, substr(upper(token), 5, 1) AS letter_5
+    FROM corpus_tokens
+)"""
+# The same definitions of shares, over all word tokens in place of the answers.
+CORPUS_FREQ = CORPUS_STAGED + FREQ_PART.replace("FROM staged", "FROM corpus_staged")
+
+
+def _over_corpus(name: str) -> str:
+    """A report's own SELECT over the corpus-wide shares."""
+    return _with(CORPUS_FREQ, ORACLE[name].split(_with(LETTER_FREQ, ""), 1)[1])
+
+
+ORACLE.update({f"corpus_{name}": _over_corpus(name)
+               for name in ("top_letters", "position_heatmap", "strongest_letter")})
+ORACLE["corpus_vowel_distribution"] = _with(CORPUS_STAGED + r""",
+vowels AS (
+    SELECT CAST(length(regexp_replace(answer, '[^AEIOU]', '', 'g')) AS INTEGER) AS vowel_count
+    FROM corpus_staged
+)""", """
+SELECT vowel_count, count(*) AS puzzles,
+       vowel_count || ' vowel' || CASE WHEN vowel_count = 1 THEN '' ELSE 's' END AS label
+FROM vowels GROUP BY vowel_count""")
+_CORPUS_SCORES = STAGED + "," + CORPUS_FREQ + SCORE_PART
+ORACLE["corpus_word_scores"] = _with(_CORPUS_SCORES, "SELECT * FROM word_scores")
+ORACLE["corpus_top_predictions"] = _with(_CORPUS_SCORES, "SELECT * FROM top_predictions")
