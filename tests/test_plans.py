@@ -66,3 +66,12 @@ def test_load_joins_only_rows_with_an_id(spark):
     # the id-less branch is labelled without the id joins
     assert "isnull(" in second and "LeftOuter" not in second
     assert "LeftOuter" in "\n".join(lines[:lines.index(second.splitlines()[0])])
+
+
+def test_word_queries_read_documents_once(spark):
+    from wordstats.plans.catalog import answers_and_candidates
+
+    raw, candidates = answers_and_candidates(spark, SF_SMALL)
+    for df in (raw, candidates):
+        assert df.count() > 0
+        assert not any(f.endswith(f"{SF_SMALL}/documents.parquet") for f in df.inputFiles())

@@ -19,7 +19,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--marts", required=True, help="marts folder")
     p.add_argument("--candidates", required=True, help="candidate CSV (header: word)")
     p.add_argument("--landing", help="landed JSON pages to load first")
-    p.add_argument("--today", help="last date to fetch (default: no upper bound)")
+    p.add_argument("--today", default="current",
+                   help="last date that an increment fetches (default: the current date)")
     p.add_argument("--accept-late", action="store_true", help="load rows dated before the mark")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     args = p.parse_args(argv)

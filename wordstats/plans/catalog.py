@@ -314,19 +314,21 @@ def q_ingest_bad_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_counts(labelled)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, **source_options) -> str:
+def _streamed(spark: SparkSession, sf_dir: str, full: bool = False, **source_options) -> str:
     """The incremental load as a stream: the stored rows are written as load
     0, then the pages land in two drops and an available-now stream loads
-    each drop as it finds it.  Returns the base folder."""
-    stored, batch = load_fixture(spark, sf_dir, raw=stored_raw(spark, sf_dir))
+    each drop as it finds it.  A full load starts without stored rows, and
+    the later pages land first.  Returns the base folder."""
+    stored, batch = load_fixture(spark, sf_dir, full=full, raw=stored_raw(spark, sf_dir))
     base = scratch_dir(spark, "stream")
     path = f"{base}/table"
-    write_rows(stored, path, load_id=0)
+    if not full:
+        write_rows(stored, path, load_id=0)
     pages = batch.drop("_today")
     middle = pages.select(F.floor((F.min("page") + F.max("page")) / F.lit(2))).scalar()
     today = fixture_today(spark, sf_dir)
-    for i, part in enumerate([pages.filter(F.col("page") <= middle),
-                              pages.filter(F.col("page") > middle)]):
+    drops = [pages.filter(F.col("page") <= middle), pages.filter(F.col("page") > middle)]
+    for i, part in enumerate(reversed(drops) if full else drops):
         land_pages(part, f"{base}/landing/drop={i}")
         q = start_stream_load(spark, f"{base}/landing/*", path, f"{base}/checkpoint",
                               counts_path=f"{base}/counts", today=today, **source_options)
@@ -344,6 +346,12 @@ def q_stream_ingest_single_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table").select(*TABLE_COLUMNS)
 
 
+def q_stream_ingest_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full load as a stream, one file per micro-batch, later pages first."""
+    base = _streamed(spark, sf_dir, full=True, maxFilesPerTrigger=1)
+    return read_table(spark, f"{base}/table").select(*TABLE_COLUMNS)
+
+
 def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream's stored counters, over all micro-batches."""
     counts = spark.read.parquet(f"{_streamed(spark, sf_dir)}/counts")
@@ -450,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "ingest_repeated_pages": q_ingest_repeated_pages,
     "ingest_bad_documents": q_ingest_bad_documents,
     "stream_ingest_single_files": q_stream_ingest_single_files,
+    "stream_ingest_full": q_stream_ingest_full,
     "stream_counts": q_stream_counts,
     "corpus_top_letters": q_corpus_top_letters,
     "corpus_position_heatmap": q_corpus_position_heatmap,

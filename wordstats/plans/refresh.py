@@ -53,7 +53,7 @@ class RunConfig:
     marts_path: str
     landing: str | None = None        # new pages to load first, if any
     load_id: int | None = None        # defaults to 1 + the latest load
-    today: str | None = None
+    today: str | None = "current"     # last date of an increment; None: no bound
     accept_late: bool = False
     n: int = DEFAULT_LENGTH
     top_k: int = 10

@@ -2,7 +2,10 @@
 
 ``readStream`` picks up new page files; each micro-batch is loaded with
 ``insert_if_absent`` as load ``first_load + batch_id`` (by default one past
-the table's latest load when the stream first starts, kept for restarts).  Inside a
+the table's latest load when the stream first starts, kept for restarts).  The
+fetch window is the stream's, too: the table's latest date when the stream
+first starts, kept beside the checkpoint, so that the result doesn't depend on
+how files fall into micro-batches or starts.  Inside a
 micro-batch rows are ordered by ``(page, pos)``; micro-batches follow
 arrival order.  The checkpoint records which files were consumed; a
 replayed micro-batch relabels against earlier loads only and overwrites
@@ -11,6 +14,8 @@ its own partition, so replays are idempotent.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,33 +24,33 @@ from wordstats.plans.load import insert_if_absent, read_table
 from wordstats.sources.pages import stream_pages
 
 
-def _first_load(spark: SparkSession, table_path: str, checkpoint: str) -> int:
-    """The load id of micro-batch 0: one past the table's latest load when
-    the stream first starts, then read back from next to the checkpoint so
-    a restarted stream numbers its batches as before."""
-    marker = f"{checkpoint.rstrip('/')}_first_load"
+def _start(spark: SparkSession, table_path: str, checkpoint: str) -> tuple[int, date | None]:
+    """The load id of micro-batch 0 and the mark of the fetch window: one
+    past the table's latest load and its latest date (null: empty) when the
+    stream first starts, then read back from next to the checkpoint."""
+    marker = f"{checkpoint.rstrip('/')}_start"
     try:
-        return int(spark.read.schema("first_load LONG").json(marker).first()["first_load"])
+        kept = spark.read.schema("first_load LONG, mark DATE").json(marker).first()
+        return kept["first_load"], kept["mark"]
     except Exception as e:  # first start: no marker yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-    latest = read_table(spark, table_path).agg(F.max("load_id")).first()[0]
-    first = 0 if latest is None else latest + 1
-    spark.range(1).select(F.lit(first).cast("long").alias("first_load")) \
-        .coalesce(1).write.json(marker)
-    return first
+    start = read_table(spark, table_path).agg(
+        F.coalesce(F.max("load_id") + 1, F.lit(0).cast("long")).alias("first_load"),
+        F.max("date").alias("mark"))
+    start.coalesce(1).write.json(marker)
+    kept = spark.read.schema("first_load LONG, mark DATE").json(marker).first()
+    return kept["first_load"], kept["mark"]
 
 
 def start_stream_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                       counts_path: str | None = None, today: Column | str | None = None,
                       accept_late: bool = False, first_load: int | None = None,
                       available_now: bool = True, **source_options) -> StreamingQuery:
+    own_first, latest = _start(spark, table_path, checkpoint)
     if first_load is None:
-        first_load = _first_load(spark, table_path, checkpoint)
+        first_load = own_first
     rows = stream_pages(spark, landing, **source_options)
-    # The fetch window belongs to the fetch: one mark for all micro-batches
-    # of this start, however the files fall into them.
-    latest = read_table(spark, table_path).agg(F.max("date")).first()[0]
     mark = F.lit(latest).cast("date")
 
     def load(batch: DataFrame, batch_id: int) -> None:

@@ -456,6 +456,7 @@ FROM answer_history"""),
     "ingest_plain_pages": ORACLE["ingest_incremental"],
     "ingest_repeated_pages": ORACLE["ingest_incremental"],
     "stream_ingest_single_files": ORACLE["ingest_incremental"],
+    "stream_ingest_full": ORACLE["ingest_full"],
     "stream_counts": _with(_load_ctes(), "SELECT * FROM load_counts"),
     "ingest_bad_documents": _with(_load_ctes(), """
 SELECT inserted, skipped, failed + (SELECT count(DISTINCT page) FROM batch) AS failed
