@@ -28,6 +28,13 @@ def test_seeded_violations_fail(spark):
     assert not passes(rep)
 
 
+def test_gate_wants_every_declared_check(spark):
+    raw = spark.createDataFrame([(1, "CIGAR", dt.date(2024, 1, 1), "x", 1.0)], RAW_SCHEMA)
+    rep = quality_report({"raw_answers": raw})
+    assert passes(rep) and not passes(rep, CHECKS)
+    assert passes(rep, tuple(c for c in CHECKS if c.relation == "raw_answers"))
+
+
 def test_clean_marts_pass(spark):
     from wordstats.plans.catalog import quality_relations
 

@@ -7,10 +7,12 @@ A check passes when it finds nothing:
 * ``no_duplicate_answers`` -- failures = (puzzle_number, answer) pairs
   stored more than once.
 
-Every relation emits one ``(column, value)`` pair per checked column and
-row (integral and date values as longs, other values as text); all pairs of
-all relations are counted in one aggregation, and a small second
-aggregation per column yields null counts and duplicated values.
+Every declared check has a number.  A relation is read once: a row emits
+``(check, value)`` for each unique check (integral and date values as longs,
+other values as text) and, for a null check, only where the column is null,
+so clean rows move nothing for their null checks.  What all relations emit
+is counted in one aggregation, and a small second aggregation per check
+yields its failures.
 The report has one row per declared check: relation, check_name,
 column_name, failures (0 for a relation with no rows).
 """
@@ -65,77 +67,80 @@ DUPLICATE_PAIR = "puzzle_number,answer"
 _AS_NUMBER = ("tinyint", "smallint", "int", "bigint", "date")
 
 
-def _pairs(df: DataFrame, spec: RelationChecks) -> DataFrame:
-    """(_rel, _c, _k, _s): one pair per checked column per row, the value in
-    ``_k`` (integral and date columns, as a long) or ``_s`` (anything else,
-    as text); both null means the value is null.  Numbers travel in 8 bytes
-    instead of their decimal text.  Columns that are only null-checked carry
-    a two-valued marker instead of their value, so they collapse to two
-    groups map-side."""
-    types = dict(df.dtypes)
-    items = []
-
-    def item(name, k, s):
-        return F.struct(F.lit(name).alias("_c"), k.cast("long").alias("_k"),
-                        s.cast("string").alias("_s"))
-
-    none = F.lit(None)
-    for c in dict.fromkeys([*spec.not_null, *spec.unique]):
-        col = F.col(c)
-        if c not in spec.unique:
-            items.append(item(c, F.when(col.isNotNull(), F.lit(0)), none))
-        elif types[c] == "date":
-            items.append(item(c, F.unix_date(col), none))
-        elif types[c] in _AS_NUMBER:
-            items.append(item(c, col, none))
-        else:
-            items.append(item(c, none, col))
-    if spec.no_duplicate_answers:
-        pair = F.to_json(F.struct(F.col("puzzle_number"), F.col("answer")))
-        items.append(item(DUPLICATE_PAIR, none, pair))
-    return df.select(F.lit(spec.relation).alias("_rel"), F.inline(F.array(*items)))
-
-
-def _spec_rows(spark, checks) -> DataFrame:
+def _declared(checks: tuple[RelationChecks, ...]) -> list[tuple[str, str, str]]:
+    """(relation, check_name, column_name) of every declared check; a check's
+    number is its place in this list."""
     rows = []
     for spec in checks:
         rows += [(spec.relation, "not_null", c) for c in spec.not_null]
         rows += [(spec.relation, "unique", c) for c in spec.unique]
         if spec.no_duplicate_answers:
             rows.append((spec.relation, "no_duplicate_answers", DUPLICATE_PAIR))
-    return spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(r).alias("relation"), F.lit(k).alias("check_name"),
-                 F.lit(c).alias("column_name")) for r, k, c in rows])))
+    return rows
+
+
+def _emitted(df: DataFrame, relation: str, declared: list[tuple[str, str, str]]) -> DataFrame:
+    """(_id, _k, _s): what the relation's rows emit for their checks, the
+    value in ``_k`` (as a long) or ``_s`` (as text)."""
+    types = dict(df.dtypes)
+    none = F.lit(None)
+
+    def item(number, k, s):
+        return F.struct(F.lit(number).alias("_id"), k.cast("long").alias("_k"),
+                        s.cast("string").alias("_s"))
+
+    cases = []
+    for number, (of, check, name) in enumerate(declared):
+        if of != relation:
+            continue
+        if check == "not_null":
+            cases.append(F.when(F.col(name).isNull(), item(number, none, none)))
+        elif check == "no_duplicate_answers":
+            cases.append(item(number, F.col("puzzle_number"), F.col("answer")))
+        else:
+            col = F.col(name)
+            value = (item(number, F.unix_date(col), none) if types[name] == "date"
+                     else item(number, col, none) if types[name] in _AS_NUMBER
+                     else item(number, none, col))
+            cases.append(F.when(col.isNotNull(), value))
+    return df.select(F.inline(F.array_compact(F.array(*cases))))
 
 
 def quality_report(relations: dict[str, DataFrame],
                    checks: tuple[RelationChecks, ...] = CHECKS) -> DataFrame:
     """Run every check whose relation is given; one row per check.
 
-    All relations feed one aggregation keyed by (relation, column, value)
-    -- a single shuffle for every check, with map-side partial aggregation
-    so a hot value or a hot column collapses before it moves -- and one
-    small aggregation per checked column turns the counts into failures.
+    All relations feed one aggregation keyed by (check, value) -- a single
+    shuffle for every check, with map-side partial aggregation so a hot
+    value or a column of nulls collapses before it moves -- and one small
+    aggregation per check turns the counts into failures.
     """
-    present = tuple(c for c in checks if c.relation in relations)
-    pairs = reduce(lambda a, b: a.unionByName(b),
-                   [_pairs(relations[c.relation], c) for c in present])
-    counted = pairs.groupBy("_rel", "_c", "_k", "_s").agg(F.count(F.lit(1)).alias("_n"))
-    is_null = F.col("_k").isNull() & F.col("_s").isNull()
-    per_col = counted.groupBy("_rel", "_c").agg(
-        F.sum(F.when(is_null, F.col("_n"))).alias("_nulls"),
-        F.count(F.when(~is_null & (F.col("_n") > F.lit(1)), F.lit(1))).alias("_dups"))
+    declared = _declared(tuple(c for c in checks if c.relation in relations))
+    rows = reduce(lambda a, b: a.unionByName(b),
+                  [_emitted(relations[r], r, declared) for r in dict.fromkeys(d[0] for d in declared)])
+    counted = rows.groupBy("_id", "_k", "_s").agg(F.count(F.lit(1)).alias("_n"))
+    per_check = counted.groupBy("_id").agg(
+        F.sum("_n").alias("_rows"), F.count(F.when(F.col("_n") > F.lit(1), F.lit(1))).alias("_dups"))
     spark = next(iter(relations.values())).sparkSession
-    spec = _spec_rows(spark, present)
-    joined = spec.join(F.broadcast(per_col),
-                       (F.col("relation") == F.col("_rel")) & (F.col("column_name") == F.col("_c")),
-                       "left")
-    failures = F.when(F.col("check_name") == F.lit("not_null"), F.col("_nulls")) \
+    spec = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("number"), F.lit(r).alias("relation"), F.lit(k).alias("check_name"),
+                 F.lit(c).alias("column_name")) for i, (r, k, c) in enumerate(declared)])))
+    # One row per declared check: bounded.
+    joined = spec.join(F.broadcast(per_check), F.col("number") == F.col("_id"), "left")
+    failures = F.when(F.col("check_name") == F.lit("not_null"), F.col("_rows")) \
         .otherwise(F.col("_dups"))
     return joined.select("relation", "check_name", "column_name",
                          F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))
 
 
-def passes(report: DataFrame) -> bool:
-    """The publish gate: true when no check found anything (one small action)."""
-    return report.filter(F.col("failures") > F.lit(0)).isEmpty()
+def passes(report: DataFrame, checks: tuple[RelationChecks, ...] = ()) -> bool:
+    """The publish gate: true when no check found anything and every check
+    that ``checks`` declares is in the report (one or two small actions)."""
+    if not report.filter(F.col("failures") > F.lit(0)).isEmpty():
+        return False
+    declared = _declared(checks)
+    if not declared:
+        return True
+    reported = report.select("relation", "check_name", "column_name").distinct()
+    # One row per declared check: bounded.
+    return set(declared) <= {tuple(r) for r in reported.collect()}

@@ -64,6 +64,11 @@ def winner_breakdown(predictions: DataFrame, n: int = DEFAULT_LENGTH) -> DataFra
     )
 
 
+def winner_word(predictions: DataFrame, n: int = DEFAULT_LENGTH) -> DataFrame:
+    """rank, word, rebuilt: every predicted word put together from its letter columns."""
+    return predictions.select("rank", "word", F.concat(*letter_names(n)).alias("rebuilt"))
+
+
 def top_letters(letter_freq: DataFrame, k: int = TOP_LETTERS) -> DataFrame:
     """The k most frequent letters with a text bar: bar_len blocks (two per
     percent, truncated), the bar itself, and bar_width (5% per block, <= 100)."""

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordstats.functions.text import word_tokens
 from wordstats.functions.words import letter_cols, letter_names, vowel_count
+from wordstats.operators import display as V
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.frequency import letter_frequency, letter_frequency_by, position_frequency
@@ -26,7 +27,7 @@ from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
 from wordstats.plans.load import read_table, write_rows
 from wordstats.plans.model import WordModel, letter_table, model_from_staged
-from wordstats.plans.refresh import publish, read_mart
+from wordstats.plans.refresh import publish, read_candidates, read_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
     FUTURE_DAYS,
@@ -141,6 +142,41 @@ def q_difficulty_by_pattern_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart_roundtrip(spark, "difficulty_by_pattern", q_difficulty_by_pattern(spark, sf_dir))
 
 
+def _in_read_order(mart: DataFrame, *columns: str) -> DataFrame:
+    """The mart's columns with ``read_position``: each row's place as it is
+    read.  For marts of bounded size (alphabet, patterns, top k)."""
+    placed = mart.withColumn("_at", F.monotonically_increasing_id())
+    return placed.select(*columns, F.row_number().over(Window.orderBy("_at")).cast("long")
+                         .alias("read_position"))
+
+
+def q_letter_frequency_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_read_order(q_letter_frequency_mart(spark, sf_dir), "letter", "total_count")
+
+
+def q_position_heatmap_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_read_order(q_position_heatmap_mart(spark, sf_dir), "position", "letter",
+                          "position_count")
+
+
+def q_predictions_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_read_order(q_predictions_mart(spark, sf_dir), "rank", "word")
+
+
+def q_difficulty_by_pattern_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_read_order(q_difficulty_by_pattern_mart(spark, sf_dir), "vowel_count",
+                          "unique_letter_count", "difficulty_bucket", "avg_difficulty")
+
+
+def q_predictions_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions whose candidates went through the CSV seed."""
+    raw, candidates = answers_and_candidates(spark, sf_dir)
+    seed = scratch_dir(spark, "seed")
+    candidates.write.option("header", True).csv(f"{seed}/words")
+    scores = model_from_staged(stage_answers(raw)).word_scores(read_candidates(spark, f"{seed}/words"))
+    return top_predictions(scores)
+
+
 # --- reports ----------------------------------------------------------------
 
 def q_kpi_row(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +191,26 @@ def q_winner_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.winner_breakdown(q_top_predictions(spark, sf_dir))
 
 
+def q_winner_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.winner_word(q_top_predictions(spark, sf_dir))
+
+
+def q_kpi_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.kpi_display(q_kpi_row(spark, sf_dir))
+
+
+def q_letter_bar_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.letter_bar_text(q_top_letters(spark, sf_dir))
+
+
+def q_recent_answers_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.recent_answers_display(q_recent_answers(spark, sf_dir))
+
+
+def q_heatmap_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.heatmap_display(q_position_heatmap(spark, sf_dir))
+
+
 def q_top_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.top_letters(q_letter_frequency(spark, sf_dir))
 
@@ -466,4 +522,14 @@ QUERIES: dict[str, Query] = {
     "corpus_vowel_distribution": q_corpus_vowel_distribution,
     "corpus_word_scores": q_corpus_word_scores,
     "corpus_top_predictions": q_corpus_top_predictions,
+    "letter_frequency_read": q_letter_frequency_read,
+    "position_heatmap_read": q_position_heatmap_read,
+    "predictions_read": q_predictions_read,
+    "difficulty_by_pattern_read": q_difficulty_by_pattern_read,
+    "predictions_from_csv": q_predictions_from_csv,
+    "winner_word": q_winner_word,
+    "kpi_text": q_kpi_text,
+    "letter_bar_text": q_letter_bar_text,
+    "recent_answers_display": q_recent_answers_display,
+    "heatmap_display": q_heatmap_display,
 }

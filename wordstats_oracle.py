@@ -492,3 +492,45 @@ FROM vowels GROUP BY vowel_count""")
 _CORPUS_SCORES = STAGED + "," + CORPUS_FREQ + SCORE_PART
 ORACLE["corpus_word_scores"] = _with(_CORPUS_SCORES, "SELECT * FROM word_scores")
 ORACLE["corpus_top_predictions"] = _with(_CORPUS_SCORES, "SELECT * FROM top_predictions")
+
+# Marts as they are read: each row's place in the read order.
+ORACLE.update({
+    "letter_frequency_read": _with(LETTER_FREQ, """
+SELECT letter, total_count, row_number() OVER (ORDER BY total_count DESC, letter) AS read_position
+FROM letter_freq"""),
+    "position_heatmap_read": _with(LETTER_FREQ, """
+SELECT position, letter, position_count,
+       row_number() OVER (ORDER BY position, position_count DESC, letter) AS read_position
+FROM position_freq"""),
+    "predictions_read": _with(SCORES, """
+SELECT rank, word, row_number() OVER (ORDER BY rank) AS read_position FROM top_predictions"""),
+    "difficulty_by_pattern_read": _with(STAGED + PATTERN_PART, """
+SELECT vowel_count, unique_letter_count, difficulty_bucket, avg_difficulty,
+       row_number() OVER (ORDER BY avg_difficulty DESC, vowel_count, unique_letter_count,
+                          difficulty_bucket) AS read_position
+FROM difficulty_by_pattern"""),
+    "predictions_from_csv": ORACLE["top_predictions"],
+})
+
+# Texts as they are shown.
+ORACLE.update({
+    "winner_word": _with(SCORES, "SELECT rank, word, word AS rebuilt FROM top_predictions"),
+    "kpi_text": _with(STAGED, """
+SELECT format('{:,}', count(*)) AS total_puzzles, '#' || max(puzzle_number) AS latest_puzzle,
+       printf('%.2f', avg(difficulty)) AS avg_difficulty,
+       printf('%.1f', avg(vowel_count)) AS avg_vowels
+FROM staged"""),
+    # Shares have four decimals: rounded to one as decimals, half up.
+    "letter_bar_text": _with(LETTER_FREQ, """
+SELECT letter, repeat('█', CAST(trunc(frequency_pct * 2) AS INTEGER)) || ' '
+       || CAST(round(CAST(frequency_pct AS DECIMAL(9, 4)), 1) AS DECIMAL(9, 1)) || '%' AS bar_text
+FROM letter_freq ORDER BY total_count DESC, letter LIMIT 10"""),
+    "recent_answers_display": _with(STAGED, """
+SELECT puzzle_number AS "Puzzle #", answer AS "Answer", answer_date AS "Date", day_name AS "Day",
+       difficulty AS "Difficulty", difficulty_bucket AS "Level", vowel_count AS "Vowels",
+       unique_letter_count AS "Unique Letters"
+FROM staged ORDER BY puzzle_number DESC LIMIT 20"""),
+    "heatmap_display": "SELECT letter, " + ", ".join(
+        f'position_{k} AS "Position {k}"' for k in range(1, 6))
+        + f" FROM ({ORACLE['position_heatmap']})",
+})
