@@ -14,7 +14,7 @@ files that carry the same page, have a total order too (null pages first):
    row of the batch carries it (the first valid row wins; the id test
    comes before validation, so later invalid rows are skipped too);
 3. ``failed`` -- invalid: null id, null answer, or a date that is not a
-   whole ``yyyy-MM-dd`` date;
+   whole ``yyyy-MM-dd`` date (years from 10000 on have more digits);
 4. ``inserted`` -- otherwise.
 
 Instead of a window over each id (one group = one task, however hot the
@@ -35,7 +35,8 @@ from wordstats.operators.lookup import store
 
 LABELS = ("inserted", "skipped", "failed")
 
-WHOLE_DATE = r"^\s*\d{4}-\d{2}-\d{2}\s*$"
+# Years have four digits, or more (then with or without a sign).
+WHOLE_DATE = r"^\s*(\d{4}|\+?\d{5,})-\d{2}-\d{2}\s*$"
 
 TABLE_COLUMNS = ["puzzle_number", "answer", "date", "day_name", "difficulty"]
 

@@ -30,15 +30,14 @@ from wordstats.plans.model import WordModel, letter_table, model_from_staged
 from wordstats.plans.refresh import publish, read_candidates, read_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
-    FUTURE_DAYS,
     candidate_words,
     corpus_tokens,
     corpus_words,
     latest_documents,
     load_fixture,
-    puzzle_date,
     raw_answers,
     table,
+    window_end,
     word_docs,
 )
 from wordstats.sources.pages import PAGE, land_pages, read_pages
@@ -288,7 +287,7 @@ def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_today(spark: SparkSession, sf_dir: str) -> Column:
     """The load fixture's "today" as a scalar subquery over the id column."""
     return (table(spark, sf_dir, "documents")
-            .select(puzzle_date(F.max("doc_id") - F.lit(FUTURE_DAYS))).scalar())
+            .agg(F.max("doc_id").alias("_max")).select(window_end(F.col("_max"))).scalar())
 
 
 def _labelled(spark: SparkSession, sf_dir: str, accept_late: bool = False) -> DataFrame:

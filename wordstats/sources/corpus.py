@@ -17,8 +17,11 @@ from wordstats.functions.words import DEFAULT_LENGTH
 # The first puzzle date, and the label-derived difficulty rule
 # difficulty = 1.0 + (n_chars mod 41) / 10.0 for labelled documents.
 FIRST_DATE = "2021-06-19"
-# Days from the first puzzle that dates can count: up to about the year 9900.
+# Days from the first puzzle that a date can count (32-bit days from 1970): up
+# to the year 5881580.  Past it dates start again every CALENDAR_DAYS days.
+LAST_DAY = 2**31 - 2 - 18_797
 CALENDAR_DAYS = 2_870_000
+DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 DIFFICULTY_MOD = 41
 DIFFICULTY_BASE = 1.0
 DIFFICULTY_STEP = 10.0
@@ -43,10 +46,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def puzzle_date(day_offset):
-    """The puzzle date ``day_offset`` days after the first puzzle; beyond
-    ``CALENDAR_DAYS`` (the calendar's end) dates start again."""
-    return F.date_add(F.lit(FIRST_DATE).cast("date"),
-                      (day_offset % F.lit(CALENDAR_DAYS)).cast("int"))
+    """The puzzle date ``day_offset`` days after the first puzzle, in the
+    offsets' order up to ``LAST_DAY``, where the date type ends; dates of
+    larger offsets start again."""
+    held = day_offset.between(F.lit(-LAST_DAY), F.lit(LAST_DAY))
+    days = F.when(held, day_offset).otherwise(day_offset % F.lit(CALENDAR_DAYS))
+    return F.date_add(F.lit(FIRST_DATE).cast("date"), days.cast("int"))
+
+
+def day_name(date):
+    """The English name of the weekday (``date_format`` would go through a
+    timestamp, which ends long before dates do)."""
+    return F.get(F.array(*[F.lit(d) for d in DAY_NAMES]), F.weekday(date))
+
+
+def date_text(date):
+    """``date`` as yyyy-MM-dd, without the sign that Spark writes before
+    years of five or more digits."""
+    return F.ltrim(date.cast("string"), F.lit("+"))
 
 
 def word_docs(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> DataFrame:
@@ -92,7 +109,7 @@ def raw_answers(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH,
         F.when(F.col("_tok").isNotNull(),
                F.concat(F.lit(" "), F.col("_tok"), F.lit(" "))).alias("answer"),
         date.alias("date"),
-        F.date_format(date, "EEEE").alias("day_name"),
+        day_name(date).alias("day_name"),
         F.when(F.col("_labelled"), diff.cast("float")).alias("difficulty"),
     )
 
@@ -160,6 +177,15 @@ LATE_EVERY = 11           # a stored row is sent again (late row)
 NULL_ID_EVERY = 13        # a copy without an id
 
 
+def window_end(last_id):
+    """The load fixture's "today".  Where the last id has no date of its own,
+    dates don't follow the ids, so that a fetch window over them would lose
+    rows: the load fails instead."""
+    past = F.concat(F.lit("no fetch window: dates end before id "), last_id.cast("string"))
+    return F.when(last_id > F.lit(LAST_DAY), F.raise_error(past).cast("date")).otherwise(
+        puzzle_date(last_id - F.lit(FUTURE_DAYS)))
+
+
 def load_fixture(spark: SparkSession, sf_dir: str, full: bool = False,
                  n: int = DEFAULT_LENGTH,
                  raw: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -181,7 +207,7 @@ def load_fixture(spark: SparkSession, sf_dir: str, full: bool = False,
     ids = table(spark, sf_dir, "documents").agg(F.max("doc_id").cast("long").alias("_max"))
     cut = (F.lit(-1).cast("long") if full else ids.select(
         F.floor(F.col("_max") * F.lit(LOAD_CUT_NUM) / F.lit(LOAD_CUT_DEN)).cast("long")).scalar())
-    today = ids.select(puzzle_date(F.col("_max") - F.lit(FUTURE_DAYS))).scalar()
+    today = ids.select(window_end(F.col("_max"))).scalar()
     pid = F.col("puzzle_number")
     # Each scalar is referenced once; later expressions read the columns.
     bounded = raw.select("*", (pid <= cut).alias("_stored"), today.alias("_today"))
@@ -213,6 +239,6 @@ def load_fixture(spark: SparkSession, sf_dir: str, full: bool = False,
                             "difficulty", "_today")
              .filter(F.col("_v").isNotNull())
              .select("_v.page", "_v.pos", "_v.game", "_v.answer",
-                     F.date_format("date", "yyyy-MM-dd").alias("date"), "day_name",
+                     date_text(F.col("date")).alias("date"), "day_name",
                      "difficulty", "_today"))
     return table_rows, batch

@@ -14,8 +14,6 @@ its own partition, so replays are idempotent.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,22 +22,23 @@ from wordstats.plans.load import insert_if_absent, read_table
 from wordstats.sources.pages import stream_pages
 
 
-def _start(spark: SparkSession, table_path: str, checkpoint: str) -> tuple[int, date | None]:
+def _start(spark: SparkSession, table_path: str, checkpoint: str) -> tuple[int, str | None]:
     """The load id of micro-batch 0 and the mark of the fetch window: one
-    past the table's latest load and its latest date (null: empty) when the
+    past the table's latest load and its latest date (as text, since Python's
+    dates end with the year 9999; null: empty) when the
     stream first starts, then read back from next to the checkpoint."""
     marker = f"{checkpoint.rstrip('/')}_start"
     try:
-        kept = spark.read.schema("first_load LONG, mark DATE").json(marker).first()
+        kept = spark.read.schema("first_load LONG, mark STRING").json(marker).first()
         return kept["first_load"], kept["mark"]
     except Exception as e:  # first start: no marker yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
     start = read_table(spark, table_path).agg(
         F.coalesce(F.max("load_id") + 1, F.lit(0).cast("long")).alias("first_load"),
-        F.max("date").alias("mark"))
+        F.max("date").cast("string").alias("mark"))
     start.coalesce(1).write.json(marker)
-    kept = spark.read.schema("first_load LONG, mark DATE").json(marker).first()
+    kept = spark.read.schema("first_load LONG, mark STRING").json(marker).first()
     return kept["first_load"], kept["mark"]
 
 
