@@ -105,3 +105,20 @@ def test_awkward_rows(spark, docs_of):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["0", "3", "4", "5", "7", "8", "9", "None"]
     assert simhash.keep_one(docs_of([])).count() == 0 and simhash.near_duplicates(docs_of([])).count() == 0
+
+
+def test_unlike_texts_under_one_id_all_stay(spark, docs_of):
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(40)) for _ in range(30)]
+    roots = brute_components([brute_fingerprint(t) for t in texts])
+    assert len(set(roots.values())) == 30  # no two are near copies
+    hot = [(7, t) for t in texts[:20]]
+    # copies of hot texts under other ids, larger and smaller; a hot text twice; texts without an id
+    rows = [*hot, hot[0], hot[0], (9, texts[1]), (3, texts[2]), (3, texts[20]), (3, texts[20]),
+            *[(i, texts[i]) for i in range(21, 25)], (None, texts[25]), (None, texts[26]),
+            (None, texts[26]), (None, texts[3])]
+    kept = sorted((str(r.doc_id), r.text) for r in simhash.keep_one(docs_of(rows)).collect())
+    lowest = {}
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        lowest.setdefault(t, i)
+    assert kept == sorted((str(i), t) for t, i in lowest.items())

@@ -38,7 +38,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordstats.llm.common import bound_batches, table, with_replaced
@@ -216,11 +216,13 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def grouped(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
-            max_bits: int = MAX_BITS, key: str = "doc_id") -> DataFrame:
+            max_bits: int = MAX_BITS, key: str = "doc_id", hashed: bool = False) -> DataFrame:
     """(key, fp, root, component) of every row: the smallest fingerprint and
-    the smallest key that can be reached from it over links."""
+    the smallest key that can be reached from it over links; with ``hashed``
+    also the text's hash (``_text``)."""
+    own = [F.xxhash64(text).alias("_text")] if hashed else []
     marked = store(fingerprints(docs.select(F.col(key), F.col(text)), text, "fp", shingle)
-                   .select(F.col(key).alias("_key"), "fp"), "fingerprints")
+                   .select(F.col(key).alias("_key"), "fp", *own), "fingerprints")
     firsts = store(marked.groupBy("fp").agg(F.min("_key").alias("_low")), "distinct")
     found = components(links(firsts.select("fp"), max_bits))
     rooted = store(firsts.join(found, firsts["fp"] == found["node"], "left")
@@ -228,7 +230,7 @@ def grouped(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
     lowest = rooted.groupBy("root").agg(F.min("_low").alias("component"))
     named = rooted.join(lowest, "root").select(F.col("fp").alias("_fp"), "root", "component")
     return (marked.join(named, marked["fp"] == named["_fp"])
-            .select(F.col("_key").alias(key), "fp", "root", "component"))
+            .select(F.col("_key").alias(key), "fp", "root", "component", *(["_text"] if hashed else [])))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
@@ -245,23 +247,28 @@ def written(fp: Column) -> Column:
 def keep_one(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS,
              key: str = "doc_id") -> DataFrame:
     """``docs`` with one row per component: the one with the smallest key, or,
-    where a component has no key, one of its rows.  Of rows that share a key
-    one stays.
-
-    The decision is taken on narrow rows; texts are joined with the keys that
-    stay, not with each other."""
-    decided = store(grouped(docs, text, shingle, max_bits, key), "decided")
-    stay = (decided.filter(F.col(key) == F.col("component"))
-            .select(F.col("component").alias("_stay")).distinct())
-    one = Window.partitionBy("_stay").orderBy(F.xxhash64(text))
-    named = (docs.join(stay, docs[key] == stay["_stay"])
-             .withColumn("_row", F.row_number().over(one)).filter(F.col("_row") == 1)
-             .select(*[docs[c] for c in docs.columns]))
-    nameless = (decided.filter(F.col("component").isNull())
-                .groupBy("root").agg(F.min("fp").alias("_fp")).select("_fp"))
-    unkeyed = fingerprints(docs.filter(F.col(key).isNull()), text, "_own", shingle)
-    unkeyed = unkeyed.join(nameless, unkeyed["_own"] == nameless["_fp"]).dropDuplicates(["_own"])
-    return named.unionByName(unkeyed.select(*docs.columns))
+    where a component has no key, one of its rows.  Where unlike texts share
+    a key, each of their components keeps a row.
+
+    The decision is taken on narrow rows: a row goes by its key and its
+    text's hash, and texts are joined with what stays, not with each other.
+    Only where a kept row has exact copies under its key, one of them is
+    chosen, first within each task."""
+    decided = grouped(docs, text, shingle, max_bits, key, hashed=True)
+    rows = (decided.groupBy("root", F.col(key).alias("_key"), "_text")
+            .agg(F.count("*").alias("_copies")))
+    first = F.min(F.struct(F.col("_key").isNull().alias("nameless"), "_key", "_text", "_copies"))
+    stay = store(rows.groupBy("root").agg(first.alias("_first"))
+                 .select("root", "_first._key", "_first._text", "_first._copies"), "stay")
+    own = F.xxhash64(docs[text]) == F.col("_text")
+
+    def kept(some: Column) -> DataFrame:
+        return docs.join(stay.filter(some), docs[key].eqNullSafe(F.col("_key")) & own)
+
+    single = kept(F.col("_copies") == 1)
+    copied = kept(F.col("_copies") > 1).dropDuplicates(["root"])
+    columns = [docs[c] for c in docs.columns]
+    return single.select(*columns).unionByName(copied.select(*columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
