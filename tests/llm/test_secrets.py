@@ -73,3 +73,36 @@ def test_awkward_rows_and_redaction(spark, docs_of, model):
     empty = docs_of([])
     ratio = spark.sparkContext.broadcast(secrets.train(empty))
     assert secrets.scan(empty, ratio).count() == 0
+
+
+def test_rest_of_a_token_beside_a_base_span_is_scored(model):
+    rng = random.Random(6)
+    for _ in range(20):
+        key = "".join(rng.choices(secrets.ALPHABETS[2], k=40))
+        hexa = "".join(rng.choices("0123456789abcdef", k=32))
+        cases = [("AKIA" + "B7" * 10 + "/" + key, [(0, 1, 24), (24, 3, 65)]),
+                 (key + "-" + hexa, [(0, 3, 41), (41, 2, 73)]),
+                 (hexa + "_" + key, [(0, 2, 32), (32, 3, 73)])]
+        for text, spans in cases:
+            at = len("is the ")
+            assert secrets.find_spans(f"is the {text} and", model.value)[1] == [
+                (s + at, k, e + at) for s, k, e in spans]
+
+
+def test_short_random_tokens_are_found(model):
+    rng = random.Random(7)
+    found = sum(secrets.find_spans("of the " + "".join(rng.choices(secrets.ALPHABETS[2], k=16)) + " and",
+                                   model.value)[1] == [(7, 3, 23)] for _ in range(100))
+    assert found >= 95
+
+
+def test_chunks_do_not_change_spans(model, monkeypatch):
+    rng = random.Random(8)
+    parts = ["the", "and", "é", "x=1", "f" * 30]
+    text = " ".join(rng.choice([*parts, "".join(rng.choices(secrets.ALPHABETS[3], k=rng.randint(5, 40)))])
+                    for _ in range(300))
+    whole = secrets.find_spans(text, model.value)
+    assert sum(k == 3 for _, k, _ in whole[1]) > 20
+    for size in (1, 7, 100):
+        monkeypatch.setattr(secrets, "CHUNK", size)
+        assert secrets.find_spans(text, model.value) == whole

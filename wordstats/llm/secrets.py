@@ -1,10 +1,11 @@
 """Secret scans: fixed patterns plus character Markov models.
 
 Three base patterns (``BASE`` below) find assignments, access keys and long
-hexadecimal runs.  On top, long tokens outside the base spans are scored by
+hexadecimal runs.  On top, tokens outside the base spans, and what the base
+spans leave of tokens, are scored by
 two first-order character Markov models, one of random strings and one of
-ordinary identifiers; a token whose log-likelihood ratio per character and
-in total passes the thresholds is a span of kind ``markov``.  The models are
+ordinary identifiers; a token of any length whose log-likelihood ratio per
+character and in total passes the thresholds is a span of kind ``markov``.  The models are
 trained from labelled samples: values that the base patterns found (random)
 and the other identifiers of the same documents (ordinary), over a bounded
 sample of documents drawn by a hash of the id, plus random strings drawn
@@ -43,10 +44,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 # One of these is in every text that the first pattern fits.
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 
-#: Tokens that the models score, and identifiers that they learn from.
+#: Assigned values from this length on, and identifiers, are what the models learn from.
 TOKEN_MIN = 20
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-IDENTIFIER = re.compile(r"[A-Za-z0-9_-]{6,}")
+IDENTIFIER = re.compile(r"[A-Za-z0-9_-]+")
 #: Log-likelihood ratio (natural logarithm) from which a token is a secret.
 MIN_RATIO = 20.0
 MIN_RATIO_PER_CHAR = 0.8
@@ -61,6 +61,11 @@ ALPHABETS = (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 )
 SYMBOLS = 128
+#: Characters of the tokens that the models score.
+TOKEN_CHARACTERS = np.isin(np.arange(SYMBOLS), [ord(c) for c in ALPHABETS[3] + "_=-"])
+#: Characters scored at a time (and up to the end of a token).
+CHUNK = 1 << 16
+_NO_TOKEN = re.compile(r"[^A-Za-z0-9+/_=-]")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -138,19 +143,28 @@ def train(docs: DataFrame, sample: int = TRAIN_DOCS) -> np.ndarray:
 
 
 def markov_spans(text: str, base: list[tuple[int, int, int]], ratio: np.ndarray) -> list[tuple[int, int, int]]:
-    """Tokens outside the base spans that look random to the models."""
-    out, at, covered = [], 0, 0
-    for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        while at < len(base) and base[at][0] < e:
-            covered = max(covered, base[at][2])
-            at += 1
-        if s < covered:
-            continue
-        codes = _codes(m[0])
-        score = float(ratio[codes[:-1], codes[1:]].sum())
-        if score >= MIN_RATIO and score >= MIN_RATIO_PER_CHAR * (e - s):
-            out.append((s, 3, e))
+    """Tokens, cut at the base spans, that look random to the models."""
+    out = []
+    free = np.ones(len(text), dtype=bool)
+    for s, _, e in base:
+        free[s:e] = False
+    at = 0
+    while at < len(text):
+        after = _NO_TOKEN.search(text, at + CHUNK)
+        end = after.start() if after else len(text)
+        codes = _codes(text[at:end])[1:]
+        edges = np.flatnonzero(np.diff(TOKEN_CHARACTERS[codes] & free[at:end], prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        steps = ratio[codes[:-1], codes[1:]]
+        sums = np.concatenate(([0.0], np.cumsum(steps)))
+        least = np.maximum(MIN_RATIO, MIN_RATIO_PER_CHAR * (ends - starts))
+        scores = ratio[0, codes[starts]] + sums[ends - 1] - sums[starts]
+        # Running sums are rounded: what is near the threshold is summed on its own.
+        for i in np.flatnonzero(scores >= least - 1e-3):
+            s, e = int(starts[i]), int(ends[i])
+            if float(ratio[0, codes[s]] + steps[s:e - 1].sum()) >= least[i]:
+                out.append((at + s, 3, at + e))
+        at = end
     return out
 
 
