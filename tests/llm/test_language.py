@@ -41,3 +41,11 @@ def test_long_texts_use_all_blocks(spark):
     en = " ".join(r.text for r in docs.filter("lang = 'en'").limit(40).collect())
     de = " ".join(r.text for r in docs.filter("lang = 'de'").limit(400).collect())
     assert language.classify(compressors, en[:20_000] + de[:200_000])[0] == "de"
+
+
+def test_rows_of_one_id_are_learnt_from_once(spark, docs_of):
+    hot = [(1, "abcdefgh " * 5000 + "klmnopq"[i % 7] * i) for i in range(1, 60)]
+    rest = [(i, "zzzzzz yyyyyy") for i in range(2, 6)]
+    (_, dictionary), = language.learn(docs_of([*hot, (1, None), *rest]), F.lit(True), samples=4, dict_bytes=40_000)
+    # one row of the hot id and the others that were drawn
+    assert dictionary.count(b"zzzzzz") >= 3 and len(dictionary) <= 40_000 + 4

@@ -47,3 +47,13 @@ def test_awkward_rows(spark, docs_of):
         assert len({r.score for r in rows if not (r.text or "").strip()}) == 1
     model = spark.sparkContext.broadcast(toxicity.train(docs_of([]), labels.limit(0), F.lit(True)))
     assert toxicity.score_texts(docs_of([]), model).count() == 0
+
+
+def test_rows_of_one_id_are_learnt_from_once(spark, docs_of):
+    docs = docs_of([(1, f"text {i}") for i in range(40)] + [(1, None), (2, "two"), (3, "three"), (3, "three")])
+    labels = spark.createDataFrame([(1, 0, 1), (1, 0, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    sample, _ = toxicity._sample(docs, labels, F.lit(True))
+    assert sorted((r.doc_id, r.positive) for r in sample.collect()) == [
+        (1, False), (1, True), (2, False), (3, False)]
+    again, _ = toxicity._sample(docs.repartition(7), labels, F.lit(True))
+    assert sorted(map(str, sample.collect())) == sorted(map(str, again.collect()))

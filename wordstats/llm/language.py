@@ -55,17 +55,18 @@ def learn(docs: DataFrame, use: Column, samples: int = SAMPLES,
     """(language, dictionary bytes), most labelled texts first.
 
     ``samples`` texts per language are drawn by a hash of their id, first
-    over the narrow columns; only the drawn rows' texts reach the driver, each cut to a
+    over the narrow columns; only the drawn texts, one of each id, reach the driver, each cut to a
     dictionary's size."""
-    labelled = (docs.filter(use & F.col("lang").isNotNull() & (F.length("text") > 0))
-                .select("doc_id", "lang"))
+    usable = docs.filter(use & F.col("lang").isNotNull() & (F.length("text") > 0))
+    labelled = usable.select("doc_id", "lang")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = (labelled.withColumn("_n", F.row_number().over(order))
-             .filter(F.col("_n") <= samples).select("doc_id", "lang").distinct())
+    drawn = (labelled.distinct().withColumn("_n", F.row_number().over(order))
+             .filter(F.col("_n") <= samples).select("doc_id", "lang"))
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    # At most `samples` ids per language: a bounded table.
-    rows = (docs.select("doc_id", "lang", F.left(F.col("text"), F.lit(dict_bytes)).alias("text"))
-            .join(F.broadcast(drawn), ["doc_id", "lang"], "left_semi").collect())
+    # At most `samples` ids per language: a bounded table, and one of each id's rows.
+    rows = (usable.select("doc_id", "lang", F.left(F.col("text"), F.lit(dict_bytes)).alias("text"))
+            .join(F.broadcast(drawn), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang")
+            .agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect())
     texts: dict[str, list[bytes]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
         texts.setdefault(r["lang"], []).append(letters(r["text"]))

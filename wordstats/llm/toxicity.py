@@ -19,7 +19,7 @@ telling ones.
 
 Training reads bounded samples drawn by a hash of the id:
 ``MAX_POSITIVES`` toxic texts and ``MAX_UNLABELLED`` of all texts that may be
-learnt from.  Features are counted by Spark jobs; only counts and the sampled
+learnt from; where rows share an id, one of them.  Features are counted by Spark jobs; only counts and the sampled
 texts' feature numbers reach the driver.  Scoring covers every whole text.
 Labels, language, source and id are no inputs of a score.
 
@@ -123,8 +123,11 @@ def _sample(docs: DataFrame, labels: DataFrame, use: Column) -> tuple[DataFrame,
     own = docs.filter(F.col("doc_id").isNotNull() & use).select("doc_id", "text")
     drawn = (_draw(known.filter(F.col("toxic") == 1), MAX_POSITIVES, 1).withColumn("positive", F.lit(True))
              .unionByName(_draw(own, MAX_UNLABELLED, 2).withColumn("positive", F.lit(False))))
-    # MAX_POSITIVES + MAX_UNLABELLED ids at most: a bounded table.
-    return store(own.join(F.broadcast(drawn), "doc_id"), "sample"), prior
+    # MAX_POSITIVES + MAX_UNLABELLED ids at most: a bounded table, and one of
+    # each id's rows, chosen within each task first.
+    rows = (own.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "positive")
+            .agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+    return store(rows, "sample"), prior
 
 
 def _counts(texts: DataFrame, wanted: Broadcast | None) -> DataFrame:
