@@ -67,3 +67,15 @@ def test_written_shards(spark, tmp_path):
     hilbert.write_shards(docs, str(tmp_path / "shards"))
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert back.select(docs.columns).exceptAll(docs).count() == 0 and back.count() == docs.count()
+
+
+def test_a_shard_is_written_by_several_tasks(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    hilbert.write_shards(docs, str(tmp_path / "shards"))
+    files = {p: len(list(p.glob("*.parquet"))) for p in (tmp_path / "shards").glob("shard=*")}
+    assert len(files) == hilbert.SHARDS and min(files.values()) > 1
+    # every file is in order of the slots
+    slot = {r.doc_id: r.slot for r in hilbert.shard(docs).collect()}
+    for f in (tmp_path / "shards").glob("shard=*/*.parquet"):
+        slots = [slot[r.doc_id] for r in spark.read.parquet(str(f)).coalesce(1).collect()]
+        assert slots == sorted(slots)

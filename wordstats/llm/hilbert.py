@@ -122,8 +122,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, law: str = "rows", bits: int =
 
 
 def write_shards(docs: DataFrame, path: str, **how) -> None:
-    """Write ``docs`` with one folder per shard, each sorted along the curve,
-    for readers that prune by metadata."""
+    """Write ``docs`` with one folder per shard, for readers that prune by
+    metadata.  A shard is cut along the curve into files of its own, each
+    sorted, so that no task writes more than its share."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = shard(docs, **how).select("doc_id", "text_crc32", "size", "shard", "slot").distinct()
     text = whole_text()
     keyed = docs.withColumns({"_crc": F.crc32(text.cast("binary")).cast("long"),
@@ -133,7 +135,8 @@ def write_shards(docs: DataFrame, path: str, **how) -> None:
                         & (keyed["_crc"] == one["text_crc32"]) & (keyed["_size"] == one["size"]))
     (joined.select(*[keyed[c] for c in docs.columns], F.col("_at.shard").alias("shard"),
                    F.col("_at.slot").alias("_slot"))
-     .repartition("shard").sortWithinPartitions("shard", "_slot").drop("_slot")
+     .repartitionByRange(max(parts, 4 * SHARDS), "shard", "_slot")
+     .sortWithinPartitions("shard", "_slot").drop("_slot")
      .write.partitionBy("shard").parquet(path))
 
 
