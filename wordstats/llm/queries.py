@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from wordstats.llm import (
     byte_bpe,
+    clustering,
     fingerprints,
     hilbert,
     language,
     mixing,
+    packing,
     secrets,
     simhash,
     topk,
     toxicity,
     url_filter,
+    vector_codes,
 )
 
 QUERIES = {
@@ -26,9 +29,14 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_language": language.query,
     "op10_byte_bpe": byte_bpe.query,
+    "op11_clustering": clustering.query,
+    "op12_vector_codes": vector_codes.query,
+    "op13_packing": packing.query,
 }
 
 ORACLE = {
     "op2_url_filters": url_filter.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op11_clustering": clustering.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
 }
