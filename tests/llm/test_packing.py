@@ -105,22 +105,38 @@ def test_empty_table_and_hot_length(spark, docs_of):
     assert len(rows) <= 100 + plan.sequences
 
 
-def test_words_split_as_the_tokenizer_does(tokenizer):
-    words = packing.WordIds(tokenizer)
-    for c in [*range(0x3100), *range(0xfb00, 0xfb07), 0xfeff, 0xfffd, 0x1f600, 0x1d15e]:
-        if 0xd800 <= c < 0xe000:
-            continue
-        text = f"Ab{chr(c)}cd {chr(c)}' {chr(c)}s"
-        got = packing.ids_of(words, text, None).tolist()
-        assert got == tokenizer.encode(text, add_special_tokens=False).ids, hex(c)
+@pytest.fixture(scope="module")
+def ids_of():
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return packing.TextIds(f.read())
 
 
-def test_word_table_is_bounded(tokenizer, monkeypatch):
+def test_texts_split_as_the_tokenizer_does(tokenizer, ids_of):
+    texts = [f"Ab{chr(c)}cd {chr(c)}' {chr(c)}s" for c in
+             [*range(0xd800), *range(0xe000, 0x11000), *range(0x1d100, 0x1d200), *range(0x1f000, 0x1fb00)]]
+    texts += ["ΟΔΟΣ Σ ΣΑΣ it's", "e\u0301 A\u030a n\u0303o", "I'LL we'Re 'S ''s '' 's", "x1y22z", "a\u0345\u0301"]
+    for text in texts:
+        assert ids_of(text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_match_table_is_bounded(tokenizer, monkeypatch):
+    import public_tokenizers
+
     monkeypatch.setattr(packing, "KEPT_WORDS", 5)
-    words = packing.WordIds(tokenizer)
-    text = " ".join(f"w{i} {'y' * 100}" for i in range(50))
-    assert packing.ids_of(words, text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-    assert len(words) <= 5
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        ids_of = packing.TextIds(f.read())
+    text = " ".join(f"w{i % 23} {'y' * 100}" for i in range(90))
+    assert ids_of(text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(ids_of.of_match) <= 5 and len(ids_of.of_match.before) <= 5
+
+
+def test_other_tokenizers_are_refused():
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f, pytest.raises(ValueError):
+        packing.TextIds(f.read())
 
 
 def test_combinations_equal_brute_force():

@@ -33,24 +33,25 @@ null ids are documents of their own; ties don't exist, as documents are told
 apart by their place.  Very long texts become many pieces, none longer than
 a window.  An empty table gives no rows.  Other columns are not read.
 
-Ids are those of the tokenizers library: white space is never part of a
-token here and the tokenizer's normaliser works on what is between, so a
-text's ids are those of its words put together, and a worker keeps the ids
-of words it has seen (up to ``KEPT_WORDS``) instead of asking again.  That
-holds for tokenizers that drop white space; ``word_ids`` says so where it
-doesn't.
+Ids are those of the tokenizers library: the kind of tokenizer used here
+lower-cases, drops white space and encodes the matches of a pattern each on
+its own, so a worker keeps the ids of matches it has seen (``KEPT_WORDS``) instead of
+asking the library again.  Other kinds of tokenizer are refused.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,61 +69,105 @@ MAX_STEPS = 20_000
 TOLERANCE = 1e-7
 #: A step of fewer sequences hardly changes a rounded count.
 SMALLEST_STEP = 0.25
-#: Words whose ids a worker keeps, and the longest such word.
+#: Matches whose ids a worker keeps, and the longest such match.
 KEPT_WORDS = 200_000
 KEPT_CHARS = 64
 #: Largest tokenizer file that is broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 
-# White space as the tokenizer's patterns take it (Python's
-# split() has four control characters more).
-_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_MORE = "\x1c\x1d\x1e\x1f"
-_WORDS: dict = {}
+# The tokenizer's pattern, and the same for texts of the Latin
+# blocks only, where its classes are short enough to write down.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_SPACE = "\t-\r \x85\xa0"
+_LATIN_END = "\u024f"
+_LATIN = re.compile(f"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+_BEYOND_LATIN = re.compile(f"[^\\0-{_LATIN_END}]")
+# \\s as the tokenizer takes it (the module's own has four control characters more)
+_ANY = regex.compile(PATTERN.replace(r"\s", _SPACE + r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"))
+# A byte as a printable character: itself where it prints, else from U+0100 on.
+_PRINTABLE = {b: 0x100 + n for n, b in enumerate(
+    [b for b in range(256) if not (0x21 <= b <= 0x7e or 0xa1 <= b <= 0xac or 0xae <= b)])}
+_TOKENIZERS: dict = {}
 
 
 # --- token ids ----------------------------------------------------------------
 
-class WordIds(dict):
-    """word -> ids, asked of the tokenizer on the first use."""
+class Kept(dict):
+    """key -> value, made on the first use.  Holds the ``limit`` keys used
+    last and up to as many before them."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, make, limit: int):
         super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, word: str) -> list[int]:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        if len(word) <= KEPT_CHARS:
-            if len(self) >= KEPT_WORDS:
+        self.make, self.limit, self.before = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= KEPT_CHARS:
+            if len(self) >= self.limit:
+                self.before = dict(self)
                 self.clear()
-            self[word] = ids
-        return ids
+            self[key] = value
+        return value
 
 
-def word_ids(tokenizer_json: str) -> WordIds:
-    """The word table of a tokenizer, built once per process."""
-    key = hash(tokenizer_json)
-    if key not in _WORDS:
+class TextIds:
+    """The ids of whole texts by a tokenizer file.
+
+    A normalised text is split into the pattern's matches, whose ids the
+    library gives; matches seen before are not asked for again."""
+
+    def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(tokenizer_json)
-        tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
-        if tokenizer.encode("a \n b", add_special_tokens=False).ids != [
-                i for w in "ab" for i in tokenizer.encode(w, add_special_tokens=False).ids]:
-            raise ValueError("a tokenizer whose tokens hold white space can't be asked word by word")
-        _WORDS[key] = WordIds(tokenizer)
-    return _WORDS[key]
+        parts = json.loads(tokenizer_json)
+        steps = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        cuts = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if (steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]
+                or (cuts[0]["behavior"], cuts[0]["invert"]) != ("Removed", True)
+                or cuts[0]["pattern"].get("Regex") != PATTERN
+                or cuts[1]["use_regex"] or cuts[1]["add_prefix_space"]):
+            raise ValueError("expected a tokenizer that lower-cases, keeps the known pattern's matches, drops the rest")
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.of_match = Kept(self._of_match, KEPT_WORDS)
+
+    def _of_match(self, match: str) -> bytes:
+        if match.isascii() and match.isprintable():
+            found = [t.id for t in self.model.tokenize(match)]
+        elif _BEYOND_LATIN.search(match) is None:
+            # the model reads each byte as a printable character
+            found = [t.id for t in self.model.tokenize(match.encode().decode("latin-1").translate(_PRINTABLE))]
+        else:
+            # the libraries' Unicode versions may differ here: it may split once more
+            found = self.tokenizer.encode(match, add_special_tokens=False).ids
+        return array("i", found).tobytes()
+
+    def __call__(self, text: str | None, end: int | None = END_ID) -> np.ndarray:
+        text = normalised(text or "")
+        matches = _LATIN if _BEYOND_LATIN.search(text) is None else _ANY
+        found = b"".join(map(self.of_match.__getitem__, matches.findall(text)))
+        if end is not None:
+            found += array("i", [end]).tobytes()
+        return np.frombuffer(found, dtype=np.int32)
 
 
-def words_of(text: str) -> list[str]:
-    if any(c in text for c in _MORE):
-        return [w for w in _SPACE.split(text) if w]
-    return text.split()
+def normalised(text: str) -> str:
+    text = unicodedata.normalize("NFC", text)
+    # Python lower-cases a sigma by its place in the word, the tokenizer doesn't
+    return text.lower() if "\u03a3" not in text else "".join(c.lower() for c in text)
 
 
-def ids_of(words: WordIds, text: str | None, end: int | None = END_ID) -> np.ndarray:
-    found = chain.from_iterable(map(words.__getitem__, words_of(text or "")))
-    return np.fromiter(chain(found, () if end is None else (end,)), dtype=np.int32)
+def text_ids(tokenizer_json: str) -> TextIds:
+    """The ids of a tokenizer, built once per process."""
+    key = hash(tokenizer_json)
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = TextIds(tokenizer_json)
+    return _TOKENIZERS[key]
 
 
 def load_tokenizer(spark: SparkSession, path: str) -> Broadcast:
@@ -147,11 +192,11 @@ def tokenised(docs: DataFrame, model: Broadcast, key: str = "doc_id", text: str
             ("ids", T.ArrayType(T.IntegerType())), ("part", T.IntegerType()), ("local", T.LongType()))]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(model.value)
+        ids_of = text_ids(model.value)
         part = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, dtype=np.int64)
         for batch in batches:
-            docs_ids = [ids_of(words, t, end) for t in batch.column(1).to_pylist()]
+            docs_ids = [ids_of(t, end) for t in batch.column(1).to_pylist()]
             sizes = np.array([len(x) for x in docs_ids], dtype=np.int64)
             pieces = -(-sizes // window)
             doc = np.repeat(np.arange(len(sizes)), pieces)
