@@ -129,7 +129,7 @@ def test_match_table_is_bounded(tokenizer, monkeypatch):
         ids_of = packing.TextIds(f.read())
     text = " ".join(f"w{i % 23} {'y' * 100}" for i in range(90))
     assert ids_of(text, None).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-    assert len(ids_of.of_match) <= 5 and len(ids_of.of_match.before) <= 5
+    assert all(len(t) <= 5 and len(t.before) <= 5 for t in (ids_of.of_word, ids_of.of_match))
 
 
 def test_other_tokenizers_are_refused():

@@ -45,15 +45,15 @@ import json
 import os
 import re
 import unicodedata
+import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,13 +69,13 @@ MAX_STEPS = 20_000
 TOLERANCE = 1e-7
 #: A step of fewer sequences hardly changes a rounded count.
 SMALLEST_STEP = 0.25
-#: Matches whose ids a worker keeps, and the longest such match.
+#: Words and matches whose ids a worker keeps, and the longest such one.
 KEPT_WORDS = 200_000
 KEPT_CHARS = 64
 #: Largest tokenizer file that is broadcast.
 MAX_TOKENIZER_BYTES = 64 << 20
 
-# The tokenizer's pattern, and the same for texts of the Latin
+# The tokenizer's pattern, and the same for words of the Latin
 # blocks only, where its classes are short enough to write down.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTER = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
@@ -84,8 +84,9 @@ _SPACE = "\t-\r \x85\xa0"
 _LATIN_END = "\u024f"
 _LATIN = re.compile(f"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 _BEYOND_LATIN = re.compile(f"[^\\0-{_LATIN_END}]")
-# \\s as the tokenizer takes it (the module's own has four control characters more)
-_ANY = regex.compile(PATTERN.replace(r"\s", _SPACE + r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"))
+# split() takes four control characters for white space that the pattern doesn't.
+_MORE = "\x1c\x1d\x1e\x1f"
+_SPACES = re.compile(f"[{_SPACE}\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 # A byte as a printable character: itself where it prints, else from U+0100 on.
 _PRINTABLE = {b: 0x100 + n for n, b in enumerate(
     [b for b in range(256) if not (0x21 <= b <= 0x7e or 0xa1 <= b <= 0xac or 0xae <= b)])}
@@ -103,9 +104,7 @@ class Kept(dict):
         self.make, self.limit, self.before = make, limit, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.before.get(key)
-        if value is None:
-            value = self.make(key)
+        value = self.before.get(key) or self.make(key)
         if len(key) <= KEPT_CHARS:
             if len(self) >= self.limit:
                 self.before = dict(self)
@@ -117,8 +116,11 @@ class Kept(dict):
 class TextIds:
     """The ids of whole texts by a tokenizer file.
 
-    A normalised text is split into the pattern's matches, whose ids the
-    library gives; matches seen before are not asked for again."""
+    A normalised text of the Latin blocks is split into the pattern's
+    matches, whose ids the library's model gives.  Another text is split at
+    white space, and its words beyond those blocks go to the library whole,
+    as its Unicode version may differ from Python's.  Words and matches seen
+    before are not asked for again."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -135,27 +137,36 @@ class TextIds:
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.model = self.tokenizer.model
         self.of_match = Kept(self._of_match, KEPT_WORDS)
+        self.of_word = Kept(self._of_word, KEPT_WORDS)
 
     def _of_match(self, match: str) -> bytes:
-        if match.isascii() and match.isprintable():
-            found = [t.id for t in self.model.tokenize(match)]
-        elif _BEYOND_LATIN.search(match) is None:
+        if not (match.isascii() and match.isprintable()):
             # the model reads each byte as a printable character
-            found = [t.id for t in self.model.tokenize(match.encode().decode("latin-1").translate(_PRINTABLE))]
-        else:
-            # the libraries' Unicode versions may differ here: it may split once more
-            found = self.tokenizer.encode(match, add_special_tokens=False).ids
-        return array("i", found).tobytes()
+            match = match.encode().decode("latin-1").translate(_PRINTABLE)
+        return array("i", [t.id for t in self.model.tokenize(match)]).tobytes()
+
+    def _of_word(self, word: str) -> bytes:
+        if word.isascii() or _BEYOND_LATIN.search(word) is None:
+            return b"".join(map(self.of_match.__getitem__, _LATIN.findall(word)))
+        return array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str | None, end: int | None = END_ID) -> np.ndarray:
         text = normalised(text or "")
-        matches = _LATIN if _BEYOND_LATIN.search(text) is None else _ANY
-        found = b"".join(map(self.of_match.__getitem__, matches.findall(text)))
+        if _BEYOND_LATIN.search(text) is None:
+            found = b"".join(map(self.of_match.__getitem__, _LATIN.findall(text)))
+        else:
+            found = b"".join(map(self.of_word.__getitem__, words_of(text)))
         if end is not None:
             found += array("i", [end]).tobytes()
         return np.frombuffer(found, dtype=np.int32)
 
 
+def words_of(text: str) -> list[str]:
+    if any(c in text for c in _MORE):
+        return [w for w in _SPACES.split(text) if w]
+    return text.split()
+
+
 def normalised(text: str) -> str:
     text = unicodedata.normalize("NFC", text)
     # Python lower-cases a sigma by its place in the word, the tokenizer doesn't
@@ -401,9 +412,10 @@ def laid_cuts(plan: Plan, at: int, length: int) -> list[tuple[int, int, int, int
 
 # --- putting it to work ---------------------------------------------------------
 
-def placed(pieces: DataFrame, plan: Plan) -> DataFrame:
+def placed(pieces: DataFrame, plan: Plan, digest: bool = False) -> DataFrame:
     """``pieces`` (with ``before``: how many of their length are in earlier
-    tasks) with their sequence and offset, cut where the plan cuts them."""
+    tasks) with their sequence and offset, cut where the plan cuts them;
+    with ``digest`` the crc32 of each piece's ids instead of the ids."""
     intervals = sorted(plan.intervals, key=lambda i: (i.length, i.lo))
     numbers = np.array([(i.length, i.lo, i.hi, i.copies, i.sequence, i.offset) for i in intervals],
                        dtype=np.int64).reshape(len(intervals), 6)
@@ -414,7 +426,7 @@ def placed(pieces: DataFrame, plan: Plan) -> DataFrame:
     fields = source.schema
     schema = T.StructType([fields[key], fields["start"], T.StructField("length", T.LongType()), fields["doc_tokens"],
                            T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
-                           fields["ids"]])
+                           T.StructField("ids_crc32", T.LongType()) if digest else fields["ids"]])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan, numbers = model.value
@@ -444,19 +456,26 @@ def placed(pieces: DataFrame, plan: Plan) -> DataFrame:
             where = np.repeat(begins - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
             same = len(row) == len(n) and not len(laid)
             values = flat if same else pa.array(flat.to_numpy(zero_copy_only=False)[where])
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), values)
+            bounds = np.r_[0, np.cumsum(size)].astype(np.int32)
+            if digest:
+                raw = memoryview(np.ascontiguousarray(values.to_numpy(zero_copy_only=False), dtype="<u4")).cast("B")
+                last = pa.array([zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())],
+                                pa.int64())
+            else:
+                last = pa.ListArray.from_arrays(pa.array(bounds), values)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row)), pa.array(start[row] + cut_at), pa.array(size),
-                 batch.column(3).take(pa.array(row)), pa.array(seq), pa.array(off), lists],
+                 batch.column(3).take(pa.array(row)), pa.array(seq), pa.array(off), last],
                 names=schema.fieldNames())
 
     return source.mapInArrow(place, schema)
 
 
 def pack(docs: DataFrame, model: Broadcast, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-         end: int | None = END_ID, depth: int = DEPTH) -> tuple[DataFrame, Plan]:
+         end: int | None = END_ID, depth: int = DEPTH, digest: bool = False) -> tuple[DataFrame, Plan]:
     """(pieces, plan): every piece's key, start, length, doc_tokens,
-    sequence_id, offset and ids."""
+    sequence_id, offset and ids (with ``digest`` the ids' crc32 as
+    little-endian unsigned 32-bit integers, ``ids_crc32``, instead)."""
     pieces = store(tokenised(docs, model, key, text, window, end), "pieces")
     counts = store(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "counts")
     # One row per length: bounded by the window.
@@ -467,7 +486,7 @@ def pack(docs: DataFrame, model: Broadcast, key: str = "doc_id", text: str = "te
     before = store(counts.select("part", "length", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before")),
                    "before")
     joined = pieces.join(before, ["part", "length"])
-    return placed(joined.select(*[pieces[c] for c in pieces.columns], "before"), plan), plan
+    return placed(joined.select(*[pieces[c] for c in pieces.columns], "before"), plan, digest), plan
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
@@ -477,17 +496,6 @@ def sequences(pieces: DataFrame) -> DataFrame:
             .select("sequence_id", F.flatten(F.transform("_p", lambda p: p["ids"])).alias("ids")))
 
 
-def ids_crc32(ids: Column) -> Column:
-    """crc32 of ids as little-endian unsigned 32-bit integers."""
-    import zlib
-
-    @F.pandas_udf("long")
-    def crc(lists):
-        return lists.map(lambda x: zlib.crc32(np.asarray(x, dtype="<u4").tobytes()))
-
-    return crc(ids)
-
-
 def default_tokenizer(spark: SparkSession, name: str = "word_bpe_49k.json") -> Broadcast:
     import public_tokenizers
 
@@ -497,6 +505,5 @@ def default_tokenizer(spark: SparkSession, name: str = "word_bpe_49k.json") -> B
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op13: every piece of every document, with its place."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces, _ = pack(docs, default_tokenizer(spark))
-    return pieces.select("doc_id", "start", "length", ids_crc32(F.col("ids")).alias("ids_crc32"),
-                         "doc_tokens", "sequence_id", "offset")
+    pieces, _ = pack(docs, default_tokenizer(spark), digest=True)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
