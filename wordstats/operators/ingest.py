@@ -1,15 +1,21 @@
 """Insert-if-absent loading of answer batches into the fact table.
 
-Rules, per batch row in arrival order: ``(page, pos)``, then the row's
-number in the stored batch, so that rows without a page field, or of two
-files that carry the same page, have a total order too (null pages first):
+Rules, per batch row in arrival order (null pages first).  Rows read from
+landed files arrive by page and part, then by file, then as they stand in
+the file: the order of the files is taken from the files, not from how Spark
+deals them to tasks (``arrival`` of ``sources.pages``).  Files are numbered
+by one sort of their distinct (file, block) places, which the driver lists
+anyway; what is shuffled per row is numbers only.  Other batches arrive by
+``(page, pos)``, then by the row's number in the stored batch.
 
 1. Fetch window: in an incremental load only rows dated after the table's
    latest date (the high-water mark) and up to ``today`` are fetched; a
    late row -- dated on or before the mark -- is never seen again unless
    ``accept_late`` is set.  An empty table means a full load: no window,
    and no ``today`` limit either.
-   Rows whose date does not parse are fetched (and then fail).
+   Rows whose date does not parse are fetched (and then fail).  Rows that
+   are not fetched are labelled ``outside`` where asked for, so that the
+   counters add up to the batch.
 2. ``skipped`` -- the id is already in the table, or an earlier *valid*
    row of the batch carries it (the first valid row wins; the id test
    comes before validation, so later invalid rows are skipped too);
@@ -28,12 +34,13 @@ so they cannot pile up on the null key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from wordstats.operators.lookup import store
 
 LABELS = ("inserted", "skipped", "failed")
+ALL_LABELS = (*LABELS, "outside")
 
 # Years have four digits, or more (then with or without a sign).
 WHOLE_DATE = r"^\s*(\d{4}|\+?\d{5,})-\d{2}-\d{2}\s*$"
@@ -51,11 +58,33 @@ def high_water_mark(table: DataFrame) -> DataFrame:
     return table.agg(F.max("date").alias("_hwm"))
 
 
+def _numbered(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """``rows`` and their arrival key.  For rows read from files, ``arrival``
+    gives way to ``_part`` and ``_seq``: the rank of the row's (file, block)
+    among all, then its number within it."""
+    if "arrival" not in rows.columns:
+        return rows, F.struct("page", "pos", "_row")
+    placed = rows.withColumns({"_file": F.col("arrival.file"), "_block": F.col("arrival.block")})
+    # One row per file split, as many as the driver lists to read them.
+    splits = (placed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_file", "_block", F.row_number().over(Window.orderBy("_file", "_block"))
+                      .cast("long").alias("_split")))
+    # A row's number ends with its place in its task, which read the block in order.
+    seq = F.shiftleft("_split", 33).bitwiseOR(F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)))
+    out = (placed.join(splits, ["_file", "_block"])
+           .withColumns({"_part": F.col("arrival.part"), "_seq": seq})
+           .drop("arrival", "_file", "_block", "_split"))
+    return out, F.struct("page", "_part", "_seq")
+
+
 def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None = None,
-                accept_late: bool = False, mark: Column | None = None) -> DataFrame:
-    """Label every fetched batch row; keeps the batch columns plus the
-    parsed ``_id``, ``_answer``, ``_date`` and ``label``.  ``mark`` stands in
-    for the table's latest date where one fetch is loaded in several batches."""
+                accept_late: bool = False, mark: Column | None = None,
+                outside: bool = False) -> DataFrame:
+    """Label every fetched batch row; keeps the batch columns (but
+    ``arrival``) plus the parsed ``_id``, ``_answer``, ``_date`` and
+    ``label``.  ``mark`` stands in for the table's latest date where one fetch
+    is loaded in several batches.  With ``outside``, rows out of the fetch
+    window come too, labelled so."""
     text_date = F.col("date").cast("string")
     rows = store(batch.select(
         *batch.columns,
@@ -64,6 +93,7 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
         F.when(text_date.rlike(WHOLE_DATE), text_date.try_cast("date")).alias("_date"),
         F.monotonically_increasing_id().alias("_row"),
     ), "batch")
+    rows, arrival = _numbered(rows)
     d = F.col("_date")
     if mark is None:
         mark = high_water_mark(table).scalar()
@@ -79,12 +109,11 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
         else:
             limit = today
         # no mark: a full load, which has no window
-        keep = keep & (mark.isNull() | (d <= limit))
+        keep = F.coalesce(keep & (mark.isNull() | (d <= limit)), F.lit(False))
     fetched = rows.filter(d.isNull() | keep)
 
     valid = F.col("_id").isNotNull() & F.col("_answer").isNotNull() & d.isNotNull()
-    arrival = F.struct("page", "pos", "_row")
-    out = [*batch.columns, "_id", "_answer", "_date"]
+    out = [c for c in (*batch.columns, "_id", "_answer", "_date") if c != "arrival"]
     # Rows without an id can match nothing: they fail without joining, so
     # however many there are they never gather on one join key.
     no_id = fetched.filter(F.col("_id").isNull()).select(*out, F.lit("failed").alias("label"))
@@ -109,13 +138,28 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
              .when(F.col("_first").isNotNull() & (arrival > F.col("_first")), F.lit("skipped"))
              .when(~valid, F.lit("failed"))
              .otherwise(F.lit("inserted")))
-    return joined.select(*out, label.alias("label")).unionByName(no_id)
+    labelled = joined.select(*out, label.alias("label")).unionByName(no_id)
+    if outside:
+        beyond = rows.filter(d.isNotNull() & ~keep)
+        labelled = labelled.unionByName(beyond.select(*out, F.lit("outside").alias("label")))
+    return labelled
+
+
+def counters(labels: tuple[str, ...] = LABELS) -> list[Column]:
+    return [F.count(F.when(F.col("label") == F.lit(l), F.lit(1))).alias(l) for l in labels]
+
+
+def label_counts(labelled: DataFrame, labels: tuple[str, ...] = LABELS) -> DataFrame:
+    """One row: a counter per label (inserted, skipped, failed)."""
+    return labelled.agg(*counters(labels))
 
 
-def label_counts(labelled: DataFrame) -> DataFrame:
-    """One row: inserted, skipped, failed."""
-    return labelled.agg(*[F.count(F.when(F.col("label") == F.lit(l), F.lit(1))).alias(l)
-                          for l in LABELS])
+def stored_with_counts(labelled: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The stored labelled batch and its counters, one per label, observed by
+    the job that writes it: nothing is read a second time for them."""
+    seen = Observation("load")
+    done = store(labelled.observe(seen, *counters(ALL_LABELS)), "labelled")
+    return done, {l: int(seen.get[l]) for l in ALL_LABELS}
 
 
 def inserted_rows(labelled: DataFrame) -> DataFrame:

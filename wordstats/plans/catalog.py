@@ -20,7 +20,15 @@ from wordstats.operators import display as V
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.frequency import letter_frequency, letter_frequency_by, position_frequency
-from wordstats.operators.ingest import LABELS, TABLE_COLUMNS, label_batch, label_counts, load_result
+from wordstats.operators.ingest import (
+    ALL_LABELS,
+    LABELS,
+    TABLE_COLUMNS,
+    label_batch,
+    label_counts,
+    load_result,
+    stored_with_counts,
+)
 from wordstats.operators.lookup import materialise, store
 from wordstats.operators.quality import quality_report
 from wordstats.operators.scoring import top_predictions
@@ -369,6 +377,50 @@ def q_ingest_bad_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_counts(labelled)
 
 
+def _land_two_fetches(batch: DataFrame, landing: str) -> None:
+    """Two fetches as files without page numbers, in two folders: a small
+    one of the even ids, then a larger one of all ids whose answers are
+    written backwards.  Where the first has a valid row, it must win."""
+    turned = batch.withColumn("answer", F.reverse("answer"))
+    for i, rows in enumerate((batch.filter(F.col("game") % F.lit(2) == F.lit(0)), turned)):
+        land_pages(rows, f"{landing}/numbered={i}")
+        (rows.sparkSession.read.schema(PAGE).json(f"{landing}/numbered={i}").drop("page", "part", "_corrupt")
+         .write.json(f"{landing}/plain/fetch={i}"))
+
+
+def q_ingest_page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental load of two fetches that disagree: the earlier file's
+    row is inserted, whatever the files' sizes."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    _land_two_fetches(batch, landing)
+    labelled = label_batch(read_pages(spark, f"{landing}/plain/*"), stored,
+                           today=fixture_today(spark, sf_dir))
+    return load_result(stored, labelled)
+
+
+def q_stream_page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two fetches as a stream that finds both at once."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    _land_two_fetches(batch, landing)
+    base = scratch_dir(spark, "stream")
+    write_rows(stored, f"{base}/table", load_id=0)
+    start_stream_load(spark, f"{landing}/plain/*", f"{base}/table", f"{base}/checkpoint",
+                      today=fixture_today(spark, sf_dir)).awaitTermination()
+    return read_table(spark, f"{base}/table").select(*TABLE_COLUMNS)
+
+
+def q_ingest_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All counters of the incremental load, rows out of the fetch window
+    included, beside the number of rows that came in."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    land_pages(batch, landing)
+    labelled = label_batch(read_pages(spark, landing), stored, today=fixture_today(spark, sf_dir),
+                           outside=True)
+    _, seen = stored_with_counts(labelled)
+    arrived = batch.agg(F.count(F.lit(1)).alias("arrived"))
+    return arrived.select(*[F.lit(n).cast("long").alias(l) for l, n in seen.items()], "arrived")
+
+
 def _streamed(spark: SparkSession, sf_dir: str, full: bool = False, **source_options) -> str:
     """The incremental load as a stream: the stored rows are written as load
     0, then the pages land in two drops and an available-now stream loads
@@ -413,6 +465,13 @@ def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.agg(*[F.sum(c).alias(c) for c in LABELS])
 
 
+def q_stream_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of the stream's counters, one file per micro-batch."""
+    counts = spark.read.parquet(f"{_streamed(spark, sf_dir, maxFilesPerTrigger=1)}/counts")
+    return counts.agg(*[F.sum(c).alias(c) for c in ALL_LABELS],
+                      F.sum(sum((F.col(c) for c in ALL_LABELS), F.lit(0))).alias("arrived"))
+
+
 # --- corpus scale -------------------------------------------------------------
 
 def _corpus_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -512,6 +571,10 @@ QUERIES: dict[str, Query] = {
     "ingest_plain_pages": q_ingest_plain_pages,
     "ingest_repeated_pages": q_ingest_repeated_pages,
     "ingest_bad_documents": q_ingest_bad_documents,
+    "ingest_page_order": q_ingest_page_order,
+    "ingest_all_counts": q_ingest_all_counts,
+    "stream_page_order": q_stream_page_order,
+    "stream_all_counts": q_stream_all_counts,
     "stream_ingest_single_files": q_stream_ingest_single_files,
     "stream_ingest_full": q_stream_ingest_full,
     "stream_counts": q_stream_counts,

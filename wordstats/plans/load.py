@@ -6,16 +6,25 @@ with dynamic partition overwrite, and labels its batch against the rows of
 *earlier* loads only, so re-running the same load id -- a retried job or a
 replayed micro-batch -- rewrites the same rows instead of adding or losing
 any.
+
+Loads that may run at once don't choose their ids: ``begin_load`` claims one
+and labels the batch against what is committed, ``finish_load`` commits it.
+Of two such loads the one that commits later finds the other's commit, takes
+out the ids that it brought, and tries again, so no row is lost and no id is
+stored twice; until a load is committed, readers don't see its rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordstats.operators.ingest import inserted_rows, label_batch, label_counts
 from wordstats.operators.lookup import store
+from wordstats.plans import commits
+from wordstats.operators.ingest import ALL_LABELS, inserted_rows, label_batch, stored_with_counts
 
 FACT_SCHEMA = T.StructType([
     T.StructField("puzzle_number", T.LongType()),
@@ -29,14 +38,18 @@ FACT_SCHEMA = T.StructType([
 
 
 def read_table(spark: SparkSession, path: str, before_load: int | None = None) -> DataFrame:
-    """The fact table (empty when nothing was written yet); with
-    ``before_load``, only rows of earlier loads (partition pruning)."""
+    """The fact table (empty when nothing was written yet), without loads
+    that are not committed; with ``before_load``, only rows of earlier loads
+    (partition pruning)."""
     try:
         df = spark.read.schema(FACT_SCHEMA).parquet(path)
     except Exception as e:  # nothing landed yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         df = spark.createDataFrame([], FACT_SCHEMA)
+    running = commits.pending(spark, path)
+    if running:     # loads that run now or died: few
+        df = df.filter(~F.col("load_id").isin(running))
     if before_load is not None:
         df = df.filter(F.col("load_id") < F.lit(before_load))
     return df
@@ -62,16 +75,65 @@ def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, load_id:
                      counts_path: str | None = None, mark: Column | None = None) -> DataFrame:
     """Label ``batch`` against the earlier loads, store its inserted rows as
     load ``load_id`` and return the counters (one row; inserted, skipped,
-    failed), also stored under ``counts_path`` when given.
+    failed, outside: together the batch's rows), also stored under
+    ``counts_path`` when given.
 
-    The labelled batch is stored first, so the write and the counters read
-    the same labels and the batch is not recomputed.
+    The labelled batch is stored first, so the write reads the same labels
+    and the batch is not recomputed; the storing job counts them.
     """
     table = read_table(spark, path, before_load=load_id)
-    labelled = store(label_batch(batch, table, today, accept_late, mark), "labelled")
+    labelled, seen = stored_with_counts(label_batch(batch, table, today, accept_late, mark, outside=True))
     _write(inserted_rows(labelled), path, load_id)
-    counts = label_counts(labelled).withColumn("load_id", F.lit(load_id).cast("long"))
+    counts = spark.range(1).select(*[F.lit(seen[l]).cast("long").alias(l) for l in ALL_LABELS],
+                                   F.lit(load_id).cast("long").alias("load_id"))
     if counts_path:
         (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("load_id").parquet(counts_path))
     return counts
+
+
+@dataclass
+class Load:
+    """A load between its claim and its commit."""
+
+    path: str
+    load_id: int
+    seen: int                   # commits that its labels know of
+    rows: DataFrame             # what it will store
+    counts: dict[str, int]
+
+
+def begin_load(spark: SparkSession, path: str, batch: DataFrame, today: Column | str | None = None,
+               accept_late: bool = False) -> Load:
+    """Claim an id and label ``batch`` against the committed loads."""
+    seen = len(commits.committed(spark, path))
+    table = read_table(spark, path)
+    load_id = commits.claim(spark, path, table.agg(F.max("load_id")).first()[0])
+    labelled, counts = stored_with_counts(label_batch(batch, table, today, accept_late, outside=True))
+    return Load(path, load_id, seen, inserted_rows(labelled), counts)
+
+
+def finish_load(spark: SparkSession, load: Load) -> dict[str, int]:
+    """Store the rows and commit; the counters (inserted, skipped, failed,
+    outside).  Rows whose ids another load committed meanwhile count as
+    skipped."""
+    while True:
+        _write(load.rows, load.path, load.load_id)
+        if commits.commit(spark, load.path, load.seen, load.load_id):
+            return load.counts
+        done = commits.committed(spark, load.path)
+        newer = read_table(spark, load.path).filter(F.col("load_id").isin(done[load.seen:]))
+        load.rows = store(load.rows.join(newer.select("puzzle_number"), "puzzle_number", "left_anti")
+                          .select(*load.rows.columns), "uncontested")
+        kept = load.rows.count()
+        load.counts = load.counts | {"inserted": kept,
+                                     "skipped": load.counts["skipped"] + load.counts["inserted"] - kept}
+        if not kept:        # overwriting with no rows would leave the old ones
+            _clear(spark, load.path, load.load_id)
+        load.seen = len(done)
+
+
+def _clear(spark: SparkSession, path: str, load_id: int) -> None:
+    """Take out what an uncommitted load has written."""
+    fs, at = commits._file_system(spark, f"{path.rstrip('/')}/load_id={load_id}")
+    fs.delete(at, True)

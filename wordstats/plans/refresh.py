@@ -22,7 +22,7 @@ from wordstats.functions.words import DEFAULT_LENGTH, letter_names
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.quality import CHECKS, RelationChecks, passes, quality_report
 from wordstats.operators.scoring import top_predictions
-from wordstats.plans.load import insert_if_absent, read_table
+from wordstats.plans.load import begin_load, finish_load, insert_if_absent, read_table
 from wordstats.plans.model import model_from_staged
 from wordstats.operators.staging import stage_answers
 from wordstats.sources.pages import read_pages
@@ -52,7 +52,7 @@ class RunConfig:
     table_path: str
     marts_path: str
     landing: str | None = None        # new pages to load first, if any
-    load_id: int | None = None        # defaults to 1 + the latest load
+    load_id: int | None = None        # None: an id that no other run has
     today: str | None = "current"     # last date of an increment; None: no bound
     accept_late: bool = False
     n: int = DEFAULT_LENGTH
@@ -123,10 +123,12 @@ def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
     'report': the check report DataFrame (on storage)}."""
     counts = None
     if cfg.landing:
-        latest = read_table(spark, cfg.table_path).agg(F.max("load_id")).first()[0]
-        load_id = cfg.load_id if cfg.load_id is not None else (latest + 1 if latest is not None else 0)
-        counts = insert_if_absent(spark, cfg.table_path, read_pages(spark, cfg.landing), load_id,
-                                  cfg.today, cfg.accept_late).first().asDict()
+        batch = read_pages(spark, cfg.landing)
+        if cfg.load_id is None:     # other runs may load at the same time
+            counts = finish_load(spark, begin_load(spark, cfg.table_path, batch, cfg.today, cfg.accept_late))
+        else:
+            counts = insert_if_absent(spark, cfg.table_path, batch, cfg.load_id,
+                                      cfg.today, cfg.accept_late).first().asDict()
 
     raw = read_table(spark, cfg.table_path).drop("loaded_at", "load_id")
     marts = build_marts(raw, candidates, cfg.n, cfg.top_k)

@@ -3,7 +3,9 @@
 A page is ``{page, results: [{game, answer, date, day_name, difficulty}],
 has_more, total}``, optionally with ``part`` when a page was landed in
 several documents.  Reading flattens the results into rows that keep the
-arrival order as ``(page, pos)``; missing fields read as null.  A document
+arrival order as ``(page, pos)`` and, where pages carry no number or the same
+one, as the file's place (``arrival``): files by path, or by time and path,
+then the documents as they stand in the file.  Missing fields read as null.  A document
 that doesn't parse (and each line of a page spread over several lines, unless
 ``multi_line`` is set) gives one row without an id, so a load counts it as
 failed instead of losing it.
@@ -39,33 +41,57 @@ PART_ROWS = 1000
 
 BATCH_COLUMNS = ["page", "pos", "game", "answer", "date", "day_name", "difficulty"]
 
+# How the files of a landing folder follow each other.
+ARRIVALS = ("path", "time")
+
+
+def _with_place(pages: DataFrame, arrival: str) -> DataFrame:
+    """``pages`` with ``_file``, which sorts as files arrive, and ``_block``,
+    where in its file the reading task began: rows of one file and block are
+    read by one task, in their order."""
+    if arrival not in ARRIVALS:
+        raise ValueError(f"arrival must be one of {ARRIVALS}")
+    file = F.col("_metadata.file_path")
+    if arrival == "time":
+        micros = F.unix_micros(F.col("_metadata.file_modification_time"))
+        file = F.concat(F.lpad(micros.cast("string"), 20, "0"), F.lit(" "), file)
+    return pages.select("*", file.alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
-    """Page documents -> one row per result with its arrival key (page, pos).
-    Works on a batch or a streaming DataFrame."""
+    """Page documents -> one row per result with its arrival key: ``page``,
+    ``pos`` and, for documents read from files, ``arrival`` (page, part, file,
+    block).  Works on a batch or a streaming DataFrame."""
     part = F.coalesce(F.col("part"), F.lit(0)) * F.lit(PART_ROWS)
     # A broken document has one empty result in place of those it lost.
     results = F.when(F.col("_corrupt").isNotNull(),
                      F.concat(F.coalesce("results", F.array().cast(PAGE["results"].dataType)),
                               F.array(F.lit(None).cast(RESULT)))) \
         .otherwise(F.col("results"))
-    return (pages.select("page", part.alias("_base"), F.posexplode(results).alias("pos", "_r"))
+    placed = "_file" in pages.columns
+    # A page landed in parts keeps the parts' order, whichever files hold them.
+    arrival = [F.struct("page", F.coalesce("part", F.lit(0).cast("long")).alias("part"),
+                        F.col("_file").alias("file"), F.col("_block").alias("block")).alias("arrival")]
+    return (pages.select("page", part.alias("_base"), *(arrival if placed else []),
+                         F.posexplode(results).alias("pos", "_r"))
             .select("page", (F.col("_base") + F.col("pos")).cast("long").alias("pos"),
-                    "_r.game", "_r.answer", "_r.date", "_r.day_name", "_r.difficulty"))
+                    "_r.game", "_r.answer", "_r.date", "_r.day_name", "_r.difficulty",
+                    *(["arrival"] if placed else [])))
 
 
-def read_pages(spark, path: str, multi_line: bool = False) -> DataFrame:
+def read_pages(spark, path: str, multi_line: bool = False, arrival: str = "path") -> DataFrame:
     """The rows of landed pages; with ``multi_line`` every file is one page,
-    however it is laid out (as the API returns it)."""
-    return flatten_pages(spark.read.schema(PAGE).options(**_READ)
-                         .option("multiLine", multi_line).json(path))
+    however it is laid out (as the API returns it).  ``arrival`` says whether
+    files follow each other by path or by the time they were written."""
+    return flatten_pages(_with_place(spark.read.schema(PAGE).options(**_READ)
+                                     .option("multiLine", multi_line).json(path), arrival))
 
 
-def stream_pages(spark, path: str, **options) -> DataFrame:
+def stream_pages(spark, path: str, arrival: str = "path", **options) -> DataFrame:
     reader = spark.readStream.schema(PAGE).options(**_READ)
     for k, v in options.items():
         reader = reader.option(k, v)
-    return flatten_pages(reader.json(path))
+    return flatten_pages(_with_place(reader.json(path), arrival))
 
 
 def land_pages(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:

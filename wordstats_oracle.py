@@ -463,6 +463,20 @@ SELECT inserted, skipped, failed + (SELECT count(DISTINCT page) FROM batch) AS f
 FROM load_counts"""),
 })
 
+# Two fetches: even ids first, then all ids with their answers backwards.
+ORACLE["ingest_page_order"] = _with(_load_ctes(), """
+SELECT puzzle_number, answer, date, day_name, difficulty FROM stored
+UNION ALL
+SELECT puzzle_number, CASE WHEN puzzle_number % 2 = 0 THEN upper(trim(answer)) ELSE reverse(upper(trim(answer))) END,
+       d, day_name, difficulty
+FROM labelled WHERE label = 'inserted'""")
+ORACLE["stream_page_order"] = ORACLE["ingest_page_order"]
+
+ORACLE["ingest_all_counts"] = _with(_load_ctes(), """
+SELECT inserted, skipped, failed, arrived - inserted - skipped - failed AS outside, arrived
+FROM load_counts, (SELECT count(*) AS arrived FROM batch)""")
+ORACLE["stream_all_counts"] = ORACLE["ingest_all_counts"]
+
 CORPUS_STAGED = CORPUS + r""",
 corpus_staged AS (
     SELECT upper(token) AS answer, substr(upper(token), 1, 1) AS letter_1,
