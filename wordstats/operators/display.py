@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordstats.functions.words import DEFAULT_LENGTH
-from wordstats.plans.refresh import published_run
+from wordstats.plans.refresh import published_run, stored_mart
 
 # Display names of the recent-answers table.
 RECENT_DISPLAY_NAMES = {
@@ -43,7 +43,7 @@ def register_marts(spark: SparkSession, marts_path: str, names) -> list[str]:
     """Expose the marts of the published run as temporary views (one per name)."""
     folder = published_run(spark, marts_path)
     for name in names:
-        spark.read.parquet(f"{folder}/{name}").createOrReplaceTempView(name)
+        stored_mart(spark, folder, name).createOrReplaceTempView(name)
     return list(names)
 
 

@@ -19,7 +19,13 @@ from wordstats.functions.words import letter_cols, letter_names, vowel_count
 from wordstats.operators import display as V
 from wordstats.operators import reporting as R
 from wordstats.operators.difficulty import difficulty_by_pattern
-from wordstats.operators.frequency import letter_frequency, letter_frequency_by, position_frequency
+from wordstats.operators.frequency import (
+    letter_frequency,
+    letter_frequency_by,
+    letter_frequency_from_counts,
+    position_frequency,
+    position_frequency_from_counts,
+)
 from wordstats.operators.ingest import (
     ALL_LABELS,
     LABELS,
@@ -33,9 +39,17 @@ from wordstats.operators.lookup import materialise, store
 from wordstats.operators.quality import quality_report
 from wordstats.operators.scoring import top_predictions
 from wordstats.operators.staging import stage_answers
-from wordstats.plans.load import read_table, write_rows
+from wordstats.plans.incremental import (
+    merged_difficulty_by_pattern,
+    merged_letter_counts,
+    read_trend,
+    update_counts,
+    update_trend,
+)
+from wordstats.plans.load import insert_if_absent, read_table, write_rows
 from wordstats.plans.model import WordModel, letter_table, model_from_staged
-from wordstats.plans.refresh import publish, read_candidates, read_mart
+from wordstats.plans.ordered import read_ordered, write_ordered
+from wordstats.plans.refresh import MART_ORDER, publish, read_candidates, read_mart, write_mart
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
     candidate_words,
@@ -124,7 +138,7 @@ def q_top_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mart_roundtrip(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     path = scratch_dir(spark, "marts")
     run_folder = f"{path}/_runs/query"
-    df.write.mode("overwrite").parquet(f"{run_folder}/{name}")
+    write_mart(df, run_folder, name)
     publish(spark, path, run_folder)
     return read_mart(spark, path, name)
 
@@ -175,6 +189,33 @@ def q_difficulty_by_pattern_read(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "unique_letter_count", "difficulty_bucket", "avg_difficulty")
 
 
+def _ordered_mart(spark: SparkSession, name: str, df: DataFrame) -> str:
+    path = f"{scratch_dir(spark, 'ordered')}/{name}"
+    write_ordered(df, path, MART_ORDER[name])
+    return path
+
+
+def q_answer_history_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every puzzle of the history with its place in the read order."""
+    path = _ordered_mart(spark, "answer_history", q_answer_history(spark, sf_dir))
+    return read_ordered(spark, path, position="read_position").select(
+        "puzzle_number", "answer", "word_commonality_score", "read_position")
+
+
+def q_word_scores_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scored word with its place in the read order."""
+    path = _ordered_mart(spark, "word_scores", q_word_scores(spark, sf_dir))
+    return read_ordered(spark, path, position="read_position").select(
+        "word", "total_score", "already_used", "read_position")
+
+
+def q_recent_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest puzzles, read from the first files of the ordered history."""
+    path = _ordered_mart(spark, "answer_history", q_answer_history(spark, sf_dir))
+    return read_ordered(spark, path, first=R.RECENT_ANSWERS, position="read_position").select(
+        "puzzle_number", "answer", "answer_date", "word_commonality_score", "read_position")
+
+
 def q_predictions_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions whose candidates went through the CSV seed."""
     raw, candidates = answers_and_candidates(spark, sf_dir)
@@ -243,7 +284,21 @@ def q_vowel_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.vowel_distribution(staged(spark, sf_dir))
 
 
+#: Documents that ``recent_answers`` looks at, at most, before it reads them all.
+RECENT_SEARCH = 100_000
+
+
 def q_recent_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest answers, looked for among the documents of the largest ids:
+    more and more of them until enough have an answer, so that as a rule a
+    few texts are read; where answers are too rare for that, all are."""
+    some = 4 * R.RECENT_ANSWERS
+    while some <= RECENT_SEARCH:
+        docs = latest_documents(spark, sf_dir, some).filter(F.col("doc_id").isNotNull())
+        found = materialise(R.recent_answers(stage_answers(raw_answers(spark, sf_dir, docs=docs))))
+        if found.rows == R.RECENT_ANSWERS:
+            return found.df
+        some *= 16
     return R.recent_answers(staged(spark, sf_dir))
 
 
@@ -472,6 +527,44 @@ def q_stream_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sum(sum((F.col(c) for c in ALL_LABELS), F.lit(0))).alias("arrived"))
 
 
+# --- marts kept up from load to load ----------------------------------------
+
+def _after_three_loads(spark: SparkSession, sf_dir: str, update: Callable[[str, str], object]) -> str:
+    """The fixture's stored rows and its batch in two loads; ``update(table,
+    state)`` runs after each of the three.  Returns the state's folder."""
+    stored, batch, _ = _landed(spark, sf_dir)
+    base = scratch_dir(spark, "incremental")
+    path, state = f"{base}/table", f"{base}/state"
+    write_rows(stored, path, load_id=0)
+    update(path, state)
+    mark = F.lit(read_table(spark, path).agg(F.max("date").cast("string")).first()[0]).cast("date")
+    middle = batch.select(F.floor((F.min("page") + F.max("page")) / F.lit(2))).scalar()
+    today = fixture_today(spark, sf_dir)
+    for load, rows in enumerate((batch.filter(F.col("page") <= middle), batch.filter(F.col("page") > middle))):
+        insert_if_absent(spark, path, rows, load + 1, today, mark=mark)
+        update(path, state)
+    return state
+
+
+def q_incremental_letter_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = _after_three_loads(spark, sf_dir, lambda t, s: update_counts(spark, t, s))
+    return letter_frequency_from_counts(merged_letter_counts(spark, state))
+
+
+def q_incremental_position_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = _after_three_loads(spark, sf_dir, lambda t, s: update_counts(spark, t, s))
+    return position_frequency_from_counts(merged_letter_counts(spark, state))
+
+
+def q_incremental_difficulty_by_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = _after_three_loads(spark, sf_dir, lambda t, s: update_counts(spark, t, s))
+    return merged_difficulty_by_pattern(spark, state)
+
+
+def q_incremental_difficulty_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_trend(spark, _after_three_loads(spark, sf_dir, lambda t, s: update_trend(spark, t, s)))
+
+
 # --- corpus scale -------------------------------------------------------------
 
 def _corpus_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -578,6 +671,13 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_single_files": q_stream_ingest_single_files,
     "stream_ingest_full": q_stream_ingest_full,
     "stream_counts": q_stream_counts,
+    "answer_history_read": q_answer_history_read,
+    "word_scores_read": q_word_scores_read,
+    "recent_history": q_recent_history,
+    "incremental_letter_frequency": q_incremental_letter_frequency,
+    "incremental_position_frequency": q_incremental_position_frequency,
+    "incremental_difficulty_by_pattern": q_incremental_difficulty_by_pattern,
+    "incremental_difficulty_trend": q_incremental_difficulty_trend,
     "corpus_top_letters": q_corpus_top_letters,
     "corpus_position_heatmap": q_corpus_position_heatmap,
     "corpus_strongest_letter": q_corpus_strongest_letter,

@@ -22,8 +22,12 @@ from wordstats.functions.words import DEFAULT_LENGTH, letter_names
 from wordstats.operators.difficulty import difficulty_by_pattern
 from wordstats.operators.quality import CHECKS, RelationChecks, passes, quality_report
 from wordstats.operators.scoring import top_predictions
+from wordstats.operators.frequency import letter_table_from_counts
+from wordstats.operators.lookup import materialise
+from wordstats.plans.incremental import merged_difficulty_by_pattern, merged_letter_counts, update_counts
 from wordstats.plans.load import begin_load, finish_load, insert_if_absent, read_table
-from wordstats.plans.model import model_from_staged
+from wordstats.plans.model import WordModel, model_from_staged
+from wordstats.plans.ordered import order_columns, read_ordered, write_ordered
 from wordstats.operators.staging import stage_answers
 from wordstats.sources.pages import read_pages
 
@@ -42,6 +46,10 @@ MART_ORDER = {
     "word_scores": ["-total_score", "word"],
 }
 
+# Marts as large as the answers or the candidates are stored in their order.
+ORDERED = ("answer_history", "word_scores")
+
+# The columns of the history that readers see.
 HISTORY_VIEW = ["puzzle_number", "answer", "answer_date", "day_name", "answer_year",
                 "answer_month", "difficulty", "difficulty_bucket", "vowel_count",
                 "unique_letter_count", "word_commonality_score"]
@@ -57,6 +65,9 @@ class RunConfig:
     accept_late: bool = False
     n: int = DEFAULT_LENGTH
     top_k: int = 10
+    # Where counts are kept from run to run: a run then reads new loads only
+    # for the letter, position and difficulty marts.
+    state_path: str | None = None
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
@@ -84,25 +95,48 @@ def publish(spark: SparkSession, marts_path: str, run_folder: str) -> None:
      .coalesce(1).write.mode("append").json(f"{marts_path.rstrip('/')}/{POINTER}"))
 
 
-def read_mart(spark: SparkSession, marts_path: str, name: str, ordered: bool = True) -> DataFrame:
-    run_folder = published_run(spark, marts_path)
-    df = spark.read.parquet(f"{run_folder}/{name}")
+def write_mart(df: DataFrame, folder: str, name: str) -> None:
+    """Store a mart in a run's folder."""
+    if name in ORDERED:
+        write_ordered(df, f"{folder}/{name}", MART_ORDER[name])
+    else:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def stored_mart(spark: SparkSession, folder: str, name: str, first: int | None = None) -> DataFrame:
+    if name in ORDERED:
+        return read_ordered(spark, f"{folder}/{name}", first)
+    return spark.read.parquet(f"{folder}/{name}")
+
+
+def read_mart(spark: SparkSession, marts_path: str, name: str, ordered: bool = True,
+              first: int | None = None) -> DataFrame:
+    """A published mart, or its ``first`` rows in the read order: of the
+    marts that are stored in it, only the files that hold them are read."""
+    df = stored_mart(spark, published_run(spark, marts_path), name, first)
     if name == "answer_history":
         df = df.select(*HISTORY_VIEW)
-    if not ordered:
-        return df
-    return df.orderBy(*[F.desc(k[1:]) if k.startswith("-") else F.asc(k)
-                        for k in MART_ORDER[name]])
+    if ordered or first is not None:
+        df = df.orderBy(*order_columns(MART_ORDER[name]))
+    return df if first is None else df.limit(first)
 
 
 def build_marts(raw: DataFrame, candidates: DataFrame, n: int = DEFAULT_LENGTH,
-                top_k: int = 10) -> dict[str, DataFrame]:
+                top_k: int = 10, state_path: str | None = None) -> dict[str, DataFrame]:
+    """All marts over ``raw``.  With ``state_path`` the letter, position and
+    difficulty marts come from the counts kept there."""
     staged = stage_answers(raw, n)
-    model = model_from_staged(staged, n)
+    if state_path is None:
+        model = model_from_staged(staged, n)
+        patterns = difficulty_by_pattern(staged)
+    else:
+        counts = merged_letter_counts(raw.sparkSession, state_path, n)
+        model = WordModel(staged, materialise(letter_table_from_counts(counts, n)), n)
+        patterns = merged_difficulty_by_pattern(raw.sparkSession, state_path)
     scores = model.word_scores(candidates)
     return {
         "staged_answers": staged,
-        "difficulty_by_pattern": difficulty_by_pattern(staged),
+        "difficulty_by_pattern": patterns,
         "letter_frequency": model.letter_frequency(),
         "position_heatmap": model.position_frequency(),
         "answer_history": model.answer_history(),
@@ -131,14 +165,18 @@ def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
                                       cfg.today, cfg.accept_late).first().asDict()
 
     raw = read_table(spark, cfg.table_path).drop("loaded_at", "load_id")
-    marts = build_marts(raw, candidates, cfg.n, cfg.top_k)
+    # A table without loads has no counts to keep.
+    kept = cfg.state_path is not None and not raw.isEmpty()
+    if kept:
+        update_counts(spark, cfg.table_path, cfg.state_path, cfg.n)
+    marts = build_marts(raw, candidates, cfg.n, cfg.top_k, cfg.state_path if kept else None)
     stage = f"{cfg.marts_path.rstrip('/')}/_runs/{uuid.uuid4().hex}"
     written: dict[str, DataFrame] = {}
     for name in MARTS:
         mart = (top_predictions(written["word_scores"], cfg.top_k, cfg.n)
                 if name == "top_predictions" else marts[name])
-        mart.write.mode("overwrite").parquet(f"{stage}/{name}")
-        written[name] = spark.read.parquet(f"{stage}/{name}")
+        write_mart(mart, stage, name)
+        written[name] = stored_mart(spark, stage, name)
     relations = {
         "raw_answers": raw,
         "staged_answers": marts["staged_answers"],

@@ -477,6 +477,33 @@ SELECT inserted, skipped, failed, arrived - inserted - skipped - failed AS outsi
 FROM load_counts, (SELECT count(*) AS arrived FROM batch)""")
 ORACLE["stream_all_counts"] = ORACLE["ingest_all_counts"]
 
+# The read orders: every row with its place.
+ORACLE["answer_history_read"] = _with(HISTORY, """
+SELECT puzzle_number, answer, word_commonality_score,
+       row_number() OVER (ORDER BY puzzle_number DESC) AS read_position
+FROM answer_history""")
+ORACLE["word_scores_read"] = _with(SCORES, """
+SELECT word, total_score, already_used,
+       row_number() OVER (ORDER BY total_score DESC NULLS LAST, word ASC NULLS LAST) AS read_position
+FROM word_scores""")
+ORACLE["recent_history"] = _with(HISTORY, """
+SELECT * FROM (
+    SELECT puzzle_number, answer, answer_date, word_commonality_score,
+           row_number() OVER (ORDER BY puzzle_number DESC) AS read_position
+    FROM answer_history)
+WHERE read_position <= 20""")
+
+# Marts over the table as it is after the loads.
+LOADED = _load_ctes() + STAGED[len(RAW):].replace("FROM raw_answers", "FROM after_load")
+ORACLE["incremental_letter_frequency"] = _with(LOADED + FREQ_PART, "SELECT * FROM letter_freq")
+ORACLE["incremental_position_frequency"] = _with(LOADED + FREQ_PART, "SELECT * FROM position_freq")
+ORACLE["incremental_difficulty_by_pattern"] = _with(LOADED + PATTERN_PART, "SELECT * FROM difficulty_by_pattern")
+ORACLE["incremental_difficulty_trend"] = _with(LOADED, """
+SELECT puzzle_number, difficulty,
+       avg(difficulty) OVER (ORDER BY puzzle_number ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)
+           AS rolling_avg
+FROM staged WHERE difficulty IS NOT NULL""")
+
 CORPUS_STAGED = CORPUS + r""",
 corpus_staged AS (
     SELECT upper(token) AS answer, substr(upper(token), 1, 1) AS letter_1,
