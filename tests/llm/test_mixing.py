@@ -63,3 +63,15 @@ def test_awkward_rows(spark, docs_of):
     assert first == again
     assert mixing.mix(docs_of([])).count() == 0
     assert mixing.mix(docs_of([(1, None), (2, "")])).count() == 0
+
+
+def test_third_of_a_source_without_ids(spark, docs_of):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"t{i} " * (1 + i % 40), "en", f"s{i % 2}")
+            for i in range(6000)]
+    docs = docs_of(rows)
+    mixed = mixing.mix(docs.withColumn("_rate", F.lit(1)).withColumn("copies", F.lit(2))).drop("_rate", "copies")
+    rates = {r.source: r.target for r in mixing.source_rates(
+        docs.select("source", mixing.n_words().alias("size"))).collect()}
+    taken = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(mixing.n_words()).alias("n")).collect()}
+    for source, target in rates.items():
+        assert abs(taken[source] - target) < 0.02 * target

@@ -122,3 +122,12 @@ def test_unlike_texts_under_one_id_all_stay(spark, docs_of):
     for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         lowest.setdefault(t, i)
     assert kept == sorted((str(i), t) for t, i in lowest.items())
+
+
+def test_keep_one_is_the_same_for_any_partitioning(spark):
+    rows = [(5, "one two three four five", f"s{i}", i) for i in (3, 1, 2, 0)] + [(6, "quite another text here", "s", 9)]
+    kept = set()
+    for parts in (1, 2, 3, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _key long").repartition(parts)
+        kept.add(tuple(sorted(tuple(r) for r in simhash.keep_one(docs).collect())))
+    assert kept == {((5, "one two three four five", "s0", 0), (6, "quite another text here", "s", 9))}

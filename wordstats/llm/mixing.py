@@ -9,17 +9,20 @@ point is target = min(c, level * w), where level is the largest of
 smallest c / w; one running sum over the sources finds it.
 
 A source's repetition rate is target / size.  Each of its documents is
-emitted floor(rate) times, plus once more when a hash of its id and the seed falls below
-the fraction, so reruns agree and rows that share an id share the decision.
+emitted floor(rate) times, plus once more when a hash of its id, its text and
+the seed falls below the fraction, so reruns agree, and rows that share an id
+(or have none) but not a text draw on their own.
 
 Sources are ordered by code point, null last, and weighed by repeating
 ``WEIGHTS``.  Null and empty texts have size 0 and follow their source's
 rate; a source of size 0 has target and rate 0.  Extra columns pass
-through; an input column named like an output column is replaced.
+through; an input column named like an output column is replaced.  An empty
+table has no sources and gives no rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,47 +69,55 @@ def source_rates(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: floa
                                 .otherwise(0.0).alias("rate")), "rates")
 
 
-def copies(rate: Column, doc_id: Column, seed: int = SEED) -> Column:
+def text_digest(col: str = "text") -> Column:
+    return F.md5(whole_text(col).cast("binary"))
+
+
+def copies(rate: Column, doc_id: Column, digest: Column, seed: int = SEED) -> Column:
     """How often a document is emitted at ``rate``."""
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-                                    .cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
+    drawn = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("null")), digest)
+    draw = F.conv(F.substring(F.md5(drawn.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
     return (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("long")
 
 
-def plan_mix(docs: DataFrame, rates: DataFrame, seed: int = SEED, prefix: str = "") -> DataFrame:
-    """``docs`` with ``source_size``, ``target`` and ``copies`` (after ``prefix``).  The rates
-    are joined null-safely; Spark broadcasts them when their stored size is
-    below its threshold and otherwise splits a hot source's rows."""
-    r = rates.select(F.col("source").alias("_source"), F.col("source_size").alias("_size"),
-                     F.col("target").alias("_target"), F.col("rate").alias("_rate"))
-    joined = docs.join(r, docs["source"].eqNullSafe(r["_source"]), "left")
-    out = with_replaced(joined, {f"{prefix}source_size": F.col("_size"), f"{prefix}target": F.col("_target"),
-                                 f"{prefix}copies": copies(F.col("_rate"), F.col("doc_id"), seed)})
-    return out.drop("_source", "_size", "_target", "_rate")
+def plan_mix(docs: DataFrame, rates: DataFrame, digest: Column, seed: int = SEED, prefix: str = "") -> DataFrame:
+    """``docs`` with ``source_size``, ``target`` and ``copies`` (after ``prefix``);
+    ``digest`` is the digest of a row's text.  The rates are joined
+    null-safely, as one struct under a new name that no column can clash
+    with; Spark broadcasts them when their stored size is below its threshold
+    and otherwise splits a hot source's rows."""
+    tag = f"_rate_{uuid.uuid4().hex}"
+    r = rates.select(F.struct("source", "source_size", "target", "rate").alias(tag))
+    joined = docs.join(r, docs["source"].eqNullSafe(F.col(f"{tag}.source")), "left")
+    out = with_replaced(joined, {
+        f"{prefix}source_size": F.col(f"{tag}.source_size"), f"{prefix}target": F.col(f"{tag}.target"),
+        f"{prefix}copies": copies(F.col(f"{tag}.rate"), F.col("doc_id"), digest, seed)})
+    return out.drop(tag)
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: int = CAP,
         seed: int = SEED) -> DataFrame:
     """The mixture: every document's row, repeated as often as it is emitted."""
     sizes = docs.select("source", n_words().alias("size"))
-    planned = plan_mix(docs, source_rates(sizes, weights, share, cap), seed, "_mix_")
-    repeated = planned.filter(F.col("_mix_copies") > 0).withColumn(
-        "_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))))
+    tag = f"_mix_{uuid.uuid4().hex}_"
+    planned = plan_mix(docs, source_rates(sizes, weights, share, cap), text_digest(), seed, tag)
+    n = F.col(f"{tag}copies")
+    repeated = planned.filter(n > 0).withColumn(f"{tag}copy", F.explode(F.sequence(F.lit(1).cast("long"), n)))
     return repeated.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: every document's share in the mixture."""
-    docs = store(table(spark, sf_dir, "documents").select("doc_id", "source", n_words().alias("size")),
-                 "sizes")
-    planned = plan_mix(docs, source_rates(docs.select("source", "size")))
+    docs = store(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", n_words().alias("size"), text_digest().alias("digest")), "sizes")
+    planned = plan_mix(docs, source_rates(docs.select("source", "size")), F.col("digest"))
     return planned.select("doc_id", "size", "source_size", "target",
                           (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
 ORACLE = """
 WITH docs AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -128,7 +139,7 @@ rates AS (
 planned AS (
   SELECT d.doc_id, d.size, r.source_size, r.target, d.source,
          CAST(floor(r.rate) AS BIGINT) + CASE WHEN
-           ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 8))::UBIGINT::DOUBLE / 4294967296.0
+           ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || d.digest), 1, 8))::UBIGINT::DOUBLE / 4294967296.0
            < r.rate - floor(r.rate) THEN 1 ELSE 0 END AS copies
   FROM docs d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, source,

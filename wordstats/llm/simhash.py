@@ -33,6 +33,7 @@ null where it has none.  Repeated rows and extra columns pass through.
 from __future__ import annotations
 
 import random
+import uuid
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -221,8 +222,8 @@ def grouped(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
     the smallest key that can be reached from it over links; with ``hashed``
     also the text's hash (``_text``)."""
     own = [F.xxhash64(text).alias("_text")] if hashed else []
-    marked = store(fingerprints(docs.select(F.col(key), F.col(text)), text, "fp", shingle)
-                   .select(F.col(key).alias("_key"), "fp", *own), "fingerprints")
+    marked = store(fingerprints(docs.select(F.col(key).alias("_key"), F.col(text).alias(text)), text, "fp", shingle)
+                   .select("_key", "fp", *own), "fingerprints")
     firsts = store(marked.groupBy("fp").agg(F.min("_key").alias("_low")), "distinct")
     found = components(links(firsts.select("fp"), max_bits))
     rooted = store(firsts.join(found, firsts["fp"] == found["node"], "left")
@@ -252,23 +253,28 @@ def keep_one(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, max_bi
 
     The decision is taken on narrow rows: a row goes by its key and its
     text's hash, and texts are joined with what stays, not with each other.
-    Only where a kept row has exact copies under its key, one of them is
-    chosen, first within each task."""
+    Where a kept row has exact copies under its key, the smallest of them in
+    the order of their columns stays (chosen first within each task), so that
+    reruns agree however the rows are dealt out; columns must be orderable
+    then.  Columns of any name pass through."""
     decided = grouped(docs, text, shingle, max_bits, key, hashed=True)
     rows = (decided.groupBy("root", F.col(key).alias("_key"), "_text")
             .agg(F.count("*").alias("_copies")))
     first = F.min(F.struct(F.col("_key").isNull().alias("nameless"), "_key", "_text", "_copies"))
+    # What is joined is one struct under a new name, so no column can clash.
+    tag = f"_stay_{uuid.uuid4().hex}"
     stay = store(rows.groupBy("root").agg(first.alias("_first"))
-                 .select("root", "_first._key", "_first._text", "_first._copies"), "stay")
-    own = F.xxhash64(docs[text]) == F.col("_text")
+                 .select(F.struct("root", "_first._key", "_first._text", "_first._copies").alias(tag)), "stay")
+    own = F.xxhash64(docs[text]) == F.col(f"{tag}._text")
+    columns = [docs[c] for c in docs.columns]
 
     def kept(some: Column) -> DataFrame:
-        return docs.join(stay.filter(some), docs[key].eqNullSafe(F.col("_key")) & own)
+        return docs.join(stay.filter(some), docs[key].eqNullSafe(F.col(f"{tag}._key")) & own)
 
-    single = kept(F.col("_copies") == 1)
-    copied = kept(F.col("_copies") > 1).dropDuplicates(["root"])
-    columns = [docs[c] for c in docs.columns]
-    return single.select(*columns).unionByName(copied.select(*columns))
+    single = kept(F.col(f"{tag}._copies") == 1).select(*columns)
+    copied = (kept(F.col(f"{tag}._copies") > 1).groupBy(F.col(f"{tag}.root"))
+              .agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*"))
+    return single.unionByName(copied)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
