@@ -56,3 +56,25 @@ def test_crowded_ring_is_cut(spark, monkeypatch):
     got = {tuple(r) for r in topk.search(df, F.col("id") % 25 == 0, 10).collect()}
     kept = vectors(rows)
     assert got == brute(kept, [r for r in kept if r[0] % 25 == 0], 10)
+
+
+def test_far_annuli_are_not_read(spark, monkeypatch, caplog):
+    """Well-separated groups: a query reads a small part of the vectors, and still the right ones."""
+    monkeypatch.setattr(topk, "PIVOTS", 8)
+    monkeypatch.setattr(topk, "SEED_ROWS", 16)
+    rows = [(i, [20.0 * math.cos(i % 8) + (i * 7 % 31) / 50, 20.0 * math.sin(i % 8) + (i * 11 % 37) / 50])
+            for i in range(800)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with caplog.at_level("INFO", logger="wordstats.llm.topk"):
+        got = {tuple(r) for r in topk.search(df, F.col("id") % 50 == 0, 5).collect()}
+    kept = vectors(rows)
+    assert got == brute(kept, [r for r in kept if r[0] % 50 == 0], 5)
+    shares = [float(r.getMessage().split()[1]) for r in caplog.records if r.name == "wordstats.llm.topk"]
+    assert len(shares) == 3 and sum(shares) < 0.5, shares
+
+
+def test_one_id_with_two_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 0.0]), (2, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.search(df, F.col("id") == 0, 1).collect())
+    assert got == [(0, 1, 1, 2 * 1024 ** 2), (0, 1, 2, 2 * 1024 ** 2)]

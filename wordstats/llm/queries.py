@@ -36,6 +36,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_url_filters": url_filter.ORACLE,
+    "op3_exact_topk": topk.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op11_clustering": clustering.ORACLE,
     "op12_vector_codes": vector_codes.ORACLE,

@@ -6,24 +6,34 @@ the inner product with a query rises, so the highest scores are the nearest
 points and the triangle inequality holds.
 
 Index: ``PIVOTS`` pivots are picked far apart from a bounded sample; every
-vector is keyed by its nearest pivot and its distance to it, and each
-pivot's vectors are cut by distance into rings (annuli) of about
-``RING_ROWS`` vectors; a ring that holds more, as distances crowd, is cut
-further into parts of that size by a hash.  Search: a query first scans the ring that it falls
-into, which gives its k-th best score so far and so a radius; it then
-expands to the rings of every pivot that its ball can touch by the triangle
-inequality, and stops there: a ring [low, high] around a pivot at distance d is left out when
-d - high or low - d exceeds the radius.  The rings that remain are scanned
-with exact integer scores.  Queries are dealt out in blocks of about
-``QUERY_ROWS``, so no task holds all of them.
+vector is keyed by its nearest pivot and its distance to it.  A pivot's
+distances are cut into annuli of equal width, ``ANNULI`` for about every
+``RING_ROWS`` of its vectors; ``ANNULI`` neighbouring annuli lie together as
+a ring, the unit that is dealt to tasks (a ring that holds more, as distances
+crowd, is cut further into parts of that size by a hash).
+
+Search, in three steps, each with exact integer scores:
+
+1. the annuli next to the query, in order of their distance from it, until
+   ``SEED_ROWS`` vectors are seen, around its nearest pivots: the k-th best
+   score so far bounds the distance of whatever can still count (the radius);
+2. the annuli that come within half the radius, which tightens it;
+3. those between half the first radius and the tightened one.  The rest is
+   never read: an annulus [low, high] around a pivot at distance d holds no
+   vector nearer than d - high or low - d.
+
+Queries are dealt out in blocks of about ``QUERY_ROWS``, so no task holds all
+of them.  What was read is logged as a share of all (query, vector) pairs.
 
 Equal vectors are indexed once, with the k + 1 smallest ids of the group
 (no more can be among a query's best k); that cut happens before the
 shuffle, so a hot vector doesn't gather.
 
 Rows whose vector is null or holds null or non-finite components take no
-part, nor do rows with a null id.  Rows equal in id and vector count once; a
-query's own id is never its candidate.  Shorter vectors count as padded
+part, nor do rows with a null id; columns but the id and the vector are not
+read.  Rows equal in id and vector count once; rows that share an id but not
+a vector are queries of their own under that id; a query's own id is never
+its candidate.  An empty table, or no query, gives no rows.  Shorter vectors count as padded
 with zeros.  Fewer candidates than k: all of them.  Ties go to the smaller
 id.  Components are expected below 2^20 in size, which keeps scores in a
 long.
@@ -31,9 +41,11 @@ long.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordstats.llm.common import table
@@ -44,10 +56,16 @@ K = 10
 PIVOTS = 64
 PIVOT_SAMPLE = 2048
 RING_ROWS = 4096
+#: Annuli in a ring.
+ANNULI = 8
+#: Vectors that a query sees before it has a radius.
+SEED_ROWS = 256
 QUERY_ROWS = 4096
 #: Added to radii, so that rounding of distances never leaves out a ring.
 SLACK = 1e-6
 
+_LOG = logging.getLogger(__name__)
+
 
 def quantised(vector: Column) -> Column:
     """floor(SCALE * component) of each component, or null if the vector takes no part."""
@@ -139,72 +157,109 @@ def search(vectors: DataFrame, queries: Column, k: int = K, vec_id: str = "vec_i
 
     keyed = store(distinct.withColumn("_key", nearest("v", "norm2"))
                   .select("v", "ids", "_key.pivot", "_key.d"), "keyed")
-    # Rings: as many quantile cuts of a pivot's distances as it has RING_ROWS.
-    sizes = keyed.groupBy("pivot").agg(F.count("*").alias("n"), F.min("d").alias("d0"), F.max("d").alias("d1"))
+    # Annuli: equal cuts of a pivot's distances, ANNULI for every RING_ROWS vectors.
+    sizes = store(keyed.groupBy("pivot").agg(F.count("*").alias("n"), F.min("d").alias("d0"), F.max("d").alias("d1")),
+                  "sizes")
+    cuts = F.ceil(F.col("n") / RING_ROWS) * ANNULI
     # One row per pivot: bounded by PIVOTS.
     bands = store(keyed.join(F.broadcast(sizes), "pivot")
-                  .withColumn("bands", F.ceil(F.col("n") / RING_ROWS))
-                  .withColumn("band", F.when(F.col("d1") > F.col("d0"), F.least(
-                      F.floor((F.col("d") - F.col("d0")) / (F.col("d1") - F.col("d0")) * F.col("bands")),
-                      F.col("bands") - 1)).otherwise(F.lit(0)).cast("long"))
-                  .select("pivot", "band", "d", "v", "ids"), "bands")
-    # Near copies crowd at nearly one distance: no band stays larger than the others.
+                  .withColumn("cut", F.when(F.col("d1") > F.col("d0"), F.least(
+                      F.floor((F.col("d") - F.col("d0")) / (F.col("d1") - F.col("d0")) * cuts),
+                      cuts - 1)).otherwise(F.lit(0)).cast("long"))
+                  .select("pivot", F.floor(F.col("cut") / ANNULI).alias("band"),
+                          (F.col("cut") % ANNULI).cast("int").alias("annulus"), "d", "v", "ids"), "bands")
+    # Near copies crowd at nearly one distance: no ring stays larger than the others.
     crowded = (bands.groupBy("pivot", "band").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * RING_ROWS)
                .select("pivot", "band", F.ceil(F.col("n") / RING_ROWS).alias("parts")))
     part = F.coalesce(F.pmod(F.xxhash64("v"), F.col("parts")), F.lit(0))
     index = store(bands.join(crowded, ["pivot", "band"], "left")
-                  .select("pivot", F.shiftleft("band", 31).bitwiseOR(part).alias("ring"), "d", "v", "ids"), "index")
-    rings = store(index.groupBy("pivot", "ring").agg(F.min("d").alias("low"), F.max("d").alias("high"),
-                                                     F.count("*").alias("n")), "rings")
+                  .select("pivot", F.shiftleft("band", 31).bitwiseOR(part).alias("ring"), "annulus", "d", "v", "ids"),
+                  "index")
+    annuli = store(index.groupBy("pivot", "ring", "annulus")
+                   .agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("n")), "annuli")
 
-    # Queries, with their distances to all pivots, in blocks.
-    asked = rows.filter(queries).withColumn("to", to_pivots("v"))
+    # Queries, numbered, with their distances to all pivots, in blocks.
     n_asked = rows.filter(queries).count()
     blocks = max(1, -(-n_asked // QUERY_ROWS))
-    asked = store(asked.withColumn("norm2", square.cast("double"))
-                  .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")), "queries")
-
-    by_pivot = asked.select("id", "v", "block", "norm2", F.posexplode("to").alias("pivot", "qd"))
-    near = by_pivot.join(rings, "pivot").withColumn(
-        "gap", F.greatest(F.col("qd") - F.col("high"), F.col("low") - F.col("qd"), F.lit(0.0)))
-
-    def scan(visits: DataFrame) -> DataFrame:
-        """Each visit's k best in its ring: (id, found: array of (score, id))."""
-        visits = store(visits.select("id", "v", "block", "pivot", "ring"), "visits")
+    asked = store(rows.filter(queries).withColumns({
+        "q": F.monotonically_increasing_id(), "to": to_pivots("v"), "norm2": square.cast("double"),
+        "block": F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")}), "queries")
+    by_pivot = asked.select("q", "block", "norm2", F.posexplode("to").alias("pivot", "qd"))
+    gap = F.greatest(F.col("qd") - F.col("high"), F.col("low") - F.col("qd"), F.lit(0.0))
+    all_vectors = distinct.count()
+
+    def scan(chosen: DataFrame, name: str) -> DataFrame:
+        """Each query's k best in every ring, over the chosen annuli (q,
+        block, pivot, ring, annulus, n): (q, query_id, score, vec_id)."""
+        seen = Observation(name)
+        visits = (chosen.groupBy("q", "block", "pivot", "ring")
+                  .agg(F.bit_or(F.expr("shiftleft(1, annulus)")).alias("mask"), F.sum("n").alias("n"))
+                  .join(asked.select("q", "id", "v"), "q"))
+        visits = store(visits.observe(seen, F.sum("n").alias("n")), name)
+        _LOG.info("%s: %.3f of all (query, vector) pairs read", name,
+                  (seen.get["n"] or 0) / max(1, n_asked * all_vectors))
         blocks_of = visits.select("pivot", "ring", "block").distinct()
         dealt = (index.join(blocks_of, ["pivot", "ring"])
                  .select(F.col("pivot").alias("of"), F.col("ring").alias("at"),
-                         F.col("block").alias("part"), "v", "ids"))
+                         F.col("block").alias("part"), "annulus", "v", "ids"))
 
         def best(asked_part: pd.DataFrame, ring_part: pd.DataFrame) -> pd.DataFrame:
             out = []
             if len(asked_part) and len(ring_part):
-                m = _matrix(ring_part["v"].tolist())
-                ids = ring_part["ids"].tolist()
-                for at in range(0, len(asked_part), 256):
-                    part = asked_part.iloc[at:at + 256]
-                    scores = _scores(_matrix(part["v"].tolist()), m)
-                    for q, row in zip(part["id"].tolist(), scores):
-                        out += [(q, s, x) for s, x in _best_of(row, ids, q, k)]
-            return pd.DataFrame(out, columns=["query_id", "score", "vec_id"]).astype("int64")
+                vectors_of = _matrix(ring_part["v"].tolist())
+                bits = 1 << ring_part["annulus"].to_numpy()
+                ids = np.empty(len(ring_part), dtype=object)
+                ids[:] = ring_part["ids"].tolist()
+                # Annuli that a query's ball touches lie side by side: few masks differ.
+                for mask, same in asked_part.groupby("mask"):
+                    inside = (bits & mask) != 0
+                    m, its_ids = vectors_of[inside], ids[inside].tolist()
+                    for at in range(0, len(same), 256):
+                        part = same.iloc[at:at + 256]
+                        scores = _scores(_matrix(part["v"].tolist()), m)
+                        for q, own, row in zip(part["q"].tolist(), part["id"].tolist(), scores):
+                            out += [(q, own, s, x) for s, x in _best_of(row, its_ids, own, k)]
+            return pd.DataFrame(out, columns=["q", "query_id", "score", "vec_id"]).astype("int64")
 
         return (visits.groupBy("pivot", "ring", "block")
                 .cogroup(dealt.groupBy("of", "at", "part"))
-                .applyInPandas(best, "query_id long, score long, vec_id long"))
-
-    # First the ring that the query is nearest to.
-    home = Window.partitionBy("id", "v").orderBy("gap", F.abs(F.col("qd") - (F.col("low") + F.col("high")) / 2),
-                                                 "pivot", "ring")
-    first = near.withColumn("_n", F.row_number().over(home)).filter("_n = 1").drop("_n")
-    seed = store(scan(first).groupBy("query_id")
-                 .agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
-                 .select(F.col("query_id").alias("_q"), F.get("s", F.lit(k - 1)).alias("kth")), "seed")
-    radius2 = F.col("norm2") + F.lit(top2) - 2 * F.col("kth")
-    radius = F.sqrt(F.greatest(radius2, F.lit(0.0))) * (1 + SLACK) + SLACK * (1 + top2 ** 0.5)
-    visits = (near.join(seed, near["id"] == seed["_q"], "left")
-              .filter(F.col("kth").isNull() | (F.col("gap") <= radius)))
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (scan(visits).withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+                .applyInPandas(best, "q long, query_id long, score long, vec_id long"))
+
+    def radius_of(found: DataFrame) -> DataFrame:
+        """(q, radius): beyond it nothing is better than the k-th best found;
+        only queries with k found."""
+        nth = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+        kth = (found.withColumn("_n", F.row_number().over(nth)).filter(F.col("_n") == k)
+               .join(asked.select("q", "norm2"), "q"))
+        square_of = F.col("norm2") + F.lit(top2) - 2 * F.col("score")
+        return kth.select("q", (F.sqrt(F.greatest(square_of, F.lit(0.0))) * (1 + SLACK)
+                                + SLACK * (1 + top2 ** 0.5)).alias("radius"))
+
+    # 1. From the nearest pivots, as many as hold enough, the annuli next to the query.
+    ahead = Window.partitionBy("q").rowsBetween(Window.unboundedPreceding, -1)
+    enough = max(SEED_ROWS, 2 * k)
+    home = (by_pivot.join(sizes.select("pivot", "n"), "pivot")
+            .withColumn("_before", F.coalesce(F.sum("n").over(ahead.orderBy("qd", "pivot")), F.lit(0)))
+            .filter(F.col("_before") < enough).drop("n", "_before"))
+    close = ahead.orderBy("gap", F.abs(F.col("qd") - (F.col("low") + F.col("high")) / 2), "pivot", "ring", "annulus")
+    first = (home.join(annuli, "pivot").withColumn("gap", gap)
+             .withColumn("_before", F.coalesce(F.sum("n").over(close), F.lit(0)))
+             .filter(F.col("_before") < enough))
+    seed = store(radius_of(scan(first, "seed")), "radius")
+
+    # 2. What comes within half of that radius (a query without one: everything).
+    near = by_pivot.join(seed, "q", "left").join(annuli, "pivot").withColumn("gap", gap)
+    inner = F.col("radius").isNull() | (F.col("gap") <= F.col("radius") / 2)
+    inside = store(scan(near.filter(inner), "inner"), "found")
+
+    # 3. The rest of the ball, as far as it still reaches.
+    tight = radius_of(inside).withColumnRenamed("radius", "tight")
+    beyond = (by_pivot.join(seed, "q").join(tight, "q", "left").join(annuli, "pivot").withColumn("gap", gap)
+              .filter((F.col("gap") > F.col("radius") / 2)
+                      & (F.col("gap") <= F.least("radius", "tight"))))
+    ranked = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    return (inside.unionByName(scan(beyond, "outer"))
+            .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
@@ -224,3 +279,22 @@ def _best_of(scores: np.ndarray, ids: list, own: int, k: int) -> list[tuple[int,
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: the ten best of every hundredth vector."""
     return search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+ORACLE = f"""
+WITH kept AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM kept a JOIN kept b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored
+QUALIFY rank <= {K}
+"""
