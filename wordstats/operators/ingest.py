@@ -170,6 +170,23 @@ def inserted_rows(labelled: DataFrame) -> DataFrame:
                     F.col("difficulty").cast("float").alias("difficulty")))
 
 
+REFUSED_COLUMNS = ["page", "pos", "game", "answer", "date", "day_name", "difficulty"]
+
+
+def refused_rows(labelled: DataFrame) -> DataFrame:
+    """The failed rows as they arrived, with what is wrong with them:
+    ``reason`` names each missing or unusable declared column."""
+    has_date = F.col("date").isNotNull()
+    wrong = [
+        F.when(F.col("_id").isNull(), F.lit("no id")),
+        F.when(F.col("_answer").isNull(), F.lit("no answer")),
+        F.when(~has_date, F.lit("no date")),
+        F.when(has_date & F.col("_date").isNull(), F.lit("no whole date")),
+    ]
+    return (labelled.filter(F.col("label") == F.lit("failed"))
+            .select(*REFUSED_COLUMNS, F.concat_ws(", ", *wrong).alias("reason")))
+
+
 def load_result(table: DataFrame, labelled: DataFrame) -> DataFrame:
     """The table after the load: existing rows plus inserted ones."""
     return table.select(*TABLE_COLUMNS).unionByName(inserted_rows(labelled))

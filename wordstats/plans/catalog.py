@@ -9,6 +9,7 @@ once per query.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,10 +47,11 @@ from wordstats.plans.incremental import (
     update_counts,
     update_trend,
 )
-from wordstats.plans.load import insert_if_absent, read_table, write_rows
+from wordstats.plans.load import insert_if_absent, read_refused, read_table, write_rows
 from wordstats.plans.model import WordModel, letter_table, model_from_staged
 from wordstats.plans.ordered import read_ordered, write_ordered
 from wordstats.plans.refresh import MART_ORDER, publish, read_candidates, read_mart, write_mart
+from wordstats.plans.tables import mart_tables, publish_tables
 from wordstats.session import scratch_dir
 from wordstats.sources.corpus import (
     candidate_words,
@@ -216,6 +218,47 @@ def q_recent_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "puzzle_number", "answer", "answer_date", "word_commonality_score", "read_position")
 
 
+def _database(spark: SparkSession, marts: dict[str, DataFrame]) -> str:
+    """The marts written as a run and published as tables of a new database."""
+    run_folder = f"{scratch_dir(spark, 'tables')}/_runs/query"
+    for name, df in marts.items():
+        write_mart(df, run_folder, name)
+    database = f"marts_{uuid.uuid4().hex}"
+    publish_tables(spark, run_folder, database, list(marts))
+    return database
+
+
+def q_predictions_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _database(spark, {"top_predictions": q_top_predictions(spark, sf_dir)})
+    return spark.sql(f"SELECT * FROM {db}.top_predictions ORDER BY rank")
+
+
+def q_letter_frequency_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _database(spark, {"letter_frequency": q_letter_frequency(spark, sf_dir)})
+    return spark.sql(f"SELECT * FROM {db}.letter_frequency ORDER BY total_count DESC, letter")
+
+
+def q_position_heatmap_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _database(spark, {"position_heatmap": q_position_frequency(spark, sf_dir)})
+    return spark.sql(f"SELECT * FROM {db}.position_heatmap ORDER BY position, position_count DESC, letter")
+
+
+def q_answer_history_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _database(spark, {"answer_history": q_answer_history(spark, sf_dir)})
+    return spark.sql(f"SELECT * FROM {db}.answer_history ORDER BY puzzle_number DESC")
+
+
+def q_mart_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published tables with the rows that the catalog knows of."""
+    answers = stored_staged(spark, sf_dir)
+    model = model_from_staged(answers)
+    return mart_tables(spark, _database(spark, {
+        "letter_frequency": model.letter_frequency(),
+        "position_heatmap": model.position_frequency(),
+        "difficulty_by_pattern": difficulty_by_pattern(answers),
+        "answer_history": model.answer_history()}))
+
+
 def q_predictions_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions whose candidates went through the CSV seed."""
     raw, candidates = answers_and_candidates(spark, sf_dir)
@@ -476,6 +519,40 @@ def q_ingest_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrived.select(*[F.lit(n).cast("long").alias(l) for l, n in seen.items()], "arrived")
 
 
+def _with_cut_dates(batch: DataFrame) -> DataFrame:
+    """The batch with half of the dates cut after the month where there is no id."""
+    cut = F.col("game").isNull() & (F.floor(F.col("pos") / F.lit(4)) % F.lit(2) == F.lit(0))
+    return batch.withColumn("date", F.when(cut, F.substring("date", 1, 7)).otherwise(F.col("date")))
+
+
+def q_ingest_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the incremental load refuses, with its reasons, as its
+    quarantine folder holds them."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    land_pages(_with_cut_dates(batch), landing)
+    base = scratch_dir(spark, "quarantine")
+    write_rows(stored, f"{base}/table", load_id=0)
+    insert_if_absent(spark, f"{base}/table", read_pages(spark, landing), 1,
+                     fixture_today(spark, sf_dir), quarantine_path=f"{base}/refused")
+    return _refused(spark, base)
+
+
+def q_stream_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    land_pages(_with_cut_dates(batch), landing)
+    base = scratch_dir(spark, "quarantine")
+    write_rows(stored, f"{base}/table", load_id=0)
+    start_stream_load(spark, landing, f"{base}/table", f"{base}/checkpoint", today=fixture_today(spark, sf_dir),
+                      quarantine_path=f"{base}/refused").awaitTermination()
+    return _refused(spark, base)
+
+
+def _refused(spark: SparkSession, base: str) -> DataFrame:
+    return read_refused(spark, f"{base}/refused", f"{base}/table").select(
+        "page", "pos", F.col("game").alias("puzzle_number"), "reason")
+
+
 def _streamed(spark: SparkSession, sf_dir: str, full: bool = False, **source_options) -> str:
     """The incremental load as a stream: the stored rows are written as load
     0, then the pages land in two drops and an available-now stream loads
@@ -666,6 +743,13 @@ QUERIES: dict[str, Query] = {
     "ingest_bad_documents": q_ingest_bad_documents,
     "ingest_page_order": q_ingest_page_order,
     "ingest_all_counts": q_ingest_all_counts,
+    "ingest_refused": q_ingest_refused,
+    "stream_refused": q_stream_refused,
+    "predictions_sql": q_predictions_sql,
+    "letter_frequency_sql": q_letter_frequency_sql,
+    "position_heatmap_sql": q_position_heatmap_sql,
+    "answer_history_sql": q_answer_history_sql,
+    "mart_tables": q_mart_tables,
     "stream_page_order": q_stream_page_order,
     "stream_all_counts": q_stream_all_counts,
     "stream_ingest_single_files": q_stream_ingest_single_files,

@@ -12,6 +12,12 @@ and labels the batch against what is committed, ``finish_load`` commits it.
 Of two such loads the one that commits later finds the other's commit, takes
 out the ids that it brought, and tries again, so no row is lost and no id is
 stored twice; until a load is committed, readers don't see its rows.
+
+The table's declarations hold for what is written: a null in a ``REQUIRED``
+column stops the writing job, whoever wrote the rows, and ``write_rows``,
+which takes rows that were not labelled, refuses ids that are in the table
+or come twice.  Rows that a load refuses can be kept with their reasons under
+a quarantine folder, partitioned by load like the table.
 """
 
 from __future__ import annotations
@@ -24,7 +30,13 @@ from pyspark.sql import types as T
 
 from wordstats.operators.lookup import store
 from wordstats.plans import commits
-from wordstats.operators.ingest import ALL_LABELS, inserted_rows, label_batch, stored_with_counts
+from wordstats.operators.ingest import (
+    ALL_LABELS,
+    inserted_rows,
+    label_batch,
+    refused_rows,
+    stored_with_counts,
+)
 
 FACT_SCHEMA = T.StructType([
     T.StructField("puzzle_number", T.LongType()),
@@ -36,6 +48,25 @@ FACT_SCHEMA = T.StructType([
     T.StructField("load_id", T.LongType()),
 ])
 
+#: Columns that are never null.
+REQUIRED = ("puzzle_number", "answer", "date")
+
+REFUSED_SCHEMA = T.StructType([
+    T.StructField("page", T.LongType()),
+    T.StructField("pos", T.LongType()),
+    T.StructField("game", T.LongType()),
+    T.StructField("answer", T.StringType()),
+    T.StructField("date", T.StringType()),
+    T.StructField("day_name", T.StringType()),
+    T.StructField("difficulty", T.FloatType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("load_id", T.LongType()),
+])
+
+
+class KeyTaken(ValueError):
+    pass
+
 
 def read_table(spark: SparkSession, path: str, before_load: int | None = None) -> DataFrame:
     """The fact table (empty when nothing was written yet), without loads
@@ -55,8 +86,14 @@ def read_table(spark: SparkSession, path: str, before_load: int | None = None) -
     return df
 
 
+def _required(name: str) -> Column:
+    """The column, where a null stops the job."""
+    return F.when(F.col(name).isNull(), F.raise_error(F.lit(f"{name} must not be null"))).otherwise(F.col(name))
+
+
 def _write(rows: DataFrame, path: str, load_id: int) -> None:
-    (rows.withColumn("loaded_at", F.localtimestamp())
+    (rows.withColumns({name: _required(name) for name in REQUIRED})
+     .withColumn("loaded_at", F.localtimestamp())
      .withColumn("load_id", F.lit(load_id).cast("long"))
      .select(*FACT_SCHEMA.fieldNames())
      .write.mode("overwrite")
@@ -66,23 +103,62 @@ def _write(rows: DataFrame, path: str, load_id: int) -> None:
 
 
 def write_rows(rows: DataFrame, path: str, load_id: int = 0) -> None:
-    """Store table-form rows as load ``load_id`` (replacing that load only)."""
+    """Store table-form rows as load ``load_id`` (replacing that load only).
+    Where an id comes twice, or is in another load, nothing is stored:
+    ``KeyTaken`` names some of them."""
+    rows = store(rows, "rows")
+    others = read_table(rows.sparkSession, path).filter(F.col("load_id") != F.lit(load_id))
+    # Only ids within the new rows' range can clash.
+    lo = rows.agg(F.min("puzzle_number")).scalar()
+    hi = rows.agg(F.max("puzzle_number")).scalar()
+    ids = (rows.select("puzzle_number", F.lit(True).alias("_new"))
+           .unionByName(others.filter(F.col("puzzle_number").between(lo, hi))
+                        .select("puzzle_number", F.lit(False).alias("_new"))))
+    taken = (ids.groupBy("puzzle_number").agg(F.count(F.lit(1)).alias("_n"), F.max("_new").alias("_new"))
+             .filter((F.col("_n") > 1) & F.col("_new") & F.col("puzzle_number").isNotNull())
+             .select("puzzle_number").limit(5).collect())
+    if taken:
+        raise KeyTaken(f"puzzle_number not unique: {sorted(r[0] for r in taken)}")
     _write(rows, path, load_id)
 
 
+def write_refused(labelled: DataFrame, path: str, load_id: int) -> None:
+    """Keep a load's failed rows with their reasons (replacing that load's only)."""
+    (refused_rows(labelled).withColumn("load_id", F.lit(load_id).cast("long"))
+     .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REFUSED_SCHEMA])
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load_id").parquet(path))
+
+
+def read_refused(spark: SparkSession, path: str, table_path: str | None = None) -> DataFrame:
+    """The refused rows; with the table's path, of committed loads only."""
+    try:
+        df = spark.read.schema(REFUSED_SCHEMA).parquet(path)
+    except Exception as e:  # nothing was refused yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        df = spark.createDataFrame([], REFUSED_SCHEMA)
+    running = commits.pending(spark, table_path) if table_path else []
+    return df.filter(~F.col("load_id").isin(running)) if running else df
+
+
 def insert_if_absent(spark: SparkSession, path: str, batch: DataFrame, load_id: int,
                      today: Column | str | None = None, accept_late: bool = False,
-                     counts_path: str | None = None, mark: Column | None = None) -> DataFrame:
+                     counts_path: str | None = None, mark: Column | None = None,
+                     quarantine_path: str | None = None) -> DataFrame:
     """Label ``batch`` against the earlier loads, store its inserted rows as
     load ``load_id`` and return the counters (one row; inserted, skipped,
     failed, outside: together the batch's rows), also stored under
-    ``counts_path`` when given.
+    ``counts_path`` when given; failed rows are kept under
+    ``quarantine_path`` when given.
 
     The labelled batch is stored first, so the write reads the same labels
     and the batch is not recomputed; the storing job counts them.
     """
     table = read_table(spark, path, before_load=load_id)
     labelled, seen = stored_with_counts(label_batch(batch, table, today, accept_late, mark, outside=True))
+    if quarantine_path:
+        write_refused(labelled, quarantine_path, load_id)
     _write(inserted_rows(labelled), path, load_id)
     counts = spark.range(1).select(*[F.lit(seen[l]).cast("long").alias(l) for l in ALL_LABELS],
                                    F.lit(load_id).cast("long").alias("load_id"))
@@ -100,6 +176,7 @@ class Load:
     load_id: int
     seen: int                   # commits that its labels know of
     rows: DataFrame             # what it will store
+    labelled: DataFrame
     counts: dict[str, int]
 
 
@@ -110,13 +187,16 @@ def begin_load(spark: SparkSession, path: str, batch: DataFrame, today: Column |
     table = read_table(spark, path)
     load_id = commits.claim(spark, path, table.agg(F.max("load_id")).first()[0])
     labelled, counts = stored_with_counts(label_batch(batch, table, today, accept_late, outside=True))
-    return Load(path, load_id, seen, inserted_rows(labelled), counts)
+    return Load(path, load_id, seen, inserted_rows(labelled), labelled, counts)
 
 
-def finish_load(spark: SparkSession, load: Load) -> dict[str, int]:
+def finish_load(spark: SparkSession, load: Load, quarantine_path: str | None = None) -> dict[str, int]:
     """Store the rows and commit; the counters (inserted, skipped, failed,
     outside).  Rows whose ids another load committed meanwhile count as
-    skipped."""
+    skipped.  Failed rows are kept under ``quarantine_path`` when given,
+    before the commit that lets readers see them."""
+    if quarantine_path:
+        write_refused(load.labelled, quarantine_path, load.load_id)
     while True:
         _write(load.rows, load.path, load.load_id)
         if commits.commit(spark, load.path, load.seen, load.load_id):

@@ -28,6 +28,7 @@ from wordstats.plans.incremental import merged_difficulty_by_pattern, merged_let
 from wordstats.plans.load import begin_load, finish_load, insert_if_absent, read_table
 from wordstats.plans.model import WordModel, model_from_staged
 from wordstats.plans.ordered import order_columns, read_ordered, write_ordered
+from wordstats.plans.tables import HISTORY_VIEW, ORDERED, publish_tables
 from wordstats.operators.staging import stage_answers
 from wordstats.sources.pages import read_pages
 
@@ -46,14 +47,6 @@ MART_ORDER = {
     "word_scores": ["-total_score", "word"],
 }
 
-# Marts as large as the answers or the candidates are stored in their order.
-ORDERED = ("answer_history", "word_scores")
-
-# The columns of the history that readers see.
-HISTORY_VIEW = ["puzzle_number", "answer", "answer_date", "day_name", "answer_year",
-                "answer_month", "difficulty", "difficulty_bucket", "vowel_count",
-                "unique_letter_count", "word_commonality_score"]
-
 
 @dataclass
 class RunConfig:
@@ -68,6 +61,10 @@ class RunConfig:
     # Where counts are kept from run to run: a run then reads new loads only
     # for the letter, position and difficulty marts.
     state_path: str | None = None
+    # Where the load's refused rows are kept with their reasons, if anywhere.
+    quarantine_path: str | None = None
+    # A database in which the published marts are views (see plans.tables).
+    database: str | None = None
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
@@ -159,10 +156,12 @@ def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
     if cfg.landing:
         batch = read_pages(spark, cfg.landing)
         if cfg.load_id is None:     # other runs may load at the same time
-            counts = finish_load(spark, begin_load(spark, cfg.table_path, batch, cfg.today, cfg.accept_late))
+            counts = finish_load(spark, begin_load(spark, cfg.table_path, batch, cfg.today, cfg.accept_late),
+                                 cfg.quarantine_path)
         else:
             counts = insert_if_absent(spark, cfg.table_path, batch, cfg.load_id,
-                                      cfg.today, cfg.accept_late).first().asDict()
+                                      cfg.today, cfg.accept_late,
+                                      quarantine_path=cfg.quarantine_path).first().asDict()
 
     raw = read_table(spark, cfg.table_path).drop("loaded_at", "load_id")
     # A table without loads has no counts to keep.
@@ -196,4 +195,6 @@ def run(spark: SparkSession, cfg: RunConfig, candidates: DataFrame) -> dict:
     ok = passes(report, checks)
     if ok:
         publish(spark, cfg.marts_path, stage)
+        if cfg.database:
+            publish_tables(spark, stage, cfg.database, MARTS)
     return {"load": counts, "published": ok, "report": report, "run": stage}

@@ -45,7 +45,8 @@ def _start(spark: SparkSession, table_path: str, checkpoint: str) -> tuple[int,
 def start_stream_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                       counts_path: str | None = None, today: Column | str | None = None,
                       accept_late: bool = False, first_load: int | None = None,
-                      available_now: bool = True, **source_options) -> StreamingQuery:
+                      available_now: bool = True, quarantine_path: str | None = None,
+                      **source_options) -> StreamingQuery:
     own_first, latest = _start(spark, table_path, checkpoint)
     if first_load is None:
         first_load = own_first
@@ -54,7 +55,7 @@ def start_stream_load(spark: SparkSession, landing: str, table_path: str, checkp
 
     def load(batch: DataFrame, batch_id: int) -> None:
         insert_if_absent(spark, table_path, batch, first_load + batch_id, today,
-                         accept_late, counts_path, mark)
+                         accept_late, counts_path, mark, quarantine_path)
 
     writer = (rows.writeStream.foreachBatch(load)
               .option("checkpointLocation", checkpoint))

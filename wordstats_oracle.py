@@ -477,6 +477,31 @@ SELECT inserted, skipped, failed, arrived - inserted - skipped - failed AS outsi
 FROM load_counts, (SELECT count(*) AS arrived FROM batch)""")
 ORACLE["stream_all_counts"] = ORACLE["ingest_all_counts"]
 
+# Half of the rows without an id have a date without a day: they are outside no window.
+ORACLE["ingest_refused"] = _with(_load_ctes(), """
+SELECT page, pos, puzzle_number,
+       concat_ws(', ', CASE WHEN puzzle_number IS NULL THEN 'no id' END,
+                       CASE WHEN answer IS NULL THEN 'no answer' END,
+                       CASE WHEN d IS NULL THEN 'no date' END) AS reason
+FROM labelled WHERE label = 'failed' AND NOT (puzzle_number IS NULL AND (pos // 4) % 2 = 0)
+UNION ALL
+SELECT page, pos, game, CASE WHEN answer IS NULL THEN 'no id, no answer, ' ELSE 'no id, ' END || 'no whole date'
+FROM batch WHERE game IS NULL AND (pos // 4) % 2 = 0""")
+ORACLE["stream_refused"] = ORACLE["ingest_refused"]
+
+# Marts as tables of the catalog.
+ORACLE.update({
+    "predictions_sql": ORACLE["predictions_mart"],
+    "letter_frequency_sql": ORACLE["letter_frequency_mart"],
+    "position_heatmap_sql": ORACLE["position_heatmap_mart"],
+    "answer_history_sql": ORACLE["answer_history_mart"],
+    "mart_tables": _with(HISTORY + PATTERN_PART, """
+SELECT 'letter_frequency' AS table_name, count(*) AS n_rows FROM letter_freq
+UNION ALL SELECT 'position_heatmap', count(*) FROM position_freq
+UNION ALL SELECT 'difficulty_by_pattern', count(*) FROM difficulty_by_pattern
+UNION ALL SELECT 'answer_history', count(*) FROM answer_history"""),
+})
+
 # The read orders: every row with its place.
 ORACLE["answer_history_read"] = _with(HISTORY, """
 SELECT puzzle_number, answer, word_commonality_score,
