@@ -550,7 +550,7 @@ def q_stream_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refused(spark: SparkSession, base: str) -> DataFrame:
     return read_refused(spark, f"{base}/refused", f"{base}/table").select(
-        "page", "pos", F.col("game").alias("puzzle_number"), "reason")
+        "page", F.col("game").alias("puzzle_number"), "answer", "date", "reason")
 
 
 def _streamed(spark: SparkSession, sf_dir: str, full: bool = False, **source_options) -> str:

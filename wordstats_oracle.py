@@ -479,13 +479,14 @@ ORACLE["stream_all_counts"] = ORACLE["ingest_all_counts"]
 
 # Half of the rows without an id have a date without a day: they are outside no window.
 ORACLE["ingest_refused"] = _with(_load_ctes(), """
-SELECT page, pos, puzzle_number,
+SELECT page, puzzle_number, answer, CAST(d AS VARCHAR) AS date,
        concat_ws(', ', CASE WHEN puzzle_number IS NULL THEN 'no id' END,
                        CASE WHEN answer IS NULL THEN 'no answer' END,
                        CASE WHEN d IS NULL THEN 'no date' END) AS reason
 FROM labelled WHERE label = 'failed' AND NOT (puzzle_number IS NULL AND (pos // 4) % 2 = 0)
 UNION ALL
-SELECT page, pos, game, CASE WHEN answer IS NULL THEN 'no id, no answer, ' ELSE 'no id, ' END || 'no whole date'
+SELECT page, game, answer, substr(CAST(date AS VARCHAR), 1, 7),
+       CASE WHEN answer IS NULL THEN 'no id, no answer, ' ELSE 'no id, ' END || 'no whole date'
 FROM batch WHERE game IS NULL AND (pos // 4) % 2 = 0""")
 ORACLE["stream_refused"] = ORACLE["ingest_refused"]
 
