@@ -1,0 +1,91 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordstats.operators.ingest import known_ids
+from wordstats.plans.layout import bucketed, buckets, forget
+from wordstats.plans.load import KeyTaken, begin_load, finish_load, insert_if_absent, read_table, write_rows
+from wordstats.session import scratch_dir
+
+BATCH = "page long, pos long, game long, answer string, date string, day_name string, difficulty float"
+FACTS = "puzzle_number long, answer string, date date, day_name string, difficulty float"
+
+
+def facts(spark, ids):
+    return spark.createDataFrame([(i, f"W{i}", dt.date(2024, 1, 1), None, None) for i in ids], FACTS)
+
+
+def batch(spark, ids):
+    return spark.createDataFrame([(1, n, i, f"w{i}", "2024-02-02", None, None) for n, i in enumerate(ids)], BATCH)
+
+
+@pytest.fixture
+def path(spark):
+    at = f"{scratch_dir(spark, 'layout')}/table"
+    bucketed(spark, at, 4)
+    yield at
+    forget(spark, at)
+
+
+def ids(spark, path):
+    return sorted((r["load_id"], r["puzzle_number"]) for r in read_table(spark, path).collect())
+
+
+def test_stored_ids_are_looked_up_where_they_lie(spark, path):
+    write_rows(facts(spark, range(50)), path, 0)
+    insert_if_absent(spark, path, batch(spark, range(40, 90)), 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = spark.range(30, 120).withColumnRenamed("id", "_fid")
+        found = known_ids(asked, read_table(spark, path))
+        assert {r["_fid"] for r in found.filter("_known").collect()} == set(range(30, 90))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored = plan[plan.index("Sort [puzzle_number"):]
+    assert "Bucketed: true" in stored and "Exchange" not in stored
+    assert plan.count("Exchange hashpartitioning") == 1     # the asked ids
+
+
+def test_loads_into_buckets(spark, path):
+    assert ids(spark, path) == []
+    write_rows(facts(spark, [1, 2]), path, 0)
+    with pytest.raises(KeyTaken):
+        write_rows(facts(spark, [2, 3]), path, 1)
+    counts = insert_if_absent(spark, path, batch(spark, [2, 3, 3, None]), 1).first()
+    assert (counts["inserted"], counts["skipped"], counts["failed"]) == (1, 2, 1)
+    again = insert_if_absent(spark, path, batch(spark, [2, 4]), 1).first()      # the same load, run again
+    assert (again["inserted"], again["skipped"]) == (1, 1)
+    assert ids(spark, path) == [(0, 1), (0, 2), (1, 4)]
+    insert_if_absent(spark, path, batch(spark, [1]), 1)     # and with nothing to insert
+    assert ids(spark, path) == [(0, 1), (0, 2)]
+
+
+def test_two_loads_at_once(spark, path):
+    one = begin_load(spark, path, batch(spark, [1, 2]))
+    two = begin_load(spark, path, batch(spark, [1, 2]))
+    three = begin_load(spark, path, batch(spark, [2, 3]))
+    finish_load(spark, two)
+    assert finish_load(spark, one)["inserted"] == 0
+    assert finish_load(spark, three) == {"inserted": 1, "skipped": 1, "failed": 0, "outside": 0}
+    assert [i for _, i in ids(spark, path)] == [1, 2, 3]
+
+
+def test_another_session_finds_the_buckets(spark, path):
+    write_rows(facts(spark, [1, 2]), path, 0)
+    forget(spark, path)         # a catalog that doesn't know the table
+    insert_if_absent(spark, path, batch(spark, [2, 3]), 1)
+    assert ids(spark, path) == [(0, 1), (0, 2), (1, 3)]
+
+
+def test_layout_is_declared_once(spark, path):
+    bucketed(spark, path, 4)
+    assert buckets(spark, path) == 4
+    with pytest.raises(ValueError, match="has 4 buckets"):
+        bucketed(spark, path, 8)
+    plain = f"{scratch_dir(spark, 'layout')}/plain"
+    write_rows(facts(spark, [1]), plain, 0)
+    assert buckets(spark, plain) is None
+    with pytest.raises(ValueError, match="without buckets"):
+        bucketed(spark, plain, 4)

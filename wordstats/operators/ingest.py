@@ -25,8 +25,9 @@ anyway; what is shuffled per row is numbers only.  Other batches arrive by
 
 Instead of a window over each id (one group = one task, however hot the
 id), the first valid arrival per id is an aggregate with map-side partial
-aggregation, merged with the table's ids into one stored row per id and
-joined back once; both sides of that join are plain shuffles, so AQE can
+aggregation.  The batch's ids, one row each, are looked up among the table's
+(an existence join: a table in buckets of the id is read as it lies), stored
+and joined back once; both sides of that join are plain shuffles, so AQE can
 split a hot id's partition.  The batch itself is stored first, so the pages
 are parsed once per load.  Rows without an id are labelled without any join,
 so they cannot pile up on the null key.
@@ -77,6 +78,12 @@ def _numbered(rows: DataFrame) -> tuple[DataFrame, Column]:
     return out, F.struct("page", "_part", "_seq")
 
 
+def known_ids(ids: DataFrame, table: DataFrame) -> DataFrame:
+    """``ids`` with ``_known``: whether the table has the row's ``_fid``."""
+    stored = table.select(F.col("puzzle_number").cast("long").alias("puzzle_number"))
+    return ids.select("*", F.col("_fid").isin(stored).alias("_known"))
+
+
 def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None = None,
                 accept_late: bool = False, mark: Column | None = None,
                 outside: bool = False) -> DataFrame:
@@ -118,23 +125,16 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
     # however many there are they never gather on one join key.
     no_id = fetched.filter(F.col("_id").isNull()).select(*out, F.lit("failed").alias("label"))
     with_id = fetched.filter(F.col("_id").isNotNull())
-    first_valid = (with_id.filter(valid)
-                   .groupBy(F.col("_id").alias("_fid"))
-                   .agg(F.min(arrival).alias("_first")))
     # Stored ids outside the batch's id range cannot match: the range (two
     # scalar subqueries) reaches the table scan, where Parquet statistics
     # skip the row groups of earlier loads.
     lo = with_id.agg(F.min("_id")).scalar()
     hi = with_id.agg(F.max("_id")).scalar()
-    stored_id = F.col("puzzle_number").cast("long")
-    known = (table.filter(stored_id.between(lo, hi))
-             .select(stored_id.alias("_fid"), F.lit(True).alias("_known")))
-    # One stored row per id, so that the join back has no aggregate below it.
-    per_id = store(first_valid.unionByName(known, allowMissingColumns=True)
-                   .groupBy("_fid").agg(F.min("_first").alias("_first"),
-                                        F.max("_known").alias("_known")), "ids")
+    per_id = store(known_ids(
+        with_id.groupBy(F.col("_id").alias("_fid")).agg(F.min(F.when(valid, arrival)).alias("_first")),
+        table.filter(F.col("puzzle_number").cast("long").between(lo, hi))), "ids")
     joined = with_id.join(per_id, F.col("_id") == F.col("_fid"), "left")
-    label = (F.when(F.coalesce(F.col("_known"), F.lit(False)), F.lit("skipped"))
+    label = (F.when(F.col("_known"), F.lit("skipped"))
              .when(F.col("_first").isNotNull() & (arrival > F.col("_first")), F.lit("skipped"))
              .when(~valid, F.lit("failed"))
              .otherwise(F.lit("inserted")))

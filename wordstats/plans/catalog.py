@@ -47,6 +47,7 @@ from wordstats.plans.incremental import (
     update_counts,
     update_trend,
 )
+from wordstats.plans.layout import bucketed
 from wordstats.plans.load import insert_if_absent, read_refused, read_table, write_rows
 from wordstats.plans.model import WordModel, letter_table, model_from_staged
 from wordstats.plans.ordered import read_ordered, write_ordered
@@ -507,6 +508,23 @@ def q_stream_page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table").select(*TABLE_COLUMNS)
 
 
+def q_ingest_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental load into a table stored in buckets of the id, in two
+    loads: the second one's pages are all pages again."""
+    stored, batch, landing = _landed(spark, sf_dir)
+    land_pages(batch, landing)
+    pages = read_pages(spark, landing)
+    path = f"{scratch_dir(spark, 'bucketed')}/table"
+    bucketed(spark, path, 8)
+    write_rows(stored, path, load_id=0)
+    mark = F.lit(read_table(spark, path).agg(F.max("date").cast("string")).first()[0]).cast("date")
+    middle = batch.select(F.floor((F.min("page") + F.max("page")) / F.lit(2))).scalar()
+    today = fixture_today(spark, sf_dir)
+    insert_if_absent(spark, path, pages.filter(F.col("page") <= middle), 1, today, mark=mark)
+    insert_if_absent(spark, path, pages, 2, today, mark=mark)
+    return read_table(spark, path).select(*TABLE_COLUMNS)
+
+
 def q_ingest_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All counters of the incremental load, rows out of the fetch window
     included, beside the number of rows that came in."""
@@ -743,6 +761,7 @@ QUERIES: dict[str, Query] = {
     "ingest_bad_documents": q_ingest_bad_documents,
     "ingest_page_order": q_ingest_page_order,
     "ingest_all_counts": q_ingest_all_counts,
+    "ingest_bucketed": q_ingest_bucketed,
     "ingest_refused": q_ingest_refused,
     "stream_refused": q_stream_refused,
     "predictions_sql": q_predictions_sql,

@@ -18,6 +18,9 @@ column stops the writing job, whoever wrote the rows, and ``write_rows``,
 which takes rows that were not labelled, refuses ids that are in the table
 or come twice.  Rows that a load refuses can be kept with their reasons under
 a quarantine folder, partitioned by load like the table.
+
+A table declared with ``layout.bucketed`` is stored in buckets of the id, and
+a load looks stored ids up without shuffling them.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordstats.operators.lookup import store
-from wordstats.plans import commits
+from wordstats.plans import commits, layout
 from wordstats.operators.ingest import (
     ALL_LABELS,
     inserted_rows,
@@ -48,6 +51,8 @@ FACT_SCHEMA = T.StructType([
     T.StructField("load_id", T.LongType()),
 ])
 
+_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FACT_SCHEMA)
+
 #: Columns that are never null.
 REQUIRED = ("puzzle_number", "answer", "date")
 
@@ -72,10 +77,11 @@ def read_table(spark: SparkSession, path: str, before_load: int | None = None) -
     """The fact table (empty when nothing was written yet), without loads
     that are not committed; with ``before_load``, only rows of earlier loads
     (partition pruning)."""
+    number = layout.buckets(spark, path)
     try:
-        df = spark.read.schema(FACT_SCHEMA).parquet(path)
+        df = layout.read(spark, path, number, _DDL) if number else spark.read.schema(FACT_SCHEMA).parquet(path)
     except Exception as e:  # nothing landed yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+        if number or ("PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e)):
             raise
         df = spark.createDataFrame([], FACT_SCHEMA)
     running = commits.pending(spark, path)
@@ -92,14 +98,18 @@ def _required(name: str) -> Column:
 
 
 def _write(rows: DataFrame, path: str, load_id: int) -> None:
-    (rows.withColumns({name: _required(name) for name in REQUIRED})
-     .withColumn("loaded_at", F.localtimestamp())
-     .withColumn("load_id", F.lit(load_id).cast("long"))
-     .select(*FACT_SCHEMA.fieldNames())
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("load_id")
-     .parquet(path))
+    whole = (rows.withColumns({name: _required(name) for name in REQUIRED})
+             .withColumn("loaded_at", F.localtimestamp())
+             .withColumn("load_id", F.lit(load_id).cast("long"))
+             .select(*FACT_SCHEMA.fieldNames()))
+    number = layout.buckets(rows.sparkSession, path)
+    if number:
+        layout.write(whole, path, number, _DDL, load_id)
+    else:
+        (whole.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("load_id")
+         .parquet(path))
 
 
 def write_rows(rows: DataFrame, path: str, load_id: int = 0) -> None:
@@ -208,7 +218,7 @@ def finish_load(spark: SparkSession, load: Load, quarantine_path: str | None = N
         kept = load.rows.count()
         load.counts = load.counts | {"inserted": kept,
                                      "skipped": load.counts["skipped"] + load.counts["inserted"] - kept}
-        if not kept:        # overwriting with no rows would leave the old ones
+        if not kept and not layout.buckets(spark, load.path):   # no rows would leave the old ones
             _clear(spark, load.path, load.load_id)
         load.seen = len(done)
 

@@ -455,6 +455,7 @@ FROM answer_history"""),
     "ingest_full_today": ORACLE["ingest_full"],
     "ingest_plain_pages": ORACLE["ingest_incremental"],
     "ingest_repeated_pages": ORACLE["ingest_incremental"],
+    "ingest_bucketed": ORACLE["ingest_incremental"],
     "stream_ingest_single_files": ORACLE["ingest_incremental"],
     "stream_ingest_full": ORACLE["ingest_full"],
     "stream_counts": _with(_load_ctes(), "SELECT * FROM load_counts"),
