@@ -78,32 +78,19 @@ def _numbered(rows: DataFrame) -> tuple[DataFrame, Column]:
     return out, F.struct("page", "_part", "_seq")
 
 
-def known_ids(ids: DataFrame, table: DataFrame) -> DataFrame:
-    """``ids`` with ``_known``: whether the table has the row's ``_fid``."""
-    stored = table.select(F.col("puzzle_number").cast("long").alias("puzzle_number"))
-    return ids.select("*", F.col("_fid").isin(stored).alias("_known"))
-
-
-def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None = None,
-                accept_late: bool = False, mark: Column | None = None,
-                outside: bool = False) -> DataFrame:
-    """Label every fetched batch row; keeps the batch columns (but
-    ``arrival``) plus the parsed ``_id``, ``_answer``, ``_date`` and
-    ``label``.  ``mark`` stands in for the table's latest date where one fetch
-    is loaded in several batches.  With ``outside``, rows out of the fetch
-    window come too, labelled so."""
+def parsed(batch: DataFrame) -> DataFrame:
+    """``batch`` with what a load reads from it: ``_id``, ``_answer``, ``_date``."""
     text_date = F.col("date").cast("string")
-    rows = store(batch.select(
+    return batch.select(
         *batch.columns,
         F.col("game").cast("long").alias("_id"),
         strip_upper(F.col("answer")).alias("_answer"),
-        F.when(text_date.rlike(WHOLE_DATE), text_date.try_cast("date")).alias("_date"),
-        F.monotonically_increasing_id().alias("_row"),
-    ), "batch")
-    rows, arrival = _numbered(rows)
+        F.when(text_date.rlike(WHOLE_DATE), text_date.try_cast("date")).alias("_date"))
+
+
+def in_window(mark: Column, today: Column | str | None, accept_late: bool) -> Column:
+    """Whether a row with a date is in the fetch window."""
     d = F.col("_date")
-    if mark is None:
-        mark = high_water_mark(table).scalar()
     keep = F.lit(True)
     if not accept_late:
         # A scalar subquery: the mark is computed once, nothing is joined.
@@ -117,6 +104,29 @@ def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None =
             limit = today
         # no mark: a full load, which has no window
         keep = F.coalesce(keep & (mark.isNull() | (d <= limit)), F.lit(False))
+    return keep
+
+
+def known_ids(ids: DataFrame, table: DataFrame) -> DataFrame:
+    """``ids`` with ``_known``: whether the table has the row's ``_fid``."""
+    stored = table.select(F.col("puzzle_number").cast("long").alias("puzzle_number"))
+    return ids.select("*", F.col("_fid").isin(stored).alias("_known"))
+
+
+def label_batch(batch: DataFrame, table: DataFrame, today: Column | str | None = None,
+                accept_late: bool = False, mark: Column | None = None,
+                outside: bool = False) -> DataFrame:
+    """Label every fetched batch row; keeps the batch columns (but
+    ``arrival``) plus the parsed ``_id``, ``_answer``, ``_date`` and
+    ``label``.  ``mark`` stands in for the table's latest date where one fetch
+    is loaded in several batches.  With ``outside``, rows out of the fetch
+    window come too, labelled so."""
+    rows = store(parsed(batch).withColumn("_row", F.monotonically_increasing_id()), "batch")
+    rows, arrival = _numbered(rows)
+    d = F.col("_date")
+    if mark is None:
+        mark = high_water_mark(table).scalar()
+    keep = in_window(mark, today, accept_late)
     fetched = rows.filter(d.isNull() | keep)
 
     valid = F.col("_id").isNotNull() & F.col("_answer").isNotNull() & d.isNotNull()

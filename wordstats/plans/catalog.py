@@ -67,6 +67,7 @@ from wordstats.sources.corpus import (
 )
 from wordstats.sources.pages import PAGE, land_pages, read_pages
 from wordstats.streaming.ingest import start_stream_load
+from wordstats.streaming.keyed import keyed_counts, start_keyed_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -571,7 +572,8 @@ def _refused(spark: SparkSession, base: str) -> DataFrame:
         "page", F.col("game").alias("puzzle_number"), "answer", "date", "reason")
 
 
-def _streamed(spark: SparkSession, sf_dir: str, full: bool = False, **source_options) -> str:
+def _streamed(spark: SparkSession, sf_dir: str, full: bool = False, start=start_stream_load,
+              **source_options) -> str:
     """The incremental load as a stream: the stored rows are written as load
     0, then the pages land in two drops and an available-now stream loads
     each drop as it finds it.  A full load starts without stored rows, and
@@ -587,8 +589,8 @@ def _streamed(spark: SparkSession, sf_dir: str, full: bool = False, **source_opt
     drops = [pages.filter(F.col("page") <= middle), pages.filter(F.col("page") > middle)]
     for i, part in enumerate(reversed(drops) if full else drops):
         land_pages(part, f"{base}/landing/drop={i}")
-        q = start_stream_load(spark, f"{base}/landing/*", path, f"{base}/checkpoint",
-                              counts_path=f"{base}/counts", today=today, **source_options)
+        q = start(spark, f"{base}/landing/*", path, f"{base}/checkpoint",
+                  counts_path=f"{base}/counts", today=today, **source_options)
         q.awaitTermination()
     return base
 
@@ -609,6 +611,20 @@ def q_stream_ingest_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{base}/table").select(*TABLE_COLUMNS)
 
 
+def q_stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream with its ids in a state store."""
+    base = _streamed(spark, sf_dir, start=start_keyed_load)
+    return read_table(spark, f"{base}/table").select(*TABLE_COLUMNS)
+
+
+def q_stream_keyed_arrived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What that stream stored, left out of its window, and saw in all, one
+    file per micro-batch."""
+    base = _streamed(spark, sf_dir, start=start_keyed_load, maxFilesPerTrigger=1)
+    return keyed_counts(spark, f"{base}/counts").select(
+        "inserted", "outside", sum((F.col(c) for c in ALL_LABELS), F.lit(0)).alias("arrived"))
+
+
 def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream's stored counters, over all micro-batches."""
     counts = spark.read.parquet(f"{_streamed(spark, sf_dir)}/counts")
@@ -773,6 +789,8 @@ QUERIES: dict[str, Query] = {
     "stream_all_counts": q_stream_all_counts,
     "stream_ingest_single_files": q_stream_ingest_single_files,
     "stream_ingest_full": q_stream_ingest_full,
+    "stream_keyed": q_stream_keyed,
+    "stream_keyed_arrived": q_stream_keyed_arrived,
     "stream_counts": q_stream_counts,
     "answer_history_read": q_answer_history_read,
     "word_scores_read": q_word_scores_read,

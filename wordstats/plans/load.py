@@ -98,6 +98,7 @@ def _required(name: str) -> Column:
 
 
 def _write(rows: DataFrame, path: str, load_id: int) -> None:
+    """Store rows whose ids are known to be new as load ``load_id``."""
     whole = (rows.withColumns({name: _required(name) for name in REQUIRED})
              .withColumn("loaded_at", F.localtimestamp())
              .withColumn("load_id", F.lit(load_id).cast("long"))

@@ -22,7 +22,7 @@ from wordstats.plans.load import insert_if_absent, read_table
 from wordstats.sources.pages import stream_pages
 
 
-def _start(spark: SparkSession, table_path: str, checkpoint: str) -> tuple[int, str | None]:
+def stream_start(spark: SparkSession, table_path: str, checkpoint: str) -> tuple[int, str | None]:
     """The load id of micro-batch 0 and the mark of the fetch window: one
     past the table's latest load and its latest date (as text, since Python's
     dates end with the year 9999; null: empty) when the
@@ -47,7 +47,7 @@ def start_stream_load(spark: SparkSession, landing: str, table_path: str, checkp
                       accept_late: bool = False, first_load: int | None = None,
                       available_now: bool = True, quarantine_path: str | None = None,
                       **source_options) -> StreamingQuery:
-    own_first, latest = _start(spark, table_path, checkpoint)
+    own_first, latest = stream_start(spark, table_path, checkpoint)
     if first_load is None:
         first_load = own_first
     rows = stream_pages(spark, landing, **source_options)

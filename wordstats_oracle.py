@@ -457,6 +457,7 @@ FROM answer_history"""),
     "ingest_repeated_pages": ORACLE["ingest_incremental"],
     "ingest_bucketed": ORACLE["ingest_incremental"],
     "stream_ingest_single_files": ORACLE["ingest_incremental"],
+    "stream_keyed": ORACLE["ingest_incremental"],
     "stream_ingest_full": ORACLE["ingest_full"],
     "stream_counts": _with(_load_ctes(), "SELECT * FROM load_counts"),
     "ingest_bad_documents": _with(_load_ctes(), """
@@ -477,6 +478,9 @@ ORACLE["ingest_all_counts"] = _with(_load_ctes(), """
 SELECT inserted, skipped, failed, arrived - inserted - skipped - failed AS outside, arrived
 FROM load_counts, (SELECT count(*) AS arrived FROM batch)""")
 ORACLE["stream_all_counts"] = ORACLE["ingest_all_counts"]
+ORACLE["stream_keyed_arrived"] = _with(_load_ctes(), """
+SELECT inserted, arrived - inserted - skipped - failed AS outside, arrived
+FROM load_counts, (SELECT count(*) AS arrived FROM batch)""")
 
 # Half of the rows without an id have a date without a day: they are outside no window.
 ORACLE["ingest_refused"] = _with(_load_ctes(), """
