@@ -18,6 +18,16 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _SHUFFLE_KEY = "spark.sql.shuffle.partitions"
 
+#: Settings of a new session where nothing else is given.
+_DEFAULTS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "wordstats") -> SparkSession:
@@ -32,21 +42,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    started = SparkSession.getActiveSession() is not None
     builder = (
         builder
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", os.environ.get("WORDSTATS_DRIVER_MEMORY",
                                                       _default_driver_memory()))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    given = spark.sparkContext.getConf()
+    for key, value in _DEFAULTS.items():
+        # What the deployment set, and the settings of a running session, stay.
+        if not started and not given.contains(key):
+            spark.conf.set(key, value)
     if (not shuffle_partitions and _is_local(spark)
             and not spark.sparkContext.getConf().contains(_SHUFFLE_KEY)):
         # Only a local session for which nothing was set: one partition per

@@ -148,10 +148,12 @@ def candidate_words(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH,
 
 def corpus_tokens(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> DataFrame:
     """Every word token of ``documents`` with its document, 1-based token position and language."""
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", F.posexplode(tokens(F.col("text"))).alias("_p", "token"))
-    return (docs.filter(F.col("token").rlike(word_token_pattern(n)))
-            .select("doc_id", (F.col("_p") + 1).cast("long").alias("pos"), "lang", "token"))
+    # Filtered inside the array: other tokens never become rows.
+    numbered = F.transform(tokens(F.col("text")), lambda t, i: F.struct(
+        (i + 1).cast("long").alias("pos"), t.alias("token")))
+    words = F.filter(numbered, lambda x: x["token"].rlike(word_token_pattern(n)))
+    return (table(spark, sf_dir, "documents").select("doc_id", "lang", F.inline(words))
+            .select("doc_id", "pos", "lang", "token"))
 
 
 def corpus_words(spark: SparkSession, sf_dir: str, n: int = DEFAULT_LENGTH) -> DataFrame:
