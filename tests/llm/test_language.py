@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 from pyspark.sql import functions as F
@@ -49,3 +51,33 @@ def test_rows_of_one_id_are_learnt_from_once(spark, docs_of):
     (_, dictionary), = language.learn(docs_of([*hot, (1, None), *rest]), F.lit(True), samples=4, dict_bytes=40_000)
     # one row of the hot id and the others that were drawn
     assert dictionary.count(b"zzzzzz") >= 3 and len(dictionary) <= 40_000 + 4
+
+
+def test_predictions_equal_a_plain_loop_over_dictionaries(spark):
+    """Every text against every dictionary, block by block, on its own."""
+    import zstandard
+
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.learn(docs, language.id_remainder(4) != 2)
+    dictionaries = {lang: zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                    for lang, raw in model}
+    rows = {r.doc_id: r for r in language.query(spark, SF_MID).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert rows.keys() == texts.keys()
+    for doc_id, text in sorted(texts.items())[::10]:
+        got = rows[doc_id]
+        if not any(c.isalpha() for c in text or ""):
+            assert (got.lang_pred, got.score) == ("und", 0)
+            continue
+        raw = " ".join(re.split(r"[\W\d_]+", text.lower())).encode()
+        size = {}
+        for lang, known in dictionaries.items():
+            made = zstandard.ZstdCompressor(level=language.LEVEL, dict_data=known, write_checksum=False,
+                                            write_content_size=False, write_dict_id=False)
+            size[lang] = sum(len(made.compress(raw[i:i + language.BLOCK_BYTES]))
+                             for i in range(0, len(raw), language.BLOCK_BYTES))
+        best, second = sorted(size.values())[:2]
+        assert size[got.lang_pred] == best
+        margin = (second - best) / second
+        assert got.accepted == (margin >= language.MIN_MARGIN)
+        assert abs(got.score - (1 - math.exp(-language.SCORE_SCALE * margin))) < 1e-12
