@@ -85,3 +85,25 @@ def test_empty_landing(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     run(spark, tmp_path)
     assert stored(spark, tmp_path) == {}
+
+
+def test_state_partitions_follow_the_cores_not_the_shuffle(spark, tmp_path):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    partitions = lambda query: query.recentProgress[0].stateOperators[0].numShufflePartitions
+    try:
+        spark.conf.set(key, "40")
+        for sub, options, expected in (("own", {}, 8), ("given", {"state_partitions": 3}, 3)):
+            at = tmp_path / sub
+            at.mkdir()
+            land(at / "landing", "a", 1, [(i, f"a{i}", "2024-01-02") for i in range(50)])
+            assert partitions(run(spark, at, **options)) == expected
+            assert spark.conf.get(key) == "40"
+            # a restart keeps what the checkpoint began with, and what it knows
+            land(at / "landing", "b", 2, [(i, "again", "2024-01-03") for i in range(60)])
+            spark.conf.set(key, "2")
+            assert partitions(run(spark, at)) == expected
+            spark.conf.set(key, "40")
+            assert stored(spark, at) == ({i: (f"A{i}", 0) for i in range(50)} | {i: ("AGAIN", 1) for i in range(50, 60)})
+    finally:
+        spark.conf.set(key, before)

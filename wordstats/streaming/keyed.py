@@ -21,8 +21,12 @@ What differs from ``start_stream_load``:
 * failed rows are counted, not kept.
 
 The state grows by one row per id and is never dropped: an id that came once
-is known for good.  Its partitions are ``spark.sql.shuffle.partitions`` of the
-first start.
+is known for good.  Every micro-batch opens and commits every state partition,
+whatever it brings, so there are only as many as the application runs tasks at
+once (``spark.default.parallelism`` at the first start; never more than
+``spark.sql.shuffle.partitions``) unless ``state_partitions`` is given.  They
+stay for the life of the checkpoint: give a number for the cluster's final
+size.  A commit writes what changed; Spark's maintenance takes the snapshots.
 """
 
 from __future__ import annotations
@@ -42,21 +46,29 @@ from wordstats.streaming.ingest import stream_start
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_FEWEST_PARTITIONS = 8      # executors may still be starting
 _STORED = "timestamp'1970-01-01 00:00:00Z'"     # the arrival of what the table had
 
 
 @contextmanager
-def _state_in_rocksdb(spark: SparkSession):
+def _state_in_rocksdb(spark: SparkSession, partitions: int | None):
     """A query keeps the settings it was started with; the session's stay."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    given = int(spark.conf.get(_PARTITIONS))
+    at_once = max(_FEWEST_PARTITIONS, spark.sparkContext.defaultParallelism)
+    settings = {_PROVIDER: _ROCKSDB, _CHANGELOG: "true", _PARTITIONS: str(partitions or min(given, at_once))}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _stored_ids(spark: SparkSession, table_path: str, checkpoint: str) -> str:
@@ -93,7 +105,7 @@ def _events(pages: DataFrame, mark: Column, today: Column | str | None, accept_l
 def start_keyed_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                      counts_path: str | None = None, today: Column | str | None = None,
                      accept_late: bool = False, available_now: bool = True,
-                     **source_options) -> StreamingQuery:
+                     state_partitions: int | None = None, **source_options) -> StreamingQuery:
     """Load landed pages into the table as they come; see above."""
     ids = _stored_ids(spark, table_path, checkpoint)
     first_load, latest = stream_start(spark, table_path, checkpoint)
@@ -123,7 +135,7 @@ def start_keyed_load(spark: SparkSession, landing: str, table_path: str, checkpo
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("load_id").parquet(counts_path))
 
-    with _state_in_rocksdb(spark):
+    with _state_in_rocksdb(spark, state_partitions):
         writer = (state.writeStream.outputMode("update").foreachBatch(load)
                   .option("checkpointLocation", checkpoint))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
